@@ -97,3 +97,33 @@ def precision_check(events: DataFrame, column: str = "timestamp") -> DataFrame:
     return events.agg(
         F.count("*").alias("total"), F.count_if(fraction != 0).alias("with_fraction")
     ).withColumn("has_fraction", F.col("with_fraction") > 0)
+
+
+def gpn_sample(events: DataFrame, k: int = 5) -> DataFrame:
+    """A few person numbers, to compare the spelling on both sides of the organisation join."""
+    filled = events.where(F.trim("gpn") != "")
+    return filled.select("gpn").distinct().orderBy("gpn").limit(k)
+
+
+def summary(events: DataFrame) -> dict[str, DataFrame]:
+    """All reports the columns of ``events`` allow."""
+    reports = {
+        "data_overview": data_overview(events),
+        "field_coverage": field_coverage(events),
+        "event_types": event_types(events),
+        "precision": precision_check(events),
+    }
+    if "hr_division" in events.columns:
+        reports |= {
+            "hr_coverage": hr_coverage(events),
+            "top_divisions": top_divisions(events),
+            "unmatched_people": unmatched_people(events),
+        }
+    for field, name, k in (
+        ("link_type", "link_type", None),
+        ("component", "component", 10),
+        ("site_name", "site_name", 10),
+    ):
+        if resolve(events.columns, field):
+            reports[f"share_by_{name}"] = share_by(events, field, name, k)
+    return reports
