@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickloom.session import materialize
+
 # Days are shifted per user and the time of day is squeezed into 22:30:00 to 22:31:26, so gaps are short and
 # local midnight is crossed in summer.
 CLICK_MICROS = (
@@ -119,8 +121,33 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stored_table(spark: SparkSession, sf_dir: str, name: str, compose) -> DataFrame:
+    """The view as a stored table, written once per session and spread over the cores.
+
+    Click logs and click events are stored tables in use: queries then scan them, with their filters and
+    columns, instead of composing every string again from one small file.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        spread = spark.sparkContext.defaultParallelism
+        _stored[key] = materialize(compose(spark, sf_dir).repartition(spread), name)
+    return _stored[key]
+
+
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat click events, as stored after loading an export."""
+    return _stored_table(spark, sf_dir, "clicks", compose_clicks)
+
+
+def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw log rows with doubly encoded properties."""
+    return _stored_table(spark, sf_dir, "raw-log", compose_log)
+
+
+def compose_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = {"CP_" + key: expr for key, expr in PROPERTIES.items()} | FLAT_ONLY
     return _base(spark, sf_dir).select(
         "event_id",
@@ -133,8 +160,7 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw log rows with doubly encoded properties."""
+def compose_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _base(spark, sf_dir).select(
         "timestamp",
         F.expr(COMMON["name"]).alias("name"),

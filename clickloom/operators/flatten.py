@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.functions import or_empty, peppered_sha256
-from clickloom.functions.text import is_filled
 
 CLICK_EVENT = "click_event"
 DETAILS = "customDimensions"
@@ -41,29 +40,45 @@ def property_bag() -> Column:
     """All properties as a map; empty for missing, malformed or non-object documents."""
     text = properties_text()
     parsed = F.when(text.startswith("{"), F.from_json(text, "map<string,string>"))
-    bag = F.transform_values(parsed, lambda _, value: F.coalesce(value, F.lit("")))
-    return F.coalesce(bag, F.create_map().cast("map<string,string>"))
+    return F.coalesce(_nulls_as_blank(parsed), F.create_map().cast("map<string,string>"))
 
 
-def with_properties(log: DataFrame, wanted: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
-    """``keep`` plus one text column per wanted property ('' when absent): alias -> key.
+def _nulls_as_blank(bag: Column) -> Column:
+    return F.transform_values(bag, lambda _, value: F.coalesce(value, F.lit("")))
 
-    Only the wanted keys are extracted, in one parse of each document.
-    """
-    schema = ", ".join(f"`{key}` string" for key in dict.fromkeys(wanted.values()))
-    parsed = log.select(*keep, F.from_json(properties_text(), schema).alias("__p"))
+
+def _record(text: Column, keys: Sequence[str]) -> Column:
+    """The wanted properties of a document as a struct of texts, in one parse."""
+    schema = ", ".join(f"`{key}` string" for key in dict.fromkeys(keys))
+    # An array document would be read as its first element.
+    return F.when(~F.ltrim(text).startswith("["), F.from_json(text, schema))
+
+
+def with_properties(log: DataFrame, wanted: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` plus one text column per wanted property ('' when absent): alias -> key."""
+    read = log.select(*keep, properties_text().alias("__text"))
+    parsed = read.select(*keep, _record(F.col("__text"), list(wanted.values())).alias("__p"))
     return parsed.select(
         *keep, *[or_empty(F.col("__p")[key]).alias(alias) for alias, key in wanted.items()]
     )
 
 
 def flatten(log: DataFrame, keys: Sequence[str] = KNOWN_KEYS, prefix: str = PREFIX) -> DataFrame:
-    """One column per property key, one row per event; absent keys are NULL, JSON nulls are ''."""
-    bagged = log.select(*LOG_COLUMNS, property_bag().alias("__bag"))
-    return bagged.select(
-        *LOG_COLUMNS,
-        *[F.try_element_at("__bag", F.lit(key)).alias(prefix + key) for key in keys],
+    """One column per property key, one row per event; absent keys are NULL, JSON nulls are ''.
+
+    Documents are parsed straight into a struct, whose fields cost nothing to read, unlike repeated map
+    lookups. A struct cannot tell a JSON null from an absent key, so documents that may hold one are
+    rewritten first.
+    """
+    read = log.select(*LOG_COLUMNS, properties_text().alias("__text"))
+    objects = read.withColumn("__text", F.when(F.col("__text").startswith("{"), F.col("__text")))
+    text = F.col("__text")
+    rewritten = F.to_json(_nulls_as_blank(F.from_json(text, "map<string,string>")))
+    plain = F.when(text.rlike(r":\s*null"), rewritten).otherwise(text)
+    parsed = objects.withColumn("__text", plain).select(
+        *LOG_COLUMNS, _record(text, keys).alias("__p")
     )
+    return parsed.select(*LOG_COLUMNS, *[F.col("__p")[key].alias(prefix + key) for key in keys])
 
 
 def key_inventory(log: DataFrame) -> DataFrame:
@@ -112,4 +127,4 @@ def pseudonymous_flat(
 def with_email_containing(log: DataFrame, needle: str) -> DataFrame:
     """Log rows whose e-mail property contains ``needle``, ignoring case."""
     address = F.get_json_object(properties_text(), "$.Email")
-    return log.where(is_filled(address) & F.lower(address).contains(needle.lower()))
+    return log.where(F.lower(address).contains(needle.lower()))

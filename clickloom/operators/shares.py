@@ -13,10 +13,16 @@ def top(df: DataFrame, measure: str, ties: Sequence[str], k: int | None = None)
     return ordered if k is None else ordered.limit(k)
 
 
-def with_share(counts: DataFrame, measure: str, share: str, digits: int) -> DataFrame:
-    """Percent of the grand total; the total is a scalar subquery, not a one-task window."""
-    total = counts.agg(F.sum(measure)).scalar()
-    percent = F.lit(100.0) * F.col(measure) / total.cast("double")
+def with_share(
+    counts: DataFrame, measure: str, share: str, digits: int, counted: DataFrame
+) -> DataFrame:
+    """Percent of all ``counted`` rows.
+
+    The total is a scalar subquery over the rows themselves: it needs none of the grouping columns, so it
+    costs a bare count, and there is no one-task window over the groups.
+    """
+    total = counted.agg(F.count("*").cast("double")).scalar()
+    percent = F.lit(100.0) * F.col(measure) / total
     return counts.withColumn(share, F.round(percent, digits))
 
 
@@ -24,7 +30,7 @@ def share_of_total(
     df: DataFrame, value: Column, name: str, digits: int = 1, k: int | None = None
 ) -> DataFrame:
     counts = df.groupBy(value.alias(name)).agg(F.count("*").alias("cnt"))
-    return top(with_share(counts, "cnt", "pct", digits), "cnt", [name], k)
+    return top(with_share(counts, "cnt", "pct", digits, df), "cnt", [name], k)
 
 
 def smallest_values(df: DataFrame, group: Sequence[str], value: str, name: str, k: int) -> DataFrame:

@@ -88,7 +88,7 @@ def link_types(clicks: DataFrame, approx: bool = False) -> DataFrame:
         _distinct("user_Id", approx).alias("unique_users"),
         _distinct("session_Id", approx).alias("unique_sessions"),
     )
-    return top(with_share(counts, "event_count", "pct", 2), "event_count", ["link_type"])
+    return top(with_share(counts, "event_count", "pct", 2, clicks), "event_count", ["link_type"])
 
 
 def link_type_samples(clicks: DataFrame, samples: int = 5) -> DataFrame:

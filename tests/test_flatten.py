@@ -47,6 +47,7 @@ CASES = (
     '{"CustomProps": "{broken"}',
     '{"CustomProps": "[1]"}',
     '{"CustomProps": ""}',
+    '{"CustomProps": "[{\\"GPN\\": \\"1\\"}]"}',
 )
 
 
@@ -64,6 +65,7 @@ def test_flatten_keeps_every_row(spark):
 
 
 def test_key_discovery(spark):
+    assert explore.distinct_people(log(spark, *CASES), "p").first().exact_gpn == "2"
     df = log(spark, *CASES, {"GPN": "2"}, {"GPN": "1"})
     assert rows(flat.key_inventory(df).where("key = 'GPN'")) == [("GPN", 3, 2, "1")]
     assert flat.discovered_keys(df) == sorted(["GPN", "Topic", "Nested", 'quo"te'])
