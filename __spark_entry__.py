@@ -16,6 +16,7 @@ from clickloom.functions import parse_export_time
 from clickloom.operators import flatten as flat
 from clickloom.operators.upsert import upsert
 from clickloom.plans import anonymize, enrich, explore, profile, star, video
+from clickloom.session import materialize
 from oracle.queries import ORACLE
 from oracle.views import DAYS, PEPPER
 
@@ -69,8 +70,6 @@ def _engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from clickloom.session import materialize
-
     events = materialize(_events(spark, sf_dir), "events")
     return star.fact_clicks(events, star.dimensions(events), PEPPER)
 
@@ -90,11 +89,11 @@ def _hr_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _unique_seconds(mode: str) -> Query:
-    return lambda s, d: video.unique_seconds(_segments(s, d), mode)
+    return lambda s, d: video.unique_seconds(materialize(_segments(s, d), "segments"), mode)
 
 
 def _video_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    segs = _segments(spark, sf_dir)
+    segs = materialize(_segments(spark, sf_dir), "segments")
     return video.sessions(segs, video.unique_seconds(segs))
 
 

@@ -62,9 +62,9 @@ def with_organisation(events: DataFrame, hr: DataFrame, pad_gpn: bool = False) -
     if not fields:
         return events
     snapshots = hr.withColumn("gpn", normalize_gpn(F.col("gpn"))) if pad_gpn else hr
-    history = snapshot_history(snapshots, "gpn", "snapshot_year", "snapshot_month", list(fields))
+    history = snapshot_history(snapshots, "gpn", "snapshot_year", "snapshot_month", fields)
     event_month = month_number(F.year("timestamp"), F.month("timestamp"))
-    return asof_month(events, history, "gpn", event_month, fields)
+    return asof_month(events, history, "gpn", event_month, list(fields.values()))
 
 
 def with_event_order(
@@ -105,11 +105,15 @@ def enrich(
     pad_hr_gpn: bool = False,
     hot: HotGroups | None = HotGroups(),
 ) -> DataFrame:
-    """All derived columns. Without person numbers or snapshots no organisation fields are added."""
-    events = with_session_columns(raw, blank_gpn_is_null)
+    """All derived columns. Without person numbers or snapshots no organisation fields are added.
+
+    Ordering comes before the organisation join, so that the size check of sessions reads three columns
+    of the raw table and nothing is shuffled after a join that may have been split for skew.
+    """
+    events = with_event_order(with_session_columns(raw, blank_gpn_is_null), ties, hot)
     if hr is not None and spellings_in(raw.columns, "gpn"):
         events = with_organisation(events, hr, pad_hr_gpn)
-    return with_event_order(events, ties, hot)
+    return events
 
 
 def local_time_sample(events: DataFrame, k: int = 3) -> DataFrame:
