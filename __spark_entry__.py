@@ -169,6 +169,7 @@ def _native_queries() -> dict[str, Query]:
         "file_types": lambda s, d: explore.file_types(_log(s, d)),
         "field_profile": lambda s, d: explore.field_profile(_log(s, d)),
         "key_inventory": lambda s, d: explore.property_keys(_log(s, d)),
+        "key_inventory_approx": lambda s, d: explore.property_keys(_log(s, d), approx=True),
         "raw_sample": lambda s, d: explore.raw_sample(_log(s, d)).drop("properties"),
         "flatten_props": lambda s, d: flat.export_view(flat.flatten(_log(s, d))),
         "flatten_unprefixed": lambda s, d: flat.flatten(_log(s, d), prefix=""),

@@ -81,13 +81,20 @@ def flatten(log: DataFrame, keys: Sequence[str] = KNOWN_KEYS, prefix: str = PREF
     return parsed.select(*LOG_COLUMNS, *[F.col("__p")[key].alias(prefix + key) for key in keys])
 
 
-def key_inventory(log: DataFrame) -> DataFrame:
+def key_inventory(log: DataFrame, approx_error: float | None = None) -> DataFrame:
     """Per property key: events that carry it, distinct values, and the smallest value as sample.
 
-    Counting per (key, value) first is combined on the map side and spreads a key that every event
-    carries over all its values.
+    Exact counting goes by (key, value) first, which is combined on the map side and spreads a key that
+    every event carries over all its values. With ``approx_error`` the values are sketched and only one
+    row per key and task is shuffled.
     """
     pairs = log.select(F.explode(property_bag()).alias("key", "value"))
+    if approx_error is not None:
+        return pairs.groupBy("key").agg(
+            F.count("*").alias("key_count"),
+            F.approx_count_distinct("value", approx_error).alias("distinct_values"),
+            F.min("value").alias("sample_value"),
+        )
     per_value = pairs.groupBy("key", "value").agg(F.count("*").alias("n"))
     return per_value.groupBy("key").agg(
         F.sum("n").alias("key_count"),

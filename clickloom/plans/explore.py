@@ -77,8 +77,9 @@ def event_names(log: DataFrame) -> DataFrame:
     return top(log.groupBy("name").agg(F.count("*").alias("event_count")), "event_count", ["name"])
 
 
-def property_keys(clicks: DataFrame) -> DataFrame:
-    return top(key_inventory(clicks), "key_count", ["key"])
+def property_keys(clicks: DataFrame, approx: bool = False) -> DataFrame:
+    inventory = key_inventory(clicks, APPROX_ERROR if approx else None)
+    return top(inventory, "key_count", ["key"])
 
 
 def link_types(clicks: DataFrame, approx: bool = False) -> DataFrame:
@@ -183,8 +184,11 @@ def field_profile(clicks: DataFrame) -> DataFrame:
     values in order.
     """
     keys = {alias: key for alias, (key, _, _) in PROFILED.items()} | {ACTED_VIDEO: "Video_Id"}
-    rows = with_properties(clicks, keys).withColumn(
-        ACTED_VIDEO, F.when(F.col("video_action") != "", F.col(ACTED_VIDEO))
+    # A field that is only counted as filled or not needs no values, which may be many (addresses).
+    counted_only = [f for f, (_, size, distinct) in PROFILED.items() if not size and not distinct]
+    rows = with_properties(clicks, keys).withColumns(
+        {ACTED_VIDEO: F.when(F.col("video_action") != "", F.col(ACTED_VIDEO))}
+        | {f: F.when(F.col(f) != "", "filled").otherwise("") for f in counted_only}
     )
     long = rows.select(
         F.explode(

@@ -11,12 +11,15 @@ from clickloom.plans import profile, star, video
 from clickloom.plans.anonymize import anonymize
 from clickloom.plans.enrich import enrich
 from clickloom.plans.ingest import Ingested, Mode, ingest
-from clickloom.sources.store import EventStore
+from clickloom.sources.store import EventStore, Version
+
+
+PUBLISHED = "published"  # one-row table naming the store version the outputs were built from
 
 
 @dataclass(frozen=True)
 class Published:
-    ingested: Ingested
+    ingested: Ingested | None
     tables: dict[str, str]  # name -> path
     reports: dict[str, DataFrame]
 
@@ -62,6 +65,14 @@ def load_hr(spark: SparkSession, path: str | None, store: EventStore) -> DataFra
     return spark.read.parquet(path)
 
 
+def published_version(store: EventStore, output: str) -> Version | None:
+    marker = f"{output.rstrip('/')}/{PUBLISHED}"
+    if not store.folders.exists(f"{marker}/_SUCCESS"):
+        return None
+    row = store.spark.read.parquet(marker).first()
+    return Version(row.generation, row.number)
+
+
 def run(
     spark: SparkSession,
     location: str,
@@ -72,16 +83,24 @@ def run(
     mode: Mode = "delta",
     hot: HotGroups | None = HotGroups(),
 ) -> Published | None:
-    """One run over the files at ``location``; None when a delta run finds nothing to do."""
+    """One run over the files at ``location``; None when a delta run finds nothing to do.
+
+    The version that was published is recorded last. A run that died between ingest and publishing is
+    therefore made up for by the next one, even if no new file has come.
+    """
     store = EventStore(spark, store_root)
     done = ingest(spark, store, location, mode)
-    if done is None:
+    version = store.current()
+    if done is None and published_version(store, output) == version:
         return None
-    raw = store.events(done.version)
     hr = load_hr(spark, hr_path, store)
-    tables, reports = publish(enrich(raw, hr, hot=hot), output, pepper, hot)
+    events = enrich(store.events(version), hr, hot=hot)
+    tables, reports = publish(events, output, pepper, hot)
     reports["processed_files"] = store.processed_report()
     if hr is not None:
         reports["hr_profile"] = profile.hr_profile(hr)
+    marker = spark.createDataFrame(
+        [(version.generation, version.number)], "generation int, number int"
+    )
+    write_table(marker, f"{output.rstrip('/')}/{PUBLISHED}")
     return Published(done, tables, reports)
-

@@ -33,6 +33,9 @@ def build_session(app_name: str = "clickloom", **conf: str) -> SparkSession:
     return configure(builder.getOrCreate())
 
 
+_local_scratch: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
@@ -42,11 +45,12 @@ def scratch_dir(spark: SparkSession) -> str:
     shared = spark.conf.get(CHECKPOINT_CONF, None)
     if shared:
         return shared
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="clickloom-")
-    spark.conf.set(CHECKPOINT_CONF, local)
-    return local
+    if context.applicationId not in _local_scratch:
+        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="clickloom-")
+    return _local_scratch[context.applicationId]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

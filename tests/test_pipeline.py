@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom import bindings
+from clickloom import bindings, job
 from clickloom.operators.numbering import with_dense_key
 from clickloom.plans import enrich, pipeline, star
 from conftest import SMALL, rows
@@ -104,12 +104,42 @@ def test_whole_job(spark):
     assert spark.read.parquet(again.tables["events_raw"]).count() == 1000
 
 
-def test_job_without_hr_table(spark):
-    root = Path(tempfile.mkdtemp(prefix="run-"))
-    (root / "in").mkdir()
-    (root / "in" / "c_2024_01_01.csv").write_text(
+@pytest.fixture
+def root():
+    folder = Path(tempfile.mkdtemp(prefix="run-"))
+    (folder / "in").mkdir()
+    (folder / "in" / "c_2024_01_01.csv").write_text(
         "timestamp [UTC],name,user_Id,session_Id\n01/01/2024 10:00,click_event,u,s\n"
     )
+    return folder
+
+
+def test_publishing_is_made_up_for(spark, root, monkeypatch):
+    args = (spark, str(root / "in"), str(root / "st"), str(root / "out"), PEPPER)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(pipeline, "publish", dies)
+        with pytest.raises(RuntimeError):
+            pipeline.run(*args)
+    done = pipeline.run(*args)
+    assert done.ingested is None and "cdm/fact_clicks" in done.tables
+    assert pipeline.run(*args) is None
+
+
+def test_command_line(spark, root):
+    (root / "key").write_text("secret\n")
+    options = ["--input", root / "in", "--store", root / "st", "--output", root / "out"]
+    options = [str(o) for o in [*options, "--pepper-file", root / "key"]]
+    assert job.main(options) == 0
+    assert job.main(options) == 0
+    assert job.main([*options, "--file", str(root / "in" / "c_2024_01_01.csv")]) == 0
+    assert spark.read.parquet(str(root / "out" / "cdm" / "fact_clicks")).count() == 1
+
+
+def test_job_without_hr_table(spark, root):
     done = pipeline.run(spark, str(root / "in"), str(root / "st"), str(root / "out"), PEPPER, str(root / "no"))
     assert "video_engagement" not in done.tables
     fact = spark.read.parquet(done.tables["cdm/fact_clicks"]).first()
