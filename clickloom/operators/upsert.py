@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,7 +26,7 @@ def upsert(
     The delivered keys are reduced to one row each before the joins, so the right side of both anti joins
     is unique and a hot key on the left can be split.
     """
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
     delivered = batch.where(complete).groupBy(*keys)
     appended = batch
     if rank is not None:
@@ -33,11 +34,8 @@ def upsert(
         repeated = newest.where(F.col("__oldest") < F.col("__newest")).select(
             *[F.col(k).alias(f"__k_{k}") for k in keys], "__newest"
         )
-        superseded = reduce(
-            lambda a, b: a & b,
-            [quoted(k) == F.col(f"__k_{k}") for k in keys],
-            F.col(rank) < F.col("__newest"),
-        )
+        same_key = [quoted(k) == F.col(f"__k_{k}") for k in keys]
+        superseded = reduce(and_, same_key, F.col(rank) < F.col("__newest"))
         appended = batch.join(repeated, superseded, "left_anti").drop(rank)
     if target is None:
         return appended

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -159,9 +161,9 @@ def fact_clicks(events: DataFrame, star: Star, pepper: str) -> DataFrame:
             facts = facts.withColumn(key, F.lit(1).cast("long"))
             continue
         right = dim.select(key, *[F.col(f).alias(f"__d_{f}") for f in by])
-        same = F.lit(True)
-        for f in by:
-            same = same & F.col(f"__{key}_{f}").eqNullSafe(F.col(f"__d_{f}"))
-        facts = facts.join(right, same, "left").drop(*[f"__d_{f}" for f in by])
+        pairs = [(F.col(f"__{key}_{f}"), F.col(f"__d_{f}")) for f in by]
+        nullable = key == "org_key"  # all other natural keys are free of NULLs on the dimension side
+        same = [a.eqNullSafe(b) if nullable else a == b for a, b in pairs]
+        facts = facts.join(right, reduce(and_, same), "left").drop(*[f"__d_{f}" for f in by])
     keys = [key for _, key, _ in joins]
     return facts.select(*keys, *[c for c in facts.columns if c not in natural and c not in keys])
