@@ -27,6 +27,10 @@ AS_OF = datetime(2025, 1, 1)
 DEFAULT_LOOKBACK_DAYS = 90
 
 
+# Whole numbers with NULLs, which some clients hold as floating point.
+OFTEN_NULL = {"ms_since_prev_event"}
+
+
 def comparable(df: DataFrame, digits: int | None = None) -> DataFrame:
     def shown(field: T.StructField):
         column = F.col(f"`{field.name}`")
@@ -36,6 +40,8 @@ def comparable(df: DataFrame, digits: int | None = None) -> DataFrame:
             column = column.cast("string")
         elif isinstance(field.dataType, T.ArrayType):
             column = F.array_join(column, "|")
+        elif field.name in OFTEN_NULL:
+            column = column.cast("double")
         elif isinstance(field.dataType, T.DoubleType) and digits is not None:
             column = F.round(column, digits)
         return column.alias(field.name)
@@ -170,7 +176,9 @@ def _native_queries() -> dict[str, Query]:
         "field_profile": lambda s, d: explore.field_profile(_log(s, d)),
         "key_inventory": lambda s, d: explore.property_keys(_log(s, d)),
         "key_inventory_approx": lambda s, d: explore.property_keys(_log(s, d), approx=True),
-        "raw_sample": lambda s, d: explore.raw_sample(_log(s, d)).drop("properties"),
+        "raw_sample": lambda s, d: explore.raw_sample(_log(s, d)).withColumn(
+            "properties", F.size("properties")
+        ),
         "flatten_props": lambda s, d: flat.export_view(flat.flatten(_log(s, d))),
         "flatten_unprefixed": lambda s, d: flat.flatten(_log(s, d), prefix=""),
         "anonymized_flat": lambda s, d: flat.pseudonymous_flat(_log(s, d), PEPPER),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import hmac
 from dataclasses import dataclass, fields
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.operators.ordered import HotGroups
 from clickloom.plans import profile, star, video
@@ -24,26 +27,70 @@ class Published:
     reports: dict[str, DataFrame]
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    """Write as Snappy Parquet, replacing what is there, and read it back."""
+def write_table(
+    df: DataFrame, path: str, partition_by: str | None = None, replace_all: bool = True
+) -> DataFrame:
+    """Write as Snappy Parquet and read the table back.
+
+    Replaces the table, or without ``replace_all`` just the partitions that ``df`` has rows for.
+    """
     laid_out = df.hint("rebalance", partition_by) if partition_by else df
-    writer = laid_out.write.mode("overwrite").option("compression", "snappy")
+    writer = (
+        laid_out.write.mode("overwrite")
+        .option("compression", "snappy")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+    )
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_dates(utc_days: set[date | None]) -> set[date | None]:
+    """Local dates that events of the UTC days can fall on (local time is one or two hours ahead)."""
+    return {d and d + timedelta(days=n) for d in utc_days for n in (0, 1)}
+
+
+def write_events(
+    store: EventStore,
+    version: Version,
+    changed: set[date | None] | None,
+    hr: DataFrame | None,
+    output: str,
+    pepper: str,
+    hot: HotGroups | None = HotGroups(),
+) -> DataFrame:
+    """Enrich stored events into ``events_raw`` and ``events_anonymized``, by local date.
+
+    Sessions lie within one local date, so with ``changed`` UTC days given only the dates these reach are
+    rebuilt: their raw rows are read, the rest of both tables stays as it is.
+    """
+    raw_path, safe_path = f"{output}/events_raw", f"{output}/events_anonymized"
+    if changed is None:
+        stored = write_table(enrich(store.events(version), hr, hot=hot), raw_path, "session_date")
+        write_table(anonymize(stored, pepper), safe_path, "session_date")
+        return stored
+    dates = local_dates(changed)
+    needed = dates | {d - timedelta(days=1) for d in dates if d}
+    known = [d for d in dates if d]
+    rebuilt = F.col("session_date").isin(known) if known else F.lit(False)
+    if None in dates:
+        rebuilt = rebuilt | F.col("session_date").isNull()
+    events = enrich(store.events(version, needed), hr, hot=hot)
+    stored = write_table(events.where(rebuilt), raw_path, "session_date", replace_all=False)
+    safe = anonymize(stored.where(rebuilt), pepper)
+    write_table(safe, safe_path, "session_date", replace_all=False)
+    return stored
+
+
 def publish(
-    events: DataFrame, output: str, pepper: str, hot: HotGroups | None = HotGroups()
+    stored: DataFrame, output: str, pepper: str, hot: HotGroups | None = HotGroups()
 ) -> tuple[dict[str, str], dict[str, DataFrame]]:
-    """Write every output table of enriched events; returns paths and report frames."""
-    paths: dict[str, str] = {}
+    """Write the tables derived from all enriched events; returns paths and report frames."""
+    paths = {name: f"{output}/{name}" for name in ("events_raw", "events_anonymized")}
 
-    def put(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        paths[name] = f"{output.rstrip('/')}/{name}"
-        return write_table(df, paths[name], partition_by)
+    def put(name: str, df: DataFrame) -> DataFrame:
+        paths[name] = f"{output}/{name}"
+        return write_table(df, paths[name])
 
-    stored = put("events_raw", events, "session_date")
-    put("events_anonymized", anonymize(stored, pepper), "session_date")
     reports = profile.summary(stored)
     if video.has_video(stored):
         engaged = put("video_engagement", video.video_engagement(stored, hot=hot))
@@ -65,12 +112,29 @@ def load_hr(spark: SparkSession, path: str | None, store: EventStore) -> DataFra
     return spark.read.parquet(path)
 
 
-def published_version(store: EventStore, output: str) -> Version | None:
-    marker = f"{output.rstrip('/')}/{PUBLISHED}"
+def inputs_digest(hr: DataFrame | None, pepper: str) -> str:
+    """Changes when the snapshots or the key do, which affects events of any day."""
+    key = hmac.new(pepper.encode(), b"key check", hashlib.sha256).hexdigest()
+    if hr is None:
+        return f"{key}:none"
+    row_hash = F.xxhash64(*sorted(hr.columns)).cast("decimal(20,0)")
+    total = hr.agg(F.count("*").alias("n"), F.sum(row_hash).alias("hashes")).first()
+    return f"{key}:{total.n}:{total.hashes}:{','.join(sorted(hr.columns))}"
+
+
+def last_published(store: EventStore, output: str, digest: str) -> Version | None:
+    """The version the outputs show, if they were built from the same snapshots and key."""
+    marker = f"{output}/{PUBLISHED}"
     if not store.folders.exists(f"{marker}/_SUCCESS"):
         return None
     row = store.spark.read.parquet(marker).first()
-    return Version(row.generation, row.number)
+    return Version(row.generation, row.number) if row.digest == digest else None
+
+
+def write_marker(store: EventStore, output: str, shown: Version, digest: str) -> None:
+    row = (shown.generation, shown.number, digest)
+    schema = "generation int, number int, digest string"
+    write_table(store.spark.createDataFrame([row], schema), f"{output}/{PUBLISHED}")
 
 
 def run(
@@ -85,22 +149,26 @@ def run(
 ) -> Published | None:
     """One run over the files at ``location``; None when a delta run finds nothing to do.
 
-    The version that was published is recorded last. A run that died between ingest and publishing is
-    therefore made up for by the next one, even if no new file has come.
+    The version that was published is recorded last, and the next run rebuilds the days changed since. A
+    run that died between ingest and publishing is therefore made up for, even if no new file has come.
     """
+    output = output.rstrip("/")
     store = EventStore(spark, store_root)
     done = ingest(spark, store, location, mode)
     version = store.current()
-    if done is None and published_version(store, output) == version:
-        return None
     hr = load_hr(spark, hr_path, store)
-    events = enrich(store.events(version), hr, hot=hot)
-    tables, reports = publish(events, output, pepper, hot)
+    digest = inputs_digest(hr, pepper)
+    shown = last_published(store, output, digest)
+    if done is None and shown == version:
+        return None
+    changed = store.days_changed(shown, version)
+    if changed is None:
+        # All outputs are about to be replaced: until that is complete they show no version at all.
+        write_marker(store, output, Version(0, 0), "")
+    stored = write_events(store, version, changed, hr, output, pepper, hot)
+    tables, reports = publish(stored, output, pepper, hot)
     reports["processed_files"] = store.processed_report()
     if hr is not None:
         reports["hr_profile"] = profile.hr_profile(hr)
-    marker = spark.createDataFrame(
-        [(version.generation, version.number)], "generation int, number int"
-    )
-    write_table(marker, f"{output.rstrip('/')}/{PUBLISHED}")
+    write_marker(store, output, version, digest)
     return Published(done, tables, reports)

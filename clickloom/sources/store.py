@@ -11,6 +11,7 @@ rows are never replaced in place. A full refresh starts a new generation.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
@@ -26,6 +27,10 @@ def day_folder(day: date | None) -> str:
     return NO_DAY if day is None else f"{DAY}={day.isoformat()}"
 
 
+def folder_day(name: str) -> date | None:
+    return None if name == NO_DAY else date.fromisoformat(name.removeprefix(f"{DAY}="))
+
+
 class Folders:
     """Directory listings on whatever file system the path names."""
 
@@ -106,7 +111,8 @@ class EventStore:
         return self.folders.exists(f"{self._commit(v)}/manifest/_SUCCESS")
 
     def schema(self, v: Version) -> T.StructType:
-        return T.StructType.fromJson(_json(self.spark.read.text(f"{self._commit(v)}/schema").first()))
+        text = self.spark.read.text(f"{self._commit(v)}/schema").first().value
+        return T.StructType.fromJson(json.loads(text))
 
     def events(
         self, version: Version | None = None, days: Iterable[date | None] | None = None
@@ -130,6 +136,17 @@ class EventStore:
         rows = self.spark.read.schema(partitioned).option("basePath", base).parquet(*folders.values())
         return rows.select(*[F.col(f"`{f.name}`") for f in schema.fields])
 
+    def days_changed(self, since: Version | None, until: Version) -> set[date | None] | None:
+        """UTC days written after one version up to another; None when everything has to be taken as new."""
+        if since is None or since.generation != until.generation:
+            return None
+        changed: set[date | None] = set()
+        for number in range(since.number + 1, until.number + 1):
+            v = Version(until.generation, number)
+            if self._is_committed(v):
+                changed.update(map(folder_day, self.folders.children(self._data(v))))
+        return changed
+
     def processed_files(self, version: Version | None = None) -> DataFrame:
         v = version or self.current()
         if v.number == 0:
@@ -151,12 +168,6 @@ class EventStore:
         manifest.write.mode("overwrite").parquet(f"{self._commit(v)}/manifest")
 
 
-def _json(row) -> dict:
-    import json
-
-    return json.loads(row.value)
-
-
 def updated_manifest(known: DataFrame, processed: DataFrame) -> DataFrame:
     """Known files, those processed now replaced by their new entry."""
     return known.join(processed, "filename", "left_anti").unionByName(processed)

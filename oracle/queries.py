@@ -148,7 +148,8 @@ ORACLE: dict[str, str] = {
     ),
     "raw_sample": with_log(
         f"""select {stamp(TS)} as "timestamp", name, user_id as user_Id, session_id as session_Id,
-          client_CountryOrRegion from log order by {TS}, 2, 3, 4, 5 limit 10"""
+          client_CountryOrRegion, cast(coalesce(len(json_keys(cp)), 0) as int) as properties
+          from log order by {TS}, 2, 3, 4, 5, details limit 10"""
     ),
     "flatten_props": with_log(
         f"""select strftime({TS}, '%d/%m/%Y %H:%M:%S.%f') || '0' as "timestamp [UTC]", {NAMED},
@@ -169,7 +170,8 @@ ORACLE: dict[str, str] = {
         f"""select event_id, gpn, email, timestamp_str, {stamp('timestamp_cet')} as timestamp_cet,
           timestamp_cet_str, cast(session_date as varchar) as session_date, session_key, event_hour,
           event_weekday, event_weekday_num, cast(event_order as int) as event_order, prev_event,
-          {stamp('prev_timestamp')} as prev_timestamp, ms_since_prev_event, sec_since_prev_event,
+          {stamp('prev_timestamp')} as prev_timestamp,
+          cast(ms_since_prev_event as double) as ms_since_prev_event, sec_since_prev_event,
           time_since_prev_bucket from ev"""
     ),
     "hr_asof": with_events("select event_id, gpn, hr_division, hr_job_title from org"),
@@ -304,7 +306,8 @@ ORACLE: dict[str, str] = {
         f"""select date_key, org_key, site_key, page_key, link_type_key, component_key,
           {hmac('e.gpn')} as person_hash, e.user_id, e.session_id, e.session_key,
           {stamp(f'e.{TS}')} as "timestamp", {stamp('e.timestamp_cet')} as timestamp_cet,
-          cast(e.event_order as int) as event_order, e.prev_event, e.ms_since_prev_event,
+          cast(e.event_order as int) as event_order, e.prev_event,
+          cast(e.ms_since_prev_event as double) as ms_since_prev_event,
           e.sec_since_prev_event, e.time_since_prev_bucket, e.event_hour, e.event_weekday,
           CP_Link_address as link_address, CP_Link_label as link_label, CP_FileName_Label as file_name,
           CP_FileType_Label as file_type, e.name as event_name, client_CountryOrRegion as client_country
