@@ -203,7 +203,8 @@ def test_hot_session_is_split_without_change(spark):
 
 def test_anonymize_every_spelling(spark):
     df = spark.createDataFrame(
-        [("1", "a@x", "00000001", "b@x", "u")], "CP_gpn string, CP_email string, gpn string, Email string, user_id string"
+        [("1", "a@x", "00000001", "b@x", "u")],
+        "CP_gpn string, CP_email string, gpn string, Email string, user_id string",
     )
     got = anonymize.anonymize(df, "key")
     assert got.columns == ["CP_Person_Hash", "person_hash", "user_id"]
