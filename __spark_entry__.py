@@ -20,6 +20,14 @@ from clickloom.session import materialize
 from oracle.queries import ORACLE
 from oracle.views import DAYS, PEPPER
 
+try:  # the corpus operators may be absent; everything else works without them
+    import corpus_pipeline
+    from clickloom.llm import queries as corpus_queries
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "clickloom.llm"):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -239,11 +247,18 @@ def queries() -> dict[str, Query]:
         digits = 6 if name in SUMMED else None
         return lambda spark, sf_dir: comparable(query(configure(spark), sf_dir), digits)
 
-    return {name: registered(name, query) for name, query in _native_queries().items()}
+    found = {name: registered(name, query) for name, query in _native_queries().items()}
+    if corpus_queries:
+        own = {**corpus_queries.QUERIES, "pipeline": corpus_pipeline.run}
+        found |= {name: lambda s, d, query=query: query(configure(s), d) for name, query in own.items()}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    own = dict(corpus_queries.ORACLE) if corpus_queries else {}
+    if corpus_queries and corpus_pipeline.ORACLE_SQL:
+        own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return dict(ORACLE) | own
 
 
 def entry(spark: SparkSession) -> DataFrame:
