@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import language, line_dedup, packing, sharding
+from clickloom.llm import language, line_dedup, near_dups, packing, sharding
 from clickloom.llm.common import crc_of_id, documents
 
 
@@ -26,6 +26,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(documents(spark, sf_dir))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir)).select(
         "doc_id",
@@ -42,6 +46,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
     "op7_language_id": op7_language_id,
+    "op8_lsh_forest": op8_lsh_forest,
     "op10_sharding": op10_sharding,
 }
 
