@@ -47,30 +47,28 @@ def _partial_filters(segments: int, least: int):
             bloom.insert(once, at)
             bloom.insert(twice, at[:, again])
         if some:
-            size = bloom.SEGMENT_BYTES
-            for s in range(segments):
-                part = slice(s * size, (s + 1) * size)
-                if once[part].any():
-                    packed = [zlib.compress(x[part].tobytes(), 1) for x in (once, twice)]
-                    yield pa.RecordBatch.from_pydict(
-                        {"segment": pa.array([s], pa.int32()), "once": [packed[0]], "twice": [packed[1]]}
-                    )
+            again = dict(bloom.packed_segments(twice, segments))
+            nothing = zlib.compress(bytes(bloom.SEGMENT_BYTES), 1)
+            for s, packed in bloom.packed_segments(once, segments):
+                yield pa.RecordBatch.from_pydict(
+                    {"segment": pa.array([s], pa.int32()), "once": [packed], "twice": [again.get(s, nothing)]}
+                )
 
     return run
 
 
 def _merged(state: list[bytes] | None, payload: list[bytes]) -> list[bytes]:
     """A hash was seen twice if either side saw it twice, or both saw it once."""
-    once, twice = (np.frombuffer(zlib.decompress(x), np.uint8) for x in payload)
+    once, twice = map(bloom.unpacked, payload)
     if state is not None:
-        before, again = (np.frombuffer(zlib.decompress(x), np.uint8) for x in state)
+        before, again = map(bloom.unpacked, state)
         once, twice = before | once, again | twice | (before & once)
     return [zlib.compress(once.tobytes(), 1), zlib.compress(twice.tobytes(), 1)]
 
 
 def _suspects(twice, segments: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(zlib.decompress(twice.value), np.uint8)
+        bits = bloom.unpacked(twice.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
@@ -107,11 +105,7 @@ def repeated_lines(docs: DataFrame, least: int = MIN_KEY_CHARS) -> DataFrame:
     segments = bloom.segments_for(lines)
     partial = texts.mapInArrow(_partial_filters(segments, least), "segment int, once binary, twice binary")
     merged = fold_payloads(partial, _merged).select("segment", "twice").toLocalIterator()
-    twice = bloom.empty(segments)
-    for segment, packed in merged:
-        at = segment * bloom.SEGMENT_BYTES
-        twice[at : at + bloom.SEGMENT_BYTES] = np.frombuffer(zlib.decompress(packed), np.uint8)
-    shared = spark.sparkContext.broadcast(zlib.compress(twice.tobytes(), 1))
+    shared = spark.sparkContext.broadcast(bloom.gathered(segments, merged))
     id_type = texts.schema["doc_id"].dataType.simpleString()
     suspects = materialize(
         texts.mapInArrow(_suspects(shared, segments, least), f"key string, doc_id {id_type}"), "suspect-lines"
