@@ -110,11 +110,13 @@ def repeated_lines(docs: DataFrame, least: int = MIN_KEY_CHARS) -> DataFrame:
     suspects = materialize(
         texts.mapInArrow(_suspects(shared, segments, least), f"key string, doc_id {id_type}"), "suspect-lines"
     )
-    firsts = (
+    # Written, so that the join shuffles both sides afresh and a frequent line's partition can be split.
+    firsts = materialize(
         suspects.groupBy("key")
         .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
         .where("first_doc < last_doc")
-        .select("key", "first_doc")
+        .select("key", "first_doc"),
+        "line-firsts",
     )
     return suspects.join(firsts, "key").where("doc_id > first_doc").select("key", "doc_id")
 
