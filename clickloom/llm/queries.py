@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import decontaminate, language, line_dedup, near_dups, packing, sharding
+from clickloom.llm import decontaminate, language, line_dedup, near_dups, packing, quality, sharding
 from clickloom.llm.common import crc_of_id, documents
 
 
@@ -21,6 +21,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     held_out = F.coalesce(crc_of_id(5) == 0, F.lit(False))
@@ -50,6 +57,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op7_language_id": op7_language_id,
     "op8_lsh_forest": op8_lsh_forest,
     "op10_sharding": op10_sharding,
@@ -76,4 +84,60 @@ ORACLE: dict[str, str] = {
             sha256(coalesce(string_agg(line, chr(10) order by n) filter (where not lost), '')) as kept_sha256
         from judged group by doc_id
     """,
+    "op5_quality_rules": r"""
+        with words as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+        ), spans as (
+            select doc_id, i, w[i] || chr(32) || w[i + 1] || chr(32) || w[i + 2] as span
+            from words, unnest(range(1, len(w) - 1)) as r(i)
+        ), again as (
+            select doc_id, i from spans qualify count(*) over (partition by doc_id, span) > 1
+        ), covered as (
+            select doc_id, count(distinct i + k) as n_repeat_words
+            from again, unnest([0, 1, 2]) as o(k) group by doc_id
+        ), rows_of as (
+            select doc_id, list_filter(string_split(coalesce(text, ''), chr(10)),
+                lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as l
+            from documents
+        ), counted as (
+            select d.doc_id, coalesce(d.lang, '') as stratum, len(w) as n_words,
+                cast(length(regexp_replace(coalesce(d.text, ''), '[\x20\x09-\x0D]+', '', 'g')) as bigint) as word_chars,
+                cast(length(regexp_replace(coalesce(d.text, ''), '[^#*$%&|<>]+', '', 'g')) as bigint) as n_symbols,
+                cast(length(regexp_replace(coalesce(d.text, ''), '[^A-Z]+', '', 'g')) as bigint) as n_capitals,
+                len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup_lines,
+                coalesce(n_repeat_words, 0) as n_repeat_words
+            from documents d join words using (doc_id) join rows_of using (doc_id) left join covered using (doc_id)
+        ), judged as (
+            select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, map {
+                'symbol_share': if(word_chars > 0, n_symbols / word_chars, 0),
+                'dup_line_share': if(n_lines > 0, n_dup_lines / n_lines, 0),
+                'repeat_share': if(n_words > 0, n_repeat_words / n_words, 0),
+                'capital_share': if(word_chars > 0, n_capitals / word_chars, 0),
+                'mean_word_chars': if(n_words > 0, word_chars / n_words, 0)} as signals
+            from counted
+        ), candidates as (
+            select signal, unnest([0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5])::double as cutoff
+            from unnest(['symbol_share', 'dup_line_share', 'repeat_share', 'capital_share']) as s(signal)
+            union all
+            select 'mean_word_chars', unnest([8, 9, 10, 12, 15, 20, 30, 50, 100])::double
+        ), holdout as (
+            select stratum, signals from judged
+            where not base_failed and doc_id in (select doc_id from labels group by doc_id having min(quality) = 1)
+        ), tests as (
+            select stratum, signal, cutoff, count(*) as n, count(*) filter (where signals[signal] >= cutoff) as k
+            from holdout, candidates group by all
+        ), certified as (
+            select stratum, signal, min(cutoff) as cutoff from tests
+            where k < n * 0.01 and (
+                select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))
+                from unnest(range(k + 1)) as r(i)
+            ) <= 0.05 / (45 * (select count(distinct stratum) from judged))
+            group by stratum, signal
+        )
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            not base_failed and not exists (
+                select 1 from certified c where c.stratum = j.stratum and j.signals[c.signal] >= c.cutoff
+            ) as kept
+        from judged j
+    """,
 }
