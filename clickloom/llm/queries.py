@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import decontaminate, language, line_dedup, near_dups, packing, quality, sharding
+from clickloom.llm import decontaminate, language, licenses, line_dedup, near_dups, packing, quality, sharding
 from clickloom.llm.common import crc_of_id, documents
 
 
@@ -28,6 +28,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(documents(spark, sf_dir))
+    return found.withColumn("n_blocks", F.size("blocks").cast("long")).drop("blocks")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     held_out = F.coalesce(crc_of_id(5) == 0, F.lit(False))
@@ -58,6 +63,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
     "op8_lsh_forest": op8_lsh_forest,
     "op10_sharding": op10_sharding,
@@ -140,4 +146,42 @@ ORACLE: dict[str, str] = {
             ) as kept
         from judged j
     """,
+    "op6_license_scan": r"""
+        with words as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from documents
+        ), phrases(label, p) as (values
+            ('gpl', ['gnu', 'general', 'public', 'license']), ('apache', ['apache', 'license']),
+            ('cc-by', ['cc', 'by']), ('mit', ['mit', 'license'])
+        ), starts as (
+            select doc_id, label, i
+            from words, unnest(range(len(w))) as r(i), phrases where w[i + 1 : i + len(p)] = p
+        ), base as (
+            select doc_id, count(*) as n_base, min(i) as first_word, max(i) as last_word,
+                string_agg(distinct label, ',' order by label) as base_labels
+            from starts group by doc_id
+        ), templates(label, t) as (
+            select label, list_distinct(string_split(line, ' ')) from (values
+                ('apache-2.0', 'licensed under the apache license version 2 0'),
+                ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided'),
+                ('cc-by-nc-4.0', 'licensed under cc by nc 4 0'),
+                ('gpl-3.0', 'this work is licensed under the gnu general public license version 3'),
+                ('mit-grant', 'permission is hereby granted free of charge to any person obtaining a copy of this software'),
+                ('mit-release', 'released under the mit license')) as v(label, line)
+        ), blocks as (
+            select doc_id, label, len(list_intersect(list_distinct(w[b + 1 : b + 64]), t)) / len(t) as share
+            from words, unnest(range(0, len(w), 32)) as r(b), templates
+        ), held as (select * from blocks where share >= 0.85),
+        scored as (select doc_id, count(*) as n_blocks, max(share) as score from held group by doc_id),
+        named as (
+            select doc_id, string_agg(distinct label, ',' order by label) as labels
+            from (select doc_id, label from held union all select doc_id, label from starts) group by doc_id
+        )
+        select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+            coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+            if(n_base > 0, 1.0::double, coalesce(score, 0)) as score, coalesce(n_blocks, 0) as n_blocks
+        from words left join base using (doc_id) left join scored using (doc_id) left join named using (doc_id)
+    """,
 }

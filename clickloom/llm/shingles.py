@@ -10,7 +10,7 @@ from clickloom.llm.common import mixed
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 MEMO_WORDS = 200_000
 # A-Z to lower case, every other ASCII character that is no letter or digit to a blank.
-_PLAIN = bytes(ord(chr(b).lower()) if b > 127 or chr(b).isalnum() else 32 for b in range(128)) + bytes(range(128, 256))
+PLAIN = bytes(ord(chr(b).lower()) if b > 127 or chr(b).isalnum() else 32 for b in range(128)) + bytes(range(128, 256))
 
 
 class WordHashes(dict):
@@ -24,7 +24,7 @@ class WordHashes(dict):
 
     def plain(self, text: str) -> np.ndarray:
         """Words without ASCII punctuation."""
-        words = text.encode("utf-8", "replace").translate(_PLAIN).split()
+        words = text.encode("utf-8", "replace").translate(PLAIN).split()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
     def of(self, text: str) -> np.ndarray:
