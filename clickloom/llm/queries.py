@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import decontaminate, language, licenses, line_dedup, near_dups, packing, quality, sharding
+from clickloom.llm import decontaminate, language, licenses, line_dedup, lm_score, near_dups, packing, quality, sharding
 from clickloom.llm.common import crc_of_id, documents
 
 
@@ -21,6 +21,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = (crc_of_id(7) == 2).alias("held_out")
+    return lm_score.score(documents(spark, sf_dir).select("doc_id", "text", held_out))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judged.select(
@@ -62,6 +67,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
+    "op4_context_tree": op4_context_tree,
     "op5_quality_rules": op5_quality_rules,
     "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
