@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import decontaminate, language, licenses, line_dedup, lm_score, near_dups, packing, quality, sharding
+from clickloom.llm import decontaminate, language, licenses, line_dedup, lm_score, near_dups, packing, quality, sharding, token_ids
 from clickloom.llm.common import crc_of_id, documents
 
 
@@ -51,6 +51,13 @@ def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir))
 
 
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    written = token_ids.write_ids(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_ids.with_starts(token_ids.read_ids(written))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir)).select(
         "doc_id",
@@ -72,6 +79,7 @@ QUERIES = {
     "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
     "op8_lsh_forest": op8_lsh_forest,
+    "op9_token_ids": op9_token_ids,
     "op10_sharding": op10_sharding,
 }
 
