@@ -11,12 +11,13 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from clickloom import bindings, configure
+from clickloom import configure
 from clickloom.functions import parse_export_time
 from clickloom.operators import flatten as flat
 from clickloom.operators.upsert import upsert
 from clickloom.plans import anonymize, enrich, explore, profile, star, video
 from clickloom.session import materialize
+from oracle import bindings
 from oracle.queries import ORACLE
 from oracle.views import DAYS, PEPPER
 
@@ -62,17 +63,17 @@ def _log(spark: SparkSession, sf_dir: str, days: int = DAYS, name: str | None =
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.enrich(bindings.clicks(spark, sf_dir), bindings.hr(spark, sf_dir))
+    return enrich.enrich(bindings.click_events(spark, sf_dir), bindings.hr(spark, sf_dir))
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with person and session columns only: enough for reports that read no gaps."""
-    clicks = bindings.clicks(spark, sf_dir)
-    return enrich.with_organisation(enrich.with_session_columns(clicks), bindings.hr(spark, sf_dir))
+    source_rows = bindings.click_events(spark, sf_dir)
+    return enrich.with_organisation(enrich.with_session_columns(source_rows), bindings.hr(spark, sf_dir))
 
 
 def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.with_session_columns(bindings.clicks(spark, sf_dir))
+    return enrich.with_session_columns(bindings.click_events(spark, sf_dir))
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +86,7 @@ def _engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = materialize(_events(spark, sf_dir), "events")
-    return star.fact_clicks(events, star.dimensions(events), PEPPER)
+    return star.fact_event(events, star.dimensions(events), PEPPER)
 
 
 def _session_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +121,7 @@ def _video_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _upsert_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything is delivered once; everything since June again, and since October a third time."""
-    first = bindings.clicks(spark, sf_dir).select(
+    first = bindings.click_events(spark, sf_dir).select(
         "timestamp",
         "user_id",
         F.expr("case when event_id % 31 > 0 then session_id end").alias("session_id"),
@@ -158,7 +159,7 @@ def _date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number, spelling in spelled.items():
         text = F.when(form == number, spelling).otherwise(text)
     return (
-        bindings.clicks(spark, sf_dir)
+        bindings.click_events(spark, sf_dir)
         .select("event_id", text.alias("spelled"))
         .withColumn("parsed", parse_export_time(F.col("spelled")))
     )
@@ -198,7 +199,7 @@ def _native_queries() -> dict[str, Query]:
             _events(s, d).select("event_id", "CP_GPN", "CP_Email", "gpn", "email", "hr_division"), PEPPER
         ),
         "date_formats": _date_formats,
-        "precision_check": lambda s, d: profile.precision_check(bindings.clicks(s, d)),
+        "precision_check": lambda s, d: profile.precision_check(bindings.click_events(s, d)),
         "local_time_sample": lambda s, d: enrich.local_time_sample(_sessions(s, d)),
         "upsert_overlap": _upsert_overlap,
         # video engagement
@@ -220,7 +221,7 @@ def _native_queries() -> dict[str, Query]:
         "dim_page": lambda s, d: star.dim_page(_sessions(s, d)),
         "dim_link_type": lambda s, d: star.dim_link_type(_sessions(s, d)),
         "dim_component": lambda s, d: star.dim_component(_sessions(s, d)),
-        "fact_clicks": _fact,
+        "fact_event": _fact,
         # profile reports
         "data_overview": lambda s, d: profile.data_overview(_sessions(s, d)),
         "hr_profile": lambda s, d: profile.hr_profile(bindings.hr(s, d)),

@@ -5,25 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from clickloom.functions import or_empty, peppered_sha256
+from clickloom.schema import quoted
 
 CLICK_EVENT = "click_event"
 DETAILS = "customDimensions"
 PREFIX = "CP_"
 LOG_COLUMNS = ("timestamp", "name", "client_CountryOrRegion", "user_Id", "session_Id")
 
-# Property keys known to occur, so that flattening needs no pass over the data.
-KNOWN_KEYS = (
-    "SiteID", "SiteName", "PageId", "PageName", "PageURL", "PageStatus", "ComponentName",
-    "ContentOwner", "ContentType", "Email", "GPN", "FileName_Label", "FileType_Label", "Link_Type",
-    "Link_address", "Link_ancestors", "Link_label", "NewsCategory", "PublishingDate",
-    "Video_Action", "Video_Id", "Video_Type", "Video_Duration", "Topic", "Theme",
-    "TargetOrganisation", "TargetRegion", "refUri",
-)
-
-
 def recent(log: DataFrame, as_of: datetime, days: int, name: str | None = CLICK_EVENT) -> DataFrame:
     """Log rows of the ``days`` before ``as_of``, of one event name; both filters reach the scan."""
     since = F.lit(as_of) - F.expr(f"INTERVAL '{int(days)}' DAY")
@@ -49,7 +40,7 @@ def _nulls_as_blank(bag: Column) -> Column:
 
 def _record(text: Column, keys: Sequence[str]) -> Column:
     """The wanted properties of a document as a struct of texts, in one parse."""
-    schema = ", ".join(f"`{key}` string" for key in dict.fromkeys(keys))
+    schema = T.StructType([T.StructField(key, T.StringType()) for key in dict.fromkeys(keys)])
     # An array document would be read as its first element.
     return F.when(~F.ltrim(text).startswith("["), F.from_json(text, schema))
 
@@ -63,13 +54,15 @@ def with_properties(log: DataFrame, wanted: Mapping[str, str], keep: Sequence[st
     )
 
 
-def flatten(log: DataFrame, keys: Sequence[str] = KNOWN_KEYS, prefix: str = PREFIX) -> DataFrame:
+def flatten(log: DataFrame, keys: Sequence[str] | None = None, prefix: str = PREFIX) -> DataFrame:
     """One column per property key, one row per event; absent keys are NULL, JSON nulls are ''.
 
+    Without ``keys`` every key that the log holds becomes a column, which takes a pass over it to find them.
     Documents are parsed straight into a struct, whose fields cost nothing to read, unlike repeated map
     lookups. A struct cannot tell a JSON null from an absent key, so documents that may hold one are
     rewritten first.
     """
+    keys = discovered_keys(log) if keys is None else keys
     read = log.select(*LOG_COLUMNS, properties_text().alias("__text"))
     objects = read.withColumn("__text", F.when(F.col("__text").startswith("{"), F.col("__text")))
     text = F.col("__text")
@@ -103,13 +96,13 @@ def key_inventory(log: DataFrame, approx_error: float | None = None) -> DataFram
     )
 
 
-def discovered_keys(log: DataFrame, max_keys: int = 2000) -> list[str]:
-    """Property keys in the data, for tables whose keys are not declared. Runs a job."""
+def discovered_keys(log: DataFrame) -> list[str]:
+    """All property keys in the data, sorted. Runs a job; one short text per key and task is shuffled.
+
+    Every key is going to be a column of a table, so their list fits the driver.
+    """
     found = log.select(F.explode(F.map_keys(property_bag())).alias("key")).distinct()
-    names = [row.key for row in found.limit(max_keys + 1).collect()]
-    if len(names) > max_keys:
-        raise ValueError(f"more than {max_keys} property keys: declare the ones to keep")
-    return sorted(names)
+    return sorted(row.key for row in found.collect())
 
 
 def export_view(flat: DataFrame, newest_first: bool = False) -> DataFrame:
@@ -124,11 +117,13 @@ def export_view(flat: DataFrame, newest_first: bool = False) -> DataFrame:
 
 
 def pseudonymous_flat(
-    log: DataFrame, pepper: str, keys: Sequence[str] = KNOWN_KEYS, prefix: str = PREFIX
+    log: DataFrame, pepper: str, keys: Sequence[str] | None = None, prefix: str = PREFIX
 ) -> DataFrame:
-    """Flat rows with the person number hashed (unkeyed, peppered form) and no e-mail address."""
-    flat = flatten(log, [k for k in keys if k != "Email"], prefix)
-    return flat.withColumn(prefix + "GPN", peppered_sha256(F.col(prefix + "GPN"), pepper))
+    """Flat rows with the person number hashed (unkeyed, peppered form) and no e-mail address, in any spelling."""
+    keys = discovered_keys(log) if keys is None else keys
+    flat = flatten(log, [k for k in keys if k.lower() != "email"], prefix)
+    people = [prefix + k for k in keys if k.lower() == "gpn"]
+    return flat.withColumns({c: peppered_sha256(quoted(c), pepper) for c in people})
 
 
 def with_email_containing(log: DataFrame, needle: str) -> DataFrame:

@@ -22,16 +22,15 @@ SEQ, SLICE, RANK = "__seq", "__slice", "__rank"
 
 @dataclass(frozen=True)
 class HotGroups:
-    """When to split a group: above ``min_rows`` rows, at most ``max_groups`` of them.
+    """When to split a group: above ``min_rows`` rows. ``slice_rows`` is the size of the parts aimed at.
 
-    The largest groups are taken first, so a group left to the plain window has either no more than
-    ``min_rows`` rows or less than one ``max_groups``-th of all rows. ``slices`` fixes the number of range
-    partitions; by default it is ``spark.sql.shuffle.partitions``.
+    ``buckets`` is the number of hash buckets that are counted first; only groups in a bucket above
+    ``min_rows`` are counted one by one.
     """
 
     min_rows: int = 2_000_000
-    max_groups: int = 10_000
-    slices: int | None = None
+    slice_rows: int = 1_000_000
+    buckets: int = 65_536
 
 
 @dataclass(frozen=True)
@@ -52,11 +51,22 @@ class Ordered:
     running_sum: dict[str, str] = field(default_factory=dict)
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], policy: HotGroups) -> DataFrame:
-    """Keys of the groups to split: a top-k over map-side combined counts, so its size is bounded."""
-    sizes = df.groupBy(*[quoted(k) for k in keys]).agg(F.count("*").alias("__rows"))
-    largest = sizes.where(F.col("__rows") > policy.min_rows).orderBy(F.desc("__rows"), *keys)
-    return largest.limit(policy.max_groups).select(*keys)
+def hot_groups(df: DataFrame, keys: Sequence[str], policy: HotGroups) -> DataFrame | None:
+    """Keys and sizes (``__rows``) of the groups to split; None if there is none.
+
+    Rows are first counted per hash bucket of their key, a few numbers per task. A group above the limit
+    makes its bucket large, so usually nothing is left to count; otherwise only groups in large buckets are.
+    The groups found are at most rows / min_rows and stay in a table.
+    """
+    bucket = F.pmod(F.xxhash64(*[quoted(k) for k in keys]), F.lit(policy.buckets))
+    counts = df.groupBy(bucket.alias("__bucket")).agg(F.count("*").alias("__rows"))
+    large = [r["__bucket"] for r in counts.where(F.col("__rows") > policy.min_rows).collect()]
+    if not large:
+        return None
+    rows = df.where(F.array_contains(F.lit(large), bucket))
+    sizes = rows.groupBy(*[quoted(k) for k in keys]).agg(F.count("*").alias("__rows"))
+    found = materialize(sizes.where(F.col("__rows") > policy.min_rows), "hot-groups")
+    return None if found.isEmpty() else found
 
 
 def add_ordered(
@@ -67,18 +77,17 @@ def add_ordered(
     policy: HotGroups | None = HotGroups(),
 ) -> DataFrame:
     """``df`` with the ``wanted`` columns; NULLs order last. ``policy=None`` skips the size check."""
-    if policy is None:
+    found = None if policy is None else hot_groups(df, keys, policy)
+    if found is None:
         return _in_one_task(df, keys, order, wanted)
-    found = hot_groups(df, keys, policy)
-    hot_keys = found.collect()  # at most max_groups key rows
-    if not hot_keys:
-        return _in_one_task(df, keys, order, wanted)
-    hot = df.sparkSession.createDataFrame(hot_keys, found.schema).toDF(*[f"__hot_{k}" for k in keys])
+    slices = 1 + found.agg(F.sum("__rows")).first()[0] // policy.slice_rows
+    hot = found.select(*[quoted(k).alias(f"__hot_{k}") for k in keys])
+    # The optimizer broadcasts the keys if their table is small, and otherwise joins by them.
     same_key = _all_equal((F.col(f"__hot_{k}"), df[quoted_name(k)]) for k in keys)
-    cold_rows = df.join(F.broadcast(hot), same_key, "left_anti")
-    hot_rows = df.join(F.broadcast(hot), same_key, "left_semi")
+    cold_rows = df.join(hot, same_key, "left_anti")
+    hot_rows = df.join(hot, same_key, "left_semi")
     plain = _in_one_task(cold_rows, keys, order, wanted)
-    return plain.unionByName(_in_slices(hot_rows, keys, order, wanted, policy))
+    return plain.unionByName(_in_slices(hot_rows, keys, order, wanted, slices))
 
 
 def quoted_name(name: str) -> str:
@@ -117,17 +126,13 @@ def _in_one_task(df: DataFrame, keys, order, wanted: Ordered) -> DataFrame:
     )
 
 
-def _in_slices(df: DataFrame, keys, order, wanted: Ordered, policy: HotGroups) -> DataFrame:
+def _in_slices(df: DataFrame, keys, order, wanted: Ordered, slices: int) -> DataFrame:
     # The sequence number makes every row distinct, so even copies of one row can be spread. It is
     # written before it decides where rows go: recomputing a lost task then reads the same numbers.
     numbered = materialize(df.withColumn(SEQ, F.monotonically_increasing_id()), "hot-rows")
     full_order = [*order, SEQ]
     by_range = [*[quoted(k) for k in keys], *_nulls_last(full_order)]
-    spread = (
-        numbered.repartitionByRange(policy.slices, *by_range)
-        if policy.slices
-        else numbered.repartitionByRange(*by_range)
-    )
+    spread = numbered.repartitionByRange(slices, *by_range)
     layout = materialize(spread.withColumn(SLICE, F.spark_partition_id()), "hot-slices")
 
     slice_keys = [SLICE, *keys]
@@ -220,4 +225,4 @@ def _running_sums(out, slice_keys, keys, up_to, history, earlier, wanted: Ordere
 
 def _join_slices(local: DataFrame, carried: DataFrame, slice_keys: Sequence[str]) -> DataFrame:
     same = _all_equal((local[quoted_name(k)], carried[quoted_name(f"__c_{k}")]) for k in slice_keys)
-    return local.join(F.broadcast(carried), same, "left")
+    return local.join(carried, same, "left")

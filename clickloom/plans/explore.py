@@ -24,9 +24,9 @@ def _distinct(column: str, approx: bool) -> Column:
     return F.approx_count_distinct(column, APPROX_ERROR) if approx else F.count_distinct(column)
 
 
-def distinct_people(clicks: DataFrame, pepper: str) -> DataFrame:
+def distinct_people(log: DataFrame, pepper: str) -> DataFrame:
     """Users against person numbers against hashed person numbers."""
-    people = with_properties(clicks, {"gpn": "GPN"}, ["user_Id"]).select(
+    people = with_properties(log, {"gpn": "GPN"}, ["user_Id"]).select(
         F.coalesce("user_Id", F.lit("")).alias("user"),
         "gpn",
         peppered_sha256(F.col("gpn"), pepper).alias("person_hash"),
@@ -46,9 +46,9 @@ def distinct_people(clicks: DataFrame, pepper: str) -> DataFrame:
     )
 
 
-def volume_overview(clicks: DataFrame, pepper: str, approx: bool = False) -> DataFrame:
+def volume_overview(log: DataFrame, pepper: str, approx: bool = False) -> DataFrame:
     columns = ["user_Id", "session_Id", "client_CountryOrRegion", "timestamp"]
-    people = with_properties(clicks, {"gpn": "GPN"}, columns).withColumn(
+    people = with_properties(log, {"gpn": "GPN"}, columns).withColumn(
         "person_hash", peppered_sha256(F.col("gpn"), pepper)
     )
     counts = people.agg(
@@ -77,23 +77,23 @@ def event_names(log: DataFrame) -> DataFrame:
     return top(log.groupBy("name").agg(F.count("*").alias("event_count")), "event_count", ["name"])
 
 
-def property_keys(clicks: DataFrame, approx: bool = False) -> DataFrame:
-    inventory = key_inventory(clicks, APPROX_ERROR if approx else None)
+def property_keys(log: DataFrame, approx: bool = False) -> DataFrame:
+    inventory = key_inventory(log, APPROX_ERROR if approx else None)
     return top(inventory, "key_count", ["key"])
 
 
-def link_types(clicks: DataFrame, approx: bool = False) -> DataFrame:
-    rows = with_properties(clicks, {"link_type": "Link_Type"}, ["user_Id", "session_Id"])
+def link_types(log: DataFrame, approx: bool = False) -> DataFrame:
+    rows = with_properties(log, {"link_type": "Link_Type"}, ["user_Id", "session_Id"])
     counts = rows.groupBy("link_type").agg(
         F.count("*").alias("event_count"),
         _distinct("user_Id", approx).alias("unique_users"),
         _distinct("session_Id", approx).alias("unique_sessions"),
     )
-    return top(with_share(counts, "event_count", "pct", 2, clicks), "event_count", ["link_type"])
+    return top(with_share(counts, "event_count", "pct", 2, log), "event_count", ["link_type"])
 
 
-def link_type_samples(clicks: DataFrame, samples: int = 5) -> DataFrame:
-    rows = with_properties(clicks, {"link_type": "Link_Type", "label": "Link_label"})
+def link_type_samples(log: DataFrame, samples: int = 5) -> DataFrame:
+    rows = with_properties(log, {"link_type": "Link_Type", "label": "Link_label"})
     # Counts per (type, label) feed both the totals and the samples.
     per_label = rows.groupBy("link_type", "label").agg(F.count("*").alias("n"))
     totals = per_label.groupBy("link_type").agg(F.sum("n").alias("event_count"))
@@ -101,22 +101,22 @@ def link_type_samples(clicks: DataFrame, samples: int = 5) -> DataFrame:
     return top(totals.join(labels, "link_type", "left"), "event_count", ["link_type"])
 
 
-def link_type_by_component(clicks: DataFrame, k: int = 50) -> DataFrame:
-    rows = with_properties(clicks, {"link_type": "Link_Type", "component": "ComponentName"})
+def link_type_by_component(log: DataFrame, k: int = 50) -> DataFrame:
+    rows = with_properties(log, {"link_type": "Link_Type", "component": "ComponentName"})
     counts = rows.groupBy("link_type", "component").agg(F.count("*").alias("event_count"))
     return top(counts, "event_count", ["link_type", "component"], k)
 
 
-def top_pages(clicks: DataFrame, k: int = 50, approx: bool = False) -> DataFrame:
-    rows = with_properties(clicks, {"page_url": "PageURL"}, ["user_Id"])
+def top_pages(log: DataFrame, k: int = 50, approx: bool = False) -> DataFrame:
+    rows = with_properties(log, {"page_url": "PageURL"}, ["user_Id"])
     counts = rows.groupBy("page_url").agg(
         F.count("*").alias("event_count"), _distinct("user_Id", approx).alias("unique_users")
     )
     return top(counts, "event_count", ["page_url"], k)
 
 
-def sites(clicks: DataFrame, approx: bool = False) -> DataFrame:
-    rows = with_properties(clicks, {"site_name": "SiteName", "page_url": "PageURL"}, ["user_Id"])
+def sites(log: DataFrame, approx: bool = False) -> DataFrame:
+    rows = with_properties(log, {"site_name": "SiteName", "page_url": "PageURL"}, ["user_Id"])
     counts = rows.groupBy("site_name").agg(
         F.count("*").alias("event_count"),
         _distinct("user_Id", approx).alias("unique_users"),
@@ -125,23 +125,23 @@ def sites(clicks: DataFrame, approx: bool = False) -> DataFrame:
     return top(counts, "event_count", ["site_name"])
 
 
-def content_by_link_type(clicks: DataFrame, k: int = 50) -> DataFrame:
-    rows = with_properties(clicks, {"content_type": "ContentType", "link_type": "Link_Type"})
+def content_by_link_type(log: DataFrame, k: int = 50) -> DataFrame:
+    rows = with_properties(log, {"content_type": "ContentType", "link_type": "Link_Type"})
     counts = rows.groupBy("content_type", "link_type").agg(F.count("*").alias("event_count"))
     return top(counts, "event_count", ["content_type", "link_type"], k)
 
 
-def link_domains(clicks: DataFrame, k: int = 30, approx: bool = False) -> DataFrame:
-    rows = with_properties(clicks, {"address": "Link_address"})
+def link_domains(log: DataFrame, k: int = 30, approx: bool = False) -> DataFrame:
+    rows = with_properties(log, {"address": "Link_address"})
     counts = rows.groupBy(link_host(F.col("address")).alias("domain")).agg(
         F.count("*").alias("event_count"), _distinct("address", approx).alias("unique_links")
     )
     return top(counts, "event_count", ["domain"], k)
 
 
-def file_types(clicks: DataFrame, samples: int = 3, approx: bool = False) -> DataFrame:
+def file_types(log: DataFrame, samples: int = 3, approx: bool = False) -> DataFrame:
     wanted = {"file_type": "FileType_Label", "file_name": "FileName_Label"}
-    rows = with_properties(clicks, wanted, ["user_Id"]).where(F.col("file_type") != "")
+    rows = with_properties(log, wanted, ["user_Id"]).where(F.col("file_type") != "")
     counts = rows.groupBy("file_type").agg(
         F.count("*").alias("event_count"), _distinct("user_Id", approx).alias("unique_users")
     )
@@ -149,9 +149,9 @@ def file_types(clicks: DataFrame, samples: int = 3, approx: bool = False) -> Dat
     return top(counts.join(names, "file_type", "left"), "event_count", ["file_type"])
 
 
-def daily_trend(clicks: DataFrame) -> DataFrame:
+def daily_trend(log: DataFrame) -> DataFrame:
     day = F.date_trunc("DAY", F.col("timestamp"))
-    return clicks.groupBy(day.alias("day")).agg(F.count("*").alias("daily_clicks")).orderBy("day")
+    return log.groupBy(day.alias("day")).agg(F.count("*").alias("daily_events")).orderBy("day")
 
 
 # Profiled field -> (property key, size of the value sample or 0, wants distinct count).
@@ -176,7 +176,7 @@ FILL_RATES = {
 ACTED_VIDEO = "acted_video"
 
 
-def field_profile(clicks: DataFrame) -> DataFrame:
+def field_profile(log: DataFrame) -> DataFrame:
     """Value samples, cardinality and fill counts of several fields, in one row.
 
     The fields are unpivoted and counted per (field, value), which is combined on the map side; samples,
@@ -186,7 +186,7 @@ def field_profile(clicks: DataFrame) -> DataFrame:
     keys = {alias: key for alias, (key, _, _) in PROFILED.items()} | {ACTED_VIDEO: "Video_Id"}
     # A field that is only counted as filled or not needs no values, which may be many (addresses).
     counted_only = [f for f, (_, size, distinct) in PROFILED.items() if not size and not distinct]
-    rows = with_properties(clicks, keys).withColumns(
+    rows = with_properties(log, keys).withColumns(
         {ACTED_VIDEO: F.when(F.col("video_action") != "", F.col(ACTED_VIDEO))}
         | {f: F.when(F.col(f) != "", "filled").otherwise("") for f in counted_only}
     )
@@ -225,10 +225,10 @@ def field_profile(clicks: DataFrame) -> DataFrame:
     )
 
 
-def raw_sample(clicks: DataFrame, k: int = 10) -> DataFrame:
+def raw_sample(log: DataFrame, k: int = 10) -> DataFrame:
     """The first ``k`` events by time, with their property bag."""
     columns = ["timestamp", "name", "user_Id", "session_Id", "client_CountryOrRegion"]
-    first = clicks.select(*columns, DETAILS).orderBy(*columns, DETAILS).limit(k)
+    first = log.select(*columns, DETAILS).orderBy(*columns, DETAILS).limit(k)
     return first.select(*columns, property_bag().alias("properties"))
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Literal
 
 from pyspark.sql import SparkSession, functions as F
 
 from clickloom.operators.upsert import upsert
-from clickloom.session import materialize
 from clickloom.sources import files
 from clickloom.sources.store import MANIFEST, EventStore, Version, updated_manifest
 
@@ -20,6 +20,7 @@ class Ingested:
     version: Version
     files: dict[str, str]  # name -> reason
     row_counts: dict[str, int]
+    without_time: int  # rows whose time is missing or in no accepted spelling
 
 
 def ingest(
@@ -27,17 +28,21 @@ def ingest(
     store: EventStore,
     location: str,
     mode: Mode = "delta",
+    date_columns: Sequence[str] | None = None,
+    verify_all: bool = False,
 ) -> Ingested | None:
     """Load what is pending at ``location`` and commit a new version; None when nothing is.
 
     ``delta`` takes new and changed files of a folder, ``file`` one file whatever the manifest says, and
     ``full_refresh`` all files into an empty store. All files are merged in one pass, later files winning
     over earlier ones, and only the UTC days they touch are rewritten (the time is part of the key).
+    ``date_columns`` names the columns of times besides the event time; by default they are found.
+    ``verify_all`` hashes every file again, also those whose length and change time are as recorded.
     """
     refresh = mode == "full_refresh"
     known = store.processed_files()
     exports = files.pending(
-        spark, location, None if refresh else known, force=mode in ("full_refresh", "file")
+        spark, location, None if refresh else known, mode in ("full_refresh", "file"), verify_all
     )
     if not exports:
         if refresh or not files.list_exports(spark, location).take(1):
@@ -45,8 +50,14 @@ def ingest(
         return None
 
     target_version = store.next(refresh)
-    staged = materialize(files.read_exports(spark, exports), "staged")
-    counted = staged.groupBy(files.FILE).agg(F.count("*").alias("n")).collect()  # one row per file
+    version = store.current()
+    schema = None if refresh or version.number == 0 else store.schema(version)
+    staged = files.read_exports(spark, exports, schema, date_columns)
+    counted = (
+        staged.groupBy(files.FILE)
+        .agg(F.count("*").alias("n"), F.count_if(F.col(files.TIME).isNull()).alias("timeless"))
+        .collect()
+    )  # one row per file
     per_file = {r[files.FILE]: r.n for r in counted}
     row_counts = {e.filename: per_file.get(e.uri, 0) for e in exports}
 
@@ -59,9 +70,12 @@ def ingest(
     store.write_days(merged, target_version)
 
     processed = spark.createDataFrame(
-        [(e.filename, e.file_hash, row_counts[e.filename], None, e.date_suffix) for e in exports],
+        [
+            (e.filename, e.file_hash, row_counts[e.filename], None, e.date_suffix, e.length, e.modified)
+            for e in exports
+        ],
         MANIFEST,
     ).withColumn("processed_at", F.current_timestamp())
     before = known.limit(0) if refresh else known
     store.commit(target_version, merged.schema, updated_manifest(before, processed))
-    return Ingested(target_version, {e.filename: e.reason for e in exports}, row_counts)
+    return Ingested(target_version, {e.filename: e.reason for e in exports}, row_counts, sum(r.timeless for r in counted))

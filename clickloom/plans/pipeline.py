@@ -101,7 +101,7 @@ def publish(
     written = star.Star(
         **{f.name: put(f"cdm/{f.name}", getattr(dims, f.name)) for f in fields(dims)}
     )
-    put("cdm/fact_clicks", star.fact_clicks(stored, written, pepper))
+    put("cdm/fact_event", star.fact_event(stored, written, pepper))
     return paths, reports
 
 

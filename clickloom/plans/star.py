@@ -123,7 +123,7 @@ def dimensions(events: DataFrame) -> Star:
     )
 
 
-def fact_clicks(events: DataFrame, star: Star, pepper: str) -> DataFrame:
+def fact_event(events: DataFrame, star: Star, pepper: str) -> DataFrame:
     """One row per event with the key of each dimension.
 
     The dimensions are tables of known size, so the optimizer broadcasts those below

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 from typing import Literal
 
@@ -13,25 +14,29 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from clickloom.functions import parse_export_time
 from clickloom.schema import EXPORT_RENAMES, quoted
+from clickloom.session import materialize
 
-# Files up to this size are hashed and read whole by one task; larger ones are split.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
-HEADER_BYTES = 64 * 1024
-DATE_COLUMNS = ("timestamp", "CP_PublishingDate")
+# Size of the pieces that a file's fingerprint is made of.
+BLOCK_BYTES = 64 * 1024 * 1024
 FILE, RANK = "__file", "__rank"
+TIME = "timestamp"
+DATE_LIKE = r"^\s*(\d{2}[./]\d{2}[./]\d{4}|\d{4}-\d{2}-\d{2})"
+# monotonically_increasing_id() keeps the row of a partition in its lower 33 bits.
+ROW_BITS = (1 << 33) - 1
 
 
 @dataclass(frozen=True)
 class Export:
     """A file to load. ``rank`` is its place in processing order, ``header`` its column names.
 
-    ``in_one_piece``: small, or with fields that span lines, hence not to be split.
+    ``in_one_piece``: with fields that span lines, hence not to be split.
     """
 
     path: str
     uri: str
     filename: str
     length: int
+    modified: datetime
     date_suffix: date | None
     file_hash: str
     header: tuple[str, ...]
@@ -63,42 +68,55 @@ def list_exports(spark: SparkSession, location: str | Sequence[str]) -> DataFram
     ).orderBy(F.col("date_suffix").asc_nulls_last(), "modified", "filename")
 
 
-def whole_file_hashes(spark: SparkSession, location) -> DataFrame:
-    """SHA-256 and first line of each file small enough for one task."""
-    head = F.substring("content", 1, HEADER_BYTES).cast("string")
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .load(location if isinstance(location, str) else list(location))
-        .where(F.col("length") <= WHOLE_FILE_BYTES)
-        .select(
-            "path",
-            F.sha2("content", 256).alias("file_hash"),
-            F.regexp_extract(head, r"\A[^\r\n]*", 0).alias("first_line"),
-        )
-    )
+@contextmanager
+def _fixed_blocks(spark: SparkSession) -> Iterator[None]:
+    """While this holds, plans cut every file at multiples of BLOCK_BYTES, whatever else they read."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    for name in names:
+        spark.conf.set(name, str(BLOCK_BYTES))
+    try:
+        yield
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
 
 
-def line_hashes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Content fingerprint of large files from sums of line hashes, so a file is read by many tasks.
+def fingerprints(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Per file: a fingerprint of its lines in their order, its first line, and lines with an open quote.
 
-    It does not see a mere reordering of lines, which would not change what the file loads to. The same
-    pass counts lines with an odd number of quotes: without any, no field spans lines.
+    Files of any size are read in splits of one size. A block's digest covers the number of its lines, the sum
+    of their hashes and the sum of hash times place, twice with different hashes; the file's covers the blocks
+    in order. All are plain aggregates. Without a line of oddly many quotes no field spans lines.
     """
-    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("uri"))
-
-    def total(seed: str) -> Column:
-        return F.sum(F.xxhash64(F.lit(seed), "value").cast("decimal(20,0)"))
-
+    lines = spark.read.text(list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)).cast("decimal(12,0)").alias("row"),
+    )
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    sums = lines.groupBy("uri").agg(
+    sums = {}
+    for seed in "ab":
+        h = F.pmod(F.xxhash64(F.lit(seed), "value"), F.lit(1 << 31)).cast("decimal(12,0)")
+        sums[f"{seed}_sum"] = F.sum(h)
+        sums[f"{seed}_placed"] = F.sum(h * F.col("row"))
+    blocks = lines.groupBy("uri", "block").agg(
         F.count("*").alias("n"),
-        total("a").alias("a"),
-        total("b").alias("b"),
+        F.min("row").alias("base"),
+        F.min_by("value", "row").alias("first_line"),
         F.count_if(quotes % 2 == 1).alias("open_quotes"),
+        *[total.alias(name) for name, total in sums.items()],
+    )
+    placed = [(F.col(f"{s}_placed") - F.col("base") * F.col(f"{s}_sum")).cast("string") for s in "ab"]
+    digest = F.sha2(F.concat_ws(",", "n", *[F.col(f"{s}_sum").cast("string") for s in "ab"], *placed), 256)
+    per_file = blocks.groupBy("uri").agg(
+        F.sort_array(F.collect_list(F.struct("block", digest.alias("digest")))).alias("digests"),
+        F.max(F.when(F.col("block") == 0, F.col("first_line"))).alias("first_line"),
+        F.sum("open_quotes").alias("open_quotes"),
     )
-    digest = F.sha2(F.concat_ws(",", "n", "a", "b"), 256)
-    return sums.select("uri", F.concat(F.lit("lines:"), digest).alias("file_hash"), "open_quotes")
+    whole = F.sha2(F.array_join(F.transform("digests", lambda d: d["digest"]), ","), 256)
+    return per_file.select("uri", whole.alias("lines_hash"), "first_line", "open_quotes")
 
 
 def parse_header(line: str) -> tuple[str, ...]:
@@ -112,38 +130,47 @@ def parse_header(line: str) -> tuple[str, ...]:
     return tuple(names)
 
 
-def _header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return parse_header(spark.read.text(path).first().value)
-
-
 def pending(
-    spark: SparkSession, location, manifest: DataFrame | None, force: bool = False
+    spark: SparkSession, location, manifest: DataFrame | None, force: bool = False, verify_all: bool = False
 ) -> list[Export]:
     """Files that are new or whose content changed, in processing order; all of them with ``force``.
 
-    Only the listing and one hash per file come to the driver, which holds the file listing anyway.
+    The listing is joined with the manifest; only files it does not know, or with another length or change
+    time, are opened and hashed (all of them with ``verify_all``), and only these come to the driver.
     """
-    listed = list_exports(spark, location).collect()
-    whole = {r.path: r for r in whole_file_hashes(spark, location).collect()}
-    large = [r.path for r in listed if r.path not in whole]
-    by_lines = {r.uri: r for r in line_hashes(spark, large).collect()} if large else {}
-    known = {}
-    if manifest is not None and not force:
-        known = {r.filename: r.file_hash for r in manifest.select("filename", "file_hash").collect()}
+    listed = list_exports(spark, location)
+    if manifest is None or force:
+        known = listed.withColumn("known_hash", F.lit(None).cast("string"))
+        suspects = known
+    else:
+        before = manifest.select(
+            F.col("filename").alias("__name"),
+            F.col("file_hash").alias("known_hash"),
+            F.col("length").alias("known_length"),
+            F.col("modified").alias("known_time"),
+        )
+        known = listed.join(before, listed["filename"] == before["__name"], "left")
+        same = (F.col("length") == F.col("known_length")) & (F.col("modified") == F.col("known_time"))
+        suspects = known if verify_all else known.where(~F.coalesce(same, F.lit(False)))
+    order = [F.col("date_suffix").asc_nulls_last(), "modified", "filename"]
+    found = suspects.orderBy(*order).collect()
+    if not found:
+        return []
+    with _fixed_blocks(spark):
+        prints = {r.uri: r for r in fingerprints(spark, [r.path for r in found]).collect()}
 
     out = []
-    for rank, row in enumerate(listed):
-        small = whole.get(row.path)
-        file_hash = small.file_hash if small else by_lines[row.uri].file_hash
-        if row.filename in known and known[row.filename] == file_hash:
+    for rank, row in enumerate(found):
+        seen = prints.get(row.uri)  # an empty file has no lines
+        file_hash = f"{row.length}:{seen.lines_hash if seen else ''}"
+        if row.known_hash == file_hash:
             continue
-        reason = "forced" if force else ("changed" if row.filename in known else "new")
-        header = parse_header(small.first_line) if small else _header_of(spark, row.path)
-        in_one_piece = bool(small) or by_lines[row.uri].open_quotes > 0
+        reason = "forced" if force else ("changed" if row.known_hash is not None else "new")
+        header = parse_header(seen.first_line) if seen and seen.first_line else ()
         out.append(
             Export(
-                row.path, row.uri, row.filename, row.length, row.date_suffix, file_hash, header,
-                reason, rank, in_one_piece,
+                row.path, row.uri, row.filename, row.length, row.modified, row.date_suffix, file_hash, header,
+                reason, rank, bool(seen and seen.open_quotes),
             )
         )
     return out
@@ -166,27 +193,52 @@ def _read_group(spark: SparkSession, paths: list[str], header: Sequence[str], sp
     )
 
 
+def time_columns(rows: DataFrame, known: T.StructType | None = None) -> list[str]:
+    """Text columns that hold times: the event time, and those whose values all are in an accepted spelling.
+
+    A column that ``known`` (the table to add to) has keeps its kind: a time stays one, a text stays text.
+    """
+    kinds = {f.name.lower(): f.dataType for f in known.fields} if known else {}
+    texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType) and f.name != FILE]
+    sure = [c for c in texts if c.lower() == TIME or isinstance(kinds.get(c.lower()), T.TimestampType)]
+    open_ = [c for c in texts if c not in sure and c.lower() not in kinds]
+    if not open_:
+        return sure
+
+    def odd(name: str) -> Column:
+        value = quoted(name)
+        # Parsing is tried only on values that begin like a date.
+        parsed = F.when(value.rlike(DATE_LIKE), parse_export_time(value))
+        return F.count_if(value.isNotNull() & parsed.isNull())
+
+    tally = rows.agg(*[F.struct(F.count(quoted(c)), odd(c)).alias(f"c{i}") for i, c in enumerate(open_)]).first()
+    return sure + [c for c, (filled, other) in zip(open_, tally) if filled and not other]
+
+
 def read_exports(
     spark: SparkSession,
     exports: Sequence[Export],
-    date_columns: Iterable[str] = DATE_COLUMNS,
+    known: T.StructType | None = None,
+    date_columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of all files as text columns with parsed times, plus the file and its rank.
 
-    Files are read together per header, and headers are united by name. A field may span lines: small
-    files are parsed whole, large ones are split unless they hold such fields.
+    Files are read together per header, and headers are united by name. A field may span lines: only files
+    with such fields are parsed whole. Without ``date_columns`` the columns of times are found in the rows.
     """
     groups: dict[tuple, list[str]] = {}
     for e in exports:
         groups.setdefault((e.header, e.in_one_piece), []).append(e.path)
     parts = [_read_group(spark, paths, h, whole) for (h, whole), paths in groups.items()]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    rows = rows.withColumnsRenamed(EXPORT_RENAMES)
-    present = {c.lower(): c for c in rows.columns}
-    times = [present[c.lower()] for c in date_columns if c.lower() in present]
-    rows = rows.withColumns({c: parse_export_time(quoted(c)) for c in times})
     ranks = spark.createDataFrame([(e.uri, e.rank) for e in exports], f"{FILE} string, {RANK} int")
-    return rows.join(F.broadcast(ranks), FILE)  # one small row per listed file
+    rows = materialize(rows.withColumnsRenamed(EXPORT_RENAMES).join(ranks, FILE), "delivered")
+    if date_columns is None:
+        times = time_columns(rows, known)
+    else:
+        wanted = {TIME, *(c.lower() for c in date_columns)}
+        times = [c for c in rows.columns if c.lower() in wanted]
+    return rows.withColumns({c: parse_export_time(quoted(c)) for c in times})
 
 
 def time_quality(rows: DataFrame, column: str = "timestamp") -> DataFrame:

@@ -18,7 +18,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-MANIFEST = "filename string, file_hash string, row_count int, processed_at timestamp, date_suffix date"
+MANIFEST = (
+    "filename string, file_hash string, row_count int, processed_at timestamp, date_suffix date, "
+    "length long, modified timestamp"
+)
 DAY = "event_date"
 NO_DAY = f"{DAY}=__HIVE_DEFAULT_PARTITION__"
 

@@ -56,6 +56,7 @@ PROPERTIES = {
     "Video_Id": "concat('v', event_id % 4)",
     "Video_Type": "case when event_id % 2 = 0 then 'internal' else 'external' end",
     "Video_Duration": "case when event_id % 4 < 3 then '480.0' end",
+    "Video_PlayedTime": "cast(cast(floor(value) as bigint) as string)",
     "Video_Title": "case when event_id % 23 > 0 then concat('Title ', event_id % 4, ' rev ', k % 3) end",
     "Video_Address": "concat('https://video.example.com/', event_id % 4)",
 }
@@ -137,9 +138,9 @@ def _stored_table(spark: SparkSession, sf_dir: str, name: str, compose) -> DataF
     return _stored[key]
 
 
-def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat click events, as stored after loading an export."""
-    return _stored_table(spark, sf_dir, "clicks", compose_clicks)
+    return _stored_table(spark, sf_dir, "click-events", compose_click_events)
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +148,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored_table(spark, sf_dir, "raw-log", compose_log)
 
 
-def compose_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def compose_click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = {"CP_" + key: expr for key, expr in PROPERTIES.items()} | FLAT_ONLY
     return _base(spark, sf_dir).select(
         "event_id",

@@ -15,9 +15,10 @@ from oracle.views import (
     with_log,
     with_video,
 )
-from clickloom.bindings import PROPERTIES
-from clickloom.operators.flatten import KNOWN_KEYS
+from oracle.bindings import PROPERTIES
 
+# What the bindings write into the properties of an event.
+KEYS = ("ContentOwner", *PROPERTIES)
 TS = '"timestamp"'
 NAMED = "name, client_CountryOrRegion, user_id as user_Id, session_id as session_Id"
 
@@ -29,7 +30,7 @@ def fmt(n: str) -> str:
 def flat_columns(prefix: str, skip: tuple[str, ...] = ()) -> str:
     return ", ".join(
         f"case when json_type(cp, '$.{k}') is not null then {prop(k)} end as {prefix}{k}"
-        for k in KNOWN_KEYS
+        for k in KEYS
         if k not in skip
     )
 
@@ -62,10 +63,10 @@ def coverage() -> str:
 ORACLE: dict[str, str] = {
     "daily_trend": with_log(
         f"select {stamp(f'cast(cast({TS} as date) as timestamp)')} as day, "
-        "count(*) as daily_clicks from log group by 1"
+        "count(*) as daily_events from log group by 1"
     ),
     "daily_trend_90d": with_log(
-        f"select {stamp(f'cast(cast({TS} as date) as timestamp)')} as day, count(*) as daily_clicks from log "
+        f"select {stamp(f'cast(cast({TS} as date) as timestamp)')} as day, count(*) as daily_events from log "
         f"where {TS} >= {AS_OF} - interval 90 day group by 1"
     ),
     "event_names": with_log("select name, count(*) as event_count from all_log group by 1"),
@@ -201,12 +202,12 @@ ORACLE: dict[str, str] = {
           when event_id % 14 in (3, 6, 9) then date_trunc('second', {TS})
           when event_id % 14 in (4, 7) then date_trunc('minute', {TS})
           when event_id % 14 in (5, 8) then date_trunc('day', {TS}) end as parsed
-        from clicks)"""
+        from click_rows)"""
     ),
     "precision_check": with_base(
         f"""select count(*) as total, count(*) filter (epoch_us({TS}) % 1000000 <> 0) as with_fraction,
           cast(count(*) filter (epoch_us({TS}) % 1000000 <> 0) > 0 as varchar) as has_fraction
-          from clicks"""
+          from click_rows"""
     ),
     "local_time_sample": with_events(
         f"""select {stamp(TS)} as utc_timestamp, {stamp('timestamp_cet')} as cet_timestamp,
@@ -217,7 +218,7 @@ ORACLE: dict[str, str] = {
     "upsert_overlap": with_base(
         f""", first_rows as (
           select {TS}, user_id, case when event_id % 31 > 0 then session_id end as session_id, name,
-            event_id, 'first' as delivery from clicks),
+            event_id, 'first' as delivery from click_rows),
         second_rows as (select * replace ('second' as delivery) from first_rows
           where {TS} >= timestamp '2024-06-01'),
         third_rows as (select * replace ('third' as delivery) from first_rows
@@ -302,7 +303,7 @@ ORACLE: dict[str, str] = {
     "dim_page": with_dims("select * from d_page"),
     "dim_link_type": with_dims("select * from d_link"),
     "dim_component": with_dims("select * from d_comp"),
-    "fact_clicks": with_dims(
+    "fact_event": with_dims(
         f"""select date_key, org_key, site_key, page_key, link_type_key, component_key,
           {hmac('e.gpn')} as person_hash, e.user_id, e.session_id, e.session_key,
           {stamp(f'e.{TS}')} as "timestamp", {stamp('e.timestamp_cet')} as timestamp_cet,

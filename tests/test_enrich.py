@@ -9,7 +9,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom import bindings
+from oracle import bindings
 from clickloom.functions import hmac_sha256, link_host, normalize_gpn, parse_export_time, thousands
 from clickloom.operators.ordered import HotGroups
 from clickloom.plans import anonymize, enrich
@@ -182,22 +182,22 @@ def test_blank_number_option(spark):
 
 
 def test_asof_keeps_rows_and_plan_has_no_nested_loop(spark):
-    clicks, hr = bindings.clicks(spark, SMALL), bindings.hr(spark, SMALL)
-    joined = enrich.enrich(clicks, hr)
+    source_rows, hr = bindings.click_events(spark, SMALL), bindings.hr(spark, SMALL)
+    joined = enrich.enrich(source_rows, hr)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
-    assert joined.count() == clicks.count()
+    assert joined.count() == source_rows.count()
 
 
 def test_hot_session_is_split_without_change(spark):
-    clicks = bindings.clicks(spark, SMALL).withColumns(
+    source_rows = bindings.click_events(spark, SMALL).withColumns(
         {
             "user_id": F.when(F.col("event_id") % 3 == 0, None).otherwise(F.col("user_id")),
             "session_id": F.when(F.col("event_id") % 3 == 0, None).otherwise(F.col("session_id")),
         }
     )
-    whole = enrich.enrich(clicks, hot=None)
-    split = enrich.enrich(clicks, hot=HotGroups(15, 20, 6))
+    whole = enrich.enrich(source_rows, hot=None)
+    split = enrich.enrich(source_rows, hot=HotGroups(15, 40, 16))
     assert rows(split.select(whole.columns)) == rows(whole)
 
 

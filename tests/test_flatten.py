@@ -69,8 +69,21 @@ def test_key_discovery(spark):
     df = log(spark, *CASES, {"GPN": "2"}, {"GPN": "1"})
     assert rows(flat.key_inventory(df).where("key = 'GPN'")) == [("GPN", 3, 2, "1")]
     assert flat.discovered_keys(df) == sorted(["GPN", "Topic", "Nested", 'quo"te'])
-    with pytest.raises(ValueError):
-        flat.discovered_keys(df, max_keys=3)
+    every = flat.flatten(df, prefix="")
+    assert every.columns[5:] == flat.discovered_keys(df)
+    assert {r['quo"te'] for r in every.collect()} == {"x", None}
+
+
+def test_many_keys_all_become_columns(spark):
+    df = log(spark, {f"key{i}": str(i) for i in range(2500)})
+    got = flat.flatten(df).first()
+    assert len(got) == 5 + 2500 and got["CP_key2499"] == "2499"
+
+
+def test_pseudonymous_flat_in_any_spelling(spark):
+    got = flat.pseudonymous_flat(log(spark, {"gpn": "1", "EMAIL": "a@b", "Topic": "t"}), "p", prefix="")
+    assert got.columns[5:] == ["Topic", "gpn"]
+    assert len(got.first()["gpn"]) == 64
 
 
 def test_export_text_and_order(spark):

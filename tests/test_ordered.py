@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clickloom.operators.ordered import HotGroups, Ordered, add_ordered, hot_groups
 from conftest import rows
 
-SPLIT = HotGroups(min_rows=20, max_groups=10, slices=5)
+SPLIT = HotGroups(min_rows=20, slice_rows=60, buckets=64)
 
 
 def events(spark, seed=1):
@@ -41,7 +41,7 @@ def brute_force(data, order):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("policy", [None, HotGroups(), SPLIT, HotGroups(20, 1, 7)])
+@pytest.mark.parametrize("policy", [None, HotGroups(), SPLIT, HotGroups(5, 30, 4)])
 def test_split_equals_brute_force(spark, policy):
     df = events(spark)
     order = ["t", "name", "v"]
@@ -57,10 +57,14 @@ def test_split_equals_brute_force(spark, policy):
     assert rows(got) == brute_force(df.collect(), order)
 
 
-def test_hot_groups_are_the_largest_and_bounded(spark):
+@pytest.mark.parametrize("buckets", [1, 64, 65_536])
+def test_every_group_above_the_limit_is_hot(spark, buckets):
     df = events(spark)
-    assert {r.key for r in hot_groups(df, ["key"], SPLIT).collect()} == {"hot", None, "copies"}
-    assert [r.key for r in hot_groups(df, ["key"], HotGroups(20, 1)).collect()] == ["hot"]
+    found = hot_groups(df, ["key"], HotGroups(20, 60, buckets)).collect()
+    assert {(r.key, r["__rows"]) for r in found} == {("hot", 202), (None, 60), ("copies", 90)}
+    sizes = df.groupBy("key").count().where("count > 2").count()
+    assert hot_groups(df, ["key"], HotGroups(2, 60, buckets)).count() == sizes
+    assert hot_groups(df, ["key"], HotGroups(300, 60, buckets)) is None
 
 
 def test_no_split_leaves_a_plain_window(spark):

@@ -8,7 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom import bindings, job
+from clickloom import job
+from oracle import bindings
 from clickloom.operators.numbering import with_dense_key
 from clickloom.plans import enrich, pipeline, star
 from clickloom.sources.store import EventStore
@@ -19,7 +20,7 @@ PEPPER = "test-pepper"
 
 @pytest.fixture(scope="module")
 def events(spark):
-    return enrich.enrich(bindings.clicks(spark, SMALL), bindings.hr(spark, SMALL)).cache()
+    return enrich.enrich(bindings.click_events(spark, SMALL), bindings.hr(spark, SMALL)).cache()
 
 
 def test_dense_keys_follow_the_order(spark):
@@ -31,7 +32,7 @@ def test_dense_keys_follow_the_order(spark):
 
 def test_fact_rows_and_keys(spark, events):
     dims = star.dimensions(events)
-    fact = star.fact_clicks(events, dims, PEPPER)
+    fact = star.fact_event(events, dims, PEPPER)
     keys = ["date_key", "org_key", "site_key", "page_key", "link_type_key", "component_key"]
     assert fact.columns[:7] == [*keys, "person_hash"] and len(fact.columns) == 25
     assert fact.count() == events.count()
@@ -50,14 +51,14 @@ def test_org_dimension_does_not_fan_out(spark, events):
     assert dim.count() == 4
     dims = star.Star(star.dim_date(blank), dim, *[f(blank) for f in (
         star.dim_site, star.dim_page, star.dim_link_type, star.dim_component)])
-    assert star.fact_clicks(blank, dims, PEPPER).count() == events.count()
+    assert star.fact_event(blank, dims, PEPPER).count() == events.count()
 
 
 def test_without_organisation_there_is_one_row(spark, events):
     plain = events.drop("hr_division", "hr_job_title")
     dims = star.dimensions(plain)
     assert [(r.org_key, r.org_hash) for r in dims.dim_organization.collect()] == [(1, "")]
-    assert star.fact_clicks(plain, dims, PEPPER).where("org_key = 1").count() == plain.count()
+    assert star.fact_event(plain, dims, PEPPER).where("org_key = 1").count() == plain.count()
 
 
 def test_numeric_ids_with_nulls(spark, events):
@@ -69,32 +70,32 @@ def test_whole_job(spark):
     root = Path(tempfile.mkdtemp(prefix="run-"))
     (root / "input").mkdir()
     ts = F.concat(F.date_format("timestamp", "dd/MM/yyyy HH:mm:ss.SSSSSS"), F.lit("7"))
-    clicks = bindings.clicks(spark, SMALL)
-    text = clicks.select(ts.alias("timestamp [UTC]"), *[c for c in clicks.columns if c != "timestamp"])
+    source_rows = bindings.click_events(spark, SMALL)
+    text = source_rows.select(ts.alias("timestamp [UTC]"), *[c for c in source_rows.columns if c != "timestamp"])
     text = text.withColumnsRenamed({"user_id": "user_Id", "session_id": "session_Id"})
     pdf = text.toPandas()
-    pdf.iloc[:600].to_csv(root / "input" / "clicks_2024_01_01.csv", index=False)
-    pdf.iloc[400:].to_csv(root / "input" / "clicks_2024_02_01.csv", index=False)
+    pdf.iloc[:600].to_csv(root / "input" / "export_2024_01_01.csv", index=False)
+    pdf.iloc[400:].to_csv(root / "input" / "export_2024_02_01.csv", index=False)
     bindings.hr(spark, SMALL).write.parquet(str(root / "hr"))
     args = (spark, str(root / "input"), str(root / "store"), str(root / "out"), PEPPER, str(root / "hr"))
 
     done = pipeline.run(*args)
-    assert done.ingested.row_counts == {"clicks_2024_01_01.csv": 600, "clicks_2024_02_01.csv": 600}
+    assert done.ingested.row_counts == {"export_2024_01_01.csv": 600, "export_2024_02_01.csv": 600}
     assert sorted(done.tables) == sorted(
         ["events_raw", "events_anonymized", "video_engagement", "video_engagement_anonymized"]
         + [f"cdm/{t}" for t in (
             "dim_date", "dim_organization", "dim_site", "dim_page", "dim_link_type",
-            "dim_component", "fact_clicks")]
+            "dim_component", "fact_event")]
     )
     tables = {name: spark.read.parquet(path) for name, path in done.tables.items()}
-    assert tables["events_raw"].count() == tables["cdm/fact_clicks"].count() == 1000
+    assert tables["events_raw"].count() == tables["cdm/fact_event"].count() == 1000
     # an empty CSV field is a missing value
-    loaded = clicks.withColumn("CP_GPN", F.nullif("CP_GPN", F.lit("")))
+    loaded = source_rows.withColumn("CP_GPN", F.nullif("CP_GPN", F.lit("")))
     expected = enrich.enrich(loaded, bindings.hr(spark, SMALL))
     wanted = ["event_id", "session_key", "event_order", "ms_since_prev_event", "hr_division", "gpn"]
     as_text = [F.col(c).cast("string") for c in wanted]
     assert rows(tables["events_raw"].select(as_text)) == rows(expected.select(as_text))
-    for name in ("events_anonymized", "video_engagement_anonymized", "cdm/fact_clicks"):
+    for name in ("events_anonymized", "video_engagement_anonymized", "cdm/fact_event"):
         names = {c.lower() for c in tables[name].columns}
         assert not names & {"gpn", "cp_gpn", "email", "cp_email"} and "person_hash" in names
     for report in done.reports.values():
@@ -126,7 +127,7 @@ def test_publishing_is_made_up_for(spark, root, monkeypatch):
         with pytest.raises(RuntimeError):
             pipeline.run(*args)
     done = pipeline.run(*args)
-    assert done.ingested is None and "cdm/fact_clicks" in done.tables
+    assert done.ingested is None and "cdm/fact_event" in done.tables
     assert pipeline.run(*args) is None
 
 
@@ -152,7 +153,7 @@ def test_delta_run_rebuilds_only_touched_dates(spark, root):
         assert rows(shown.select(text)) == rows(full.select(text))
         safe = spark.read.parquet(str(root / "out" / "events_anonymized"))
         assert safe.count() == full.count()
-        fact = spark.read.parquet(str(root / "out" / "cdm" / "fact_clicks"))
+        fact = spark.read.parquet(str(root / "out" / "cdm" / "fact_event"))
         assert fact.count() == full.count()
 
     def written_at(day):
@@ -186,11 +187,11 @@ def test_command_line(spark, root):
     assert job.main(options) == 0
     assert job.main(options) == 0
     assert job.main([*options, "--file", str(root / "in" / "c_2024_01_01.csv")]) == 0
-    assert spark.read.parquet(str(root / "out" / "cdm" / "fact_clicks")).count() == 1
+    assert spark.read.parquet(str(root / "out" / "cdm" / "fact_event")).count() == 1
 
 
 def test_job_without_hr_table(spark, root):
     done = pipeline.run(spark, str(root / "in"), str(root / "st"), str(root / "out"), PEPPER, str(root / "no"))
     assert "video_engagement" not in done.tables
-    fact = spark.read.parquet(done.tables["cdm/fact_clicks"]).first()
+    fact = spark.read.parquet(done.tables["cdm/fact_event"]).first()
     assert (fact.org_key, fact.person_hash, fact.session_key) == (1, None, "2024-01-01_u_s")

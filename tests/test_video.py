@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom import bindings
+from oracle import bindings
 from clickloom.operators.ordered import HotGroups
 from clickloom.plans import enrich, video
 from conftest import SMALL, rows
@@ -144,9 +144,9 @@ def test_engagement_values(spark):
 @pytest.mark.parametrize("mode", ["lag", "running_max"])
 def test_hot_sessions_are_split_without_change(spark, mode):
     """Half of all events move into one blank person's session of one video."""
-    clicks = bindings.clicks(spark, SMALL)
+    source_rows = bindings.click_events(spark, SMALL)
     hot = F.col("event_id") < 500
-    skewed = clicks.withColumns(
+    skewed = source_rows.withColumns(
         {
             "CP_GPN": F.when(hot, "").otherwise(F.col("CP_GPN")),
             "session_id": F.when(hot, None).otherwise(F.col("session_id")),
@@ -155,16 +155,16 @@ def test_hot_sessions_are_split_without_change(spark, mode):
     )
     events = enrich.with_session_columns(skewed)
     whole = video.segments(video.video_events(events), hot=None)
-    split = video.segments(video.video_events(events), hot=HotGroups(30, 10, 6))
+    split = video.segments(video.video_events(events), hot=HotGroups(30, 60, 16))
     assert rows(split.select(sorted(whole.columns))) == rows(whole.select(sorted(whole.columns)))
     seconds = F.round("unique_seconds_watched", 6).alias("s")
     merged = video.unique_seconds(whole, mode, None).select(*video.VIEWING, seconds)
-    merged_split = video.unique_seconds(split, mode, HotGroups(3, 10, 4)).select(*video.VIEWING, seconds)
+    merged_split = video.unique_seconds(split, mode, HotGroups(3, 50, 16)).select(*video.VIEWING, seconds)
     assert rows(merged) == rows(merged_split)
 
 
 def test_merged_seconds_are_bounded(spark):
-    events = enrich.with_session_columns(bindings.clicks(spark, SMALL))
+    events = enrich.with_session_columns(bindings.click_events(spark, SMALL))
     s = segs(events)
     union = video.unique_seconds(s, "running_max")
     bounds = s.where("is_valid_segment").groupBy(*video.VIEWING).agg(
