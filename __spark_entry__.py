@@ -165,6 +165,20 @@ def _date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _number(column: str):
+    """A count, whether written with digit group marks or not."""
+    return F.replace(F.col(column).cast("string"), F.lit("'"), F.lit("")).cast("long")
+
+
+def _beside_estimates(exact: DataFrame, estimated: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
+    """The exact report, and for each estimated count whether it is within 5 % of the exact one."""
+    near = {c: F.abs(_number(f"`~{c}`") - _number(c)) <= F.lit(0.05) * _number(c) for c in counts}
+    sides = exact.withColumn("~one", F.lit(1)), estimated.withColumn("~one", F.lit(1))
+    other = sides[1].select("~one", *keys, *[F.col(c).alias(f"~{c}") for c in counts])
+    joined = sides[0].join(other, ["~one", *keys], "left")
+    return joined.select(*exact.columns, *[flag.alias(f"{c}_close") for c, flag in near.items()])
+
+
 def _native_queries() -> dict[str, Query]:
     return {
         # raw log: extraction and exploration
@@ -172,7 +186,12 @@ def _native_queries() -> dict[str, Query]:
         "daily_trend_90d": lambda s, d: explore.daily_trend(_log(s, d, DEFAULT_LOOKBACK_DAYS)),
         "event_names": lambda s, d: explore.event_names(_log(s, d, name=None)),
         "volume_overview": lambda s, d: explore.volume_overview(_log(s, d), PEPPER),
-        "volume_overview_approx": lambda s, d: explore.volume_overview(_log(s, d), PEPPER, approx=True),
+        "volume_overview_approx": lambda s, d: _beside_estimates(
+            explore.volume_overview(_log(s, d), PEPPER),
+            explore.volume_overview(_log(s, d), PEPPER, approx=True),
+            [],
+            ["unique_visitors_user_id", "unique_persons_gpn", "unique_persons_hash", "unique_sessions"],
+        ),
         "distinct_people": lambda s, d: explore.distinct_people(_log(s, d), PEPPER),
         "link_type_share": lambda s, d: explore.link_types(_log(s, d)),
         "link_type_samples": lambda s, d: explore.link_type_samples(_log(s, d)),
@@ -184,7 +203,12 @@ def _native_queries() -> dict[str, Query]:
         "file_types": lambda s, d: explore.file_types(_log(s, d)),
         "field_profile": lambda s, d: explore.field_profile(_log(s, d)),
         "key_inventory": lambda s, d: explore.property_keys(_log(s, d)),
-        "key_inventory_approx": lambda s, d: explore.property_keys(_log(s, d), approx=True),
+        "key_inventory_approx": lambda s, d: _beside_estimates(
+            explore.property_keys(_log(s, d)),
+            explore.property_keys(_log(s, d), approx=True),
+            ["key"],
+            ["distinct_values"],
+        ),
         "raw_sample": lambda s, d: explore.raw_sample(_log(s, d)).withColumn(
             "properties", F.size("properties")
         ),

@@ -254,8 +254,7 @@ ORACLE: dict[str, str] = {
     ),
     "video_unique_seconds_union": with_video(
         f"""select gpn, video_id, session_id,
-          {rounded('sum(greatest(e - greatest(s, coalesce(max_e, s)), 0))', 6)} as unique_seconds_watched
-          from seg_end group by all"""
+          {rounded('union_seconds', 6)} as unique_seconds_watched from uniq"""
     ),
     "video_sessions": with_video(
         f"""select gpn, video_id, session_id, {rounded('watch_time', 6)} as watch_time,
@@ -266,8 +265,9 @@ ORACLE: dict[str, str] = {
     ),
     "video_views": with_video("select gpn, video_id, total_views from vviews"),
     "video_metadata": with_video(
-        """select video_id, reported as reported_duration, title as latest_title, type as latest_type,
-          address as latest_address from vmeta"""
+        """select video_id, reported as reported_duration,
+          if(newest.has_title, newest.title, null) as latest_title, newest.kind as latest_type,
+          newest.address as latest_address from vmeta"""
     ),
     "video_engagement": with_video(
         "select * replace (cast(is_completed as varchar) as is_completed, "
@@ -312,15 +312,16 @@ ORACLE: dict[str, str] = {
           e.sec_since_prev_event, e.time_since_prev_bucket, e.event_hour, e.event_weekday,
           CP_Link_address as link_address, CP_Link_label as link_label, CP_FileName_Label as file_name,
           CP_FileType_Label as file_type, e.name as event_name, client_CountryOrRegion as client_country
-        from ev e
-        left join d_date on session_date = date_value
-        left join d_org o on md5(coalesce(e.hr_division, '') || '|' || coalesce(e.hr_job_title, '')) = o.org_hash
-        left join d_site s on coalesce(CP_SiteID, '') = s.site_id and coalesce(CP_SiteName, '') = s.site_name
-        left join d_page p on coalesce(CP_PageId, '') = p.page_id and coalesce(CP_PageName, '') = p.page_name
-          and coalesce(CP_PageURL, '') = p.page_url and coalesce(CP_ContentType, '') = p.content_type
-          and coalesce(CP_PageStatus, '') = p.page_status
-        left join d_link l on coalesce(CP_Link_Type, '(unknown)') = l.link_type
-        left join d_comp c on coalesce(CP_ComponentName, '(unknown)') = c.component_name"""
+        from (select *, session_date as date_value, md5(coalesce(hr_division, '') || '|' || coalesce(hr_job_title, ''))
+            as org_hash, coalesce(CP_SiteID, '') as site_id, coalesce(CP_SiteName, '') as site_name,
+            coalesce(CP_PageId, '') as page_id, coalesce(CP_PageName, '') as page_name,
+            coalesce(CP_PageURL, '') as page_url, coalesce(CP_ContentType, '') as content_type,
+            coalesce(CP_PageStatus, '') as page_status, coalesce(CP_Link_Type, '(unknown)') as link_type,
+            coalesce(CP_ComponentName, '(unknown)') as component_name from ev) e
+        left join d_date using (date_value) left join d_org using (org_hash)
+        left join d_site using (site_id, site_name)
+        left join d_page using (page_id, page_name, page_url, content_type, page_status)
+        left join d_link using (link_type) left join d_comp using (component_name)"""
     ),
     "data_overview": with_events(
         """select cast(min(session_date) as varchar) as first_date,
@@ -352,3 +353,14 @@ ORACLE: dict[str, str] = {
     "share_by_component": share("coalesce(CP_ComponentName, '(blank)')", "component", "limit 10"),
     "share_by_site": share("coalesce(CP_SiteName, '(blank)')", "site_name", "limit 10"),
 }
+
+# The estimated forms are reported beside the exact ones; every estimate must be within 5 %.
+VISITORS = ("unique_visitors_user_id", "unique_persons_gpn", "unique_persons_hash", "unique_sessions")
+
+
+def with_flags(sql: str, counts: tuple[str, ...]) -> str:
+    return f"select *, {', '.join(f"'true' as {c}_close" for c in counts)} from ({sql})"
+
+
+ORACLE["volume_overview_approx"] = with_flags(ORACLE["volume_overview"], VISITORS)
+ORACLE["key_inventory_approx"] = with_flags(ORACLE["key_inventory"], ("distinct_values",))
