@@ -17,6 +17,16 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 TIE, PART = "__tie", "__part"
 
 
+# Texts sent to a Python worker at once: a few long ones rather than ten thousand rows of any length.
+BATCH_BYTES = "8m"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """Bound what a Python worker holds of ``df`` at once, whatever the length of its texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.llm.common import chunks_of, mixed, texts_in
+from clickloom.llm.common import chunks_of, in_small_batches, mixed, texts_in
 from clickloom.llm.components import components
 from clickloom.llm.shingles import WordHashes, shingle_set
 from clickloom.session import materialize
@@ -20,6 +20,7 @@ TREES, STEP = 20, 4
 HASHES = TREES * STEP
 DEPTHS = (4, 6, 8, 12, 20, 40, 80)
 CROWD = 2048
+CROWD_SHINGLES = 4_000_000
 # Signature agreement that a pair at the similarity limit misses with a probability of about 1e-5.
 LIKELY = 44
 BROADCAST_IDS = 1_000_000
@@ -91,44 +92,103 @@ def _deeper(depth: int):
             for tree in np.unique(trees):
                 own = trees == tree
                 key[own] = prefixes(signature[own], int(tree), depth)
-            others = [batch.column(c) for c in ("rep", "comp", "signature")]
-            yield pa.RecordBatch.from_arrays([pa.array(key), *others], ["key", "rep", "comp", "signature"])
+            names = ["rep", "comp", "signature", "n_shingles"]
+            yield pa.RecordBatch.from_arrays([pa.array(key), *map(batch.column, names)], ["key", *names])
 
     return run
 
 
-def _likely_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components inside each bucket whose signatures agree well; rows come by key."""
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
-    def pairs(rep, comp, low):
-        a, b = [], []
-        for i in range(len(rep) - 1):
-            near = np.flatnonzero(((low[i + 1 :] == low[i]).sum(axis=1) >= LIKELY) & (comp[i + 1 :] != comp[i]))
-            a += [rep[i]] * len(near)
-            b += rep[i + 1 + near].tolist()
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b)], ["a", "b"])
 
-    rest: pa.Table | None = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        rest = table if rest is None else pa.concat_tables([rest, table])
-        key = rest["key"].to_numpy()
-        if len(key) and key[0] == key[-1]:
-            continue
-        *whole, last = np.split(np.arange(len(key)), np.flatnonzero(np.diff(key)) + 1)
-        yield from _bucket_pairs(rest, whole, pairs)
-        rest = rest.slice(int(last[0]))
-    if rest is not None and len(rest):
-        yield from _bucket_pairs(rest, [np.arange(len(rest))], pairs)
-
-
-def _bucket_pairs(table: pa.Table, buckets: list[np.ndarray], pairs) -> Iterator[pa.RecordBatch]:
-    rep, comp = table["rep"].to_numpy(), table["comp"].to_numpy()
-    low = _matrix(table["signature"].combine_chunks()).astype(np.uint8)
-    for own in buckets:
-        found = pairs(rep[own], comp[own], low[own])
-        if found.num_rows:
-            yield found
+def linking_pairs(
+    signature: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], tree: int | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join all components which any similar pair with well-agreeing signatures joins.
+
+    Components grow with every link, so there are fewer links than members. With ``tree``, pairs that also
+    share an earlier tree's bucket are left to that.
+    """
+    a, b = [], []
+    low, root, size = signature.astype(np.uint8), comp.copy(), np.array([len(s) for s in sets])
+    for i in range(len(low) - 1):
+        rest = slice(i + 1, None)
+        near = ((low[rest] == low[i]).sum(axis=1) >= LIKELY) & (root[rest] != root[i])
+        near &= 100 * np.minimum(size[rest], size[i]) >= PERCENT * np.maximum(size[rest], size[i])
+        at = np.flatnonzero(near) + i + 1
+        if tree is not None and len(at):
+            shared = (signature[at] == signature[i]).reshape(len(at), TREES, STEP).all(axis=2)
+            at = at[shared.argmax(axis=1) == tree]
+        for j in at.tolist():
+            if root[j] != root[i] and similar(sets[i], sets[j]):
+                a.append(i)
+                b.append(j)
+                root[root == root[j]] = root[i]
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def spanning_pairs(low: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The edges between components of a spanning tree that joins the best-agreeing signatures first.
+
+    Members of one component count as joined, so there are fewer edges than components; those below the
+    likely agreement are left out.
+    """
+    a, b = [], []
+    best, via = np.full(len(low), -1), np.zeros(len(low), np.int64)
+    inside, at = np.zeros(len(low), bool), 0
+    for _ in range(len(low) - 1):
+        inside[at] = True
+        agree = np.where(comp == comp[at], HASHES + 1, (low == low[at]).sum(axis=1))
+        nearer = agree > best
+        best[nearer], via[nearer] = agree[nearer], at
+        at = int(np.where(inside, -1, best).argmax())
+        if LIKELY <= best[at] <= HASHES and comp[via[at]] != comp[at]:
+            a.append(via[at])
+            b.append(at)
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _in_buckets(choose):
+    """key, a, b of the pairs that ``choose`` picks in each bucket; rows come by key."""
+
+    def pairs_of(table: pa.Table, buckets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key, rep, comp = (table[c].to_numpy() for c in ("key", "rep", "comp"))
+        signature = _matrix(table["signature"].combine_chunks())
+        sets = table["shingles"].to_pylist() if "shingles" in table.column_names else None
+        for own in buckets:
+            if sets is None:
+                a, b = choose(signature[own].astype(np.uint8), comp[own])
+            else:
+                texts = [np.frombuffer(sets[i], np.uint64) for i in own]
+                a, b = choose(signature[own], comp[own], texts, int(key[own[0]]) & 31)
+            if len(a):
+                columns = np.full(len(a), key[own[0]]), rep[own[a]], rep[own[b]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            rest = table if rest is None else pa.concat_tables([rest, table])
+            key = rest["key"].to_numpy()
+            if len(key) and key[0] == key[-1]:
+                continue
+            *whole, last = np.split(np.arange(len(key)), np.flatnonzero(np.diff(key)) + 1)
+            yield from pairs_of(rest, whole)
+            rest = rest.slice(int(last[0]))
+        if rest is not None and len(rest):
+            yield from pairs_of(rest, [np.arange(len(rest))])
+
+    return run
+
+
+def _picked(rows: DataFrame, choose) -> DataFrame:
+    found = rows.repartition("key").sortWithinPartitions("key").mapInArrow(
+        _in_buckets(choose), "key long, a long, b long"
+    )
+    return found.select("key", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,25 +201,25 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = []
-    for x, y in zip(a, b):
-        x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(100 * common >= PERCENT * (len(x) + len(y) - common))
-    return pa.array(out, pa.bool_())
+    pairs = ([np.frombuffer(v.as_buffer(), np.uint64) for v in pair] for pair in zip(a, b))
+    return pa.array([similar(x, y) for x, y in pairs], pa.bool_())
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of document ids that are similar as whole shingle sets."""
-    ids = materialize(
-        pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "pair-ids"
-    )
+def _shingle_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """id and shingles of the documents that ``ids`` names, read from their texts."""
+    ids = materialize(ids.distinct(), "wanted-ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = docs.join(wanted, docs["doc_id"] == wanted["id"], "left_semi").dropDuplicates(["doc_id"])
-    sets = materialize(texts.mapInArrow(_sets, "id long, shingles binary"), "shingle-sets")
+    return materialize(texts.mapInArrow(_sets, "id long, shingles binary"), "shingle-sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of document ids that are similar as whole shingle sets."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    sets = _shingle_sets(ids, docs)
     first, second = (sets.select(F.col("id").alias(s), F.col("shingles").alias(f"set_{s}")) for s in "ab")
-    similar = F.arrow_udf(_similar, "boolean")
-    return pairs.join(first, "a").join(second, "b").where(similar("set_a", "set_b")).select("a", "b")
+    alike = F.arrow_udf(_similar, "boolean")
+    return pairs.join(first, "a").join(second, "b").where(alike("set_a", "set_b")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -171,15 +231,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     The forest orders signatures in 20 ways, each starting at another four values. Documents that agree in a
     tree's first four values share a bucket; first each is compared with one bucket's smallest member, which
     binds groups of copies of any size by a star. Buckets that still hold several components are searched for
-    pairs of different components with well-agreeing signatures; those with more than 2048 members are parted
-    by longer prefixes, as deep as the region needs, and all their members are compared with the smallest one
-    too. Every pair found is confirmed on whole sets. A pair at similarity 0.75 shares a bucket with
+    pairs of different components with well-agreeing signatures: first for the edges of a spanning tree, fewer
+    than the bucket has members; then, where components are left apart, all such pairs are compared inside the
+    bucket, which gives out only links. Buckets with more than 2048 members or 4 million shingles are parted by longer prefixes, as deep as the region needs, and all their members are
+    compared with the smallest one too. Every pair found is confirmed on whole sets. A pair at similarity 0.75 shares a bucket with
     probability 0.9995, one at 0.85 with 1 - 3e-7.
 
     Rows without an id are linked with nothing. Rows that share an id are one document. Other columns are not
     read; an empty table gives no rows. Returns doc_id, n_shingles, component_id, kept.
     """
-    docs = docs.select("doc_id", "text")
+    docs = in_small_batches(docs).select("doc_id", "text")
     digest = materialize(
         docs.mapInArrow(_digest, "doc_id long, n_shingles long, set_key binary, signature binary"), "signatures"
     )
@@ -187,14 +248,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = materialize(named.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     reps = materialize(
         named.join(classes, (named["set_key"] == classes["set_key"]) & (named["doc_id"] == classes["rep"]))
-        .select("rep", "signature")
+        .select("rep", "signature", "n_shingles")
         .dropDuplicates(["rep"]),
         "representatives",
     )
     # Buckets with one member are of no further use.
     rooted = materialize(reps.select("rep", "signature").mapInArrow(_rooted, "key long, rep long"), "buckets")
-    leaders = (
-        rooted.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last")
+    leaders = materialize(
+        rooted.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last"),
+        "leaders",
     )
     shared = materialize(rooted.join(leaders.select("key", "leader"), "key"), "shared-buckets")
     stars = materialize(
@@ -203,29 +265,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = materialize(_confirmed(stars, docs), "star-links")
     roots = components(links)
 
-    with_comp = shared.select("key", "rep").join(roots, shared["rep"] == roots["node"], "left")
-    rows = with_comp.select("key", "rep", F.coalesce("root", "rep").alias("comp"))
-    found, depths = None, iter(DEPTHS[1:])
-    rows = _several(rows).join(reps, "rep").select("key", "rep", "comp", "signature", "members", "leader")
-    while True:
-        rows = materialize(rows, "open-buckets")
-        small = rows.where(F.col("members") <= CROWD).select("key", "rep", "comp", "signature")
-        pairs = small.repartition("key").sortWithinPartitions("key").mapInArrow(_likely_pairs, "a long, b long")
-        crowd = rows.where(F.col("members") > CROWD)
-        star = crowd.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(star)
-        found = pairs if found is None else found.unionByName(pairs)
-        depth = next(depths, None)
-        if depth is None or crowd.isEmpty():
-            break
-        split = crowd.select("key", "rep", "comp", "signature").mapInArrow(
-            _deeper(depth), "key long, rep long, comp long, signature binary"
-        )
-        rows = _several(split)
-    more = _confirmed(materialize(found.distinct(), "likely-pairs"), docs)
-    more = materialize(more, "bucket-links")
+    rows, star, parted = _open_buckets(shared, reps, roots)
+    # The edges of spanning trees join most of what belongs together.
+    spans = materialize(_picked(rows, spanning_pairs), "spanning-pairs")
+    edges = materialize(spans.select("a", "b").unionByName(star).distinct(), "spanning-edges")
+    more = materialize(_confirmed(edges, docs), "spanning-links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        roots = components(links)
+    # Where components are left that have likely pairs, all of these are compared inside the bucket.
+    apart = _with_roots(rows.drop("comp").join(spans.select("key").distinct(), "key", "left_semi"), roots)
+    apart = materialize(_several(apart).drop("members", "leader", "weight"), "buckets-apart")
+    sets = _shingle_sets(apart.select(F.col("rep").alias("id")), docs)
+    choose = linking_pairs if not parted else (lambda signature, comp, sets, _: linking_pairs(signature, comp, sets, None))
+    whole = apart.join(sets, apart["rep"] == sets["id"]).select("key", "rep", "comp", "signature", "shingles")
+    more = materialize(_picked(whole, choose).select("a", "b").distinct(), "bucket-links")
     if not more.isEmpty():
-        roots = components(links.unionByName(more))
+        links = links.unionByName(more)
+        roots = components(links)
 
     grouped = classes.join(roots, classes["rep"] == roots["node"], "left").select(
         F.col("set_key").alias("class"), F.coalesce("root", "rep").alias("group_id")
@@ -237,12 +294,42 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    joined = rows.join(roots, rows["rep"] == roots["node"], "left")
+    return joined.withColumn("comp", F.coalesce("root", "rep")).drop("node", "root")
+
+
+def _open_buckets(shared: DataFrame, reps: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    """Buckets with several components, parted by longer prefixes where they are crowded; pairs of the crowded
+    ones' members with the smallest; and whether any was parted."""
+    wide = ["key", "rep", "comp", "signature", "n_shingles"]
+    rows = _several(_with_roots(shared.select("key", "rep").join(reps, "rep"), roots))
+    small, star, parted, depths = None, None, False, iter(DEPTHS[1:])
+    while True:
+        rows = materialize(rows, "open-buckets")
+        crowded = (F.col("members") > CROWD) | (F.col("weight") > CROWD_SHINGLES)
+        fine, crowd = rows.where(~crowded), rows.where(crowded)
+        edges = crowd.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
+        small = fine if small is None else small.unionByName(fine)
+        star = edges if star is None else star.unionByName(edges)
+        depth = next(depths, None)
+        if depth is None or crowd.isEmpty():
+            return small.select(wide), star, parted
+        parted = True
+        rows = _several(
+            crowd.select(wide).mapInArrow(
+                _deeper(depth), "key long, rep long, comp long, signature binary, n_shingles long"
+            )
+        )
+
+
 def _several(rows: DataFrame) -> DataFrame:
     """The rows of buckets that hold more than one component, with the bucket's size and smallest member."""
     sizes = (
         rows.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("members"),
+            F.sum("n_shingles").alias("weight"),
             F.min("rep").alias("leader"),
             F.min("comp").alias("__low"),
             F.max("comp").alias("__high"),
