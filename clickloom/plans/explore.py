@@ -213,15 +213,18 @@ def field_profile(log: DataFrame) -> DataFrame:
     def of(field: str, column: str) -> Column:
         return F.max(F.when(F.col("field") == field, F.col(column)))
 
+    def counted(field: str, column: str) -> Column:
+        return F.coalesce(of(field, column), F.lit(0))
+
     def sample_of(field: str, size: int) -> Column:
         return F.slice(of(field, "sample"), 1, size).alias(f"{field}_values")
 
     return per_field.agg(
         *[sample_of(f, size) for f, (_, size, _) in PROFILED.items() if size],
-        F.coalesce(of(ACTED_VIDEO, "distinct_values"), F.lit(0)).alias("video_action_count"),
-        *[of(f, "distinct_values").alias(f"{f}_distinct") for f, (_, _, d) in PROFILED.items() if d],
-        of("topic", "total").alias("total"),
-        *[of(field, "filled").alias(name) for name, field in FILL_RATES.items()],
+        counted(ACTED_VIDEO, "distinct_values").alias("video_action_count"),
+        *[counted(f, "distinct_values").alias(f"{f}_distinct") for f, (_, _, d) in PROFILED.items() if d],
+        counted("topic", "total").alias("total"),
+        *[counted(field, "filled").alias(name) for name, field in FILL_RATES.items()],
     )
 
 

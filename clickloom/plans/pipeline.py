@@ -162,9 +162,8 @@ def run(
     if done is None and shown == version:
         return None
     changed = store.days_changed(shown, version)
-    if changed is None:
-        # All outputs are about to be replaced: until that is complete they show no version at all.
-        write_marker(store, output, Version(0, 0), "")
+    # Outputs are about to be replaced: until that is complete they show no version at all.
+    write_marker(store, output, Version(0, 0), "")
     stored = write_events(store, version, changed, hr, output, pepper, hot)
     tables, reports = publish(stored, output, pepper, hot)
     reports["processed_files"] = store.processed_report()

@@ -61,7 +61,7 @@ def unmatched_people(events: DataFrame, k: int = 15) -> DataFrame:
     return top(unmatched.groupBy("gpn").agg(F.count("*").alias("cnt")), "cnt", ["gpn"], k)
 
 
-def checked_fields(columns: Sequence[str], property_limit: int = 15) -> list[str]:
+def checked_fields(columns: Sequence[str], property_limit: int | None = None) -> list[str]:
     base = [c for c in ("gpn", "email", "session_id", "user_id") if c in columns]
     organisation = [c for c in columns if c.startswith("hr_")]
     properties = [c for c in columns if c.startswith("CP_")]

@@ -1,7 +1,8 @@
-"""Star schema: six dimensions with dense surrogate keys, and the click fact table."""
+"""Star schema: six dimensions with dense surrogate keys, and the event fact table."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -57,15 +58,54 @@ def org_hash(present: dict[str, Column]) -> Column:
     return F.md5(F.concat_ws("|", *[or_empty(c) for c in present.values()]))
 
 
-def _dimension(events: DataFrame, natural: dict[str, Column], key: str) -> DataFrame:
-    rows = events.select(*[c.alias(name) for name, c in natural.items()]).distinct()
-    return with_dense_key(rows, list(natural), key)
+def date_key(columns: list[str]) -> dict[str, Column]:
+    return {"date_value": F.col("session_date")}
 
 
-def dim_date(events: DataFrame) -> DataFrame:
+def organization_key(columns: list[str]) -> dict[str, Column]:
+    present = org_key(columns)
+    return {"org_hash": org_hash(present)} | present if present else {}
+
+
+NATURAL_KEYS = {
+    "date_key": date_key,
+    "org_key": organization_key,
+    "site_key": site_key,
+    "page_key": page_key,
+    "link_type_key": link_type_key,
+    "component_key": component_key,
+}
+
+
+def numbered(events: DataFrame, keys: Sequence[str]) -> dict[str, DataFrame]:
+    """The distinct natural keys of several dimensions, each numbered from 1 in their order.
+
+    One scan turns every event into its natural keys, which are combined on the map side; all dimensions are
+    sorted and numbered together, and each takes its own stretch of the numbers.
+    """
+    naturals = {key: natural for key in keys if (natural := NATURAL_KEYS[key](events.columns))}
+    if not naturals:
+        return {}
+    pairs = [
+        F.struct(F.lit(key).alias("dim"), F.array(*[c.cast("string") for c in natural.values()]).alias("parts"))
+        for key, natural in naturals.items()
+    ]
+    undated = (F.col("dim") == "date_key") & F.get("parts", 0).isNull()
+    found = events.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*").where(~undated).distinct()
+    keyed = with_dense_key(found, ["dim", "parts"], "number")
+    starts = {r["dim"]: r["first"] for r in keyed.groupBy("dim").agg(F.min("number").alias("first")).collect()}
+    return {
+        key: keyed.where(F.col("dim") == key).select(
+            (F.col("number") - (starts.get(key, 1) - 1)).alias(key),
+            *[F.get("parts", i).alias(name) for i, name in enumerate(natural)],
+        )
+        for key, natural in naturals.items()
+    }
+
+
+def _dated(keyed: DataFrame) -> DataFrame:
     day = F.col("date_value")
-    days = events.where(F.col("session_date").isNotNull())
-    return _dimension(days, {"date_value": F.col("session_date")}, "date_key").select(
+    return keyed.select("date_key", day.cast("date").alias("date_value")).select(
         "date_key",
         "date_value",
         F.year(day).alias("year"),
@@ -79,47 +119,50 @@ def dim_date(events: DataFrame) -> DataFrame:
     )
 
 
-def dim_organization(events: DataFrame) -> DataFrame:
+def _organized(events: DataFrame, keyed: DataFrame | None) -> DataFrame:
     """One row per combination of organisation fields; a single empty row without any field."""
-    present = org_key(events.columns)
-    missing = F.lit(None).cast("string")
-    if not present:
-        one = events.sparkSession.range(1)
-        return one.select(
-            F.lit(1).cast("long").alias("org_key"),
-            F.lit("").alias("org_hash"),
-            *[missing.alias(f) for f in ORG_FIELDS],
+    if keyed is None:
+        keyed = events.sparkSession.range(1).select(
+            F.lit(1).cast("long").alias("org_key"), F.lit("").alias("org_hash")
         )
-    natural = {"org_hash": org_hash(present)} | present
-    keyed = _dimension(events, natural, "org_key")
-    fields = [F.col(f) if f in present else missing.alias(f) for f in ORG_FIELDS]
+    missing = F.lit(None).cast("string")
+    fields = [F.col(f) if f in keyed.columns else missing.alias(f) for f in ORG_FIELDS]
     return keyed.select("org_key", "org_hash", *fields)
 
 
+def dim_date(events: DataFrame) -> DataFrame:
+    return _dated(numbered(events, ["date_key"])["date_key"])
+
+
+def dim_organization(events: DataFrame) -> DataFrame:
+    return _organized(events, numbered(events, ["org_key"]).get("org_key"))
+
+
 def dim_site(events: DataFrame) -> DataFrame:
-    return _dimension(events, site_key(events.columns), "site_key")
+    return numbered(events, ["site_key"])["site_key"]
 
 
 def dim_page(events: DataFrame) -> DataFrame:
-    return _dimension(events, page_key(events.columns), "page_key")
+    return numbered(events, ["page_key"])["page_key"]
 
 
 def dim_link_type(events: DataFrame) -> DataFrame:
-    return _dimension(events, link_type_key(events.columns), "link_type_key")
+    return numbered(events, ["link_type_key"])["link_type_key"]
 
 
 def dim_component(events: DataFrame) -> DataFrame:
-    return _dimension(events, component_key(events.columns), "component_key")
+    return numbered(events, ["component_key"])["component_key"]
 
 
 def dimensions(events: DataFrame) -> Star:
+    keyed = numbered(events, list(NATURAL_KEYS))
     return Star(
-        dim_date(events),
-        dim_organization(events),
-        dim_site(events),
-        dim_page(events),
-        dim_link_type(events),
-        dim_component(events),
+        _dated(keyed["date_key"]),
+        _organized(events, keyed.get("org_key")),
+        keyed["site_key"],
+        keyed["page_key"],
+        keyed["link_type_key"],
+        keyed["component_key"],
     )
 
 

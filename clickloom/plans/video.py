@@ -221,9 +221,14 @@ def viewer_video(sess: DataFrame, view_counts: DataFrame) -> DataFrame:
 
 def metadata(video: DataFrame) -> DataFrame:
     """Longest reported duration, and title, type and address of the latest event (even when NULL)."""
-    described = F.struct("timestamp", "video_title", "video_type", "video_address")
-    latest = video.groupBy("video_id").agg(
-        F.max("video_duration").alias("reported_duration"), F.max(described).alias("latest")
+    # Numbers first, which needs no sort; only the rows of each video's last moment are compared as a whole.
+    last = video.groupBy(F.col("video_id").alias("last_id")).agg(
+        F.max("video_duration").alias("reported_duration"), F.max("timestamp").alias("last_time")
+    )
+    described = F.struct("video_title", "video_type", "video_address")
+    same = F.col("video_id").eqNullSafe(F.col("last_id")) & F.col("timestamp").eqNullSafe(F.col("last_time"))
+    latest = (
+        video.join(last, same).groupBy("video_id", "reported_duration").agg(F.max(described).alias("latest"))
     )
     return latest.select(
         "video_id",

@@ -51,7 +51,7 @@ def sample(value: str, k: int, where: str = "true") -> str:
 
 def coverage() -> str:
     names = ["gpn", "email", "session_id", "user_id", "hr_division", "hr_job_title"]
-    names += ["CP_" + k for k in PROPERTIES][:15]
+    names += ["CP_" + k for k in PROPERTIES]
     rows = " union all ".join(
         f"select '{c}' as field, count({c}) as filled, count(*) as total, "
         f"{rounded(f'100e0 * count({c}) / count(*)', 1)} as pct from ev"
