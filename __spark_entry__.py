@@ -210,7 +210,8 @@ def _native_queries() -> dict[str, Query]:
             ["distinct_values"],
         ),
         "raw_sample": lambda s, d: explore.raw_sample(_log(s, d)).withColumn(
-            "properties", F.size("properties")
+            "properties",
+            F.array_sort(F.transform(F.map_entries("properties"), lambda p: F.concat(p["key"], F.lit("="), p["value"]))),
         ),
         "flatten_props": lambda s, d: flat.export_view(flat.flatten(_log(s, d))),
         "flatten_unprefixed": lambda s, d: flat.flatten(_log(s, d), prefix=""),

@@ -149,7 +149,8 @@ ORACLE: dict[str, str] = {
     ),
     "raw_sample": with_log(
         f"""select {stamp(TS)} as "timestamp", name, user_id as user_Id, session_id as session_Id,
-          client_CountryOrRegion, cast(coalesce(len(json_keys(cp)), 0) as int) as properties
+          client_CountryOrRegion, coalesce(array_to_string(list_sort(list_transform(json_keys(cp),
+            lambda k: k || '=' || coalesce(json_extract_string(cp, '$."' || k || '"'), ''))), '|'), '') as properties
           from log order by {TS}, 2, 3, 4, 5, details limit 10"""
     ),
     "flatten_props": with_log(
