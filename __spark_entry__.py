@@ -24,7 +24,7 @@ from oracle.views import DAYS, PEPPER
 try:  # the corpus operators may be absent; everything else works without them
     import corpus_pipeline
     from clickloom.llm import queries as corpus_queries
-except ModuleNotFoundError as error:
+except ImportError as error:
     if error.name not in ("corpus_pipeline", "clickloom.llm"):
         raise
     corpus_pipeline = corpus_queries = None
