@@ -17,7 +17,7 @@ from clickloom.operators import flatten as flat
 from clickloom.operators.upsert import upsert
 from clickloom.plans import anonymize, enrich, explore, profile, star, video
 from clickloom.session import materialize
-from oracle import bindings
+from oracle import bindings, deliveries
 from oracle.queries import ORACLE
 from oracle.views import DAYS, PEPPER
 
@@ -227,6 +227,8 @@ def _native_queries() -> dict[str, Query]:
         "precision_check": lambda s, d: profile.precision_check(bindings.click_events(s, d)),
         "local_time_sample": lambda s, d: enrich.local_time_sample(_sessions(s, d)),
         "upsert_overlap": _upsert_overlap,
+        "ingest_delta": deliveries.stored_events,
+        "manifest_report": deliveries.manifest,
         # video engagement
         "video_actions": lambda s, d: video.action_distribution(video.video_events(_sessions(s, d))),
         "video_segments": _video_segments,

@@ -16,6 +16,7 @@ from oracle.views import (
     with_video,
 )
 from oracle.bindings import PROPERTIES
+from oracle.deliveries import FILES, STORED
 
 # What the bindings write into the properties of an event.
 KEYS = ("ContentOwner", *PROPERTIES)
@@ -365,3 +366,13 @@ def with_flags(sql: str, counts: tuple[str, ...]) -> str:
 
 ORACLE["volume_overview_approx"] = with_flags(ORACLE["volume_overview"], VISITORS)
 ORACLE["key_inventory_approx"] = with_flags(ORACLE["key_inventory"], ("distinct_values",))
+
+ORACLE["ingest_delta"] = with_base(
+    f"""{STORED} select {stamp("t")} as "timestamp", user_id, session_id, name, event_id, label from stored"""
+)
+ORACLE["manifest_report"] = with_base(
+    f"""{STORED} select '{FILES["a"]}' as filename, count(*) as row_count, '2024-01-31' as date_suffix,
+      'new' as first_run, 'skipped' as second_run from file_a
+    union all select '{FILES["b"]}', count(*), '2024-02-29', 'new', 'changed' from next_b
+    union all select '{FILES["c"]}', count(*), '2024-03-31', 'skipped', 'new' from file_c"""
+)
