@@ -18,7 +18,7 @@ TIE, PART = "__tie", "__part"
 
 
 # Texts sent to a Python worker at once: a few long ones rather than ten thousand rows of any length.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "2m"
 
 
 def in_small_batches(df: DataFrame) -> DataFrame:

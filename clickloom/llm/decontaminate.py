@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.llm import bloom
+from clickloom.llm.common import in_small_batches
 from clickloom.llm.shingles import WordHashes, grams
 from clickloom.session import materialize
 
@@ -128,7 +129,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     segments = bloom.segments_for(n_grams or 0, 64)
     shared = spark.sparkContext.broadcast(bloom.filter_of(positions.select("gram"), segments))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.select("doc_id", "text").mapInArrow(
+    found = in_small_batches(docs).select("doc_id", "text").mapInArrow(
         _passages(shared, segments, int(reach or 0)),
         f"doc_id {id_type}, start long, words binary, grams array<long>",
     )

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.llm.common import chunks_of, clear_of, fold_payloads
+from clickloom.llm.common import chunks_of, clear_of, fold_payloads, in_small_batches
 
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 16
@@ -90,7 +90,7 @@ def fit(labelled: DataFrame, alpha: float = 0.1) -> LanguageModel:
     the number of buckets is halved until it fits.
     """
     spark = labelled.sparkSession
-    rows = labelled.where("text is not null and lang is not null").select("lang", "text")
+    rows = in_small_batches(labelled).where("text is not null and lang is not null").select("lang", "text")
     n_langs = labelled.where("lang is not null").agg(F.count_distinct("lang")).first()[0]
     bits = BUCKET_BITS
     while bits > 1 and (n_langs << bits) * 4 > MODEL_BYTES:
@@ -158,5 +158,5 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 names[i], scores[i] = langs[b], s
         return pa.StructArray.from_arrays([pa.array(names), pa.array(scores)], ["lang_pred", "score"])
 
-    docs = clear_of(docs, "lang_pred", "score")
+    docs = clear_of(in_small_batches(docs), "lang_pred", "score")
     return docs.withColumn("__scored", scored("text")).select(*docs.columns, "__scored.*")

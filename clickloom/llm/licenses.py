@@ -10,6 +10,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from clickloom.llm.common import in_small_batches
 from clickloom.llm.shingles import PLAIN
 
 # Phrases and their labels.
@@ -167,7 +168,7 @@ def scan(
         raise ValueError(f"at most {MAX_TEMPLATES} templates")
     sets = [(label, frozenset(words_of(text))) for label, text in templates.items()]
     wanted = {phrase.encode(): label for phrase, label in phrases.items()}
-    texts = docs.select("doc_id", "text")
+    texts = in_small_batches(docs).select("doc_id", "text")
     universe = frozenset().union(*[t for _, t in sets])
     tally = texts.mapInArrow(_token_counts(universe), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
     frequency = {bytes(r["token"]): r["n"] for r in tally.collect()}  # one row per template word

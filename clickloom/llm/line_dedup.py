@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.llm import bloom
-from clickloom.llm.common import SPACE, clear_of, fold_payloads, lower_ascii, texts_in
+from clickloom.llm.common import SPACE, clear_of, fold_payloads, in_small_batches, lower_ascii, texts_in
 from clickloom.session import materialize
 
 MIN_KEY_CHARS = 10
@@ -99,7 +99,7 @@ def repeated_lines(docs: DataFrame, least: int = MIN_KEY_CHARS) -> DataFrame:
     text, so that confirmation is exact. The merged filter is at most 16 MiB and is broadcast.
     """
     spark = docs.sparkSession
-    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    texts = in_small_batches(docs).where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     newlines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     lines = texts.agg(F.sum(newlines + 1)).first()[0] or 0
     segments = bloom.segments_for(lines)

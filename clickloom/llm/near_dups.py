@@ -30,13 +30,13 @@ _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """One byte of each of the MinHash values of non-empty shingle sets; shape (sets, HASHES)."""
+    """MinHash values of non-empty shingle sets, 32 bits of each; shape (sets, HASHES)."""
     starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
     flat = np.concatenate(sets)
     out = np.empty((len(sets), HASHES), np.uint64)
     for k, factor in enumerate(_MULTIPLIERS):
         out[:, k] = np.minimum.reduceat(flat * factor, starts)
-    return mixed(out)
+    return (mixed(out) >> np.uint64(32)).astype(np.uint32)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,13 +66,13 @@ def prefixes(signature: np.ndarray, tree: int, depth: int) -> np.ndarray:
     round; the low bits name the tree."""
     h = np.full(len(signature), depth * TREES + tree, np.uint64)
     for i in range(depth):
-        h = (h ^ signature[:, (tree * STEP + i) % HASHES]) * _BASE
+        h = (h ^ signature[:, (tree * STEP + i) % HASHES].astype(np.uint64)) * _BASE
         h ^= h >> np.uint64(29)
     return (mixed(h) & ~np.uint64(31) | np.uint64(tree)).view(np.int64)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
 
 
 def _rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

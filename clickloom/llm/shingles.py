@@ -8,7 +8,7 @@ import xxhash
 from clickloom.llm.common import mixed
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-MEMO_WORDS = 200_000
+MEMO_WORDS = 50_000
 # A-Z to lower case, every other ASCII character that is no letter or digit to a blank.
 PLAIN = bytes(ord(chr(b).lower()) if b > 127 or chr(b).isalnum() else 32 for b in range(128)) + bytes(range(128, 256))
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.llm import id_coder
-from clickloom.llm.common import running_totals
+from clickloom.llm.common import in_small_batches, running_totals
 from clickloom.session import materialize
 
 END_ID = 0
@@ -113,7 +113,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Dat
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     # Rows with one id are spread by their place; their order among themselves does not matter.
-    placed = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("place"))
+    placed = in_small_batches(docs).select("doc_id", "text", F.monotonically_increasing_id().alias("place"))
     by = [F.col("doc_id").asc_nulls_first(), F.col("place").asc()]
     ordered = placed.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
     rows = ordered.mapInArrow(
