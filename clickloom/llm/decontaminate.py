@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from clickloom.llm import bloom
 from clickloom.llm.common import in_small_batches
@@ -14,7 +14,6 @@ from clickloom.llm.shingles import WordHashes, grams
 from clickloom.session import materialize
 
 SEED_WORDS = 4
-SEED_SPAN = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
 BROADCAST_WORDS = 1_000_000
@@ -90,7 +89,9 @@ def _aligned(words: pa.Array, item_words: pa.Array, start: pa.Array) -> pa.Array
     rows = []
     for w, i, s in zip(words, item_words, start.to_pylist()):
         text, item = (np.frombuffer(x.as_buffer(), np.uint64) for x in (w, i))
-        score, end, item_end = best_alignment(text, item)
+        # Every point of the score needs a matching word, so with fewer than half of the words it cannot be 0.5.
+        enough = np.isin(item, text).sum() >= LEAST_SCORE * len(item)
+        score, end, item_end = best_alignment(text, item) if enough else (0, 0, 0)
         share = score / (MATCH * len(item)) if len(item) else 0.0
         # The alignment's start is the end of the best one on reversed sequences.
         back = best_alignment(text[:end][::-1], item[:item_end][::-1])[1] if share >= LEAST_SCORE else 0
@@ -105,10 +106,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that hold a copy of a benchmark item, whole or edited, and where.
 
     Words are lower-cased and freed of ASCII punctuation. Texts are read once: a Bloom filter of all the items'
-    word 4-grams (16 MiB at most) picks the stretches around possible hits. Of every four consecutive n-grams
-    of an item the one that the fewest stretches hold is a seed, so each part of an item keeps one however
-    frequent the item is. Stretches that share a seed with an item are aligned with it; the score is the
-    alignment's share of the score of a whole verbatim copy, and 0.5 or more is contamination.
+    word 4-grams (16 MiB at most) picks the stretches around possible hits. Every n-gram of an item is a seed, however
+    frequent. Stretches that share a seed with an item are aligned with it, but for those that hold fewer than
+    half of the item's words; the score is the alignment's share of the score of a whole verbatim copy, and
+    0.5 or more is contamination. A copy that keeps no four consecutive words has no seed and is not found.
 
     Items with fewer than four words or a NULL text match nothing; repeated items are judged one by one; texts
     that are NULL or shorter match nothing. A document without an id appears with a NULL id. Other columns are
@@ -134,18 +135,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         f"doc_id {id_type}, start long, words binary, grams array<long>",
     )
     passages = materialize(found.withColumn("passage", F.monotonically_increasing_id()), "passages")
-    hits = passages.select("passage", F.explode("grams").alias("gram"))
-    spread = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("passages"))
-    # One block of an item's n-grams per window partition: at most SEED_SPAN rows.
-    block = Window.partitionBy("item", F.floor(F.col("at") / SEED_SPAN)).orderBy("passages", "at")
-    seeds = (
-        positions.join(spread, "gram")
-        .withColumn("rank", F.row_number().over(block))
-        .where("rank = 1")
-        .select("item", "gram")
-    )
     small = (n_words or 0) <= BROADCAST_WORDS
-    seeds = materialize(seeds, "seeds")
+    seeds = positions.select("item", "gram").distinct()
+    hits = passages.select("passage", F.explode("grams").alias("gram"))
     pairs = hits.join(F.broadcast(seeds) if small else seeds, "gram").select("passage", "item").distinct()
     texts = items.select("item", "item_id", "item_words")
     aligned = F.arrow_udf(_aligned, "score double, first_word long, last_word long")
