@@ -104,20 +104,21 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def linking_pairs(
-    signature: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], tree: int | None
+    signature: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], tree: int | None, second: int = 0
 ) -> tuple[np.ndarray, np.ndarray]:
     """Links that join all components which any similar pair with well-agreeing signatures joins.
 
     Components grow with every link, so there are fewer links than members. With ``tree``, pairs that also
-    share an earlier tree's bucket are left to that.
+    share an earlier tree's bucket are left to that. With ``second``, the members before that position are
+    compared with those from it on and with no others.
     """
     a, b = [], []
     low, root, size = signature.astype(np.uint8), comp.copy(), np.array([len(s) for s in sets])
-    for i in range(len(low) - 1):
-        rest = slice(i + 1, None)
+    for i in range(second or len(low) - 1):
+        rest = slice(second or i + 1, None)
         near = ((low[rest] == low[i]).sum(axis=1) >= LIKELY) & (root[rest] != root[i])
         near &= 100 * np.minimum(size[rest], size[i]) >= PERCENT * np.maximum(size[rest], size[i])
-        at = np.flatnonzero(near) + i + 1
+        at = np.flatnonzero(near) + rest.start
         if tree is not None and len(at):
             shared = (signature[at] == signature[i]).reshape(len(at), TREES, STEP).all(axis=2)
             at = at[shared.argmax(axis=1) == tree]
@@ -157,12 +158,17 @@ def _in_buckets(choose):
         key, rep, comp = (table[c].to_numpy() for c in ("key", "rep", "comp"))
         signature = _matrix(table["signature"].combine_chunks())
         sets = table["shingles"].to_pylist() if "shingles" in table.column_names else None
+        side = table["side"].to_numpy() if "side" in table.column_names else None
         for own in buckets:
+            second = ()
+            if side is not None:
+                own = own[np.argsort(side[own], kind="stable")]
+                second = (int((side[own] == 0).sum()) if side[own[-1]] else 0,)
             if sets is None:
                 a, b = choose(signature[own].astype(np.uint8), comp[own])
             else:
                 texts = [np.frombuffer(sets[i], np.uint64) for i in own]
-                a, b = choose(signature[own], comp[own], texts, int(key[own[0]]) & 31)
+                a, b = choose(signature[own], comp[own], texts, int(key[own[0]]) & 31, *second)
             if len(a):
                 columns = np.full(len(a), key[own[0]]), rep[own[a]], rep[own[b]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "a", "b"])
@@ -233,8 +239,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     binds groups of copies of any size by a star. Buckets that still hold several components are searched for
     pairs of different components with well-agreeing signatures: first for the edges of a spanning tree, fewer
     than the bucket has members; then, where components are left apart, all such pairs are compared inside the
-    bucket, which gives out only links. Buckets with more than 2048 members or 4 million shingles are parted by longer prefixes, as deep as the region needs, and all their members are
-    compared with the smallest one too. Every pair found is confirmed on whole sets. A pair at similarity 0.75 shares a bucket with
+    bucket, which gives out only links. Buckets with more than 2048 members or 4 million shingles are first parted
+    by longer prefixes, as deep as the region needs, and all their members are compared with the smallest one too,
+    which joins most of what they hold; where components are left apart, the bucket is cut into blocks, and every
+    two blocks are searched for such pairs by a task of their own. Every pair found is confirmed on whole sets. A pair at similarity 0.75 shares a bucket with
     probability 0.9995, one at 0.85 with 1 - 3e-7.
 
     Rows without an id are linked with nothing. Rows that share an id are one document. Other columns are not
@@ -265,7 +273,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = materialize(_confirmed(stars, docs), "star-links")
     roots = components(links)
 
-    rows, star, parted = _open_buckets(shared, reps, roots)
+    rows, star, crowd, parted = _open_buckets(shared, reps, roots)
     # The edges of spanning trees join most of what belongs together.
     spans = materialize(_picked(rows, spanning_pairs), "spanning-pairs")
     edges = materialize(spans.select("a", "b").unionByName(star).distinct(), "spanning-edges")
@@ -283,6 +291,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         links = links.unionByName(more)
         roots = components(links)
+    if parted:
+        crowd = materialize(_several(_with_roots(crowd, roots)).drop("members", "leader", "weight"), "crowds")
+        if not crowd.isEmpty():
+            links = links.unionByName(materialize(_crowd_links(crowd, docs), "crowd-links"))
+            roots = components(links)
 
     grouped = classes.join(roots, classes["rep"] == roots["node"], "left").select(
         F.col("set_key").alias("class"), F.coalesce("root", "rep").alias("group_id")
@@ -299,22 +312,66 @@ def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.withColumn("comp", F.coalesce("root", "rep")).drop("node", "root")
 
 
-def _open_buckets(shared: DataFrame, reps: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+def _crowd_links(crowd: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links that join all components which likely pairs inside crowded buckets join.
+
+    A bucket is cut into blocks of half a bucket's room. A component that fills a block has blocks of its own,
+    which are not compared with each other; every other two blocks of a bucket make a task.
+    """
+    room, room_shingles = CROWD / 2, CROWD_SHINGLES / 2
+    groups = materialize(
+        crowd.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w")),
+        "crowd-components",
+    )
+    large = (F.col("n") > room) | (F.col("w") > room_shingles)
+    blocks = F.ceil(F.greatest(F.col("n") / room, F.col("w") / room_shingles))
+    own = groups.where(large).select("key", "comp", F.col("comp").alias("whole"), blocks.alias("own"))
+    rest = groups.where(~large).groupBy("key").agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+    part = F.pmod(F.xxhash64("rep"), F.coalesce("own", "rest"))
+    members = materialize(
+        crowd.join(own, ["key", "comp"], "left")
+        .join(rest.select("key", blocks.alias("rest")), "key", "left")
+        .withColumn("block", F.xxhash64(F.col("whole").isNotNull(), "whole", part))
+        .drop("own", "rest"),
+        "crowd-blocks",
+    )
+    named = materialize(members.select("key", "whole", "block").distinct(), "block-names")
+    first, second = (named.select("key", F.col("whole").alias(f"whole_{s}"), F.col("block").alias(s)) for s in "ab")
+    apart = F.coalesce(F.col("whole_a") != F.col("whole_b"), F.lit(True))
+    # The key of two blocks keeps the name of the tree.
+    pair = F.xxhash64("key", "a", "b").bitwiseAND(F.lit(~31)).bitwiseOR(F.col("key").bitwiseAND(F.lit(31)))
+    pairs = first.join(second, "key").where((F.col("a") <= F.col("b")) & apart).withColumn("pair", pair)
+    sides = pairs.select("key", F.col("a").alias("block"), "pair", F.lit(0).alias("side")).unionByName(
+        pairs.where("a < b").select("key", F.col("b").alias("block"), "pair", F.lit(1).alias("side"))
+    )
+    sets = _shingle_sets(members.select(F.col("rep").alias("id")), docs)
+    rows = (
+        members.join(materialize(sides, "block-pairs"), ["key", "block"])
+        .join(sets, members["rep"] == sets["id"])
+        .select(F.col("pair").alias("key"), "rep", "comp", "signature", "shingles", "side")
+    )
+    return _picked(rows, linking_pairs).select("a", "b").distinct()
+
+
+def _open_buckets(
+    shared: DataFrame, reps: DataFrame, roots: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
     """Buckets with several components, parted by longer prefixes where they are crowded; pairs of the crowded
-    ones' members with the smallest; and whether any was parted."""
+    ones' members with the smallest; the crowded ones as they were; and whether any was parted."""
     wide = ["key", "rep", "comp", "signature", "n_shingles"]
     rows = _several(_with_roots(shared.select("key", "rep").join(reps, "rep"), roots))
-    small, star, parted, depths = None, None, False, iter(DEPTHS[1:])
+    small, star, first, parted, depths = None, None, None, False, iter(DEPTHS[1:])
     while True:
         rows = materialize(rows, "open-buckets")
         crowded = (F.col("members") > CROWD) | (F.col("weight") > CROWD_SHINGLES)
         fine, crowd = rows.where(~crowded), rows.where(crowded)
         edges = crowd.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
+        first = crowd.select("key", "rep", "signature", "n_shingles") if first is None else first
         small = fine if small is None else small.unionByName(fine)
         star = edges if star is None else star.unionByName(edges)
         depth = next(depths, None)
         if depth is None or crowd.isEmpty():
-            return small.select(wide), star, parted
+            return small.select(wide), star, first, parted
         parted = True
         rows = _several(
             crowd.select(wide).mapInArrow(
