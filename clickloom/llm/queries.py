@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.llm import decontaminate, language, licenses, line_dedup, lm_score, near_dups, packing, quality, sharding, token_ids
+from clickloom.llm import (
+    decontaminate, language, licenses, line_dedup, lm_score, near_dups, packing, personal_data, prefix_trie, quality,
+    ranked_search, sharding, token_ids,
+)
 from clickloom.llm.common import crc_of_id, documents
 
 
@@ -70,6 +73,29 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number_of(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return personal_data.find(documents(spark, sf_dir)).select(
+        "doc_id",
+        *[number_of(kind) for kind in personal_data.KINDS],
+        F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
+def op12_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -81,8 +107,26 @@ QUERIES = {
     "op8_lsh_forest": op8_lsh_forest,
     "op9_token_ids": op9_token_ids,
     "op10_sharding": op10_sharding,
+    "op11_disclosure_sanitisation": op11_disclosure_sanitisation,
+    "op12_fp_tree_search": op12_fp_tree_search,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
+
+def crc_of(id_column: str, table: str) -> str:
+    """Common table expressions ending in crc_of (id, crc): crc32 of the ids as decimal text, from its polynomial."""
+    return f"""
+        crc_table as (
+            select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, x: if(c % 2 = 1, xor(c >> 1, 3988292384), c >> 1))) as t
+        ), crc_of as (
+            select id, xor(4294967295, list_reduce(
+                list_prepend(4294967295, list_transform(string_split(id::varchar, ''), lambda c: ascii(c)::bigint)),
+                lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]))) as crc
+            from (select distinct {id_column} as id from {table} where {id_column} is not null), crc_table
+        )"""
+
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": r"""
         with cut as (
@@ -198,4 +242,57 @@ ORACLE: dict[str, str] = {
             if(n_base > 0, 1.0::double, coalesce(score, 0)) as score, coalesce(n_blocks, 0) as n_blocks
         from words left join base using (doc_id) left join scored using (doc_id) left join named using (doc_id)
     """,
+    "op12_fp_tree_search": r"""
+        with terms as (
+            select row_number() over () as r, doc_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from documents
+        ), sizes as (select r, doc_id, count(*) as n from terms group by r, doc_id),
+        total as (select count(*) as docs, sum(n)::bigint as all_terms from sizes),
+        held as (select r, term, count(*) as tf from terms group by r, term),
+        wanted as (
+            select distinct item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark
+        ), weights as (
+            select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w
+            from held, total group by term, docs
+        ), scored as (
+            select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // all_terms))))::bigint as score
+            from wanted join weights using (term) join held using (term) join sizes using (r), total
+            group by item_id, doc_id, r
+        )
+        select item_id, (row_number() over (partition by item_id order by score desc, doc_id nulls first))::integer as rank, doc_id, score
+        from scored where score > 0 qualify rank <= 50
+    """,
+    "op13_prefix_trie": "with" + crc_of("conv_id", "conversations") + r""", turns as (
+            select conv_id, list({'id': id, 'words': words} order by turn nulls first, id) as t
+            from (
+                select conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as words,
+                    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id
+                from conversations where conv_id is not null
+            ) group by conv_id
+        ), rebuilt as (
+            select c.conv_id, list_concat(coalesce(b.t[1 : crc % 4], c.t[1 : 0]), c.t[crc % 4 + 1 :]) as t
+            from turns c join crc_of on c.conv_id = id left join turns b on b.conv_id = c.conv_id - c.conv_id % 20
+        ), members as (
+            select conv_id, d as depth, list_transform(t[1 : d], lambda x: x.id) as p, t[d].words as w, len(t) = d as ended
+            from rebuilt, unnest(range(len(t) + 1)) as r(d)
+        ), nodes as (
+            select depth, p, min(conv_id) as conv_id, count(*) as n_convs, coalesce(any_value(w), 0) as w,
+                sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ended), '')) as ends_sha256
+            from members group by depth, p
+        ), kids as (
+            select p[1 : depth - 1] as p, count(*) as n from nodes where depth > 0 group by all
+        ), sums as (
+            select n.p[1 : d] as p, count(*) filter (where k.n is null) as n_leaves, sum((n_convs - 1) * w)::bigint as saved_tokens
+            from nodes n left join kids k using (p), unnest(range(depth + 1)) as r(d) group by all
+        )
+        select n.conv_id, n.depth, u.conv_id as parent_conv_id, n.n_convs, coalesce(k.n, 0) as n_children, n_leaves,
+            saved_tokens, n.ends_sha256
+        from nodes n join sums s on s.p = n.p left join kids k on k.p = n.p
+        left join nodes u on n.depth > 0 and u.p = n.p[1 : n.depth - 1]
+    """,
 }
