@@ -229,6 +229,7 @@ def _native_queries() -> dict[str, Query]:
         "upsert_overlap": _upsert_overlap,
         "ingest_delta": deliveries.stored_events,
         "manifest_report": deliveries.manifest,
+        "column_kinds": deliveries.column_kinds,
         # video engagement
         "video_actions": lambda s, d: video.action_distribution(video.video_events(_sessions(s, d))),
         "video_segments": _video_segments,

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Literal
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickloom.functions import parse_export_time
 from clickloom.operators.upsert import upsert
 from clickloom.sources import files
-from clickloom.sources.store import MANIFEST, EventStore, Version, updated_manifest
+from clickloom.sources.store import MANIFEST, TIME, TIME_TEXT, ColumnKind, EventStore, Version, updated_manifest
 
 Mode = Literal["delta", "full_refresh", "file"]
 
@@ -21,6 +22,7 @@ class Ingested:
     files: dict[str, str]  # name -> reason
     row_counts: dict[str, int]
     without_time: int  # rows whose time is missing or in no accepted spelling
+    widened: list[str]  # columns of times that are texts from this version on
 
 
 def ingest(
@@ -36,7 +38,8 @@ def ingest(
     ``delta`` takes new and changed files of a folder, ``file`` one file whatever the manifest says, and
     ``full_refresh`` all files into an empty store. All files are merged in one pass, later files winning
     over earlier ones, and only the UTC days they touch are rewritten (the time is part of the key).
-    ``date_columns`` names the columns of times besides the event time; by default they are found.
+    A column is a time while all values ever delivered in it are; with the first other value it becomes a text,
+    for the rows stored before as well. ``date_columns`` declares columns to be times whatever they hold.
     ``verify_all`` hashes every file again, also those whose length and change time are as recorded.
     """
     refresh = mode == "full_refresh"
@@ -50,22 +53,18 @@ def ingest(
         return None
 
     target_version = store.next(refresh)
-    version = store.current()
-    schema = None if refresh or version.number == 0 else store.schema(version)
-    staged = files.read_exports(spark, exports, schema, date_columns)
-    counted = (
-        staged.groupBy(files.FILE)
-        .agg(F.count("*").alias("n"), F.count_if(F.col(files.TIME).isNull()).alias("timeless"))
-        .collect()
-    )  # one row per file
-    per_file = {r[files.FILE]: r.n for r in counted}
-    row_counts = {e.filename: per_file.get(e.uri, 0) for e in exports}
-
-    batch = staged.drop(files.FILE)
-    days = [r.day for r in batch.select(F.to_date("timestamp").alias("day")).distinct().collect()]
     current = store.current()
     has_target = not refresh and current.number > 0
-    target = store.events(current, days) if has_target else None
+    columns = store.columns(current) if has_target else {}
+    staged = files.read_exports(spark, exports)
+    settled = {name for name, c in columns.items() if c.kind == "text" or name == TIME_TEXT}
+    delivered = files.profile(staged, settled)
+    row_counts = {e.filename: delivered.rows.get(e.uri, 0) for e in exports}
+    kinds = widened(columns, delivered, date_columns or ())
+
+    batch = with_event_time(staged.drop(files.FILE, files.BEYOND))
+    days = [r.day for r in batch.select(F.to_date(TIME).alias("day")).distinct().collect()]
+    target = store.stored(current, days) if has_target else None
     merged = upsert(target, batch, rank=files.RANK)
     store.write_days(merged, target_version)
 
@@ -77,5 +76,27 @@ def ingest(
         MANIFEST,
     ).withColumn("processed_at", F.current_timestamp())
     before = known.limit(0) if refresh else known
-    store.commit(target_version, merged.schema, updated_manifest(before, processed))
-    return Ingested(target_version, {e.filename: e.reason for e in exports}, row_counts, sum(r.timeless for r in counted))
+    store.commit(target_version, merged.schema, kinds.values(), updated_manifest(before, processed))
+    texts = [c.name for name, c in kinds.items() if c.kind == "text" and name in columns and columns[name].kind == "time"]
+    reasons = {e.filename: e.reason for e in exports}
+    return Ingested(target_version, reasons, row_counts, delivered.timeless, texts)
+
+
+def with_event_time(rows: DataFrame) -> DataFrame:
+    """The event time parsed; its text stays beside it where it is in no accepted spelling."""
+    if TIME not in rows.columns:
+        raise ValueError(f"no column {TIME} in the export files")
+    parsed = parse_export_time(F.col(TIME))
+    text = F.when(parsed.isNull(), F.col(TIME))
+    return rows.withColumns({TIME_TEXT: text, TIME: parsed})
+
+
+def widened(columns: dict[str, ColumnKind], delivered: files.Delivered, declared: Sequence[str]) -> dict[str, ColumnKind]:
+    """The columns known so far, with what was delivered in them added, and the new ones."""
+    kinds = dict(columns)
+    for name, filled in delivered.filled.items():
+        known = kinds.get(name.lower(), ColumnKind(name))
+        kinds[name.lower()] = known.with_values(filled, delivered.times.get(name, 0))
+    for name in {TIME, *(d.lower() for d in declared)} & kinds.keys():
+        kinds[name] = replace(kinds[name], declared=True)
+    return kinds

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -16,9 +16,12 @@ from clickloom.functions import parse_export_time
 from clickloom.schema import EXPORT_RENAMES, quoted
 from clickloom.session import materialize
 
-# Size of the pieces that a file's fingerprint is made of.
+# Size of the pieces that a file's fingerprint is made of, and lines hashed together in them.
 BLOCK_BYTES = 64 * 1024 * 1024
-FILE, RANK = "__file", "__rank"
+RUN_LINES = 4096
+# Files are opened again until their change time lies so many seconds before they were recorded.
+SETTLED_SECONDS = 10
+FILE, RANK, BEYOND = "__file", "__rank", "__beyond"
 TIME = "timestamp"
 DATE_LIKE = r"^\s*(\d{2}[./]\d{2}[./]\d{4}|\d{4}-\d{2}-\d{2})"
 # monotonically_increasing_id() keeps the row of a partition in its lower 33 bits.
@@ -83,60 +86,76 @@ def _fixed_blocks(spark: SparkSession) -> Iterator[None]:
 
 
 def fingerprints(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Per file: a fingerprint of its lines in their order, its first line, and lines with an open quote.
+    """Per file: a SHA-256 tree over its bytes, its first line, and lines with an open quote.
 
-    Files of any size are read in splits of one size. A block's digest covers the number of its lines, the sum
-    of their hashes and the sum of hash times place, twice with different hashes; the file's covers the blocks
-    in order. All are plain aggregates. Without a line of oddly many quotes no field spans lines.
+    Files of any size are read in splits of one size, cut at line feeds alone, so carriage returns are part of
+    the lines and every byte counts (whether a last line feed is there shows in the file's length). The leaves
+    are lines; runs of RUN_LINES of them, the runs of a split and the splits of a file are hashed in turn, each
+    in order. Without a line that has oddly many quotes, or quotes beside a carriage return inside it, no
+    field spans lines. One line must fit in memory.
     """
-    lines = spark.read.text(list(paths)).select(
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
         "value",
         F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)).cast("decimal(12,0)").alias("row"),
+        row.alias("row"),
     )
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    sums = {}
-    for seed in "ab":
-        h = F.pmod(F.xxhash64(F.lit(seed), "value"), F.lit(1 << 31)).cast("decimal(12,0)")
-        sums[f"{seed}_sum"] = F.sum(h)
-        sums[f"{seed}_placed"] = F.sum(h * F.col("row"))
-    blocks = lines.groupBy("uri", "block").agg(
-        F.count("*").alias("n"),
-        F.min("row").alias("base"),
-        F.min_by("value", "row").alias("first_line"),
-        F.count_if(quotes % 2 == 1).alias("open_quotes"),
-        *[total.alias(name) for name, total in sums.items()],
+    open_quotes = (quotes % 2 == 1) | ((quotes > 0) & F.rtrim(F.col("value"), F.lit("\r")).contains("\r"))
+    leaf = F.unhex(F.sha2(F.col("value").cast("binary"), 256))
+
+    def hashed(parts: str, order: str) -> Column:
+        """SHA-256 of the digests in ``parts`` in their order."""
+        listed = F.transform(F.array_sort(F.collect_list(F.struct(order, parts))), lambda p: F.hex(p[parts]))
+        return F.unhex(F.sha2(F.array_join(listed, "").cast("binary"), 256))
+
+    # A split is a partition of its own (see _fixed_blocks), so rows are counted from its start.
+    runs = (
+        lines.select("uri", "block", "row", leaf.alias("leaf"), open_quotes.cast("long").alias("odd"), F.when(F.col("row") == 0, F.col("value")).alias("line"))
+        .groupBy("uri", "block", F.floor(F.col("row") / RUN_LINES).alias("run"))
+        .agg(hashed("leaf", "row").alias("digest"), F.sum("odd").alias("odd"), F.max("line").alias("line"))
     )
-    placed = [(F.col(f"{s}_placed") - F.col("base") * F.col(f"{s}_sum")).cast("string") for s in "ab"]
-    digest = F.sha2(F.concat_ws(",", "n", *[F.col(f"{s}_sum").cast("string") for s in "ab"], *placed), 256)
-    per_file = blocks.groupBy("uri").agg(
-        F.sort_array(F.collect_list(F.struct("block", digest.alias("digest")))).alias("digests"),
-        F.max(F.when(F.col("block") == 0, F.col("first_line"))).alias("first_line"),
-        F.sum("open_quotes").alias("open_quotes"),
+    blocks = runs.groupBy("uri", "block").agg(
+        hashed("digest", "run").alias("digest"), F.sum("odd").alias("odd"), F.max("line").alias("line")
+    )
+    return blocks.groupBy("uri").agg(
+        F.lower(F.hex(hashed("digest", "block"))).alias("lines_hash"),
+        F.rtrim(F.max(F.when(F.col("block") == 0, F.col("line"))), F.lit("\r")).alias("first_line"),
+        F.sum("odd").alias("open_quotes"),
     )
-    whole = F.sha2(F.array_join(F.transform("digests", lambda d: d["digest"]), ","), 256)
-    return per_file.select("uri", whole.alias("lines_hash"), "first_line", "open_quotes")
 
 
-def parse_header(line: str) -> tuple[str, ...]:
-    """Column names of a header line; a name repeated (ignoring case) gets a number."""
+def unique_names(record: Sequence[str | None]) -> tuple[str, ...]:
+    """Column names of a header record; a name repeated (ignoring case) gets a number."""
     seen: dict[str, int] = {}
     names = []
-    for name in next(csv.reader([line.lstrip("﻿")])):
+    for name in record:
+        name = (name or "").removeprefix("\ufeff")
         count = seen.get(name.lower(), 0)
         seen[name.lower()] = count + 1
         names.append(f"{name}_{count}" if count else name)
     return tuple(names)
 
 
+def header_of(spark: SparkSession, path: str, first_line: str, spanning: bool) -> tuple[str, ...]:
+    """Column names of a file; a header with a field that spans lines is read as the record it is."""
+    if spanning and first_line.count('"') % 2:
+        record = list(spark.read.option("multiLine", True).option("escape", '"').csv(path).first())
+        record[-1] = (record[-1] or "").rstrip("\r")
+    else:
+        record = next(csv.reader([first_line]))
+    return unique_names(record)
+
+
 def pending(
     spark: SparkSession, location, manifest: DataFrame | None, force: bool = False, verify_all: bool = False
 ) -> list[Export]:
     """Files that are new or whose content changed, in processing order; all of them with ``force``.
 
-    The listing is joined with the manifest; only files it does not know, or with another length or change
-    time, are opened and hashed (all of them with ``verify_all``), and only these come to the driver.
+    The listing is joined with the manifest; only files it does not know, with another length or change time,
+    or changed just before they were recorded, are opened and hashed (all of them with ``verify_all``: a copy
+    that keeps length and time looks like the file recorded), and only these come to the driver.
     """
     listed = list_exports(spark, location)
     if manifest is None or force:
@@ -148,9 +167,11 @@ def pending(
             F.col("file_hash").alias("known_hash"),
             F.col("length").alias("known_length"),
             F.col("modified").alias("known_time"),
+            F.col("processed_at").alias("known_at"),
         )
         known = listed.join(before, listed["filename"] == before["__name"], "left")
         same = (F.col("length") == F.col("known_length")) & (F.col("modified") == F.col("known_time"))
+        same = same & (F.unix_micros("modified") < F.unix_micros("known_at") - SETTLED_SECONDS * 1_000_000)
         suspects = known if verify_all else known.where(~F.coalesce(same, F.lit(False)))
     order = [F.col("date_suffix").asc_nulls_last(), "modified", "filename"]
     found = suspects.orderBy(*order).collect()
@@ -166,18 +187,19 @@ def pending(
         if row.known_hash == file_hash:
             continue
         reason = "forced" if force else ("changed" if row.known_hash is not None else "new")
-        header = parse_header(seen.first_line) if seen and seen.first_line else ()
+        spanning = bool(seen and seen.open_quotes)
+        header = header_of(spark, row.path, seen.first_line, spanning) if seen and seen.first_line else ()
         out.append(
             Export(
                 row.path, row.uri, row.filename, row.length, row.modified, row.date_suffix, file_hash, header,
-                reason, rank, bool(seen and seen.open_quotes),
+                reason, rank, spanning,
             )
         )
     return out
 
 
 def _read_group(spark: SparkSession, paths: list[str], header: Sequence[str], spanning: bool):
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, BEYOND]])
     text = (
         spark.read.schema(schema)
         .option("header", True)
@@ -186,45 +208,20 @@ def _read_group(spark: SparkSession, paths: list[str], header: Sequence[str], sp
         .option("multiLine", spanning)
         .csv(paths)
     )
+    if spanning and header:  # read whole, a line's end may leave its carriage return in the last field
+        text = text.withColumn(header[-1], F.regexp_replace(quoted(header[-1]), "\r$", ""))
     # An empty field is a missing value, whether quoted or not.
     return text.select(
-        *[F.nullif(quoted(name), F.lit("")).alias(name) for name in header],
+        *[F.nullif(quoted(name), F.lit("")).alias(name) for name in [*header, BEYOND]],
         F.col("_metadata.file_path").alias(FILE),
     )
 
 
-def time_columns(rows: DataFrame, known: T.StructType | None = None) -> list[str]:
-    """Text columns that hold times: the event time, and those whose values all are in an accepted spelling.
-
-    A column that ``known`` (the table to add to) has keeps its kind: a time stays one, a text stays text.
-    """
-    kinds = {f.name.lower(): f.dataType for f in known.fields} if known else {}
-    texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType) and f.name != FILE]
-    sure = [c for c in texts if c.lower() == TIME or isinstance(kinds.get(c.lower()), T.TimestampType)]
-    open_ = [c for c in texts if c not in sure and c.lower() not in kinds]
-    if not open_:
-        return sure
-
-    def odd(name: str) -> Column:
-        value = quoted(name)
-        # Parsing is tried only on values that begin like a date.
-        parsed = F.when(value.rlike(DATE_LIKE), parse_export_time(value))
-        return F.count_if(value.isNotNull() & parsed.isNull())
-
-    tally = rows.agg(*[F.struct(F.count(quoted(c)), odd(c)).alias(f"c{i}") for i, c in enumerate(open_)]).first()
-    return sure + [c for c, (filled, other) in zip(open_, tally) if filled and not other]
-
-
-def read_exports(
-    spark: SparkSession,
-    exports: Sequence[Export],
-    known: T.StructType | None = None,
-    date_columns: Sequence[str] | None = None,
-) -> DataFrame:
-    """Rows of all files as text columns with parsed times, plus the file and its rank.
+def read_exports(spark: SparkSession, exports: Sequence[Export]) -> DataFrame:
+    """Rows of all files as text columns, plus the file, its rank, and a field beyond the header if a row has one.
 
     Files are read together per header, and headers are united by name. A field may span lines: only files
-    with such fields are parsed whole. Without ``date_columns`` the columns of times are found in the rows.
+    with such fields are parsed whole, each by one task.
     """
     groups: dict[tuple, list[str]] = {}
     for e in exports:
@@ -232,13 +229,45 @@ def read_exports(
     parts = [_read_group(spark, paths, h, whole) for (h, whole), paths in groups.items()]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     ranks = spark.createDataFrame([(e.uri, e.rank) for e in exports], f"{FILE} string, {RANK} int")
-    rows = materialize(rows.withColumnsRenamed(EXPORT_RENAMES).join(ranks, FILE), "delivered")
-    if date_columns is None:
-        times = time_columns(rows, known)
-    else:
-        wanted = {TIME, *(c.lower() for c in date_columns)}
-        times = [c for c in rows.columns if c.lower() in wanted]
-    return rows.withColumns({c: parse_export_time(quoted(c)) for c in times})
+    return materialize(rows.withColumnsRenamed(EXPORT_RENAMES).join(ranks, FILE), "delivered")
+
+
+def is_time(value: Column) -> Column:
+    """Whether a text is a time in an accepted spelling; parsing is tried only on what begins like a date."""
+    return F.coalesce(F.when(value.rlike(DATE_LIKE), parse_export_time(value)).isNotNull(), F.lit(False))
+
+
+@dataclass(frozen=True)
+class Delivered:
+    """What a batch of files holds: rows and rows without a usable time per file, filled values and times per column."""
+
+    rows: dict[str, int]
+    timeless: int
+    filled: dict[str, int]
+    times: dict[str, int]
+
+
+def profile(rows: DataFrame, settled: Collection[str] = ()) -> Delivered:
+    """One pass over the rows of ``read_exports``; times are not looked for in the ``settled`` columns.
+
+    Raises ValueError when a row has more fields than its header.
+    """
+    texts = [c for c in rows.columns if c not in (FILE, RANK, BEYOND)]
+    wanted = [c for c in texts if c.lower() not in settled]
+    counts = rows.groupBy(FILE).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count(BEYOND).alias("beyond"),
+        F.array(*[F.count(quoted(c)) for c in texts]).alias("filled"),
+        F.array(*[F.count_if(is_time(quoted(c))) for c in wanted], F.lit(0).cast("long")).alias("times"),
+    )
+    per_file = counts.collect()  # one row per file
+    wide = sorted(r[FILE] for r in per_file if r.beyond)
+    if wide:
+        raise ValueError(f"rows with more fields than the header: {', '.join(wide)}")
+    filled = {c: sum(r.filled[i] for r in per_file) for i, c in enumerate(texts)}
+    times = {c: sum(r.times[i] for r in per_file) for i, c in enumerate(wanted)}
+    n = {r[FILE]: r.n for r in per_file}
+    return Delivered(n, sum(n.values()) - times.get(TIME, 0), filled, times)
 
 
 def time_quality(rows: DataFrame, column: str = "timestamp") -> DataFrame:

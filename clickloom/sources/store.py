@@ -1,28 +1,40 @@
 """Accumulated raw events and the manifest of processed files, as versioned Parquet folders.
 
     <root>/generation=G/data/version=N/event_date=D/   rows of one UTC day as of version N
-    <root>/generation=G/commits/version=N/schema       columns of the table as of version N
+    <root>/generation=G/commits/version=N/schema       stored columns of the table as of version N
+    <root>/generation=G/commits/version=N/columns      the kind of each column as of version N
     <root>/generation=G/commits/version=N/manifest     processed files; written last, commits the version
 
 A version only writes the days its deliveries touch; for every other day the latest earlier folder holds.
 Readers see a version once its manifest is complete, so a run that dies leaves the store as it was, and
 rows are never replaced in place. A full refresh starts a new generation.
+
+Values are stored as the texts that were delivered; only the event time is stored as a time (and its text beside
+it where it is none). What a column *is* stands in the commit: a time while every value so far was one, a text
+from the first other value on. Readers see columns of that kind, so a column that widens needs no day
+rewritten and loses nothing.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from clickloom.functions import parse_export_time
+from clickloom.schema import quoted
+
 MANIFEST = (
     "filename string, file_hash string, row_count int, processed_at timestamp, date_suffix date, "
     "length long, modified timestamp"
 )
+COLUMNS = "name string, kind string, filled long, times long, declared boolean"
 DAY = "event_date"
+TIME, TIME_TEXT = "timestamp", "__timestamp_text"
 NO_DAY = f"{DAY}=__HIVE_DEFAULT_PARTITION__"
 
 
@@ -34,6 +46,31 @@ def folder_day(name: str) -> date | None:
     return None if name == NO_DAY else date.fromisoformat(name.removeprefix(f"{DAY}="))
 
 
+@dataclass(frozen=True)
+class ColumnKind:
+    """``filled`` values were delivered in a column, ``times`` of them times in an accepted spelling.
+
+    Times are counted as long as the column may still be one. A ``declared`` column is a time whatever it
+    holds; its other values read as NULL and stay in the stored text.
+    """
+
+    name: str
+    filled: int = 0
+    times: int = 0
+    declared: bool = False
+
+    @property
+    def kind(self) -> Literal["open", "time", "text"]:
+        if self.declared:
+            return "time"
+        if not self.filled:
+            return "open"
+        return "time" if self.times == self.filled else "text"
+
+    def with_values(self, filled: int, times: int) -> ColumnKind:
+        return replace(self, filled=self.filled + filled, times=self.times + times)
+
+
 class Folders:
     """Directory listings on whatever file system the path names."""
 
@@ -117,10 +154,46 @@ class EventStore:
         text = self.spark.read.text(f"{self._commit(v)}/schema").first().value
         return T.StructType.fromJson(json.loads(text))
 
+    def columns(self, version: Version | None = None) -> dict[str, ColumnKind]:
+        """The columns of a version by lower-case name."""
+        v = version or self.current()
+        if v.number == 0:
+            return {}
+        rows = self.spark.read.schema(COLUMNS).parquet(f"{self._commit(v)}/columns").collect()
+        return {r.name.lower(): ColumnKind(r.name, r.filled, r.times, r.declared) for r in rows}
+
+    def column_report(self, version: Version | None = None) -> DataFrame:
+        """Per column its kind, the values delivered, those that were times, and those it cannot show."""
+        v = version or self.current()
+        if v.number == 0:
+            return self.spark.createDataFrame([], f"{COLUMNS}, unusable long")
+        unusable = F.when(F.col("kind") == "time", F.col("filled") - F.col("times")).otherwise(0)
+        return self.spark.read.schema(COLUMNS).parquet(f"{self._commit(v)}/columns").withColumn("unusable", unusable)
+
     def events(
         self, version: Version | None = None, days: Iterable[date | None] | None = None
     ) -> DataFrame | None:
-        """All rows of a version, or those of some UTC days; None before the first commit.
+        """All rows of a version, or those of some UTC days, in columns of their kinds; None before the first commit."""
+        v = version or self.current()
+        stored = self.stored(v, days)
+        if stored is None:
+            return None
+        kinds = self.columns(v)
+
+        def shown(field: T.StructField):
+            column = quoted(field.name)
+            is_text = isinstance(field.dataType, T.StringType)
+            known = kinds.get(field.name.lower())
+            if is_text and known and known.kind == "time":
+                return parse_export_time(column).alias(field.name)
+            return column
+
+        return stored.select(*[shown(f) for f in stored.schema.fields if f.name != TIME_TEXT])
+
+    def stored(
+        self, version: Version | None = None, days: Iterable[date | None] | None = None
+    ) -> DataFrame | None:
+        """Rows as stored: delivered texts beside the event time.
 
         The day folders to read are chosen here, so other days are never listed or opened.
         """
@@ -140,9 +213,16 @@ class EventStore:
         return rows.select(*[F.col(f"`{f.name}`") for f in schema.fields])
 
     def days_changed(self, since: Version | None, until: Version) -> set[date | None] | None:
-        """UTC days written after one version up to another; None when everything has to be taken as new."""
+        """UTC days written after one version up to another; None when everything has to be taken as new.
+
+        That is so when a column has another kind, as this shows on all days.
+        """
         if since is None or since.generation != until.generation:
             return None
+        if since.number:
+            before, after = self.columns(since), self.columns(until)
+            if any((before[c].kind == "time") != (after[c].kind == "time") for c in before):
+                return None
         changed: set[date | None] = set()
         for number in range(since.number + 1, until.number + 1):
             v = Version(until.generation, number)
@@ -161,11 +241,13 @@ class EventStore:
 
     def write_days(self, rows: DataFrame, v: Version) -> None:
         """Write rows into their day folders; a large day is spread over several files."""
-        dated = rows.withColumn(DAY, F.to_date("timestamp"))
+        dated = rows.withColumn(DAY, F.to_date(TIME))
         balanced = dated.hint("rebalance", DAY)
         balanced.write.partitionBy(DAY).parquet(self._data(v))
 
-    def commit(self, v: Version, schema: T.StructType, manifest: DataFrame) -> None:
+    def commit(self, v: Version, schema: T.StructType, columns: Iterable[ColumnKind], manifest: DataFrame) -> None:
+        rows = [(c.name, c.kind, c.filled, c.times, c.declared) for c in columns]
+        self.spark.createDataFrame(rows, COLUMNS).coalesce(1).write.mode("overwrite").parquet(f"{self._commit(v)}/columns")
         text = self.spark.createDataFrame([(schema.json(),)], "value string")
         text.write.mode("overwrite").text(f"{self._commit(v)}/schema")
         manifest.write.mode("overwrite").parquet(f"{self._commit(v)}/manifest")

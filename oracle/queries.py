@@ -16,7 +16,7 @@ from oracle.views import (
     with_video,
 )
 from oracle.bindings import PROPERTIES
-from oracle.deliveries import FILES, STORED
+from oracle.deliveries import DATES, STORED
 
 # What the bindings write into the properties of an event.
 KEYS = ("ContentOwner", *PROPERTIES)
@@ -368,11 +368,31 @@ ORACLE["volume_overview_approx"] = with_flags(ORACLE["volume_overview"], VISITOR
 ORACLE["key_inventory_approx"] = with_flags(ORACLE["key_inventory"], ("distinct_values",))
 
 ORACLE["ingest_delta"] = with_base(
-    f"""{STORED} select {stamp("t")} as "timestamp", user_id, session_id, name, event_id, label from stored"""
+    f"""{STORED} select {stamp("t")} as "timestamp", user_id, session_id, name, event_id, label, gpn, due,
+      {stamp("seen")} as seen from stored"""
 )
+PART_NAME = "'export_' || part || '_{}.csv' as filename, count(*) as row_count"
 ORACLE["manifest_report"] = with_base(
-    f"""{STORED} select '{FILES["a"]}' as filename, count(*) as row_count, '2024-01-31' as date_suffix,
-      'new' as first_run, 'skipped' as second_run from file_a
-    union all select '{FILES["b"]}', count(*), '2024-02-29', 'new', 'changed' from next_b
-    union all select '{FILES["c"]}', count(*), '2024-03-31', 'skipped', 'new' from file_c"""
+    f"""{STORED} select {PART_NAME.format(DATES["a"])}, '2024-01-31' as date_suffix,
+      'new' as first_run, 'skipped' as second_run from file_a group by part
+    union all select {PART_NAME.format(DATES["b"])}, '2024-02-29', 'new', 'changed' from next_b group by part
+    union all select {PART_NAME.format(DATES["c"])}, '2024-03-31', 'skipped', 'new' from file_c group by part"""
+)
+# Values are counted as delivered, by both runs; days stopped being counted as such with the run that widened them.
+ORACLE["column_kinds"] = with_base(
+    f"""{STORED}, delivered as (
+      select * from file_a union all select * from file_b union all select * from next_b union all select * from file_c),
+    counts(name, filled, times, kind, declared) as (
+      select 'timestamp', count(t), count(t), 'time', true from delivered
+      union all select 'CP_Seen', count(seen), count(seen), 'time', false from delivered
+      union all select 'CP_Due', count(due), count(*) filter (due <> 'Budget 2024'), 'text', false from delivered
+      union all select 'CP_GPN', count(gpn), 0, 'text', false from delivered
+      union all select 'CP_Link_label', count(label), 0, 'text', false from delivered
+      union all select 'event_id', count(event_id), 0, 'text', false from delivered
+      union all select 'name', count(name), 0, 'text', false from delivered
+      union all select 'user_id', count(user_id), 0, 'text', false from delivered
+      union all select 'session_id', count(session_id), 0, 'text', false from delivered
+      union all select 'client_CountryOrRegion', count(*), 0, 'text', false from delivered)
+    select name, kind, filled, times, declared::varchar as declared, 0::bigint as unusable,
+      (name = 'CP_Due')::varchar as widened from counts"""
 )

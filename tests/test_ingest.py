@@ -223,14 +223,70 @@ def test_columns_of_times_are_found(spark, folder, store):
     assert [kinds[c] for c in ("timestamp", "CP_Seen", "CP_Mixed", "CP_None")] == [
         "timestamp", "timestamp", "string", "string",
     ]
-    # A column keeps its kind in later deliveries.
-    export(folder, "b_2026_02_02.csv", "02/02/2026 10:00:00,u,s,n,soon,03/02/2026,", header=header)
+    # A later text in a column of times makes it a text, also for the rows stored before; nothing is lost.
+    export(folder, "b_2026_02_02.csv", "02/02/2026 10:00:00,u,s,n,soon,03/02/2026,2026-01-01", header=header)
     done = ingest(spark, store, str(folder))
-    assert done.without_time == 0 and dict(store.events().dtypes) == kinds
+    assert done.without_time == 0 and done.widened == ["CP_Seen"]
+    assert {r.CP_Seen for r in store.events().collect()} == {"02/02/2026", "2026-02-03 01:02:03", "soon"}
+    # It stays one, and what was empty so far gets the kind of its first values.
+    export(folder, "c_2026_02_03.csv", "03/02/2026 10:00:00,u,s,n,04/02/2026,x,2026-01-02 10:00", header=header)
+    assert ingest(spark, store, str(folder)).widened == []
+    assert dict(store.events().dtypes) == kinds | {"CP_Seen": "string", "CP_None": "timestamp"}
+    report = {r.name: (r.kind, r.filled, r.times, r.unusable) for r in store.column_report().collect()}
+    assert report["CP_Seen"] == ("text", 4, 2, 0)
+    assert report["CP_None"] == ("time", 2, 2, 0)
+
+
+def test_declared_times(spark, folder, store):
+    """A declared column reads as times; what is none is counted and kept as text in the store."""
+    header = "timestamp,user_id,session_id,name,CP_Due"
+    export(folder, "a_2026_02_01.csv", "01/02/2026 10:00:00,u,s,n,02/02/2026", "nonsense,u,s,n,soon", header=header)
+    done = ingest(spark, store, str(folder), date_columns=["cp_due"])
+    assert done.without_time == 1
+    assert rows(store.events().select(F.col("CP_Due").cast("string"))) == [("2026-02-02 00:00:00",), (None,)]
+    assert rows(store.stored().select("CP_Due", "__timestamp_text")) == [("02/02/2026", None), ("soon", "nonsense")]
+    report = {r.name: (r.kind, r.unusable) for r in store.column_report().collect()}
+    assert report["CP_Due"] == ("time", 1) and report["timestamp"] == ("time", 1)
+
+
+def test_every_byte_counts(spark, folder, store):
+    """A carriage return that becomes a line feed is a change, although length and lines look alike."""
+    export(folder, "a_2026_02_01.csv", line("01/02/2026 10:00:00.5", label='"x\ry"'), mtime=1_700_000_000)
+    ingest(spark, store, str(folder))
+    assert store.events().first().CP_Link_label in ("x\ry", "x\ny")
+    export(folder, "a_2026_02_01.csv", line("01/02/2026 10:00:00.5", label='"x\ny"'), mtime=1_700_000_001)
+    assert ingest(spark, store, str(folder)).files == {"a_2026_02_01.csv": "changed"}
+    assert store.events().first().CP_Link_label == "x\ny"
+    # The same length and change time are taken for the same file, unless all files are to be verified.
+    export(folder, "a_2026_02_01.csv", line("01/02/2026 10:00:00.5", label='"x\nz"'), mtime=1_700_000_001)
+    assert ingest(spark, store, str(folder)) is None
+    assert ingest(spark, store, str(folder), verify_all=True).files == {"a_2026_02_01.csv": "changed"}
+
+
+def test_a_file_changed_while_it_was_recorded_is_looked_at_again(spark, folder, store):
+    export(folder, "a_2026_02_01.csv", line("01/02/2026 10:00:00.5", label="x"), mtime=4_000_000_000)
+    ingest(spark, store, str(folder))
+    export(folder, "a_2026_02_01.csv", line("01/02/2026 10:00:00.5", label="y"), mtime=4_000_000_000)
+    assert ingest(spark, store, str(folder)).files == {"a_2026_02_01.csv": "changed"}
+
+
+def test_headers_over_several_lines(spark, folder, store):
+    header = 'timestamp,user_id,session_id,name,"two\nlines",z'
+    export(folder, "a_2026_02_01.csv", "01/02/2026 10:00:00,u,s,n,one,last", header=header)
+    ingest(spark, store, str(folder))
+    assert store.events().columns[-2:] == ["two\nlines", "z"]
+    assert tuple(store.events().first())[-2:] == ("one", "last")
+
+
+def test_more_fields_than_the_header(spark, folder, store):
+    export(folder, "a_2026_02_01.csv", line("01/02/2026 10:00:00.5") + ",beyond")
+    with pytest.raises(ValueError, match="more fields"):
+        ingest(spark, store, str(folder))
+    assert store.current().number == 0
 
 
 def test_known_files_are_not_opened_again(spark, folder, store, monkeypatch):
-    export(folder, "a_2026_02_01.csv", line("01/02/2026 10:00:00.5"))
+    export(folder, "a_2026_02_01.csv", line("01/02/2026 10:00:00.5"), mtime=1_700_000_000)
     ingest(spark, store, str(folder))
 
     def opened(*_):
