@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -15,6 +16,7 @@ DETAILS = "customDimensions"
 PREFIX = "CP_"
 LOG_COLUMNS = ("timestamp", "name", "client_CountryOrRegion", "user_Id", "session_Id")
 
+
 def recent(log: DataFrame, as_of: datetime, days: int, name: str | None = CLICK_EVENT) -> DataFrame:
     """Log rows of the ``days`` before ``as_of``, of one event name; both filters reach the scan."""
     since = F.lit(as_of) - F.expr(f"INTERVAL '{int(days)}' DAY")
@@ -54,24 +56,72 @@ def with_properties(log: DataFrame, wanted: Mapping[str, str], keep: Sequence[st
     )
 
 
+def _documents(log: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and the property document as a variant, parsed once; NULL unless it is an object."""
+    read = log.select(*keep, properties_text().alias("__text"))
+    document = F.when(F.col("__text").startswith("{"), F.try_parse_json("__text"))
+    return read.select(*keep, document.alias("__doc"))
+
+
+def discovered(log: DataFrame) -> dict[str, bool]:
+    """All property keys in the data, sorted, and whether each is a JSON null somewhere.
+
+    Runs a job; a short text and a flag per key and task are shuffled. Every key is going to be a column of a
+    table, so their list fits the driver.
+    """
+    entries = _documents(log).select(F.explode(F.col("__doc").cast("map<string,variant>")).alias("key", "value"))
+    found = entries.select("key", F.is_variant_null("value").alias("null")).distinct().collect()
+    return {key: any(r["null"] for r in found if r["key"] == key) for key in sorted({r["key"] for r in found})}
+
+
+def discovered_keys(log: DataFrame) -> list[str]:
+    return list(discovered(log))
+
+
+def column_names(keys: Sequence[str], prefix: str = PREFIX) -> dict[str, str]:
+    """Key -> column. Keys that differ in case alone get a number, as column names compare without case."""
+    taken: set[str] = {c.lower() for c in LOG_COLUMNS}
+    names = {}
+    for key in dict.fromkeys(keys):
+        name, n = prefix + key, 0
+        while name.lower() in taken:
+            n += 1
+            name = f"{prefix}{key}_{n}"
+        taken.add(name.lower())
+        names[key] = name
+    return names
+
+
 def flatten(log: DataFrame, keys: Sequence[str] | None = None, prefix: str = PREFIX) -> DataFrame:
-    """One column per property key, one row per event; absent keys are NULL, JSON nulls are ''.
+    """One column per property key (see ``column_names``), one row per event; absent keys are NULL, JSON nulls are ''.
 
     Without ``keys`` every key that the log holds becomes a column, which takes a pass over it to find them.
-    Documents are parsed straight into a struct, whose fields cost nothing to read, unlike repeated map
-    lookups. A struct cannot tell a JSON null from an absent key, so documents that may hold one are
-    rewritten first.
+    Each document is parsed once, into a variant that is then cast to a struct: of texts for keys that are
+    never null, of variants for others, since only these tell a JSON null from an absent key. Keys match
+    exactly; those that differ in case alone cannot be fields of one struct and are looked up in a map.
+    Nested values are JSON text, numbers are written in their shortest form.
     """
-    keys = discovered_keys(log) if keys is None else keys
-    read = log.select(*LOG_COLUMNS, properties_text().alias("__text"))
-    objects = read.withColumn("__text", F.when(F.col("__text").startswith("{"), F.col("__text")))
-    text = F.col("__text")
-    rewritten = F.to_json(_nulls_as_blank(F.from_json(text, "map<string,string>")))
-    plain = F.when(text.rlike(r":\s*null"), rewritten).otherwise(text)
-    parsed = objects.withColumn("__text", plain).select(
-        *LOG_COLUMNS, _record(text, keys).alias("__p")
-    )
-    return parsed.select(*LOG_COLUMNS, *[F.col("__p")[key].alias(prefix + key) for key in keys])
+    nullable = discovered(log) if keys is None else dict.fromkeys(keys, True)
+    return _flattened(log, nullable, prefix)
+
+
+def _flattened(log: DataFrame, nullable: Mapping[str, bool], prefix: str) -> DataFrame:
+    spelled = Counter(key.lower() for key in nullable)
+    fields = {key: null for key, null in nullable.items() if spelled[key.lower()] == 1}
+    schema = T.StructType([T.StructField(key, T.VariantType() if null else T.StringType()) for key, null in fields.items()])
+    parsed = [F.col("__doc").cast(schema).alias("__p")] if fields else []
+    if len(fields) < len(nullable):
+        parsed.append(F.col("__doc").cast("map<string,variant>").alias("__m"))
+    rows = _documents(log, *LOG_COLUMNS).select(*LOG_COLUMNS, *parsed)
+
+    def value(key: str) -> Column:
+        if key in fields and not fields[key]:
+            return F.col("__p")[key]
+        found = F.col("__p")[key] if key in fields else F.try_element_at("__m", F.lit(key))
+        return F.when(found.isNotNull(), or_empty(found.cast("string")))
+
+    names = column_names(list(nullable), prefix)
+    return rows.select(*LOG_COLUMNS, *[value(key).alias(name) for key, name in names.items()])
 
 
 def key_inventory(log: DataFrame, approx_error: float | None = None) -> DataFrame:
@@ -96,15 +146,6 @@ def key_inventory(log: DataFrame, approx_error: float | None = None) -> DataFram
     )
 
 
-def discovered_keys(log: DataFrame) -> list[str]:
-    """All property keys in the data, sorted. Runs a job; one short text per key and task is shuffled.
-
-    Every key is going to be a column of a table, so their list fits the driver.
-    """
-    found = log.select(F.explode(F.map_keys(property_bag())).alias("key")).distinct()
-    return sorted(row.key for row in found.collect())
-
-
 def export_view(flat: DataFrame, newest_first: bool = False) -> DataFrame:
     """Flat rows with the time as day-first text of seven fraction digits, as exports carry it.
 
@@ -120,10 +161,11 @@ def pseudonymous_flat(
     log: DataFrame, pepper: str, keys: Sequence[str] | None = None, prefix: str = PREFIX
 ) -> DataFrame:
     """Flat rows with the person number hashed (unkeyed, peppered form) and no e-mail address, in any spelling."""
-    keys = discovered_keys(log) if keys is None else keys
-    flat = flatten(log, [k for k in keys if k.lower() != "email"], prefix)
-    people = [prefix + k for k in keys if k.lower() == "gpn"]
-    return flat.withColumns({c: peppered_sha256(quoted(c), pepper) for c in people})
+    nullable = discovered(log) if keys is None else dict.fromkeys(keys, True)
+    kept = {key: null for key, null in nullable.items() if key.lower() != "email"}
+    names = column_names(list(kept), prefix)
+    people = [name for key, name in names.items() if key.lower() == "gpn"]
+    return _flattened(log, kept, prefix).withColumns({c: peppered_sha256(quoted(c), pepper) for c in people})
 
 
 def with_email_containing(log: DataFrame, needle: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
@@ -60,11 +61,17 @@ EXPORT_RENAMES = {"user_Id": "user_id", "session_Id": "session_id", "timestamp [
 EVENT_KEY = ("timestamp", "user_id", "session_id", "name")
 
 
+# Columns of keys that differ in case alone are told apart by a number at the end.
+NUMBERED = re.compile(r"_\d+$")
+
+
 def spellings_in(columns: Iterable[str], field: str) -> list[str]:
-    """Columns that carry ``field``, most preferred first; names compare without case."""
-    present = {name.lower(): name for name in columns}
-    wanted = dict.fromkeys(spelling.lower() for spelling in SPELLINGS[field])
-    return [present[name] for name in wanted if name in present]
+    """Columns that carry ``field``, most preferred first; names compare without case, numbered ones come last."""
+    wanted = list(dict.fromkeys(spelling.lower() for spelling in SPELLINGS[field]))
+    plain = {name.lower(): name for name in columns}
+    numbered = [name for name in plain if name not in wanted and NUMBERED.sub("", name) in wanted]
+    numbered.sort(key=lambda name: (wanted.index(NUMBERED.sub("", name)), name))
+    return [plain[name] for name in [*wanted, *numbered] if name in plain]
 
 
 def resolve(columns: Iterable[str], field: str) -> str | None:

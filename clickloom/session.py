@@ -7,10 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# SQL settings that results depend on (the first two) or that keep skewed joins balanced.
+# SQL settings that results depend on (the first three) or that keep skewed joins balanced.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",  # the last one counts, instead of no document at all
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -61,6 +61,8 @@ PROPERTIES = {
     "Video_Address": "concat('https://video.example.com/', event_id % 4)",
 }
 NULLABLE = ("Link_Type", "ContentType", "GPN")
+# Properties of the raw log alone: a second spelling of a key, which is another key.
+LOG_PROPERTIES = PROPERTIES | {"gpn": "case when event_id % 43 = 0 then concat('9', user_id) end"}
 FLAT_ONLY = {
     "CP_Video_Duration": "case when event_id % 4 < 3 then cast('480.0' as double) end",
     "CP_Video_PlayedTime": "value",
@@ -83,7 +85,7 @@ from {orders} group by 1, 2, 3
 def properties_json() -> str:
     """SQL text for the inner JSON document: every property, plus one nested value."""
     parts = []
-    for key, expr in PROPERTIES.items():
+    for key, expr in LOG_PROPERTIES.items():
         absent = f"',\"{key}\":null'" if key in NULLABLE else "''"
         parts.append(
             f"case when ({expr}) is null then {absent} else concat(',\"{key}\":\"', {expr}, '\"') end"

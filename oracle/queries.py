@@ -18,8 +18,8 @@ from oracle.views import (
 from oracle.bindings import PROPERTIES
 from oracle.deliveries import DATES, STORED
 
-# What the bindings write into the properties of an event.
-KEYS = ("ContentOwner", *PROPERTIES)
+# What the bindings write into the properties of an event, and the end of its column's name.
+KEYS = {"ContentOwner": "ContentOwner"} | {k: k for k in PROPERTIES} | {"gpn": "gpn_1"}
 TS = '"timestamp"'
 NAMED = "name, client_CountryOrRegion, user_id as user_Id, session_id as session_Id"
 
@@ -30,8 +30,8 @@ def fmt(n: str) -> str:
 
 def flat_columns(prefix: str, skip: tuple[str, ...] = ()) -> str:
     return ", ".join(
-        f"case when json_type(cp, '$.{k}') is not null then {prop(k)} end as {prefix}{k}"
-        for k in KEYS
+        f"case when json_type(cp, '$.{k}') is not null then {prop(k)} end as {prefix}{column}"
+        for k, column in KEYS.items()
         if k not in skip
     )
 
@@ -162,8 +162,8 @@ ORACLE: dict[str, str] = {
         f"""select {stamp(TS)} as "timestamp", {NAMED}, {flat_columns('')} from log"""
     ),
     "anonymized_flat": with_log(
-        f"""select {stamp(TS)} as "timestamp", {NAMED}, {flat_columns('CP_', ('Email', 'GPN'))},
-          sha256('{PEPPER}' || {prop('GPN')}) as CP_GPN from log"""
+        f"""select {stamp(TS)} as "timestamp", {NAMED}, {flat_columns('CP_', ('Email', 'GPN', 'gpn'))},
+          sha256('{PEPPER}' || {prop('GPN')}) as CP_GPN, sha256('{PEPPER}' || {prop('gpn')}) as CP_gpn_1 from log"""
     ),
     "email_filter": with_log(
         f"""select {stamp(TS)} as "timestamp", {NAMED}, {flat_columns('CP_')} from log

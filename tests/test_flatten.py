@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from clickloom.operators import flatten as flat
 from clickloom.operators.shares import smallest_values
 from clickloom.plans import explore, profile
+from clickloom.plans.anonymize import anonymize
+from clickloom.schema import spellings_in
 from conftest import rows
 
 NOW = datetime(2024, 6, 1)
@@ -74,6 +76,30 @@ def test_key_discovery(spark):
     assert {r['quo"te'] for r in every.collect()} == {"x", None}
 
 
+def test_keys_that_differ_in_case(spark):
+    df = log(spark, {"GPN": "1", "gpn": "2", "Email": "a@x", "email": "b@x"}, {"gpn": None}, {"GPN": "3"})
+    got = flat.flatten(df)
+    assert got.columns[5:] == ["CP_Email", "CP_GPN", "CP_email_1", "CP_gpn_1"]
+    assert [tuple(r)[5:] for r in got.collect()] == [("a@x", "1", "b@x", "2"), (None, None, None, ""), (None, "3", None, None)]
+    hidden = flat.pseudonymous_flat(df, "p")
+    assert hidden.columns[5:] == ["CP_GPN", "CP_gpn_1"]
+    assert not {"1", "2", "3"} & {v for r in hidden.collect() for v in tuple(r)[5:]}
+    safe = anonymize(got, "p")
+    assert safe.columns[5:] == ["CP_Person_Hash", "CP_Person_Hash_1"]
+    assert spellings_in(got.columns, "gpn") == ["CP_GPN", "CP_gpn_1"]
+    assert flat.flatten(flat.with_email_containing(df, "A@X")).count() == 1
+
+
+def test_values_of_every_kind(spark):
+    text = '{"n": 1.50, "t": true, "o": {"a": [1, null]}, "s": "x", "d": 1, "d": 2, "a.b": "dot", "z": null}'
+    row = flat.flatten(log(spark, json.dumps({"CustomProps": text}), {})).orderBy("user_Id").collect()
+    got = {k: v for k, v in row[0].asDict().items() if k.startswith("CP_")}
+    assert got == {
+        "CP_n": "1.5", "CP_t": "true", "CP_o": '{"a":[1,null]}', "CP_s": "x", "CP_d": "2", "CP_a.b": "dot", "CP_z": "",
+    }
+    assert set(tuple(row[1])[5:]) == {None}
+
+
 def test_many_keys_all_become_columns(spark):
     df = log(spark, {f"key{i}": str(i) for i in range(2500)})
     got = flat.flatten(df).first()
