@@ -17,7 +17,7 @@ from clickloom.operators import flatten as flat
 from clickloom.operators.upsert import upsert
 from clickloom.plans import anonymize, enrich, explore, profile, star, video
 from clickloom.session import materialize
-from oracle import bindings, deliveries
+from oracle import bindings, deliveries, maintained
 from oracle.queries import ORACLE
 from oracle.views import DAYS, PEPPER
 
@@ -250,6 +250,10 @@ def _native_queries() -> dict[str, Query]:
         "dim_link_type": lambda s, d: star.dim_link_type(_sessions(s, d)),
         "dim_component": lambda s, d: star.dim_component(_sessions(s, d)),
         "fact_event": _fact,
+        # derived tables that follow deliveries
+        "stable_keys": maintained.stable_keys,
+        "fact_incremental": maintained.fact,
+        "video_incremental": maintained.engagement,
         # profile reports
         "data_overview": lambda s, d: profile.data_overview(_sessions(s, d)),
         "hr_profile": lambda s, d: profile.hr_profile(bindings.hr(s, d)),

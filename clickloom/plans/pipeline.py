@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+from collections.abc import Collection
 from dataclasses import dataclass, fields
 from datetime import date, timedelta
 
@@ -14,9 +15,38 @@ from clickloom.plans import profile, star, video
 from clickloom.plans.anonymize import anonymize
 from clickloom.plans.enrich import enrich
 from clickloom.plans.ingest import Ingested, Mode, ingest
+from clickloom.plans.maintain import fact_table, key_registry, session_table, update_facts, update_sessions
 from clickloom.sources.store import EventStore, Version
 
 
+@dataclass(frozen=True)
+class Options:
+    """Readings of the data that differ from the defaults, and how large groups are split."""
+
+    date_columns: tuple[str, ...] | None = None
+    verify_all: bool = False
+    blank_gpn_is_null: bool = False
+    pad_hr_gpn: bool = False
+    merge_mode: str = "lag"
+    count_first_event: bool = False
+    valid_is_no_skip: bool = False
+    hot: HotGroups | None = HotGroups()
+
+    def video_rules(self) -> dict[str, object]:
+        return {
+            "mode": self.merge_mode,
+            "count_first_event": self.count_first_event,
+            "valid_is_no_skip": self.valid_is_no_skip,
+        }
+
+    def events_rules(self) -> dict[str, object]:
+        return {"blank_gpn_is_null": self.blank_gpn_is_null, "pad_hr_gpn": self.pad_hr_gpn, "hot": self.hot}
+
+    def digest(self) -> str:
+        """Changes when published tables would look different for the same events."""
+        return repr((self.blank_gpn_is_null, self.pad_hr_gpn, sorted(self.video_rules().items())))
+
+
 PUBLISHED = "published"  # one-row table naming the store version the outputs were built from
 
 
@@ -56,7 +86,7 @@ def write_events(
     hr: DataFrame | None,
     output: str,
     pepper: str,
-    hot: HotGroups | None = HotGroups(),
+    options: Options = Options(),
 ) -> DataFrame:
     """Enrich stored events into ``events_raw`` and ``events_anonymized``, by local date.
 
@@ -65,7 +95,7 @@ def write_events(
     """
     raw_path, safe_path = f"{output}/events_raw", f"{output}/events_anonymized"
     if changed is None:
-        stored = write_table(enrich(store.events(version), hr, hot=hot), raw_path, "session_date")
+        stored = write_table(enrich(store.events(version), hr, **options.events_rules()), raw_path, "session_date")
         write_table(anonymize(stored, pepper), safe_path, "session_date")
         return stored
     dates = local_dates(changed)
@@ -74,7 +104,7 @@ def write_events(
     rebuilt = F.col("session_date").isin(known) if known else F.lit(False)
     if None in dates:
         rebuilt = rebuilt | F.col("session_date").isNull()
-    events = enrich(store.events(version, needed), hr, hot=hot)
+    events = enrich(store.events(version, needed), hr, **options.events_rules())
     stored = write_table(events.where(rebuilt), raw_path, "session_date", replace_all=False)
     safe = anonymize(stored.where(rebuilt), pepper)
     write_table(safe, safe_path, "session_date", replace_all=False)
@@ -82,9 +112,18 @@ def write_events(
 
 
 def publish(
-    stored: DataFrame, output: str, pepper: str, hot: HotGroups | None = HotGroups()
+    stored: DataFrame,
+    output: str,
+    pepper: str,
+    dates: Collection[date | None] | None = None,
+    options: Options = Options(),
 ) -> tuple[dict[str, str], dict[str, DataFrame]]:
-    """Write the tables derived from all enriched events; returns paths and report frames."""
+    """Bring the tables derived from enriched events up to date; returns paths and report frames.
+
+    With ``dates`` only events of these local dates (and of the viewing sessions that reach into them) are
+    read for video engagement, dimensions and facts. Facts and sessions are written aside, see ``read_fact``.
+    """
+    spark = stored.sparkSession
     paths = {name: f"{output}/{name}" for name in ("events_raw", "events_anonymized")}
 
     def put(name: str, df: DataFrame) -> DataFrame:
@@ -93,18 +132,23 @@ def publish(
 
     reports = profile.summary(stored)
     if video.has_video(stored):
-        engaged = put("video_engagement", video.video_engagement(stored, hot=hot))
+        states = update_sessions(session_table(spark, output), stored, dates, options.video_rules(), options.hot)
+        engaged = put("video_engagement", video.engagement_of_sessions(states))
         put("video_engagement_anonymized", anonymize(engaged, pepper))
         reports["video_summary"] = video.engagement_summary(engaged)
         reports["video_tiers"] = video.tier_distribution(engaged)
-    dims = star.dimensions(stored)
-    written = star.Star(
-        **{f.name: put(f"cdm/{f.name}", getattr(dims, f.name)) for f in fields(dims)}
-    )
-    put("cdm/fact_event", star.fact_event(stored, written, pepper))
+    dims = update_facts(fact_table(spark, output), key_registry(spark, output), stored, dates, pepper)
+    for f in fields(dims):
+        put(f"cdm/{f.name}", getattr(dims, f.name))
+    paths["cdm/fact_event"] = f"{output}/cdm/fact_event"
     return paths, reports
 
 
+def read_fact(spark: SparkSession, output: str) -> DataFrame | None:
+    """The facts of the newest complete version."""
+    return fact_table(spark, output.rstrip("/")).read()
+
+
 def load_hr(spark: SparkSession, path: str | None, store: EventStore) -> DataFrame | None:
     """Organisation snapshots, or None when the table is not there (events then carry no such fields)."""
     if path is None or not store.folders.exists(path):
@@ -112,9 +156,9 @@ def load_hr(spark: SparkSession, path: str | None, store: EventStore) -> DataFra
     return spark.read.parquet(path)
 
 
-def inputs_digest(hr: DataFrame | None, pepper: str) -> str:
-    """Changes when the snapshots or the key do, which affects events of any day."""
-    key = hmac.new(pepper.encode(), b"key check", hashlib.sha256).hexdigest()
+def inputs_digest(hr: DataFrame | None, pepper: str, options: Options = Options()) -> str:
+    """Changes when the snapshots, the key or the options do, which affects events of any day."""
+    key = hmac.new(pepper.encode(), b"key check" + options.digest().encode(), hashlib.sha256).hexdigest()
     if hr is None:
         return f"{key}:none"
     row_hash = F.xxhash64(*sorted(hr.columns)).cast("decimal(20,0)")
@@ -145,7 +189,7 @@ def run(
     pepper: str,
     hr_path: str | None = None,
     mode: Mode = "delta",
-    hot: HotGroups | None = HotGroups(),
+    options: Options = Options(),
 ) -> Published | None:
     """One run over the files at ``location``; None when a delta run finds nothing to do.
 
@@ -154,20 +198,23 @@ def run(
     """
     output = output.rstrip("/")
     store = EventStore(spark, store_root)
-    done = ingest(spark, store, location, mode)
+    done = ingest(spark, store, location, mode, options.date_columns, options.verify_all)
     version = store.current()
     hr = load_hr(spark, hr_path, store)
-    digest = inputs_digest(hr, pepper)
+    digest = inputs_digest(hr, pepper, options)
     shown = last_published(store, output, digest)
     if done is None and shown == version:
         return None
     changed = store.days_changed(shown, version)
     # Outputs are about to be replaced: until that is complete they show no version at all.
     write_marker(store, output, Version(0, 0), "")
-    stored = write_events(store, version, changed, hr, output, pepper, hot)
-    tables, reports = publish(stored, output, pepper, hot)
+    stored = write_events(store, version, changed, hr, output, pepper, options)
+    dates = None if changed is None else local_dates(changed)
+    tables, reports = publish(stored, output, pepper, dates, options)
     reports["processed_files"] = store.processed_report()
+    reports["columns"] = store.column_report()
     if hr is not None:
         reports["hr_profile"] = profile.hr_profile(hr)
+    reports = {name: write_table(report, f"{output}/reports/{name}") for name, report in reports.items()}
     write_marker(store, output, version, digest)
     return Published(done, tables, reports)

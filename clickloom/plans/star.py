@@ -13,6 +13,7 @@ from clickloom.functions import hmac_sha256, or_empty
 from clickloom.functions.times import iso_weekday
 from clickloom.operators.numbering import with_dense_key
 from clickloom.schema import HR_FIELDS, optional
+from clickloom.sources.registry import KeyRegistry
 
 UNKNOWN = "(unknown)"
 ORG_FIELDS = [alias.removeprefix("hr_") for alias in HR_FIELDS.values()]
@@ -63,8 +64,10 @@ def date_key(columns: list[str]) -> dict[str, Column]:
 
 
 def organization_key(columns: list[str]) -> dict[str, Column]:
+    """The hash of the fields present, and every field, so that keys stay comparable when fields come or go."""
     present = org_key(columns)
-    return {"org_hash": org_hash(present)} | present if present else {}
+    missing = F.lit(None).cast("string")
+    return {"org_hash": org_hash(present)} | {f: present.get(f, missing) for f in ORG_FIELDS} if present else {}
 
 
 NATURAL_KEYS = {
@@ -77,23 +80,35 @@ NATURAL_KEYS = {
 }
 
 
-def numbered(events: DataFrame, keys: Sequence[str]) -> dict[str, DataFrame]:
-    """The distinct natural keys of several dimensions, each numbered from 1 in their order.
+def natural_keys(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(dim, parts): the distinct natural keys of several dimensions, found in one scan and combined on the map side."""
+    pairs = [
+        F.struct(F.lit(key).alias("dim"), F.array(*[c.cast("string") for c in natural.values()]).alias("parts"))
+        for key in keys
+        if (natural := NATURAL_KEYS[key](events.columns))
+    ]
+    if not pairs:
+        return events.sparkSession.createDataFrame([], "dim string, parts array<string>")
+    undated = (F.col("dim") == "date_key") & F.get("parts", 0).isNull()
+    return events.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*").where(~undated).distinct()
+
+
+def numbered(events: DataFrame, keys: Sequence[str], registry: KeyRegistry | None = None) -> dict[str, DataFrame]:
+    """The natural keys of several dimensions with their numbers.
 
-    One scan turns every event into its natural keys, which are combined on the map side; all dimensions are
-    sorted and numbered together, and each takes its own stretch of the numbers.
+    Without a registry the distinct keys of ``events`` are numbered from 1 in their order: all are sorted
+    together, and each dimension takes its own stretch. With one, keys keep the numbers they have, new ones
+    come after them, and keys that ``events`` does not hold are there as well.
     """
     naturals = {key: natural for key in keys if (natural := NATURAL_KEYS[key](events.columns))}
     if not naturals:
         return {}
-    pairs = [
-        F.struct(F.lit(key).alias("dim"), F.array(*[c.cast("string") for c in natural.values()]).alias("parts"))
-        for key, natural in naturals.items()
-    ]
-    undated = (F.col("dim") == "date_key") & F.get("parts", 0).isNull()
-    found = events.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*").where(~undated).distinct()
-    keyed = with_dense_key(found, ["dim", "parts"], "number")
-    starts = {r["dim"]: r["first"] for r in keyed.groupBy("dim").agg(F.min("number").alias("first")).collect()}
+    found = natural_keys(events, keys)
+    if registry is not None:
+        keyed, starts = registry.register(found), {}
+    else:
+        keyed = with_dense_key(found, ["dim", "parts"], "number")
+        starts = {r["dim"]: r["first"] for r in keyed.groupBy("dim").agg(F.min("number").alias("first")).collect()}
     return {
         key: keyed.where(F.col("dim") == key).select(
             (F.col("number") - (starts.get(key, 1) - 1)).alias(key),
@@ -154,8 +169,8 @@ def dim_component(events: DataFrame) -> DataFrame:
     return numbered(events, ["component_key"])["component_key"]
 
 
-def dimensions(events: DataFrame) -> Star:
-    keyed = numbered(events, list(NATURAL_KEYS))
+def dimensions(events: DataFrame, registry: KeyRegistry | None = None) -> Star:
+    keyed = numbered(events, list(NATURAL_KEYS), registry)
     return Star(
         _dated(keyed["date_key"]),
         _organized(events, keyed.get("org_key")),
@@ -166,8 +181,8 @@ def dimensions(events: DataFrame) -> Star:
     )
 
 
-def fact_event(events: DataFrame, star: Star, pepper: str) -> DataFrame:
-    """One row per event with the key of each dimension.
+def fact_event(events: DataFrame, star: Star, pepper: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per event with the key of each dimension, and the columns to ``keep``.
 
     The dimensions are tables of known size, so the optimizer broadcasts those below
     ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges the rest (a large page dimension). Natural
@@ -184,7 +199,7 @@ def fact_event(events: DataFrame, star: Star, pepper: str) -> DataFrame:
     plain += ["time_since_prev_bucket", "event_hour", "event_weekday"]
     joins = [
         (star.dim_date, "date_key", {"date_value": F.col("session_date")}),
-        (star.dim_organization, "org_key", org_key(columns)),
+        (star.dim_organization, "org_key", organization_key(columns)),
         (star.dim_site, "site_key", site_key(columns)),
         (star.dim_page, "page_key", page_key(columns)),
         (star.dim_link_type, "link_type_key", link_type_key(columns)),
@@ -197,6 +212,7 @@ def fact_event(events: DataFrame, star: Star, pepper: str) -> DataFrame:
         *[text(f) for f in ("link_address", "link_label", "file_name", "file_type")],
         F.col("name").alias("event_name"),
         text("client_country"),
+        *keep,
         *[c.alias(alias) for alias, c in natural.items()],
     )
     for dim, key, by in joins:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.functions import or_empty
 from clickloom.functions.text import is_filled, settled
-from clickloom.functions.times import seconds_between
+from clickloom.functions.times import seconds_between, utc_to_local
 from clickloom.operators.ordered import HotGroups, Ordered, add_ordered
 from clickloom.schema import optional, resolve
 from clickloom.session import materialize
@@ -36,6 +38,10 @@ def has_video(events: DataFrame) -> bool:
     return all(resolve(events.columns, field) for field in ("video_action", "video_id"))
 
 
+def video_key(columns: list[str]) -> Column:
+    return F.trim(optional(columns, "video_id"))
+
+
 def video_events(events: DataFrame) -> DataFrame:
     """Normalized play, pause, resume and ended events of known people and videos."""
     if not has_video(events):
@@ -49,7 +55,7 @@ def video_events(events: DataFrame) -> DataFrame:
         "gpn",
         "session_id",
         F.lower(F.trim(of("video_action"))).alias("action"),
-        F.trim(of("video_id")).alias("video_id"),
+        video_key(events.columns).alias("video_id"),
         of("video_title").alias("video_title"),
         of("video_duration", "double").alias("video_duration"),
         of("video_position", "double").alias("current_time_pos"),
@@ -188,11 +194,19 @@ def sessions(segs: DataFrame, unique: DataFrame) -> DataFrame:
 
 def views(segs: DataFrame) -> DataFrame:
     """Views per viewer and video: the plays of each UTC day, or one for a day with only a valid resume."""
+    return views_of_days(days(segs, VIEWER))
+
+
+def days(segs: DataFrame, keys: list[str]) -> DataFrame:
+    """Plays and valid resumes of each UTC day."""
     resumed = F.col("is_valid_segment") & (F.col("prev_action") == "resume")
-    daily = segs.groupBy(*VIEWER, F.to_date("timestamp").alias("watch_day")).agg(
+    return segs.groupBy(*keys, F.to_date("timestamp").alias("watch_day")).agg(
         F.count_if(F.col("action") == "play").alias("play_count"),
         F.count_if(resumed).alias("resume_count"),
     )
+
+
+def views_of_days(daily: DataFrame) -> DataFrame:
     day_views = F.when(F.col("play_count") > 0, F.col("play_count")).otherwise(
         F.when(F.col("resume_count") > 0, 1).otherwise(0)
     )
@@ -324,6 +338,59 @@ def video_engagement(
     return engagement(per_viewer, metadata(video))
 
 
+def join_sessions(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join by viewing session; a missing session id is a key, too."""
+    right = right.withColumnsRenamed({k: f"__r_{k}" for k in VIEWING})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in VIEWING])
+    return left.join(right, same, how).drop(*[f"__r_{k}" for k in VIEWING])
+
+
+def session_states(
+    events: DataFrame,
+    *,
+    mode: Literal["lag", "running_max"] = "lag",
+    count_first_event: bool = False,
+    valid_is_no_skip: bool = False,
+    hot: HotGroups | None = HotGroups(),
+) -> DataFrame:
+    """Everything that engagement needs of each viewing session, so that events are not read again.
+
+    Sessions without a counted event are there too, with NULL metrics: an event that comes later may count.
+    ``first_date`` and ``last_date`` are the local dates that the session's events span.
+    """
+    video = materialize(video_events(events), "video-events")
+    segs = materialize(
+        segments(video, count_first_event=count_first_event, valid_is_no_skip=valid_is_no_skip, hot=hot).drop(
+            "video_title", "video_duration", "video_type", "video_address"
+        ),
+        "video-segments",
+    )
+    local = F.to_date(utc_to_local(F.col("timestamp")))
+    spans = video.groupBy(*VIEWING).agg(
+        F.min(local).alias("first_date"),
+        F.max(local).alias("last_date"),
+        F.max("video_duration").alias("video_duration"),
+        F.max(F.struct("timestamp", "video_title", "video_type", "video_address")).alias("latest"),
+    )
+    counted = sessions(segs, unique_seconds(segs, mode, hot))
+    daily = days(segs, VIEWING).groupBy(*VIEWING).agg(
+        F.array_sort(F.collect_list(F.struct("watch_day", "play_count", "resume_count"))).alias("days")
+    )
+    return join_sessions(join_sessions(spans, counted, "left"), daily, "left")
+
+
+def engagement_of_sessions(states: DataFrame) -> DataFrame:
+    """What ``video_engagement`` gives for the events that the session states were made from."""
+    counted = states.where(F.col("event_count").isNotNull())
+    listed = counted.select(*VIEWER, F.explode("days").alias("d")).select(*VIEWER, "d.*")
+    daily = listed.groupBy(*VIEWER, "watch_day").agg(
+        F.sum("play_count").alias("play_count"), F.sum("resume_count").alias("resume_count")
+    )
+    # The latest event of a video is the latest of its sessions' latest ones.
+    described = metadata(states.select("video_id", "video_duration", "latest.*"))
+    return engagement(viewer_video(counted, views_of_days(daily)), described)
+
+
 def engagement_summary(engaged: DataFrame) -> DataFrame:
     completed = F.col("is_completed")
     return engaged.agg(

@@ -86,6 +86,10 @@ class Folders:
         fs, p = self._open(path)
         return fs.exists(p)
 
+    def remove(self, path: str) -> None:
+        fs, p = self._open(path)
+        fs.delete(p, True)
+
     def children(self, path: str) -> list[str]:
         fs, p = self._open(path)
         if not fs.exists(p):

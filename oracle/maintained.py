@@ -1,0 +1,65 @@
+"""Derived tables kept up over two deliveries: everything before October first, then the rest."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from clickloom.plans import enrich, star, video
+from clickloom.plans.maintain import (
+    fact_table, key_registry, on_dates, session_table, update_facts, update_sessions,
+)
+from clickloom.session import materialize, scratch_dir
+from oracle import bindings
+from oracle.views import PEPPER
+
+CUT = "2024-10-01"
+
+
+def _steps(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame, list]:
+    """A folder, the events of the first step, those of both, and the local dates that the second step changes."""
+    raw = bindings.click_events(spark, sf_dir)
+    every = materialize(enrich.enrich(raw, bindings.hr(spark, sf_dir)), "events")
+    first = F.col("session_date") < CUT
+    dates = [r.session_date for r in every.where(~first).select("session_date").distinct().collect()]
+    return f"{scratch_dir(spark).rstrip('/')}/maintained-{uuid.uuid4().hex}", every.where(first), every, dates
+
+
+def stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every natural key with its number, and whether it had that number after the first step already."""
+    out, first, every, dates = _steps(spark, sf_dir)
+    registry = key_registry(spark, out)
+    before = registry.register(star.natural_keys(first, list(star.NATURAL_KEYS)))
+    before = materialize(before.withColumn("kept", F.lit(True)), "before")
+    after = registry.register(star.natural_keys(on_dates(every, dates), list(star.NATURAL_KEYS)))
+    told = after.join(before, ["dim", "parts", "number"], "left")
+    key = F.array_join("parts", "|", "")
+    return told.select("dim", key.alias("natural_key"), "number", F.coalesce("kept", F.lit(False)).alias("kept"))
+
+
+def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts after both steps, with what their keys stand for in place of the keys."""
+    out, first, every, dates = _steps(spark, sf_dir)
+    table, registry = fact_table(spark, out), key_registry(spark, out)
+    update_facts(table, registry, first, None, PEPPER)
+    dims = update_facts(table, registry, every, dates, PEPPER)
+    facts = table.read()
+    for dim, key in (
+        (dims.dim_date.select("date_key", "date_value"), "date_key"),
+        (dims.dim_organization.select("org_key", "org_hash"), "org_key"),
+        (dims.dim_site, "site_key"),
+        (dims.dim_page, "page_key"),
+        (dims.dim_link_type, "link_type_key"),
+        (dims.dim_component, "component_key"),
+    ):
+        facts = facts.join(dim, key, "left").drop(key)
+    return facts.drop("session_date")
+
+
+def engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Video engagement after both steps; the second reads the sessions it reaches and no others."""
+    out, first, every, dates = _steps(spark, sf_dir)
+    table = session_table(spark, out)
+    update_sessions(table, first, None)
+    return video.engagement_of_sessions(update_sessions(table, every, dates))

@@ -17,6 +17,7 @@ from oracle.views import (
 )
 from oracle.bindings import PROPERTIES
 from oracle.deliveries import DATES, STORED
+from oracle.maintained import CUT
 
 # What the bindings write into the properties of an event, and the end of its column's name.
 KEYS = {"ContentOwner": "ContentOwner"} | {k: k for k in PROPERTIES} | {"gpn": "gpn_1"}
@@ -36,6 +37,24 @@ def flat_columns(prefix: str, skip: tuple[str, ...] = ()) -> str:
     )
 
 
+# Facts without their keys, and events with the natural keys.
+FACT_COLUMNS = f"""
+  {hmac('e.gpn')} as person_hash, e.user_id, e.session_id, e.session_key,
+  {stamp(f'e.{TS}')} as "timestamp", {stamp('e.timestamp_cet')} as timestamp_cet,
+  cast(e.event_order as int) as event_order, e.prev_event,
+  cast(e.ms_since_prev_event as double) as ms_since_prev_event,
+  e.sec_since_prev_event, e.time_since_prev_bucket, e.event_hour, e.event_weekday,
+  CP_Link_address as link_address, CP_Link_label as link_label, CP_FileName_Label as file_name,
+  CP_FileType_Label as file_type, e.name as event_name, client_CountryOrRegion as client_country"""
+FACT_ROWS = """(
+  select *, session_date as date_value, md5(coalesce(hr_division, '') || '|' || coalesce(hr_job_title, '')) as org_hash,
+    coalesce(CP_SiteID, '') as site_id, coalesce(CP_SiteName, '') as site_name,
+    coalesce(CP_PageId, '') as page_id, coalesce(CP_PageName, '') as page_name,
+    coalesce(CP_PageURL, '') as page_url, coalesce(CP_ContentType, '') as content_type,
+    coalesce(CP_PageStatus, '') as page_status, coalesce(CP_Link_Type, '(unknown)') as link_type,
+    coalesce(CP_ComponentName, '(unknown)') as component_name from ev) e"""
+
+
 def share(value: str, name: str, limit: str = "") -> str:
     pct = rounded("100e0 * count(*) / sum(count(*)) over ()", 1)
     return with_events(
@@ -306,25 +325,34 @@ ORACLE: dict[str, str] = {
     "dim_link_type": with_dims("select * from d_link"),
     "dim_component": with_dims("select * from d_comp"),
     "fact_event": with_dims(
-        f"""select date_key, org_key, site_key, page_key, link_type_key, component_key,
-          {hmac('e.gpn')} as person_hash, e.user_id, e.session_id, e.session_key,
-          {stamp(f'e.{TS}')} as "timestamp", {stamp('e.timestamp_cet')} as timestamp_cet,
-          cast(e.event_order as int) as event_order, e.prev_event,
-          cast(e.ms_since_prev_event as double) as ms_since_prev_event,
-          e.sec_since_prev_event, e.time_since_prev_bucket, e.event_hour, e.event_weekday,
-          CP_Link_address as link_address, CP_Link_label as link_label, CP_FileName_Label as file_name,
-          CP_FileType_Label as file_type, e.name as event_name, client_CountryOrRegion as client_country
-        from (select *, session_date as date_value, md5(coalesce(hr_division, '') || '|' || coalesce(hr_job_title, ''))
-            as org_hash, coalesce(CP_SiteID, '') as site_id, coalesce(CP_SiteName, '') as site_name,
-            coalesce(CP_PageId, '') as page_id, coalesce(CP_PageName, '') as page_name,
-            coalesce(CP_PageURL, '') as page_url, coalesce(CP_ContentType, '') as content_type,
-            coalesce(CP_PageStatus, '') as page_status, coalesce(CP_Link_Type, '(unknown)') as link_type,
-            coalesce(CP_ComponentName, '(unknown)') as component_name from ev) e
+        f"""select date_key, org_key, site_key, page_key, link_type_key, component_key, {FACT_COLUMNS}
+        from {FACT_ROWS}
         left join d_date using (date_value) left join d_org using (org_hash)
         left join d_site using (site_id, site_name)
         left join d_page using (page_id, page_name, page_url, content_type, page_status)
         left join d_link using (link_type) left join d_comp using (component_name)"""
     ),
+    "fact_incremental": with_events(
+        f"""select cast(date_value as varchar) as date_value, org_hash, site_id, site_name, page_id, page_name, page_url,
+          content_type, page_status, link_type, component_name, {FACT_COLUMNS} from {FACT_ROWS}"""
+    ),
+    # Keys of the first step are numbered in their order, those that only the second step brings come after them.
+    "stable_keys": with_events(
+        f"""select dim, array_to_string(parts, '|') as natural_key,
+          row_number() over (partition by dim order by not kept, parts) as number, kept::varchar as kept
+        from (
+          select dim, parts, bool_or(session_date < date '{CUT}') as kept from (
+            select session_date, unnest([
+              {{'dim': 'date_key', 'parts': [session_date::varchar]}},
+              {{'dim': 'org_key', 'parts': [org_hash, coalesce(hr_division, ''), '', '', '', '', '', '', '', '',
+                coalesce(hr_job_title, ''), '', '', '']}},
+              {{'dim': 'site_key', 'parts': [site_id, site_name]}},
+              {{'dim': 'page_key', 'parts': [page_id, page_name, page_url, content_type, page_status]}},
+              {{'dim': 'link_type_key', 'parts': [link_type]}},
+              {{'dim': 'component_key', 'parts': [component_name]}}], recursive := true)
+            from {FACT_ROWS}
+          ) group by dim, parts)"""
+    ),
     "data_overview": with_events(
         """select cast(min(session_date) as varchar) as first_date,
           cast(max(session_date) as varchar) as last_date, count(distinct session_date) as days,
@@ -396,3 +424,5 @@ ORACLE["column_kinds"] = with_base(
     select name, kind, filled, times, declared::varchar as declared, 0::bigint as unusable,
       (name = 'CP_Due')::varchar as widened from counts"""
 )
+# Kept up over two deliveries it is what it is in one.
+ORACLE["video_incremental"] = ORACLE["video_engagement"]
