@@ -280,7 +280,7 @@ def shape(term: str) -> str:
 def sanitised(text: str, spans) -> str:
     """``text`` without its spans; where spans overlap, the one that starts first speaks for them all."""
     parts, done = [], 0
-    for span in spans or ():
+    for span in () if spans is None else spans:
         kind, start, end = span["kind"], span["start"], span["end"]
         if start >= done:
             parts.append(text[done:start])
