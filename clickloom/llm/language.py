@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,7 +18,7 @@ BUCKET_BITS = 16
 MODEL_BYTES = 128 << 20
 CHUNK_CHARS = 1 << 19
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
@@ -83,18 +83,17 @@ class LanguageModel:
     matrix: Broadcast | None
 
 
-def fit(labelled: DataFrame, alpha: float = 0.1) -> LanguageModel:
+def fit(labelled: DataFrame, alpha: float = 0.1, bits: int = BUCKET_BITS) -> LanguageModel:
     """Count hashed character n-grams of orders 1 to 3 per language over all rows of ``labelled`` (text, lang).
 
-    Rows whose text or lang is NULL teach nothing. The matrix takes at most 128 MiB: with very many languages
-    the number of buckets is halved until it fits.
+    Rows whose text or lang is NULL teach nothing. There are 2^bits buckets whatever the data; a matrix of more
+    than 128 MiB (512 languages with 16 bits) is refused with a ValueError, for the caller to choose fewer bits.
     """
     spark = labelled.sparkSession
     rows = in_small_batches(labelled).where("text is not null and lang is not null").select("lang", "text")
     n_langs = labelled.where("lang is not null").agg(F.count_distinct("lang")).first()[0]
-    bits = BUCKET_BITS
-    while bits > 1 and (n_langs << bits) * 4 > MODEL_BYTES:
-        bits -= 1
+    if (n_langs << bits) * 4 > MODEL_BYTES:
+        raise ValueError(f"{n_langs} languages with {bits} bits take more than {MODEL_BYTES} bytes; choose fewer bits")
     partial = rows.mapInArrow(_partial_counts(bits), "lang string, counts binary")
     langs, columns, docs = [], [], []
     for lang, payload in sorted(map(tuple, fold_payloads(partial, _summed).toLocalIterator())):
@@ -136,8 +135,8 @@ def _log_likelihoods(texts: list[str], matrix: np.ndarray, bits: int) -> np.ndar
     return out
 
 
-def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` with lang_pred and score, the posterior probability of that language.
+def predict(docs: DataFrame, model: LanguageModel, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with lang_pred and score, the posterior probability of that language, under the given names.
 
     ``und`` with score 0 for texts that are NULL or have no letter, and for all texts if nothing was learned.
     Columns of ``docs`` with these names are replaced; no other column than text is looked at.
@@ -158,5 +157,6 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 names[i], scores[i] = langs[b], s
         return pa.StructArray.from_arrays([pa.array(names), pa.array(scores)], ["lang_pred", "score"])
 
-    docs = clear_of(in_small_batches(docs), "lang_pred", "score")
-    return docs.withColumn("__scored", scored("text")).select(*docs.columns, "__scored.*")
+    docs = clear_of(in_small_batches(docs), *names)
+    results = [F.col(f"__scored.{field}").alias(name) for field, name in zip(("lang_pred", "score"), names)]
+    return docs.withColumn("__scored", scored("text")).select(*docs.columns, *results)

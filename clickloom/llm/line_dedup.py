@@ -139,8 +139,11 @@ def _without(text: pa.Array, keys: pa.Array) -> pa.Array:
     )
 
 
-def dedup_lines(docs: DataFrame, least: int = MIN_KEY_CHARS) -> DataFrame:
-    """``docs`` with n_lines, n_dropped and kept_text.
+RESULTS = ("n_lines", "n_dropped", "kept_text")
+
+
+def dedup_lines(docs: DataFrame, least: int = MIN_KEY_CHARS, names: tuple[str, str, str] = RESULTS) -> DataFrame:
+    """``docs`` with n_lines, n_dropped and kept_text, under the given names.
 
     A line's key is the line without white space at its ends, A-Z in lower case. Keys of at least ``least``
     characters that two documents hold stay only in the document with the smallest id, all other lines stay.
@@ -148,7 +151,7 @@ def dedup_lines(docs: DataFrame, least: int = MIN_KEY_CHARS) -> DataFrame:
     keys. Rows without an id neither give nor lose lines. Columns of ``docs`` that have the names of added
     ones are replaced.
     """
-    docs = clear_of(docs, "n_lines", "n_dropped", "kept_text")
+    docs = clear_of(docs, *names)
     lost = (
         repeated_lines(docs, least)
         .groupBy(F.col("doc_id").alias("__doc"))
@@ -157,4 +160,5 @@ def dedup_lines(docs: DataFrame, least: int = MIN_KEY_CHARS) -> DataFrame:
     joined = docs.join(lost, docs["doc_id"] == lost["__doc"], "left")
     without = F.arrow_udf(_without, "n_lines long, n_dropped long, kept_text string")
     cut = joined.withColumn("__cut", without("text", "__keys"))
-    return cut.select(*[docs[c] for c in docs.columns], "__cut.*")
+    results = [F.col(f"__cut.{field}").alias(name) for field, name in zip(RESULTS, names)]
+    return cut.select(*[docs[c] for c in docs.columns], *results)

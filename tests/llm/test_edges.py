@@ -146,6 +146,18 @@ def test_language(docs):
     assert got[3] == got[4] == got[6] == got[8] == ("und", 0.0)
 
 
+@pytest.mark.parametrize("text, known", [("½", False), ("²", False), ("Ⅷ 12", False), ("ª", True), ("é", True), ("中", True), ("_", False)])
+def test_letters(spark, docs, text, known):
+    got = language.predict(spark.createDataFrame([(text,)], "text string"), language.fit(docs)).first()
+    assert (got["lang_pred"] != "und") == known
+
+
+def test_too_many_languages_are_refused(spark):
+    labelled = spark.createDataFrame([("a", f"l{i}") for i in range(9)], "text string, lang string")
+    with pytest.raises(ValueError, match="fewer bits"):
+        language.fit(labelled, bits=22)
+
+
 def test_language_without_labels(docs):
     model = language.fit(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in language.predict(docs, model).collect()} == {"und"}
@@ -185,6 +197,10 @@ def test_pipeline_stages(spark, tmp_path, benchmark, request, table):
         got = stage(spark, docs, str(tmp_path))
         if name != corpus_pipeline.STAGES[-1][0]:
             assert got.columns == docs.columns
+            # Columns that a stage does not own keep their values, whatever they are called.
+            own = ["lang", "source", "key", "rep", "score", "kept", "size", "n_lines", "group", "words"]
+            before = {tuple(r) for r in docs.select("doc_id", *own).collect()}
+            assert {tuple(r) for r in got.select("doc_id", *own).collect()} <= before
         got.write.parquet(path)
         docs = spark.read.parquet(path)
     if table == "docs":
