@@ -1,6 +1,9 @@
 """A corpus pipeline: language ID, line dedup, near-dedup, benchmark decontamination and packing.
 
-Every stage works on what the one before kept. All but the last return the columns of ``documents``.
+Every stage works on what the one before kept. All but the last return the columns of ``documents``: line dedup
+changes text and n_chars of the documents it cuts, no other value changes, whatever further columns are called.
+NULL texts have no letter and go in the first stage, as empty ones do; an empty table stays empty; repeated rows
+are documents each, but those that share an id go and stay together.
 """
 
 from __future__ import annotations
@@ -21,18 +24,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are none, every document is unknown and goes.
     """
     model = language.fit(docs.where(F.coalesce(crc_of_id(5) != 0, F.lit(True))))
-    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return language.predict(docs, model).where(known).select(*docs.columns)
+    known = (F.col("__lang") != language.UNKNOWN) & (F.col("__share") >= LEAST_LANGUAGE_SCORE)
+    return language.predict(docs, model, ("__lang", "__share")).where(known).select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut lines that an earlier document holds; a document that loses lines and keeps no word goes."""
-    cut = line_dedup.dedup_lines(docs)
-    emptied = (F.col("n_dropped") > 0) & ~F.col("kept_text").rlike(WORD_PATTERN)
-    text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    changed = cut.where(~emptied).withColumn("text", text)
+    cut = line_dedup.dedup_lines(docs, names=("__lines", "__dropped", "__kept"))
+    loses = F.col("__dropped") > 0
+    emptied = loses & ~F.col("__kept").rlike(WORD_PATTERN)
+    changed = cut.where(~emptied).withColumn("text", F.when(loses, F.col("__kept")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        size = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        size = F.when(loses, F.length("text")).otherwise(F.col("n_chars"))
         changed = changed.withColumn("n_chars", size.cast("long"))
     return changed.select(*docs.columns)
 
