@@ -16,6 +16,7 @@ from clickloom.functions import parse_export_time
 from clickloom.operators import flatten as flat
 from clickloom.operators.upsert import upsert
 from clickloom.plans import anonymize, enrich, explore, profile, star, video
+from clickloom.schema import HR_FIELDS
 from clickloom.session import materialize
 from oracle import bindings, deliveries, maintained
 from oracle.queries import ORACLE
@@ -100,7 +101,16 @@ def _session_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hr_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _people(spark, sf_dir).select("event_id", "gpn", "hr_division", "hr_job_title")
+    return _people(spark, sf_dir).select("event_id", "gpn", *HR_FIELDS.values())
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.organization_history(bindings.hr(spark, sf_dir))
+
+
+def _event_org_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versioned = star.with_org_version(_sessions(spark, sf_dir), _history(spark, sf_dir))
+    return versioned.select("event_id", "gpn", F.col("org_version_key").cast("double").alias("org_version_key"))
 
 
 def _unique_seconds(mode: str) -> Query:
@@ -220,9 +230,7 @@ def _native_queries() -> dict[str, Query]:
         # enrichment
         "session_enriched": _session_enriched,
         "hr_asof": _hr_asof,
-        "events_anonymized": lambda s, d: anonymize.anonymize(
-            _events(s, d).select("event_id", "CP_GPN", "CP_Email", "gpn", "email", "hr_division"), PEPPER
-        ),
+        "events_anonymized": lambda s, d: anonymize.anonymize(_events(s, d), PEPPER),
         "date_formats": _date_formats,
         "precision_check": lambda s, d: profile.precision_check(bindings.click_events(s, d)),
         "local_time_sample": lambda s, d: enrich.local_time_sample(_sessions(s, d)),
@@ -245,6 +253,8 @@ def _native_queries() -> dict[str, Query]:
         # star schema
         "dim_date": lambda s, d: star.dim_date(_sessions(s, d)),
         "dim_organization": lambda s, d: star.dim_organization(_people(s, d)),
+        "dim_organization_history": _history,
+        "event_org_version": _event_org_version,
         "dim_site": lambda s, d: star.dim_site(_sessions(s, d)),
         "dim_page": lambda s, d: star.dim_page(_sessions(s, d)),
         "dim_link_type": lambda s, d: star.dim_link_type(_sessions(s, d)),

@@ -90,8 +90,9 @@ def update_facts(
     events: DataFrame,
     changed: Collection[date | None] | None,
     pepper: str,
+    history: DataFrame | None = None,
 ) -> star.Star:
-    """Bring facts and keys up to date; returns the dimensions.
+    """Bring facts and keys up to date; returns the dimensions. With a ``history`` facts carry its version keys.
 
     Natural keys of the changed dates that are new get their numbers, all others keep theirs, so facts of
     other dates stay as they are. ``changed=None`` makes all facts anew, with the same numbers as before.
@@ -100,6 +101,9 @@ def update_facts(
     known = star.dimensions(source, registry)
     dims = star.Star(**{name: materialize(dim, name) for name, dim in vars(known).items()})
     if changed is None or changed:
-        facts = star.fact_event(source, dims, pepper, keep=("session_date",))
+        keep = ["session_date"]
+        if history is not None and "gpn" in source.columns:
+            source, keep = star.with_org_version(source, history), [*keep, "org_version_key"]
+        facts = star.fact_event(source, dims, pepper, keep)
         table.replace(facts, None if changed is None or not table.current() else changed)
     return dims

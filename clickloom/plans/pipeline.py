@@ -16,6 +16,7 @@ from clickloom.plans.anonymize import anonymize
 from clickloom.plans.enrich import enrich
 from clickloom.plans.ingest import Ingested, Mode, ingest
 from clickloom.plans.maintain import fact_table, key_registry, session_table, update_facts, update_sessions
+from clickloom.session import materialize
 from clickloom.sources.store import EventStore, Version
 
 
@@ -117,6 +118,7 @@ def publish(
     pepper: str,
     dates: Collection[date | None] | None = None,
     options: Options = Options(),
+    hr: DataFrame | None = None,
 ) -> tuple[dict[str, str], dict[str, DataFrame]]:
     """Bring the tables derived from enriched events up to date; returns paths and report frames.
 
@@ -137,7 +139,12 @@ def publish(
         put("video_engagement_anonymized", anonymize(engaged, pepper))
         reports["video_summary"] = video.engagement_summary(engaged)
         reports["video_tiers"] = video.tier_distribution(engaged)
-    dims = update_facts(fact_table(spark, output), key_registry(spark, output), stored, dates, pepper)
+    history = None
+    if hr is not None:
+        history = materialize(star.organization_history(hr, options.pad_hr_gpn), "organization-history")
+        put("cdm/dim_organization_history", anonymize(history, pepper))
+    facts, registry = fact_table(spark, output), key_registry(spark, output)
+    dims = update_facts(facts, registry, stored, dates, pepper, history)
     for f in fields(dims):
         put(f"cdm/{f.name}", getattr(dims, f.name))
     paths["cdm/fact_event"] = f"{output}/cdm/fact_event"
@@ -210,7 +217,7 @@ def run(
     write_marker(store, output, Version(0, 0), "")
     stored = write_events(store, version, changed, hr, output, pepper, options)
     dates = None if changed is None else local_dates(changed)
-    tables, reports = publish(stored, output, pepper, dates, options)
+    tables, reports = publish(stored, output, pepper, dates, options, hr)
     reports["processed_files"] = store.processed_report()
     reports["columns"] = store.column_report()
     if hr is not None:

@@ -9,9 +9,10 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickloom.functions import hmac_sha256, or_empty
+from clickloom.functions import hmac_sha256, normalize_gpn, or_empty
 from clickloom.functions.times import iso_weekday
 from clickloom.operators.numbering import with_dense_key
+from clickloom.operators.validity import validity_periods, with_period
 from clickloom.schema import HR_FIELDS, optional
 from clickloom.sources.registry import KeyRegistry
 
@@ -181,6 +182,22 @@ def dimensions(events: DataFrame, registry: KeyRegistry | None = None) -> Star:
     )
 
 
+def organization_history(hr: DataFrame, pad_gpn: bool = False) -> DataFrame:
+    """The organisation of every person over time: org_version_key, gpn, valid_from, valid_to, is_current, fields."""
+    fields = {source: alias.removeprefix("hr_") for source, alias in HR_FIELDS.items() if source in hr.columns}
+    snapshots = hr.withColumn("gpn", normalize_gpn(F.col("gpn"))) if pad_gpn else hr
+    periods = validity_periods(snapshots, "gpn", "snapshot_year", "snapshot_month", fields)
+    missing = F.lit(None).cast("string")
+    every = [F.col(f) if f in fields.values() else missing.alias(f) for f in ORG_FIELDS]
+    placed = periods.select("gpn", "valid_from", "valid_to", "is_current", *every)
+    return with_dense_key(placed, ["gpn", "valid_from"], "org_version_key")
+
+
+def with_org_version(events: DataFrame, history: DataFrame) -> DataFrame:
+    """Events with the key of the organisation version that holds in their UTC month (of the first one before all)."""
+    return with_period(events, history, "gpn", F.to_date("timestamp"), "org_version_key")
+
+
 def fact_event(events: DataFrame, star: Star, pepper: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per event with the key of each dimension, and the columns to ``keep``.
 

@@ -68,17 +68,32 @@ FLAT_ONLY = {
     "CP_Video_PlayedTime": "value",
 }
 
+# Organisation fields of a snapshot. Some change with the months, some are missing for some people or months.
+HR_VALUES = {
+    "gcrs_division_desc": "case when (o_custkey + o_orderkey {div} 2) % 5 > 0 then o_orderstatus end",
+    "gcrs_unit_desc": "case when o_custkey % 4 > 0 then concat('unit ', o_custkey % 5) end",
+    "gcrs_area_desc": "concat('area ', o_custkey % 3)",
+    "gcrs_sector_desc": "case when o_custkey % 9 = 0 then '' else concat('sector ', o_custkey % 2) end",
+    "gcrs_segment_desc": "'segment'",
+    "gcrs_function_desc": "concat('function ', o_custkey % 4)",
+    "ou_code": "case when o_orderkey % 4 > 0 then concat('ou', o_orderkey {div} 8 % 2) end",
+    "work_location_country": "concat('country ', o_custkey % 3)",
+    "work_location_region": "case when o_custkey % 3 = 1 then 'north' else 'south' end",
+    "job_title": "o_orderpriority",
+    "job_family": "substring(o_orderpriority, 1, 1)",
+    "management_level": "case when o_orderpriority < '3' then 'senior' else 'junior' end",
+    "cost_center": "concat('cc', o_custkey % 4)",
+}
 # Every order is a snapshot row of a customer: a third of them have snapshots from June 2024 only, one in
 # seven belongs to nobody in the click data, and some months carry no division.
-HR = """
+HR = f"""
 select lpad(cast(case when o_custkey % 7 = 3 then o_custkey + 1000000 else o_custkey end as string), 8, '0')
          as gpn,
        case when o_custkey % 3 = 0 then 2024 else 2023 + cast(o_orderkey % 2 as int) end as snapshot_year,
-       case when o_custkey % 3 = 0 then 6 + cast((o_orderkey {div} 2) % 7 as int)
-            else 1 + 3 * cast((o_orderkey {div} 2) % 4 as int) end as snapshot_month,
-       max(case when (o_custkey + o_orderkey {div} 2) % 5 > 0 then o_orderstatus end) as gcrs_division_desc,
-       max(o_orderpriority) as job_title
-from {orders} group by 1, 2, 3
+       case when o_custkey % 3 = 0 then 6 + cast((o_orderkey {{div}} 2) % 7 as int)
+            else 1 + 3 * cast((o_orderkey {{div}} 2) % 4 as int) end as snapshot_month,
+       {", ".join(f"max({value}) as {name}" for name, value in HR_VALUES.items())}
+from {{orders}} group by 1, 2, 3
 """
 
 

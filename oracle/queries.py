@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from oracle.views import (
     AS_OF,
+    FLAT,
+    HR_PRESENT,
+    ORG_HASH,
+    ORG_TEXTS,
     PEPPER,
     hmac,
     prop,
@@ -37,6 +41,25 @@ def flat_columns(prefix: str, skip: tuple[str, ...] = ()) -> str:
     )
 
 
+# Organisation versions of every person, from the snapshots as the as-of join reads them.
+_now = [f"coalesce({f}, lead({f}) over w) as {f}" for f in HR_PRESENT]
+_same = " and ".join(f"{f} is not distinct from lag({f}) over w" for f in HR_PRESENT)
+HISTORY_FIELDS = ", ".join(f'{f} as "{a.removeprefix("hr_")}"' for f, a in HR_PRESENT.items())
+HISTORY = f""",
+  held as (
+    select gpn, row_number() over w as k, make_date(month_no // 100, month_no % 100, 1) as valid_from, {", ".join(_now)}
+    from snapshots window w as (partition by gpn order by month_no)
+    union all
+    select gpn, 0, null, {", ".join(HR_PRESENT)} from snapshots
+    qualify row_number() over (partition by gpn order by month_no) = 1),
+  begun as (
+    select *, k > 0 and {_same} as goes_on from held window w as (partition by gpn order by k)),
+  versions as (
+    select *, row_number() over (order by gpn, valid_from nulls first) as version,
+      lead(valid_from) over (partition by gpn order by k) - 1 as valid_to
+    from begun where not goes_on)
+"""
+
 # Facts without their keys, and events with the natural keys.
 FACT_COLUMNS = f"""
   {hmac('e.gpn')} as person_hash, e.user_id, e.session_id, e.session_key,
@@ -46,8 +69,8 @@ FACT_COLUMNS = f"""
   e.sec_since_prev_event, e.time_since_prev_bucket, e.event_hour, e.event_weekday,
   CP_Link_address as link_address, CP_Link_label as link_label, CP_FileName_Label as file_name,
   CP_FileType_Label as file_type, e.name as event_name, client_CountryOrRegion as client_country"""
-FACT_ROWS = """(
-  select *, session_date as date_value, md5(coalesce(hr_division, '') || '|' || coalesce(hr_job_title, '')) as org_hash,
+FACT_ROWS = f"""(
+  select *, session_date as date_value, {ORG_HASH} as org_hash,
     coalesce(CP_SiteID, '') as site_id, coalesce(CP_SiteName, '') as site_name,
     coalesce(CP_PageId, '') as page_id, coalesce(CP_PageName, '') as page_name,
     coalesce(CP_PageURL, '') as page_url, coalesce(CP_ContentType, '') as content_type,
@@ -70,7 +93,7 @@ def sample(value: str, k: int, where: str = "true") -> str:
 
 
 def coverage() -> str:
-    names = ["gpn", "email", "session_id", "user_id", "hr_division", "hr_job_title"]
+    names = ["gpn", "email", "session_id", "user_id", *HR_PRESENT.values()]
     names += ["CP_" + k for k in PROPERTIES]
     rows = " union all ".join(
         f"select '{c}' as field, count({c}) as filled, count(*) as total, "
@@ -196,10 +219,15 @@ ORACLE: dict[str, str] = {
           cast(ms_since_prev_event as double) as ms_since_prev_event, sec_since_prev_event,
           time_since_prev_bucket from ev"""
     ),
-    "hr_asof": with_events("select event_id, gpn, hr_division, hr_job_title from org"),
+    "hr_asof": with_events(f"select event_id, gpn, {', '.join(HR_PRESENT.values())} from org"),
     "events_anonymized": with_events(
-        f"""select event_id, {hmac('CP_GPN')} as CP_Person_Hash, {hmac('gpn')} as person_hash, hr_division
-          from ev"""
+        f"""select event_id, {stamp(TS)} as "timestamp", name, user_id, session_id, client_CountryOrRegion,
+          {", ".join(c for c in FLAT if c not in ("CP_GPN", "CP_Email"))}, {hmac('CP_GPN')} as CP_Person_Hash,
+          {hmac('gpn')} as person_hash, timestamp_str, {stamp('timestamp_cet')} as timestamp_cet, timestamp_cet_str,
+          session_date::varchar as session_date, session_key, event_hour, event_weekday, event_weekday_num,
+          cast(event_order as int) as event_order, prev_event, {stamp('prev_timestamp')} as prev_timestamp,
+          cast(ms_since_prev_event as double) as ms_since_prev_event, sec_since_prev_event,
+          time_since_prev_bucket, {", ".join(HR_PRESENT.values())} from ev"""
     ),
     "date_formats": with_base(
         f"""select event_id, spelled, {stamp('parsed')} as parsed from (
@@ -312,13 +340,15 @@ ORACLE: dict[str, str] = {
           cast(isodow(date_value) as int) as day_of_week, dayname(date_value) as day_name,
           cast(isodow(date_value) in (6, 7) as varchar) as is_weekend from d_date"""
     ),
-    "dim_organization": with_dims(
-        """select org_key, org_hash, division, job_title,
-          cast(null as varchar) as unit, cast(null as varchar) as area, cast(null as varchar) as sector,
-          cast(null as varchar) as segment, cast(null as varchar) as "function",
-          cast(null as varchar) as ou_code, cast(null as varchar) as country,
-          cast(null as varchar) as region, cast(null as varchar) as job_family,
-          cast(null as varchar) as management_level, cast(null as varchar) as cost_center from d_org"""
+    "dim_organization": with_dims("select * from d_org"),
+    # What holds from each snapshot on, and from before the first; periods of the same are one.
+    "dim_organization_history": with_events(
+        f"""{HISTORY} select version as org_version_key, gpn, valid_from::varchar as valid_from, valid_to::varchar as valid_to,
+          (valid_to is null)::varchar as is_current, {HISTORY_FIELDS} from versions"""
+    ),
+    "event_org_version": with_events(
+        f"""{HISTORY} select event_id, gpn, version::double as org_version_key from sess2 left join versions using (gpn)
+        where version is null or (coalesce(valid_from <= "timestamp"::date, true) and coalesce("timestamp"::date <= valid_to, true))"""
     ),
     "dim_site": with_dims("select * from d_site"),
     "dim_page": with_dims("select * from d_page"),
@@ -344,8 +374,7 @@ ORACLE: dict[str, str] = {
           select dim, parts, bool_or(session_date < date '{CUT}') as kept from (
             select session_date, unnest([
               {{'dim': 'date_key', 'parts': [session_date::varchar]}},
-              {{'dim': 'org_key', 'parts': [org_hash, coalesce(hr_division, ''), '', '', '', '', '', '', '', '',
-                coalesce(hr_job_title, ''), '', '', '']}},
+              {{'dim': 'org_key', 'parts': [org_hash, {", ".join(ORG_TEXTS)}]}},
               {{'dim': 'site_key', 'parts': [site_id, site_name]}},
               {{'dim': 'page_key', 'parts': [page_id, page_name, page_url, content_type, page_status]}},
               {{'dim': 'link_type_key', 'parts': [link_type]}},

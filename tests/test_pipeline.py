@@ -62,6 +62,31 @@ def test_without_organisation_there_is_one_row(spark, events):
     assert star.fact_event(plain, dims, PEPPER).where("org_key = 1").count() == plain.count()
 
 
+def test_organisation_history(spark):
+    """Periods of equal organisation, without gap or overlap, agree with the as-of join in every month."""
+    schema = "gpn string, snapshot_year int, snapshot_month int, gcrs_division_desc string, job_title string"
+    months = [(2023, m) for m in (2, 3, 4, 7, 8, 11)]
+    values = {"1": "aabbba", "2": ".aab.b", "3": "aaaaaa", "4": "...a..", "5": "......"}
+    data = [(g, y, m, None if v == "." else v, "job") for g, vs in values.items() for (y, m), v in zip(months, vs)]
+    data += [("1", 2023, 2, "A", "other of the month"), (None, 2023, 2, "x", "x"), ("6", None, 2, "x", "x")]
+    hr = spark.createDataFrame(data, schema)
+    history = star.organization_history(hr)
+    found = rows(history.select("gpn", F.col("valid_from").cast("string"), F.col("valid_to").cast("string"), "division"))
+    assert [r for r in found if r[0] == "1"] == [
+        ("1", "2023-04-01", "2023-10-31", "b"), ("1", "2023-11-01", None, "a"), ("1", None, "2023-03-31", "a"),
+    ]
+    assert [r for r in found if r[0] in "35"] == [("3", None, None, "a"), ("5", None, None, None)]
+    days = [f"{y}-{m:02d}-{d} 12:00:00" for y in (2022, 2023, 2024) for m in range(1, 13) for d in ("01", "28")]
+    events = spark.createDataFrame([(g, t) for g in [*values, "9"] for t in days], "gpn string, t string")
+    events = events.select("gpn", F.col("t").cast("timestamp").alias("timestamp"))
+    asof = enrich.with_organisation(events, hr).select("gpn", "timestamp", "hr_division", "hr_job_title")
+    versioned = star.with_org_version(events, history)
+    told = versioned.join(history.drop("gpn"), "org_version_key", "left")
+    assert rows(told.select("gpn", "timestamp", "division", "job_title")) == rows(asof)
+    assert [r.org_version_key for r in history.orderBy("org_version_key").collect()] == list(range(1, history.count() + 1))
+    assert star.organization_history(hr.limit(0)).count() == 0
+
+
 def test_numeric_ids_with_nulls(spark, events):
     numeric = events.withColumn("CP_SiteID", F.when(F.col("event_id") > 10, F.col("event_id") % 4))
     assert star.dim_site(numeric).where("site_id = ''").count() > 0
@@ -86,7 +111,7 @@ def test_whole_job(spark):
         ["events_raw", "events_anonymized", "video_engagement", "video_engagement_anonymized"]
         + [f"cdm/{t}" for t in (
             "dim_date", "dim_organization", "dim_site", "dim_page", "dim_link_type",
-            "dim_component", "fact_event")]
+            "dim_component", "dim_organization_history", "fact_event")]
     )
     tables = {name: spark.read.parquet(path) for name, path in done.tables.items() if name != "cdm/fact_event"}
     tables["cdm/fact_event"] = pipeline.read_fact(spark, str(root / "out"))
@@ -158,7 +183,9 @@ def test_delta_run_rebuilds_only_touched_dates(spark, root):
         out = str(root / "out")
         dims = star.Star(**{f.name: spark.read.parquet(f"{out}/cdm/{f.name}") for f in fields(star.Star)})
         fact = pipeline.read_fact(spark, out)
-        assert rows(fact.drop("session_date")) == rows(star.fact_event(full, dims, PEPPER))
+        history = star.organization_history(spark.read.parquet(str(root / "hr")))
+        expected = star.fact_event(star.with_org_version(full, history), dims, PEPPER, ["org_version_key"])
+        assert rows(fact.select(*expected.columns)) == rows(expected)
 
     def written_at(day):
         folder = root / "out" / "events_raw" / f"session_date={day}"
