@@ -264,6 +264,11 @@ def _native_queries() -> dict[str, Query]:
         "stable_keys": maintained.stable_keys,
         "fact_incremental": maintained.fact,
         "video_incremental": maintained.engagement,
+        # the log stored by day, and its sketches
+        "log_route": maintained.log_route,
+        "daily_trend_stored": maintained.recent_from_store,
+        "visits_sketched": maintained.visits_sketched,
+        "property_values_sketched": maintained.property_values_sketched,
         # profile reports
         "data_overview": lambda s, d: profile.data_overview(_sessions(s, d)),
         "hr_profile": lambda s, d: profile.hr_profile(bindings.hr(s, d)),

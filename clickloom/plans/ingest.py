@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from datetime import date, datetime
 from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickloom.functions import parse_export_time
+from clickloom.operators.flatten import CLICK_EVENT, export_view, flatten
 from clickloom.operators.upsert import upsert
+from clickloom.schema import EXPORT_RENAMES, quoted
+from clickloom.session import materialize
 from clickloom.sources import files
+from clickloom.sources.log import stored_days
+from clickloom.sources.parts import PartitionedTable
 from clickloom.sources.store import MANIFEST, TIME, TIME_TEXT, ColumnKind, EventStore, Version, updated_manifest
 
 Mode = Literal["delta", "full_refresh", "file"]
+LOG = "log/"  # days of the log in the manifest
 
 
 @dataclass(frozen=True)
@@ -52,14 +59,36 @@ def ingest(
             raise FileNotFoundError(f"no export files at {location}")
         return None
 
+    staged = files.read_exports(spark, exports)
+    entries = [Entry(e.filename, e.uri, e.file_hash, e.reason, e.date_suffix, e.length, e.modified) for e in exports]
+    return _load(store, staged, entries, refresh, date_columns)
+
+
+@dataclass(frozen=True)
+class Entry:
+    """What the manifest keeps of a file (or day of the log) that is loaded; ``source`` marks its rows."""
+
+    filename: str
+    source: str
+    file_hash: str
+    reason: str
+    date_suffix: date | None = None
+    length: int | None = None
+    modified: datetime | None = None
+
+
+def _load(
+    store: EventStore, staged: DataFrame, entries: Sequence[Entry], refresh: bool, date_columns: Sequence[str] | None
+) -> Ingested:
+    """Merge rows of texts (marked by source and rank) into the store and commit a new version."""
+    spark, known = store.spark, store.processed_files()
     target_version = store.next(refresh)
     current = store.current()
     has_target = not refresh and current.number > 0
     columns = store.columns(current) if has_target else {}
-    staged = files.read_exports(spark, exports)
     settled = {name for name, c in columns.items() if c.kind == "text" or name == TIME_TEXT}
     delivered = files.profile(staged, settled)
-    row_counts = {e.filename: delivered.rows.get(e.uri, 0) for e in exports}
+    row_counts = {e.filename: delivered.rows.get(e.source, 0) for e in entries}
     kinds = widened(columns, delivered, date_columns or ())
 
     batch = with_event_time(staged.drop(files.FILE, files.BEYOND))
@@ -69,19 +98,47 @@ def ingest(
     store.write_days(merged, target_version)
 
     processed = spark.createDataFrame(
-        [
-            (e.filename, e.file_hash, row_counts[e.filename], None, e.date_suffix, e.length, e.modified)
-            for e in exports
-        ],
+        [(e.filename, e.file_hash, row_counts[e.filename], None, e.date_suffix, e.length, e.modified) for e in entries],
         MANIFEST,
     ).withColumn("processed_at", F.current_timestamp())
     before = known.limit(0) if refresh else known
     store.commit(target_version, merged.schema, kinds.values(), updated_manifest(before, processed))
     texts = [c.name for name, c in kinds.items() if c.kind == "text" and name in columns and columns[name].kind == "time"]
-    reasons = {e.filename: e.reason for e in exports}
+    reasons = {e.filename: e.reason for e in entries}
     return Ingested(target_version, reasons, row_counts, delivered.timeless, texts)
 
 
+def ingest_log(
+    store: EventStore, log: PartitionedTable, name: str = CLICK_EVENT, date_columns: Sequence[str] | None = None
+) -> Ingested | None:
+    """Bring events of the stored log into the store: the other way than by export files, with the same result.
+
+    Days that the manifest does not know, or that were written again since, are flattened and merged; only their
+    folders are opened. None when there are none. As in an export, an empty property is a missing value.
+    """
+    known = {r.filename: r.file_hash for r in store.processed_files().where(F.col("filename").startswith(LOG)).collect()}
+    found = {f"{LOG}{day}": (day, str(version)) for day, version in stored_days(log).items()}
+    entries = [
+        Entry(filename, filename, version, "changed" if filename in known else "new", day)
+        for filename, (day, version) in sorted(found.items())
+        if known.get(filename) != version
+    ]
+    if not entries:
+        return None
+    rows = log.read(values=[e.date_suffix for e in entries]).where(F.col("name") == name)
+    exported = export_view(flatten(rows)).withColumnsRenamed(EXPORT_RENAMES)
+    texts = exported.select(*[F.nullif(quoted(c), F.lit("")).alias(c) for c in exported.columns])
+    day = F.to_date(parse_export_time(F.col(TIME))).cast("string")
+    marked = texts.withColumns(
+        {
+            files.FILE: F.concat(F.lit(LOG), F.coalesce(day, F.lit("None"))),
+            files.RANK: F.lit(0),
+            files.BEYOND: F.lit(None).cast("string"),
+        }
+    )
+    return _load(store, materialize(marked, "delivered-log"), entries, False, date_columns)
+
+
 def with_event_time(rows: DataFrame) -> DataFrame:
     """The event time parsed; its text stays beside it where it is in no accepted spelling."""
     if TIME not in rows.columns:

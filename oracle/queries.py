@@ -21,7 +21,7 @@ from oracle.views import (
 )
 from oracle.bindings import PROPERTIES
 from oracle.deliveries import DATES, STORED
-from oracle.maintained import CUT
+from oracle.maintained import CUT, FROM, TO
 
 # What the bindings write into the properties of an event, and the end of its column's name.
 KEYS = {"ContentOwner": "ContentOwner"} | {k: k for k in PROPERTIES} | {"gpn": "gpn_1"}
@@ -455,3 +455,25 @@ ORACLE["column_kinds"] = with_base(
 )
 # Kept up over two deliveries it is what it is in one.
 ORACLE["video_incremental"] = ORACLE["video_engagement"]
+# The log's events as an export of them would bring them: an empty property is a missing one.
+ORACLE["log_route"] = with_log(
+    f"""select {stamp(TS)} as "timestamp", user_id, session_id, name, nullif({prop("Link_label")}, '') as label,
+      nullif({prop("GPN")}, '') as gpn, nullif({prop("gpn")}, '') as other_gpn, nullif({prop("ContentOwner")}, '') as owner
+    from log"""
+)
+ORACLE["daily_trend_stored"] = ORACLE["daily_trend_90d"]
+RANGE = f"{TS} >= timestamp '{FROM}' and {TS} < timestamp '{TO}' + interval 1 day"
+ORACLE["visits_sketched"] = with_log(
+    f"""select count(*) as total_events, {stamp(f"min({TS})")} as first_event, {stamp(f"max({TS})")} as last_event,
+      count(distinct user_id) as n_users, count(distinct session_id) as n_sessions,
+      count(distinct {prop("GPN")}) as n_gpns, count(distinct client_CountryOrRegion) as n_countries,
+      'true' as users_close, 'true' as sessions_close, 'true' as gpns_close, 'true' as countries_close
+    from log where {RANGE}"""
+)
+ORACLE["property_values_sketched"] = with_log(
+    f"""select key, count(*) as key_count, min(value) as sample_value, count(distinct value) as distinct_values, 'true' as "close"
+    from (
+      select unnest(json_keys(cp)) as key, coalesce(json_extract_string(cp, '$.' || unnest(json_keys(cp))), '') as value
+      from log where cp is not null and {RANGE}
+    ) group by key"""
+)
