@@ -18,14 +18,16 @@ from clickloom.schema import quoted
 from clickloom.session import materialize
 
 SEQ, SLICE, RANK = "__seq", "__slice", "__rank"
+# Buckets of a size count: so many for each time the rows reach the limit, and no more than these.
+BUCKETS_PER_LIMIT, MOST_BUCKETS = 8, 1 << 24
 
 
 @dataclass(frozen=True)
 class HotGroups:
     """When to split a group: above ``min_rows`` rows. ``slice_rows`` is the size of the parts aimed at.
 
-    ``buckets`` is the number of hash buckets that are counted first; only groups in a bucket above
-    ``min_rows`` are counted one by one.
+    ``buckets`` is the number of hash buckets that are counted first (more if rows need them); only groups in
+    a bucket above ``min_rows`` are counted one by one.
     """
 
     min_rows: int = 2_000_000
@@ -54,18 +56,31 @@ class Ordered:
 def hot_groups(df: DataFrame, keys: Sequence[str], policy: HotGroups) -> DataFrame | None:
     """Keys and sizes (``__rows``) of the groups to split; None if there is none.
 
-    Rows are first counted per hash bucket of their key, a few numbers per task. A group above the limit
-    makes its bucket large, so usually nothing is left to count; otherwise only groups in large buckets are.
-    The groups found are at most rows / min_rows and stay in a table.
+    Rows are first counted per hash bucket of their key. A group above the limit makes its bucket large, so
+    usually nothing is left to count; otherwise only groups in large buckets are. Where rows are so many that
+    buckets are large without a hot group, they are counted again in as many buckets as the rows need. The
+    groups found are at most rows / min_rows; like the buckets they stay in a table.
     """
-    bucket = F.pmod(F.xxhash64(*[quoted(k) for k in keys]), F.lit(policy.buckets))
-    counts = df.groupBy(bucket.alias("__bucket")).agg(F.count("*").alias("__rows"))
-    large = [r["__bucket"] for r in counts.where(F.col("__rows") > policy.min_rows).collect()]
-    if not large:
-        return None
-    rows = df.where(F.array_contains(F.lit(large), bucket))
-    sizes = rows.groupBy(*[quoted(k) for k in keys]).agg(F.count("*").alias("__rows"))
-    found = materialize(sizes.where(F.col("__rows") > policy.min_rows), "hot-groups")
+    columns = [quoted(k) for k in keys]
+
+    def counted(buckets: int) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*columns), F.lit(buckets))
+        return df.groupBy(bucket.alias("__bucket")).agg(F.count("*").alias("__rows"))
+
+    buckets, is_large = policy.buckets, F.col("__rows") > policy.min_rows
+    while True:
+        total, large = counted(buckets).agg(F.sum("__rows"), F.count_if(is_large)).first()
+        if not large:
+            return None
+        needed = 1 << (BUCKETS_PER_LIMIT * total // policy.min_rows).bit_length()
+        if needed <= buckets or buckets >= MOST_BUCKETS:
+            break
+        buckets = min(needed, MOST_BUCKETS)
+    rows = df.withColumn("__bucket", F.pmod(F.xxhash64(*columns), F.lit(buckets)))
+    if 2 * large < buckets:  # else nearly all rows would stay
+        rows = rows.join(materialize(counted(buckets).where(is_large), "large-buckets"), "__bucket", "left_semi")
+    sizes = rows.groupBy(*columns).agg(F.count("*").alias("__rows"))
+    found = materialize(sizes.where(is_large), "hot-groups")
     return None if found.isEmpty() else found
 
 

@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.schema import EVENT_KEY, quoted
+from clickloom.session import materialize
 
 
 def upsert(
@@ -23,21 +24,18 @@ def upsert(
     delivery has its key, which equals applying them one after the other. Duplicates inside one delivery
     stay, and keys with a NULL part never match. Columns are matched by name; missing ones become NULL.
 
-    The delivered keys are reduced to one row each before the joins, so the right side of both anti joins
-    is unique and a hot key on the left can be split.
+    The delivered keys are reduced to one row each and written, so the right side of both anti joins is unique,
+    of known size and made once, and a hot key on the left can be split.
     """
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    delivered = batch.where(complete).groupBy(*keys)
+    ranks = [F.max(rank).alias("__newest"), F.min(rank).alias("__oldest")] if rank is not None else [F.count(F.lit(1)).alias("__n")]
+    delivered = materialize(batch.where(complete).groupBy(*keys).agg(*ranks), "delivered-keys")
+    named = delivered.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    same_key = reduce(and_, [quoted(k) == F.col(f"__k_{k}") for k in keys])
     appended = batch
     if rank is not None:
-        newest = delivered.agg(F.max(rank).alias("__newest"), F.min(rank).alias("__oldest"))
-        repeated = newest.where(F.col("__oldest") < F.col("__newest")).select(
-            *[F.col(k).alias(f"__k_{k}") for k in keys], "__newest"
-        )
-        same_key = [quoted(k) == F.col(f"__k_{k}") for k in keys]
-        superseded = reduce(and_, same_key, F.col(rank) < F.col("__newest"))
-        appended = batch.join(repeated, superseded, "left_anti").drop(rank)
+        superseded = named.where(F.col("__oldest") < F.col("__newest"))
+        appended = batch.join(superseded, same_key & (F.col(rank) < F.col("__newest")), "left_anti").drop(rank)
     if target is None:
         return appended
-    kept = target.join(delivered.agg(F.count("*")).select(*keys), list(keys), "left_anti")
-    return kept.unionByName(appended, allowMissingColumns=True)
+    return target.join(named, same_key, "left_anti").unionByName(appended, allowMissingColumns=True)
