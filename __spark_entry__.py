@@ -266,6 +266,7 @@ def _native_queries() -> dict[str, Query]:
         "video_incremental": maintained.engagement,
         # the log stored by day, and its sketches
         "log_route": maintained.log_route,
+        "log_streamed": maintained.log_streamed,
         "daily_trend_stored": maintained.recent_from_store,
         "visits_sketched": maintained.visits_sketched,
         "property_values_sketched": maintained.property_values_sketched,

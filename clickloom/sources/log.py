@@ -16,14 +16,19 @@ def log_table(spark: SparkSession, root: str) -> PartitionedTable:
     return PartitionedTable(spark, root, DAY)
 
 
-def store_log(table: PartitionedTable, rows: DataFrame, replace: bool = False) -> int:
-    """Add log rows to their days, or with ``replace`` put them in place of these days; other days stay untouched."""
+def store_log(table: PartitionedTable, rows: DataFrame, replace: bool = False, batch: tuple[str, int] | None = None) -> int:
+    """Add log rows to their days, or with ``replace`` put them in place of these days; other days stay untouched.
+
+    A ``batch`` of a stream that the table has already is not added again.
+    """
+    if batch and table.streams().get(batch[0], -1) >= batch[1]:
+        return table.current()
     dated = rows.withColumn(DAY, F.to_date("timestamp"))
     days = [r[DAY] for r in dated.select(DAY).distinct().collect()]  # at most the calendar
     before = None if replace else table.read(values=days)
     if before is not None:
         dated = before.unionByName(dated, allowMissingColumns=True)
-    return table.replace(dated, days)
+    return table.replace(dated, days, batch)
 
 
 def stored_days(table: PartitionedTable) -> dict[date | None, int]:

@@ -2,6 +2,7 @@
 
     <root>/data/version=N/<column>=<value>/    partitions written for version N
     <root>/commits/version=N/schema            columns of version N
+    <root>/commits/version=N/streams           (stream, batch): the last batch of each stream that is in it
     <root>/commits/version=N/parts             (part, version): where each partition lies; written last
 
 A reader takes the newest complete commit and opens just the folders it names. Nothing a reader may have
@@ -20,6 +21,7 @@ from clickloom.schema import quoted
 from clickloom.sources.store import Folders
 
 PARTS = "part string, version int"
+STREAMS = "stream string, batch long"
 NONE = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -52,13 +54,21 @@ class PartitionedTable:
             return {}
         return dict(map(tuple, self.spark.read.schema(PARTS).parquet(f"{self._commit(version)}/parts").collect()))
 
+    def streams(self, version: int | None = None) -> dict[str, int]:
+        """Stream -> number of its last batch in a version."""
+        version = self.current() if version is None else version
+        if not version:
+            return {}
+        return dict(map(tuple, self.spark.read.schema(STREAMS).parquet(f"{self._commit(version)}/streams").collect()))
+
     def folder(self, value) -> str:
         return f"{self.column}={NONE if value is None else value}"
 
-    def replace(self, rows: DataFrame, values: Collection | None = None) -> int:
+    def replace(self, rows: DataFrame, values: Collection | None = None, batch: tuple[str, int] | None = None) -> int:
         """Put ``rows`` in place of the partitions of ``values`` (None: of the whole table); the new version's number.
 
-        A value without rows loses its partition; rows of other values are refused.
+        A value without rows loses its partition; rows of other values are refused. ``batch`` (stream and number)
+        is committed with the version, so that a batch that comes again can be told.
         """
         number = self._next()
         rows.hint("rebalance", self.column).write.partitionBy(self.column).parquet(self._data(number))
@@ -73,6 +83,8 @@ class PartitionedTable:
         entries = [*kept.items(), *[(part, number) for part in written]]
         text = self.spark.createDataFrame([(rows.schema.json(),)], "value string")
         text.write.text(f"{self._commit(number)}/schema")
+        streams = self.streams() | (dict([batch]) if batch else {})
+        self.spark.createDataFrame(list(streams.items()), STREAMS).coalesce(1).write.parquet(f"{self._commit(number)}/streams")
         self.spark.createDataFrame(entries, PARTS).coalesce(1).write.parquet(f"{self._commit(number)}/parts")
         return number
 

@@ -16,6 +16,7 @@ from clickloom.plans.maintain import (
 from clickloom.session import materialize, scratch_dir
 from clickloom.sources.log import log_table, recent_log, store_log
 from clickloom.sources.store import EventStore
+from clickloom.streaming.log_stream import log_files, stream_log
 from oracle import bindings
 from oracle.views import PEPPER
 
@@ -87,6 +88,20 @@ def log_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = EventStore(spark, f"{scratch_dir(spark).rstrip('/')}/events-{uuid.uuid4().hex}")
     for table in _log(spark, sf_dir):
         ingest_log(store, table)
+    return _told(store)
+
+
+def log_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events, streamed from four files in two micro-batches."""
+    root = f"{scratch_dir(spark).rstrip('/')}/streamed-{uuid.uuid4().hex}"
+    rows = bindings.raw_log(spark, sf_dir)
+    rows.repartition(4, "event_id").write.parquet(f"{root}/files")
+    store, table = EventStore(spark, f"{root}/events"), log_table(spark, f"{root}/log")
+    stream_log(log_files(spark, f"{root}/files", rows.schema, 2), table, store, f"{root}/checkpoint", f"log-{uuid.uuid4().hex}")
+    return _told(store)
+
+
+def _told(store: EventStore) -> DataFrame:
     named = {"label": "CP_Link_label", "gpn": "CP_GPN", "other_gpn": "CP_gpn_1", "owner": "CP_ContentOwner"}
     return store.events().select("timestamp", "user_id", "session_id", "name", *[F.col(c).alias(a) for a, c in named.items()])
 

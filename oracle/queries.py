@@ -461,6 +461,7 @@ ORACLE["log_route"] = with_log(
       nullif({prop("GPN")}, '') as gpn, nullif({prop("gpn")}, '') as other_gpn, nullif({prop("ContentOwner")}, '') as owner
     from log"""
 )
+ORACLE["log_streamed"] = ORACLE["log_route"]
 ORACLE["daily_trend_stored"] = ORACLE["daily_trend_90d"]
 RANGE = f"{TS} >= timestamp '{FROM}' and {TS} < timestamp '{TO}' + interval 1 day"
 ORACLE["visits_sketched"] = with_log(

@@ -14,6 +14,8 @@ from clickloom.plans.ingest import ingest, ingest_log
 from clickloom.operators.flatten import export_view, flatten
 from clickloom.sources.log import log_table, recent_log, store_log
 from clickloom.sources.store import EventStore
+from clickloom.streaming import log_stream
+from clickloom.streaming.log_stream import log_files, stream_log
 from conftest import rows
 
 SCHEMA = (
@@ -93,3 +95,34 @@ def test_sketches_of_days_add_up(spark, folder):
     assert sketches.visits(table, date(2024, 5, 1), date(2024, 5, 9)).first().users == 41
     assert rows(sketches.property_values(values, date(2024, 5, 1), date(2024, 5, 2))) == [("GPN", 81, 8, ""), ("K", 81, 41, "")]
     assert sketches.visits(table, date(2025, 1, 1), date(2025, 1, 2)).first().total_events == 0
+
+
+def test_micro_batches_equal_one_batch(spark, folder, monkeypatch):
+    """Also when a run dies between storing a batch and merging it."""
+    for i, data in enumerate((FIRST, LATER)):
+        log(spark, *data).coalesce(1).write.mode("append").parquet(f"{folder}/files")
+    schema = log(spark, *FIRST).schema
+
+    def run(store, table):
+        stream_log(log_files(spark, f"{folder}/files", schema, 1), table, store, f"{folder}/checkpoint", "test-log")
+
+    table, store = log_table(spark, f"{folder}/log"), EventStore(spark, f"{folder}/store")
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(log_stream, "ingest_log", dies)
+        with pytest.raises(Exception, match="lost"):
+            run(store, table)
+    assert store.current().number == 0 and table.current() == 1
+    run(store, table)  # the batch that was stored comes again
+    assert table.read().count() == len(FIRST) + len(LATER)
+    whole, other = log_table(spark, f"{folder}/whole"), EventStore(spark, f"{folder}/other")
+    store_log(whole, log(spark, *FIRST, *LATER))
+    ingest_log(other, whole)
+    columns = ["timestamp", "user_id", "name", "CP_GPN", "CP_Topic", "CP_Seen"]
+    assert rows(store.events().select(columns)) == rows(other.events().select(columns))
+    before = store.current()
+    run(store, table)  # nothing new
+    assert store.current() == before
