@@ -113,20 +113,18 @@ QUERIES = {
 }
 
 
-def crc_of(id_column: str, table: str) -> str:
-    """Common table expressions ending in crc_of (id, crc): crc32 of the ids as decimal text, from its polynomial."""
-    return f"""
-        crc_table as (
+# CRC-32 in SQL, from its polynomial: the table of all bytes, and the checksum of a list ``b`` of bytes.
+CRC_TABLE = """crc_table as (
             select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
                 lambda c, x: if(c % 2 = 1, xor(c >> 1, 3988292384), c >> 1))) as t
-        ), crc_of as (
-            select id, xor(4294967295, list_reduce(
-                list_prepend(4294967295, list_transform(string_split(id::varchar, ''), lambda c: ascii(c)::bigint)),
-                lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]))) as crc
-            from (select distinct {id_column} as id from {table} where {id_column} is not null), crc_table
         )"""
 
 
+def crc32_sql(text: str) -> str:
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::bigint)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])))"
+
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": r"""
         with cut as (
@@ -242,6 +240,45 @@ ORACLE: dict[str, str] = {
             if(n_base > 0, 1.0::double, coalesce(score, 0)) as score, coalesce(n_blocks, 0) as n_blocks
         from words left join base using (doc_id) left join scored using (doc_id) left join named using (doc_id)
     """,
+    "op8_lsh_forest": r"""
+        with recursive words as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') as w
+            from documents
+        ), sets as (
+            select distinct doc_id, array_to_string(w[i : i + 4], ' ') as shingle
+            from words, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) as r(i)
+        ), sizes as (select doc_id, count(*) as n from sets group by doc_id),
+        links as (
+            select a.doc_id as a, b.doc_id as b
+            from sets a join sets b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+            join sizes na on na.doc_id = a.doc_id join sizes nb on nb.doc_id = b.doc_id
+            group by a.doc_id, b.doc_id, na.n, nb.n
+            having 100 * count(*) >= 75 * (na.n + nb.n - count(*))
+        ), reached as (
+            select doc_id, doc_id as met from documents
+            union
+            select doc_id, b as met from reached join links on met = a
+        )
+        select doc_id, coalesce(n, 0) as n_shingles, min(met) as component_id, doc_id = min(met) as kept
+        from reached left join sizes using (doc_id) group by doc_id, n
+    """,
+    "op10_sharding": f"""
+        with {CRC_TABLE}, sized as (
+            select doc_id, coalesce(strlen(text), 0) + 8 as size, {crc32_sql("coalesce(text, '')")} as text_crc32
+            from documents, crc_table
+        ), laid as (
+            select *, coalesce(sum(size) over (order by doc_id rows between unbounded preceding and 1 preceding), 0) as before,
+                sum(size) over () as total
+            from sized
+        ), dealt as (
+            select *, ((2 * before + size) * 24 // (2 * total))::integer as shard from laid
+        )
+        select doc_id, size, text_crc32, 'bytes' as law, shard,
+            row_number() over (partition by shard order by doc_id) - 1 as slot, null::integer as grown_shard
+        from dealt
+    """,
     "op12_fp_tree_search": r"""
         with terms as (
             select row_number() over () as r, doc_id, unnest(regexp_extract_all(
@@ -267,16 +304,19 @@ ORACLE: dict[str, str] = {
         select item_id, (row_number() over (partition by item_id order by score desc, doc_id nulls first))::integer as rank, doc_id, score
         from scored where score > 0 qualify rank <= 50
     """,
-    "op13_prefix_trie": "with" + crc_of("conv_id", "conversations") + r""", turns as (
+    "op13_prefix_trie": f"with {CRC_TABLE}," + r"""
+        turns as (
             select conv_id, list({'id': id, 'words': words} order by turn nulls first, id) as t
             from (
                 select conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as words,
                     md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id
                 from conversations where conv_id is not null
             ) group by conv_id
+        ), lent as (
+            select conv_id, turns.t, """ + crc32_sql("conv_id::varchar").replace("t[", "crc_table.t[") + r""" % 4 as h from turns, crc_table
         ), rebuilt as (
-            select c.conv_id, list_concat(coalesce(b.t[1 : crc % 4], c.t[1 : 0]), c.t[crc % 4 + 1 :]) as t
-            from turns c join crc_of on c.conv_id = id left join turns b on b.conv_id = c.conv_id - c.conv_id % 20
+            select c.conv_id, list_concat(coalesce(b.t[1 : h], c.t[1 : 0]), c.t[h + 1 :]) as t
+            from lent c left join turns b on b.conv_id = c.conv_id - c.conv_id % 20
         ), members as (
             select conv_id, d as depth, list_transform(t[1 : d], lambda x: x.id) as p, t[d].words as w, len(t) = d as ended
             from rebuilt, unnest(range(len(t) + 1)) as r(d)
