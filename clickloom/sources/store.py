@@ -3,9 +3,10 @@
     <root>/generation=G/data/version=N/event_date=D/   rows of one UTC day as of version N
     <root>/generation=G/commits/version=N/schema       stored columns of the table as of version N
     <root>/generation=G/commits/version=N/columns      the kind of each column as of version N
+    <root>/generation=G/commits/version=N/days         (day, version): where the rows of each day lie
     <root>/generation=G/commits/version=N/manifest     processed files; written last, commits the version
 
-A version only writes the days its deliveries touch; for every other day the latest earlier folder holds.
+A version only writes the days its deliveries touch; its commit names the folder of every day.
 Readers see a version once its manifest is complete, so a run that dies leaves the store as it was, and
 rows are never replaced in place. A full refresh starts a new generation.
 
@@ -33,6 +34,7 @@ MANIFEST = (
     "length long, modified timestamp"
 )
 COLUMNS = "name string, kind string, filled long, times long, declared boolean"
+DAYS = "day string, version int"
 DAY = "event_date"
 TIME, TIME_TEXT = "timestamp", "__timestamp_text"
 NO_DAY = f"{DAY}=__HIVE_DEFAULT_PARTITION__"
@@ -142,14 +144,14 @@ class EventStore:
         taken += self.folders.numbered(f"{base}/commits", "version=")
         return Version(now.generation, max(taken, default=0) + 1)
 
+    def _days(self, v: Version) -> dict[str, int]:
+        """Day folder -> version that wrote it, as the commit names them."""
+        if not v.number:
+            return {}
+        return dict(map(tuple, self.spark.read.schema(DAYS).parquet(f"{self._commit(v)}/days").collect()))
+
     def _day_paths(self, v: Version) -> dict[str, str]:
-        latest = {}
-        for number in self.folders.numbered(f"{self._generation(v.generation)}/data", "version="):
-            if number <= v.number and self._is_committed(Version(v.generation, number)):
-                data = self._data(Version(v.generation, number))
-                for day in self.folders.children(data):
-                    latest[day] = f"{data}/{day}"
-        return latest
+        return {day: f"{self._data(Version(v.generation, n))}/{day}" for day, n in self._days(v).items()}
 
     def _is_committed(self, v: Version) -> bool:
         return self.folders.exists(f"{self._commit(v)}/manifest/_SUCCESS")
@@ -227,12 +229,7 @@ class EventStore:
             before, after = self.columns(since), self.columns(until)
             if any((before[c].kind == "time") != (after[c].kind == "time") for c in before):
                 return None
-        changed: set[date | None] = set()
-        for number in range(since.number + 1, until.number + 1):
-            v = Version(until.generation, number)
-            if self._is_committed(v):
-                changed.update(map(folder_day, self.folders.children(self._data(v))))
-        return changed
+        return {folder_day(day) for day, number in self._days(until).items() if number > since.number}
 
     def processed_files(self, version: Version | None = None) -> DataFrame:
         v = version or self.current()
@@ -249,8 +246,25 @@ class EventStore:
         balanced = dated.hint("rebalance", DAY)
         balanced.write.partitionBy(DAY).parquet(self._data(v))
 
+    def forget_before(self, v: Version) -> list[str]:
+        """Remove earlier generations and versions, but for the day folders that ``v`` still reads; returns what went."""
+        gone = [self._generation(g) for g in self.folders.numbered(self.root, "generation=") if g < v.generation]
+        base, needed = self._generation(v.generation), set(self._days(v).items())
+        for n in self.folders.numbered(f"{base}/data", "version="):
+            data = f"{base}/data/version={n}"
+            days = self.folders.children(data) if n <= v.number else []
+            gone += [f"{data}/{day}" for day in days if day.startswith(f"{DAY}=") and (day, n) not in needed]
+        gone += [f"{base}/commits/version={n}" for n in self.folders.numbered(f"{base}/commits", "version=") if n < v.number]
+        for path in gone:
+            self.folders.remove(path)
+        return gone
+
     def commit(self, v: Version, schema: T.StructType, columns: Iterable[ColumnKind], manifest: DataFrame) -> None:
         rows = [(c.name, c.kind, c.filled, c.times, c.declared) for c in columns]
+        before = self.current()
+        days = self._days(before) if before.generation == v.generation else {}
+        days |= {day: v.number for day in self.folders.children(self._data(v)) if day.startswith(f"{DAY}=")}
+        self.spark.createDataFrame(list(days.items()), DAYS).coalesce(1).write.mode("overwrite").parquet(f"{self._commit(v)}/days")
         self.spark.createDataFrame(rows, COLUMNS).coalesce(1).write.mode("overwrite").parquet(f"{self._commit(v)}/columns")
         text = self.spark.createDataFrame([(schema.json(),)], "value string")
         text.write.mode("overwrite").text(f"{self._commit(v)}/schema")

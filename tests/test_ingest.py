@@ -117,6 +117,13 @@ def test_only_touched_days_are_written(spark, folder, store):
     written = store.folders.children(store._data(done.version))
     assert written == ["event_date=2026-02-02"]
     assert store.events().count() == 3
+    # What no later version reads can go.
+    gone = store.forget_before(done.version)
+    assert [p.split("/generation=1/")[1] for p in gone] == ["data/version=1/event_date=2026-02-02", "commits/version=1"]
+    assert store.events().count() == 3
+    export(folder, "a_2026_02_03.csv", line("01/02/2026 12:00:00.1"))
+    ingest(spark, store, str(folder))
+    assert store.events().count() == 4
 
 
 def test_interrupted_run_changes_nothing(spark, folder, store):
