@@ -153,9 +153,6 @@ class EventStore:
     def _day_paths(self, v: Version) -> dict[str, str]:
         return {day: f"{self._data(Version(v.generation, n))}/{day}" for day, n in self._days(v).items()}
 
-    def _is_committed(self, v: Version) -> bool:
-        return self.folders.exists(f"{self._commit(v)}/manifest/_SUCCESS")
-
     def schema(self, v: Version) -> T.StructType:
         text = self.spark.read.text(f"{self._commit(v)}/schema").first().value
         return T.StructType.fromJson(json.loads(text))
