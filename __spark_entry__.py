@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from clickloom import configure
 from clickloom.functions import parse_export_time
 from clickloom.operators import flatten as flat
+from clickloom.operators.carried import asof_time
 from clickloom.operators.upsert import upsert
 from clickloom.plans import anonymize, enrich, explore, profile, star, video
 from clickloom.schema import HR_FIELDS
@@ -104,6 +105,29 @@ def _hr_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _people(spark, sf_dir).select("event_id", "gpn", *HR_FIELDS.values())
 
 
+def _hr_asof_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly snapshots carried forward from the first of their month."""
+    hr = bindings.hr(spark, sf_dir)
+    known = {source: name for source, name in HR_FIELDS.items() if source in hr.columns}
+    taken = F.make_date("snapshot_year", "snapshot_month", F.lit(1))
+    told = asof_time(_sessions(spark, sf_dir), hr, "gpn", F.col("timestamp"), taken, known)
+    return told.select("event_id", "gpn", *known.values())
+
+
+def _asof_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of users with what the newest of many daily records said, orders standing in for records."""
+    orders = bindings.read(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("user_id"),
+        F.expr("timestamp '2024-01-01' + make_dt_interval(o_orderkey % 30)").alias("taken"),
+        F.expr("case when o_orderkey % 4 > 0 then o_orderpriority end").alias("o_orderpriority"),
+        "o_orderkey",
+    )
+    events = bindings.read(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    fields = {"o_orderkey": "record", "o_orderpriority": "priority"}
+    told = asof_time(events, orders, "user_id", F.col("ts"), F.col("taken"), fields)
+    return told.select("event_id", "user_id", F.col("record").cast("double").alias("record"), "priority")
+
+
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.organization_history(bindings.hr(spark, sf_dir))
 
@@ -207,6 +231,8 @@ def _native_queries() -> dict[str, Query]:
         "link_type_samples": lambda s, d: explore.link_type_samples(_log(s, d)),
         "link_component_topk": lambda s, d: explore.link_type_by_component(_log(s, d)),
         "page_topk": lambda s, d: explore.top_pages(_log(s, d)),
+        "page_topk_certified": lambda s, d: explore.frequent_pages(_log(s, d)),
+        "link_topk_certified": lambda s, d: explore.frequent_links(_log(s, d)),
         "site_distribution": lambda s, d: explore.sites(_log(s, d)),
         "content_link_topk": lambda s, d: explore.content_by_link_type(_log(s, d)),
         "link_domains": lambda s, d: explore.link_domains(_log(s, d)),
@@ -230,6 +256,8 @@ def _native_queries() -> dict[str, Query]:
         # enrichment
         "session_enriched": _session_enriched,
         "hr_asof": _hr_asof,
+        "hr_asof_carried": _hr_asof_carried,
+        "asof_daily": _asof_daily,
         "events_anonymized": lambda s, d: anonymize.anonymize(_events(s, d), PEPPER),
         "date_formats": _date_formats,
         "precision_check": lambda s, d: profile.precision_check(bindings.click_events(s, d)),

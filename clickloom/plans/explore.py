@@ -15,7 +15,9 @@ from clickloom.operators.flatten import (
     property_bag,
     with_properties,
 )
+from clickloom.operators.frequent import most_frequent
 from clickloom.operators.shares import smallest_values, top, with_share
+from clickloom.session import materialize
 
 APPROX_ERROR = 0.016
 
@@ -115,6 +117,21 @@ def top_pages(log: DataFrame, k: int = 50, approx: bool = False) -> DataFrame:
     return top(counts, "event_count", ["page_url"], k)
 
 
+def frequent_pages(log: DataFrame, k: int = 50, approx: bool = False) -> DataFrame:
+    """``top_pages`` for pages of any number: visitors are told apart for the pages shown alone."""
+    rows = with_properties(log, {"page_url": "PageURL"}, ["user_Id"])
+    shown = materialize(most_frequent(rows, ["page_url"], k), "frequent-pages")
+    visits = rows.join(shown.alias("shown"), F.col("shown.page_url").eqNullSafe(rows["page_url"]))
+    visitors = visits.groupBy("shown.page_url", "event_count").agg(_distinct("user_Id", approx).alias("unique_users"))
+    return top(visitors, "event_count", ["page_url"])
+
+
+def frequent_links(log: DataFrame, k: int = 50) -> DataFrame:
+    """The link addresses clicked most, per type of link."""
+    rows = with_properties(log, {"link_type": "Link_Type", "address": "Link_address"})
+    return most_frequent(rows, ["link_type", "address"], k)
+
+
 def sites(log: DataFrame, approx: bool = False) -> DataFrame:
     rows = with_properties(log, {"site_name": "SiteName", "page_url": "PageURL"}, ["user_Id"])
     counts = rows.groupBy("site_name").agg(

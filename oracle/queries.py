@@ -146,6 +146,10 @@ ORACLE: dict[str, str] = {
         f"""select {prop('PageURL')} as page_url, count(*) as event_count,
           count(distinct user_id) as unique_users from log group by 1 order by 2 desc, 1 limit 50"""
     ),
+    "link_topk_certified": with_log(
+        f"""select {prop('Link_Type')} as link_type, {prop('Link_address')} as address, count(*) as event_count
+          from log group by 1, 2 order by 3 desc, 1, 2 limit 50"""
+    ),
     "site_distribution": with_log(
         f"""select {prop('SiteName')} as site_name, count(*) as event_count,
           count(distinct user_id) as unique_users, count(distinct {prop('PageURL')}) as unique_pages
@@ -220,6 +224,19 @@ ORACLE: dict[str, str] = {
           time_since_prev_bucket from ev"""
     ),
     "hr_asof": with_events(f"select event_id, gpn, {', '.join(HR_PRESENT.values())} from org"),
+    "asof_daily": """with told as (
+        select o_custkey as user_id, timestamp '2024-01-01' + to_days(cast(o_orderkey % 30 as int)) as taken,
+          o_orderkey as record, case when o_orderkey % 4 > 0 then o_orderpriority end as priority from orders),
+      days as (
+        select * from told qualify row_number() over (partition by user_id, taken order by record desc) = 1),
+      known as (
+        select *, coalesce(priority, lead(priority) over (partition by user_id order by taken)) as said from days),
+      first_of as (select user_id, min_by(record, taken) as record, arg_min_null(priority, taken) as priority
+        from days group by 1)
+      select event_id, e.user_id, cast(coalesce(k.record, f.record) as double) as record,
+        case when k.record is not null then k.said else f.priority end as priority
+      from events e asof left join known k on e.user_id = k.user_id and e.ts >= k.taken
+      left join first_of f on e.user_id = f.user_id""",
     "events_anonymized": with_events(
         f"""select event_id, {stamp(TS)} as "timestamp", name, user_id, session_id, client_CountryOrRegion,
           {", ".join(c for c in FLAT if c not in ("CP_GPN", "CP_Email"))}, {hmac('CP_GPN')} as CP_Person_Hash,
@@ -478,3 +495,6 @@ ORACLE["property_values_sketched"] = with_log(
       from log where cp is not null and {RANGE}
     ) group by key"""
 )
+# Other ways to the same rows.
+ORACLE["page_topk_certified"] = ORACLE["page_topk"]
+ORACLE["hr_asof_carried"] = ORACLE["hr_asof"]
