@@ -1,15 +1,22 @@
-"""Context-tree weighting over bytes: a weighted tree for each node of the binary decomposition of a byte."""
+"""Context-tree weighting over bytes: a weighted tree for each node of the binary decomposition of a byte.
+
+A gram is a byte after the ``depth`` bytes before it, coded as one number with the oldest byte highest. The key
+of a tree's node at some depth is the context of that length and then the binary node (1 to 255).
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 
 END = 255  # a byte that UTF-8 never uses: stands before and after every text
-SEGMENT = 512
-_BLOCK = 12
-_CODE_BITS = np.uint64(48)
+STEPS = 8  # binary decisions of a byte
+_LIMIT = 1e-12
+_SLOTS = (22, 20)
+_FREE = np.uint64(2**64 - 1)
+_SPREAD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def grams_of(texts: list[bytes], depth: int) -> np.ndarray:
@@ -42,138 +49,109 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
 _HALF = float(_log_gamma(np.array([0.5]))[0])
 
 
-def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """log of the Krichevsky-Trofimov block probability."""
+def kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """log of the Krichevsky-Trofimov block probability; exactly 0 without counts."""
     small = np.where(zeros + ones > 0, 1.0, 0.0)
     value = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1) - 2 * _HALF
     return value * small
 
 
-@dataclass(frozen=True)
-class ContextModel:
-    """For every kept context: log10 probability of each next byte, and the kept context that follows."""
-
-    log10: np.ndarray  # (contexts, 256) float32
-    after: np.ndarray  # (contexts, 256)
-    start: int
+def key_mask(depth: int) -> int:
+    """Keeps the key of the node ``depth`` bytes deep above a deeper one."""
+    return (1 << 8 * (depth + 1)) - 1
 
 
-def build(depth: int, length: np.ndarray, context: np.ndarray, byte: np.ndarray, count: np.ndarray) -> ContextModel:
-    """The model of byte counts after contexts of 0 to ``depth`` bytes.
+@dataclass(frozen=True)
+class Level:
+    """Nodes of one depth; ``up`` is the place of each one's parent in the next shorter level, if there is one."""
 
-    The contexts must contain the empty one, and the suffixes and prefixes of every one. For each of the 255
-    nodes of a byte's binary decomposition a context tree weighs, at every context, its own KT estimate
-    against its children's; counts that no kept child explains form one more child. The prediction of a node
-    mixes the KT estimates of all depths along the path by these weights.
-    """
-    names, where = np.unique(length.astype(np.uint64) << _CODE_BITS | context.astype(np.uint64), return_inverse=True)
-    sizes, codes = (names >> _CODE_BITS).astype(np.int64), names & ((np.uint64(1) << _CODE_BITS) - np.uint64(1))
-    n = len(sizes)
-    row = {(int(d), int(c)): i for i, (d, c) in enumerate(zip(sizes, codes))}
-    # Contexts are in order of length: a parent (without the oldest byte) stands before its children.
-    parent = np.array([row[d - 1, c & ((1 << 8 * (d - 1)) - 1)] if d else 0 for d, c in zip(sizes.tolist(), codes.tolist())])
-    levels = [rows for d in range(depth + 1) if len(rows := np.flatnonzero(sizes == d))]
-
-    log_bytes = np.zeros((n, 256), np.float32)
-    for first in range(1, 256, _BLOCK):
-        nodes = np.arange(first, min(first + _BLOCK, 256))
-        zeros, ones = (np.empty((n, len(nodes))) for _ in range(2))
-        for k, (low, middle, high) in enumerate(map(_span, nodes.tolist())):
-            for counts, begin, end in ((zeros, low, middle), (ones, middle, high)):
-                own = (byte >= begin) & (byte < end)
-                counts[:, k] = np.bincount(where[own], count[own], n)
-        own = _kt(zeros, ones)
-        rest = np.zeros_like(own)  # log weight of the children's product
-        left0, left1 = zeros.copy(), ones.copy()
-        weighted = own.copy()
-        inner = np.zeros(n, bool)
-        inner[parent[1:]] = True
-        for rows in reversed(levels):
-            mixed = rows[inner[rows]]
-            rest[mixed] += _kt(left0[mixed], left1[mixed])
-            weighted[mixed] = np.logaddexp(own[mixed], rest[mixed]) - np.log(2)
-            if rows[0] > 0:
-                np.add.at(rest, parent[rows], weighted[rows])
-                np.subtract.at(left0, parent[rows], zeros[rows])
-                np.subtract.at(left1, parent[rows], ones[rows])
-        # Share of a context's own estimate in what is left of the mixture; all of it at a tree's edge.
-        trust = 1 / (1 + np.exp(np.clip(rest - own, -500, 500)))
-        guess = (ones + 0.5) / (zeros + ones + 1)
-        done, open_ = np.zeros_like(own), np.ones_like(own)
-        one = np.empty_like(own)
-        for rows in levels:
-            if rows[0] > 0:
-                up = parent[rows]
-                done[rows] = done[up] + open_[up] * trust[up] * guess[up]
-                open_[rows] = open_[up] * (1 - trust[up])
-            one[rows] = done[rows] + open_[rows] * guess[rows]
-        one = np.clip(one, 1e-12, 1 - 1e-12)
-        yes, no = np.log10(one), np.log10(1 - one)
-        for k, (low, middle, high) in enumerate(map(_span, nodes.tolist())):
-            log_bytes[:, low:middle] += no[:, k : k + 1]
-            log_bytes[:, middle:high] += yes[:, k : k + 1]
-    return ContextModel(log_bytes, _transitions(parent, row), _start(row, depth))
-
-
-def _span(node: int) -> tuple[int, int, int]:
-    """First byte of a node's zero branch, first of its one branch, and the byte after that."""
-    span = 256 >> (node.bit_length() - 1)
-    low = (node << 9 - node.bit_length()) - 256
-    return low, low + span // 2, low + span
-
-
-def _transitions(parent: np.ndarray, row: dict[tuple[int, int], int]) -> np.ndarray:
-    """What follows each context on each byte: the longest kept suffix of the context and the byte."""
-    followers: dict[int, list[tuple[int, int]]] = {}
-    for (length, code), i in row.items():
-        if length:
-            followers.setdefault(row[length - 1, code >> 8], []).append((code & 255, i))
-    after = np.zeros((len(parent), 256), np.uint16 if len(parent) <= 1 << 16 else np.int32)
-    for i in range(len(parent)):  # parents come first
-        if i:
-            after[i] = after[parent[i]]
-        for byte, follower in followers.get(i, ()):
-            after[i, byte] = follower
-    return after
+    key: np.ndarray
+    zeros: np.ndarray
+    ones: np.ndarray
+    own: np.ndarray
+    rest: np.ndarray
+    up: np.ndarray | None = None
 
 
-def _start(row: dict, depth: int) -> int:
-    for d in range(depth, -1, -1):
-        found = row.get((d, int.from_bytes(bytes([END]) * d, "big")))
-        if found is not None:
-            return found
-    return 0
+def mixed_weight(own: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """log weight of a node that may split: half its own estimate, half its children's product."""
+    return np.logaddexp(own, rest) - np.log(2)
 
 
-def scores(texts: list[bytes], model: ContextModel, depth: int) -> np.ndarray:
-    """log10 probability of every text with its end mark.
+def climb(code: np.ndarray, n: np.ndarray, step: int, depth: int, top: int) -> tuple[np.ndarray, list[Level], np.ndarray]:
+    """Weigh the trees of one binary step from ``depth`` up to ``top``.
 
-    Texts are cut into segments that are walked side by side; all but a text's first start ``depth`` bytes
-    early to reach their context.
+    Gives each gram's place in the deepest level, the levels, deepest first, and the log weights of the last.
+    Grams with n = 0 make nodes without counts, whose weight is 1.
     """
-    pieces, owner, skip = [], [], []
-    for t, text in enumerate(texts):
-        whole = text + bytes([END])
-        for at in range(0, len(whole), SEGMENT):
-            warm = min(depth, at)
-            pieces.append(whole[at - warm : at + SEGMENT])
-            owner.append(t)
-            skip.append(warm)
-    sizes = np.array([len(p) for p in pieces], np.int64)
-    order = np.argsort(-sizes, kind="stable")
-    sizes, owner, skip = sizes[order], np.array(owner, np.int64)[order], np.array(skip, np.int64)[order]
-    lanes = np.zeros((SEGMENT + depth, len(pieces)), np.uint8)
-    for lane, p in enumerate(order.tolist()):
-        lanes[: len(pieces[p]), lane] = np.frombuffer(pieces[p], np.uint8)
-    flat_log, flat_after = model.log10.ravel(), model.after.ravel()
-    state = np.where(skip > 0, 0, model.start).astype(np.int64)
-    total = np.zeros(len(pieces))
-    for step in range(int(sizes[0]) if len(sizes) else 0):
-        live = int(np.searchsorted(-sizes, -step, side="left"))
-        at = state[:live] * 256 + lanes[step, :live]
-        gain = flat_log[at]
-        if step < depth:
-            gain = np.where(step < skip[:live], 0, gain)
-        total[:live] += gain
-        state[:live] = flat_after[at]
-    return np.bincount(owner, total, len(texts))
+    byte = code & np.uint64(255)
+    node = np.uint64(1 << step) | byte >> np.uint64(STEPS - step)
+    bit = one_bits(code, step)
+    keys, where = np.unique(code ^ byte | node, return_inverse=True)
+    zeros, ones = (np.bincount(where, np.where(bit == b, n, 0), len(keys)) for b in (False, True))
+    own = kt(zeros, ones)
+    weight, levels = own, []
+    level = (keys, zeros, ones, own, np.zeros_like(own))
+    for d in range(depth - 1, top - 1, -1):
+        shorter, up = np.unique(level[0] & np.uint64(key_mask(d)), return_inverse=True)
+        levels.append(Level(*level, up))
+        zeros, ones, rest = (np.bincount(up, x, len(shorter)) for x in (level[1], level[2], weight))
+        own = kt(zeros, ones)
+        weight = mixed_weight(own, rest)
+        level = (shorter, zeros, ones, own, rest)
+    return where, [*levels, Level(*level)], weight
+
+
+def one_bits(code: np.ndarray, step: int) -> np.ndarray:
+    return (code >> np.uint64(STEPS - 1 - step) & np.uint64(1)).astype(bool)
+
+
+def descend(levels: Sequence[Level], done: np.ndarray, left: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Probability of a one at every node of the deepest level.
+
+    ``done``, ``left`` and ``edge`` say for the nodes of the shortest level what the contexts above them gave: the
+    mixture so far, the weight left, and the prediction if the path ended above. A path ends at the deepest
+    node with counts, which takes all the weight left.
+    """
+    for i, level in enumerate(reversed(levels)):
+        if i:
+            done, left, edge = done[level.up], left[level.up], edge[level.up]
+        seen = level.zeros + level.ones > 0
+        guess = (level.ones + 0.5) / (level.zeros + level.ones + 1)
+        edge = np.where(seen, done + left * guess, edge)
+        trust = np.where(seen, 1 / (1 + np.exp(np.clip(level.rest - level.own, -500, 500))), 0)
+        done, left = done + left * trust * guess, left * (1 - trust)
+    return np.clip(edge, _LIMIT, 1 - _LIMIT)
+
+
+@dataclass(frozen=True)
+class GramTable:
+    """Values of grams in open slots, for a lookup of one access a table; grams that found no slot are left out."""
+
+    keys: list[np.ndarray]
+    values: list[np.ndarray]
+
+    @classmethod
+    def of(cls, keys: np.ndarray, values: np.ndarray) -> GramTable:
+        """``keys`` come in order of importance: the first of those that share a slot gets it."""
+        tables = []
+        for most, spread in zip(_SLOTS, _SPREAD):
+            bits = min(most, max(1, int(len(keys)).bit_length() + 1))
+            slots, first = np.unique(keys * spread >> np.uint64(64 - bits), return_index=True)
+            table, value = np.full(1 << bits, _FREE), np.zeros(1 << bits, np.float32)
+            table[slots], value[slots] = keys[first], values[first]
+            tables.append((table, value))
+            left = np.ones(len(keys), bool)
+            left[first] = False
+            keys, values = keys[left], values[left]
+        return cls([t for t, _ in tables], [v for _, v in tables])
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values, 0 for grams not held, and which ones are held."""
+        value, held = np.zeros(len(keys)), np.zeros(len(keys), bool)
+        for table, values, spread in zip(self.keys, self.values, _SPREAD):
+            slots = (keys * spread >> np.uint64(64 - (len(table).bit_length() - 1))).astype(np.int64)
+            here = table[slots] == keys
+            value[here] = values[slots[here]]
+            held |= here
+        return value, held

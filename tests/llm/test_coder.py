@@ -49,93 +49,12 @@ def test_damage_is_found():
             id_coder.decode([broken])
 
 
-def tree_of(texts, depth):
-    counts = {}
-    for t in texts:
-        padded = bytes([context_tree.END]) * depth + t + bytes([context_tree.END])
-        for i in range(depth, len(padded)):
-            for d in range(depth + 1):
-                key = d, int.from_bytes(padded[i - d : i], "big"), padded[i]
-                counts[key] = counts.get(key, 0) + 1
-    return counts
-
-
-def by_definition(counts, depth, context, byte):
-    """Probability of a byte by the recursion of context-tree weighting, with complete contexts."""
-    from math import exp, lgamma, log
-
-    def kt(zeros, ones):
-        return lgamma(zeros + 0.5) + lgamma(ones + 0.5) - lgamma(zeros + ones + 1) - 2 * lgamma(0.5)
-
-    def tally(d, code, low, span):
-        own = [(b, n) for (dd, c, b), n in counts.items() if (dd, c) == (d, code)]
-        half = span // 2
-        return sum(n for b, n in own if low <= b < low + half), sum(n for b, n in own if low + half <= b < low + span)
-
-    def children(d, code):
-        return sorted({c for dd, c, _ in counts if dd == d + 1 and c & ((1 << 8 * d) - 1) == code})
-
-    def weighted(d, code, low, span):
-        own = kt(*tally(d, code, low, span))
-        if d == depth:
-            return own
-        rest = sum(weighted(d + 1, c, low, span) for c in children(d, code))
-        top = max(own, rest)
-        return top + log((exp(own - top) + exp(rest - top)) / 2)
-
-    total, low, span = 0.0, 0, 256
-    while span > 1:
-        one, left = 0.0, 1.0
-        for d in range(depth + 1):
-            code = context & ((1 << 8 * d) - 1)
-            zeros, ones = tally(d, code, low, span)
-            guess = (ones + 0.5) / (zeros + ones + 1)
-            if d == depth or (d + 1, context & ((1 << 8 * (d + 1)) - 1)) not in {(dd, c) for dd, c, _ in counts}:
-                one += left * guess
-                break
-            rest = sum(weighted(d + 1, c, low, span) for c in children(d, code))
-            share = 1 / (1 + exp(rest - kt(zeros, ones)))
-            one, left = one + left * share * guess, left * (1 - share)
-        half = span // 2
-        bit = byte >= low + half
-        total += log(one if bit else 1 - one)
-        low, span = low + half * bit, half
-    return total / log(10)
-
-
-def test_context_tree_by_its_definition():
-    depth, texts = 2, [b"abracadabra", b"abba", b"banana band", b""]
-    counts = tree_of(texts, depth)
-    d, c, b, n = (np.array(x) for x in zip(*[(*k, v) for k, v in counts.items()]))
-    model = context_tree.build(depth, d, c, b, n)
-    assert np.allclose(np.power(10, model.log10.astype(float)).sum(axis=1), 1, atol=1e-5)
-    for text in (b"abracad", b"zebra", b""):
-        padded = bytes([255]) * depth + text + bytes([255])
-        expected = sum(
-            by_definition(counts, depth, int.from_bytes(padded[i - depth : i], "big"), padded[i])
-            for i in range(depth, len(padded))
-        )
-        assert context_tree.scores([text], model, depth)[0] == pytest.approx(expected, rel=1e-5)
-
-
 def test_grams_stay_inside_texts():
     code = context_tree.grams_of([b"ab", b"", b"c"], 2)
     windows = [b"\xff\xffa", b"\xffab", b"ab\xff", b"\xff\xff\xff", b"\xff\xffc", b"\xffc\xff"]
     assert code.tolist() == [int.from_bytes(w, "big") for w in windows]
 
 
-def test_long_texts_score_as_one():
-    """Segments must not change a text's score."""
-    depth, text = 2, b"banana band abba " * 200
-    counts = tree_of([text], depth)
-    model = context_tree.build(depth, *(np.array(x) for x in zip(*[(*k, v) for k, v in counts.items()])))
-    state, total = model.start, 0.0
-    for byte in text + bytes([255]):
-        total += float(model.log10[state, byte])
-        state = model.after[state, byte]
-    assert context_tree.scores([text, b"a"], model, depth)[0] == pytest.approx(total, rel=1e-6)
-
-
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1), max_size=200), st.integers(0, 3))
 def test_bloom_has_no_false_negatives(values, power):
