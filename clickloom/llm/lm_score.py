@@ -187,11 +187,11 @@ def fit_grams(texts: DataFrame) -> DataFrame:
     tops = grams.select("group", "gram", "n").repartition("group").sortWithinPartitions("group")
     tops = materialize(tops.mapInArrow(_weigh, "key long, zeros double, ones double, weight double"), "contexts-top")
     none = F.lit(0.0)
-    own = grams.select("group", F.col("gram").alias("code"), F.lit(1).alias("is_gram"), "n", "met", *[none.alias(c) for c in _STATE])
+    columns = [F.col("gram").alias("code"), F.lit(1).alias("is_gram"), "n", "met", *[none.alias(c) for c in _STATE]]
+    own = grams.select("group", *columns)
     zero = F.lit(0).cast("long")
-    states = _states_above(tops).select(
-        F.shiftright("key", 8).alias("group"), F.col("key").alias("code"), F.lit(0).alias("is_gram"), zero.alias("n"), zero.alias("met"), *_STATE
-    )
+    columns = [F.col("key").alias("code"), F.lit(0).alias("is_gram"), zero.alias("n"), zero.alias("met"), *_STATE]
+    states = _states_above(tops).select(F.shiftright("key", 8).alias("group"), *columns)
     laid = own.unionByName(states).repartition("group").sortWithinPartitions("group")
     return materialize(laid.mapInArrow(_predict, "gram long, met long, log10 float"), "gram-scores")
 
@@ -207,9 +207,10 @@ def head_of(grams: DataFrame) -> context_tree.GramTable:
         if room < 0:
             break
         least = row["octave"]
-    head = grams.where(octave >= least if least is not None else F.lit(False)).toPandas()
-    head = head.sort_values(["met", "gram"], ascending=[False, True])
-    return context_tree.GramTable.of(head["gram"].to_numpy(np.int64).view(np.uint64), head["log10"].to_numpy(np.float32))
+    head = grams.where(octave >= least if least is not None else F.lit(False)).toArrow()
+    gram, met, log10 = (head.column(c).to_numpy() for c in ("gram", "met", "log10"))
+    order = np.lexsort((gram, -met))
+    return context_tree.GramTable.of(gram[order].view(np.uint64), log10[order])
 
 
 def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -275,10 +276,10 @@ def score(docs: DataFrame, held_out: str = "held_out") -> DataFrame:
     tokens = materialize(counted.groupBy("token").agg(F.sum("n").alias("n")), "token-counts")
     total, distinct = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     least = max(1, -(-total // HEAD_TOKENS))  # no more than HEAD_TOKENS tokens can have this count
-    frequent = tokens.where(F.col("n") >= least).toPandas()
-    known = frequent["token"].to_numpy(np.int64).view(np.uint64)
+    frequent = tokens.where(F.col("n") >= least).toArrow()
+    known = frequent.column("token").to_numpy().view(np.uint64)
     order = np.argsort(known)
-    logs = np.log10(frequent["n"].to_numpy(np.float64) + 1)
+    logs = np.log10(frequent.column("n").to_numpy() + 1.0)
     head = spark.sparkContext.broadcast((known[order], logs[order]))
     id_type = texts.schema["doc_id"].dataType.simpleString()
     digest = texts.mapInArrow(
