@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from clickloom.llm.common import in_small_batches
 from clickloom.llm.shingles import PLAIN
 
-# Phrases and their labels.
+# Phrases and their labels, and what people put into their files from the licenses named.
 PHRASES = {
     "gnu general public license": "gpl",
     "apache license": "apache",
@@ -27,9 +27,43 @@ TEMPLATES = {
     "gpl-3.0": "this work is licensed under the gnu general public license version 3",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software",
     "mit-release": "released under the mit license",
+    "apache-2.0-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
+        in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
+        on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
+        the specific language governing permissions and limitations under the License.""",
+    "bsd-3-clause-text": """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its
+        contributors may be used to endorse or promote products derived from this software without specific prior
+        written permission.""",
+    "gpl-3.0-notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your
+        option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY
+        WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+        General Public License for more details. You should have received a copy of the GNU General Public License along
+        with this program. If not, see https://www.gnu.org/licenses/.""",
+    "isc-text": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+        hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE
+        SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+        IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+        INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER
+        IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+        PERFORMANCE OF THIS SOFTWARE.""",
+    "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to
+        permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright
+        notice and this permission notice shall be included in all copies or substantial portions of the Software. THE
+        SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+        WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS
+        OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+        OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }
 CONTAINMENT = 0.85
-BLOCK_WORDS, BLOCK_STEP = 64, 32
+LEAST_STEP = 32
 MAX_TEMPLATES = 10_000
 
 
@@ -85,13 +119,28 @@ class TemplateIndex:
                     yield template.label, common / size
 
 
+def block_step(n_words: int) -> int:
+    """Blocks for a template start this many words apart and are twice as long: a power of two that holds it."""
+    return max(LEAST_STEP, 1 << (n_words - 1).bit_length()) if n_words else LEAST_STEP
+
+
+def indexes_by_step(
+    templates: Mapping[str, Sequence[bytes]], frequency: Mapping[bytes, int], containment: float
+) -> list[tuple[int, TemplateIndex]]:
+    by_step: dict[int, list[tuple[str, frozenset[bytes]]]] = {}
+    for label, words in templates.items():
+        by_step.setdefault(block_step(len(words)), []).append((label, frozenset(words)))
+    return [(step, TemplateIndex(own, frequency, containment)) for step, own in sorted(by_step.items())]
+
+
 def phrase_places(words: list[bytes], phrases: Mapping[bytes, str]) -> list[tuple[int, str]]:
     line = b" " + b" ".join(words) + b" "
     places = []
     for phrase, label in phrases.items():
-        at = line.find(b" " + phrase + b" ")
+        at, counted, before = line.find(b" " + phrase + b" "), 0, 0
         while at >= 0:
-            places.append((line.count(b" ", 0, at), label))
+            before, counted = before + line.count(b" ", counted, at), at
+            places.append((before, label))
             at = line.find(b" " + phrase + b" ", at + 1)
     return places
 
@@ -124,15 +173,17 @@ _SCHEMA = [
 ]
 
 
-def scan_text(text: str, phrases: Mapping[bytes, str], index: TemplateIndex) -> tuple:
+def scan_text(text: str, phrases: Mapping[bytes, str], indexes: Sequence[tuple[int, TemplateIndex]]) -> tuple:
     words = words_of(text)
     places = phrase_places(words, phrases)
     blocks = []
-    if not index.prefixes.isdisjoint(words):
-        at = [i // BLOCK_STEP for i, w in enumerate(words) if w in index.prefixes]
-        for b in sorted({b - k for b in at for k in range(BLOCK_WORDS // BLOCK_STEP) if b >= k}):
-            block = words[b * BLOCK_STEP : b * BLOCK_STEP + BLOCK_WORDS]
-            blocks += [(label, b * BLOCK_STEP, len(block), share) for label, share in sorted(index.matches(set(block)))]
+    for step, index in indexes:
+        if index.prefixes.isdisjoint(words):
+            continue
+        at = {i // step for i, w in enumerate(words) if w in index.prefixes}
+        for b in sorted(at | {b - 1 for b in at if b}):
+            block = words[b * step : (b + 2) * step]
+            blocks += [(label, b * step, len(block), share) for label, share in sorted(index.matches(set(block)))]
     base = {label for _, label in places}
     starts = [i for i, _ in places]
     return (
@@ -155,8 +206,9 @@ def scan(
 ) -> DataFrame:
     """doc_id, word count, phrase places and labels, and every block that holds enough of a template.
 
-    Blocks are windows of 64 words that start at every 32nd word, over line ends, so any passage of up to 32
-    words lies whole in one; a template's containment in a block is the share of its distinct words there.
+    The blocks of a template start at every ``step``-th word, over line ends, and are twice as long, where ``step``
+    is the power of two, 32 at least, that holds all its words: a passage as long as the template lies whole in one.
+    Containment in a block is the share of the template's distinct words found there.
     A first pass counts in how many documents each template word stands; that order, rarest first, makes the
     prefixes that the second pass looks up. The templates are a parameter of at most 10,000 entries.
 
@@ -166,17 +218,17 @@ def scan(
     """
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"at most {MAX_TEMPLATES} templates")
-    sets = [(label, frozenset(words_of(text))) for label, text in templates.items()]
+    words = {label: words_of(text) for label, text in templates.items()}
     wanted = {phrase.encode(): label for phrase, label in phrases.items()}
     texts = in_small_batches(docs).select("doc_id", "text")
-    universe = frozenset().union(*[t for _, t in sets])
+    universe = frozenset().union(*words.values())
     tally = texts.mapInArrow(_token_counts(universe), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
     frequency = {bytes(r["token"]): r["n"] for r in tally.collect()}  # one row per template word
-    index = TemplateIndex(sets, frequency, containment)
+    indexes = indexes_by_step(words, frequency, containment)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [scan_text(t or "", wanted, index) for t in batch.column("text").to_pylist()]
+            rows = [scan_text(t or "", wanted, indexes) for t in batch.column("text").to_pylist()]
             columns = list(zip(*rows)) or [[]] * len(_SCHEMA)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(c, kind) for c, (_, kind) in zip(columns, _SCHEMA)]],

@@ -125,6 +125,11 @@ def crc32_sql(text: str) -> str:
     return f"xor(4294967295, list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])))"
 
 
+def template_values() -> str:
+    lines = {label: b" ".join(licenses.words_of(text)).decode() for label, text in licenses.TEMPLATES.items()}
+    return ", ".join(f"('{label}', '{line}')" for label, line in lines.items())
+
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": r"""
         with cut as (
@@ -218,17 +223,12 @@ ORACLE: dict[str, str] = {
             select doc_id, count(*) as n_base, min(i) as first_word, max(i) as last_word,
                 string_agg(distinct label, ',' order by label) as base_labels
             from starts group by doc_id
-        ), templates(label, t) as (
-            select label, list_distinct(string_split(line, ' ')) from (values
-                ('apache-2.0', 'licensed under the apache license version 2 0'),
-                ('bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided'),
-                ('cc-by-nc-4.0', 'licensed under cc by nc 4 0'),
-                ('gpl-3.0', 'this work is licensed under the gnu general public license version 3'),
-                ('mit-grant', 'permission is hereby granted free of charge to any person obtaining a copy of this software'),
-                ('mit-release', 'released under the mit license')) as v(label, line)
+        ), templates(label, t, step) as (
+            select label, list_distinct(w), greatest(32, 2 ** ceil(log2(len(w))))::bigint from (
+                select label, string_split(line, ' ') as w from (values @TEMPLATES@) as v(label, line))
         ), blocks as (
-            select doc_id, label, len(list_intersect(list_distinct(w[b + 1 : b + 64]), t)) / len(t) as share
-            from words, unnest(range(0, len(w), 32)) as r(b), templates
+            select doc_id, label, len(list_intersect(list_distinct(w[b + 1 : b + 2 * step]), t)) / len(t) as share
+            from words, templates, unnest(range(0, len(w), step)) as r(b)
         ), held as (select * from blocks where share >= 0.85),
         scored as (select doc_id, count(*) as n_blocks, max(share) as score from held group by doc_id),
         named as (
@@ -239,7 +239,7 @@ ORACLE: dict[str, str] = {
             coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
             if(n_base > 0, 1.0::double, coalesce(score, 0)) as score, coalesce(n_blocks, 0) as n_blocks
         from words left join base using (doc_id) left join scored using (doc_id) left join named using (doc_id)
-    """,
+    """.replace("@TEMPLATES@", template_values()),
     "op8_lsh_forest": r"""
         with recursive words as (
             select doc_id, regexp_extract_all(
