@@ -101,12 +101,17 @@ def pack_group(items: pd.DataFrame, capacity: int) -> Iterator[tuple]:
         yield row, piece, bins.made + i, 0, capacity
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, docs_per_group: int = DOCS_PER_GROUP) -> DataFrame:
-    """Pack documents into bins of ``capacity`` words; no bin holds two documents of one source or one text.
+def pack(
+    docs: DataFrame, capacity: int = CAPACITY, docs_per_group: int = DOCS_PER_GROUP, cluster: str | None = None
+) -> DataFrame:
+    """Pack documents into bins of ``capacity`` words; no bin holds two documents of one source or one cluster.
+
+    ``cluster`` names a column of duplicate clusters, such as the components of the near-duplicate operator; without
+    it documents of one text are a cluster. NULL clusters conflict with nothing.
 
     A document takes its words and one end mark. Longer ones are cut into full pieces, which fill bins of
     their own, and a rest. Within a group the largest item goes first, into the tightest bin that neither
-    has its source nor a copy of its text; if the tightest has, the search goes on to the next; only if none
+    has its source nor a member of its cluster; if the tightest has, the search goes on to the next; only if none
     takes it a bin is opened. Rows are dealt into groups at random but repeatably, whatever their source, so
     that each group is one task's work of bounded size and a frequent source or text is spread evenly.
 
@@ -116,12 +121,15 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, docs_per_group: int = DOCS_P
     Returns doc_id, piece, first_word, n_words, bin, bin_offset.
     """
     text = F.coalesce("text", F.lit(""))
+    same = F.when(text != "", F.xxhash64("text"))
+    if cluster is not None:
+        same = F.when(F.col(cluster).isNotNull(), F.xxhash64(cluster))
     slim = docs.select(
         "doc_id",
         (F.regexp_count(text, F.lit(WORD_PATTERN)) + 1).cast("long").alias("size"),
         F.xxhash64("source").alias("hash_source"),
         F.col("source").isNull().alias("no_source"),
-        F.when(text != "", F.xxhash64("text")).alias("cluster"),
+        same.alias("cluster"),
     ).withColumn(TIE, F.monotonically_increasing_id())
     slim = slim.withColumn("source", F.when(~F.col("no_source"), F.col("hash_source"))).drop("hash_source", "no_source")
     stored = materialize(slim, "packing-items")

@@ -102,6 +102,22 @@ def test_decontaminate(docs, benchmark):
     assert got == [(1, 1, 1.0, 0, 17), (2, 1, 1.0, 0, 17), (None, 1, 1.0, 0, 17)]
 
 
+def test_packing_keeps_clusters_apart(spark):
+    """Near copies named by a column: no bin holds two of them, while rows without a cluster share bins."""
+    rows = [(i, f"text number {i} of some", f"s{i}", i % 4 if i < 40 else None) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, component_id long")
+    got = packing.pack(docs, capacity=30, cluster="component_id").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(60))
+    bins: dict[int, list] = {}
+    for r in got:
+        bins.setdefault(r["bin"], []).append(rows[r["doc_id"]][3])
+    for held in bins.values():
+        named = [c for c in held if c is not None]
+        assert len(named) == len(set(named))
+    assert len({r["bin"] for r in packing.pack(docs, capacity=30).collect()}) == 12
+    assert max(map(len, bins.values())) == 5
+
+
 def test_packing_places_every_word_once(docs):
     got = packing.pack(docs, capacity=1000).collect()
     taken = {}
