@@ -98,7 +98,7 @@ def flatten(log: DataFrame, keys: Sequence[str] | None = None, prefix: str = PRE
     Without ``keys`` every key that the log holds becomes a column, which takes a pass over it to find them.
     Each document is parsed once, into a variant that is then cast to a struct: of texts for keys that are
     never null, of variants for others, since only these tell a JSON null from an absent key. Keys match
-    exactly; those that differ in case alone cannot be fields of one struct and are looked up in a map.
+    exactly; those that differ in case alone cannot be fields of one struct and get structs of their own.
     Nested values are JSON text, numbers are written in their shortest form.
     """
     nullable = discovered(log) if keys is None else dict.fromkeys(keys, True)
@@ -106,19 +106,25 @@ def flatten(log: DataFrame, keys: Sequence[str] | None = None, prefix: str = PRE
 
 
 def _flattened(log: DataFrame, nullable: Mapping[str, bool], prefix: str) -> DataFrame:
-    spelled = Counter(key.lower() for key in nullable)
-    fields = {key: null for key, null in nullable.items() if spelled[key.lower()] == 1}
-    schema = T.StructType([T.StructField(key, T.VariantType() if null else T.StringType()) for key, null in fields.items()])
-    parsed = [F.col("__doc").cast(schema).alias("__p")] if fields else []
-    if len(fields) < len(nullable):
-        parsed.append(F.col("__doc").cast("map<string,variant>").alias("__m"))
+    # The first spelling of every key, then the second of those that have one, and so on.
+    structs: list[list[str]] = []
+    spelled: Counter[str] = Counter()
+    place: dict[str, str] = {}
+    for key in nullable:
+        n = spelled[key.lower()]
+        spelled[key.lower()] += 1
+        if n == len(structs):
+            structs.append([])
+        structs[n].append(key)
+        place[key] = f"__p{n}"
+    types = {key: T.VariantType() if null else T.StringType() for key, null in nullable.items()}
+    schemas = [T.StructType([T.StructField(key, types[key]) for key in keys]) for keys in structs]
+    parsed = [F.col("__doc").cast(schema).alias(f"__p{n}") for n, schema in enumerate(schemas)]
     rows = _documents(log, *LOG_COLUMNS).select(*LOG_COLUMNS, *parsed)
 
     def value(key: str) -> Column:
-        if key in fields and not fields[key]:
-            return F.col("__p")[key]
-        found = F.col("__p")[key] if key in fields else F.try_element_at("__m", F.lit(key))
-        return F.when(found.isNotNull(), or_empty(found.cast("string")))
+        found = F.col(place[key])[key]
+        return F.when(found.isNotNull(), or_empty(found.cast("string"))) if nullable[key] else found
 
     names = column_names(list(nullable), prefix)
     return rows.select(*LOG_COLUMNS, *[value(key).alias(name) for key, name in names.items()])

@@ -7,9 +7,11 @@ the integer division are spelled per engine.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickloom.session import materialize
+from clickloom.session import compiled_in_parts, materialize
 
 # Days are shifted per user and the time of day is squeezed into 22:30:00 to 22:31:26, so gaps are short and
 # local midnight is crossed in summer.
@@ -61,6 +63,8 @@ PROPERTIES = {
     "Video_Address": "concat('https://video.example.com/', event_id % 4)",
 }
 NULLABLE = ("Link_Type", "ContentType", "GPN")
+# Rows of the given events that one task composes.
+TASK_ROWS = 100_000
 # Properties of the raw log alone: a second spelling of a key, which is another key.
 LOG_PROPERTIES = PROPERTIES | {"gpn": "case when event_id % 43 = 0 then concat('9', user_id) end"}
 FLAT_ONLY = {
@@ -97,10 +101,10 @@ from {{orders}} group by 1, 2, 3
 """
 
 
-def properties_json() -> str:
+def properties_json(properties: Mapping[str, str] = LOG_PROPERTIES) -> str:
     """SQL text for the inner JSON document: every property, plus one nested value."""
     parts = []
-    for key, expr in LOG_PROPERTIES.items():
+    for key, expr in properties.items():
         absent = f"',\"{key}\":null'" if key in NULLABLE else "''"
         parts.append(
             f"case when ({expr}) is null then {absent} else concat(',\"{key}\":\"', {expr}, '\"') end"
@@ -108,10 +112,10 @@ def properties_json() -> str:
     return "concat('{\"ContentOwner\":{\"id\":', k % 4, '}', " + ", ".join(parts) + ", '}')"
 
 
-def details_json() -> str:
+def details_json(properties: Mapping[str, str] = LOG_PROPERTIES) -> str:
     """SQL text for the outer document, with missing, empty, foreign and malformed cases among it."""
     quote = "concat(chr(92), '\"')"
-    wrapped = f"concat('{{\"CustomProps\":\"', replace({properties_json()}, '\"', {quote}), '\"}}')"
+    wrapped = f"concat('{{\"CustomProps\":\"', replace({properties_json(properties)}, '\"', {quote}), '\"}}')"
     broken = "concat('{\"CustomProps\":\"{', chr(92), '\"GPN', chr(92), '\": broken\"}')"
     return f"""case when event_id % 127 = 0 then null
         when event_id % 101 = 0 then ''
@@ -126,8 +130,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Stored rows dealt evenly to tasks whose number grows with them, whatever files they lie in.
+
+    They are counted from the footers, and dealt while they are narrow: what is composed of them is far larger.
+    """
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS)))
+
+
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read(spark, sf_dir, "events")
+    events = spread(read(spark, sf_dir, "events"))
     ts = F.col("ts").cast("timestamp")  # stored without zone; the session zone is UTC
     micros = CLICK_MICROS.format(
         day="unix_micros(date_trunc('day', ts))", micros="unix_micros(ts)", div="div"
@@ -143,15 +155,15 @@ _stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _stored_table(spark: SparkSession, sf_dir: str, name: str, compose) -> DataFrame:
-    """The view as a stored table, written once per session and spread over the cores.
+    """The view as a stored table, written once per session and spread over tasks (see ``spread``).
 
     Click logs and click events are stored tables in use: queries then scan them, with their filters and
     columns, instead of composing every string again from one small file.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        spread = spark.sparkContext.defaultParallelism
-        _stored[key] = materialize(compose(spark, sf_dir).repartition(spread), name)
+        with compiled_in_parts(spark):
+            _stored[key] = materialize(compose(spark, sf_dir), name)
     return _stored[key]
 
 
@@ -179,13 +191,16 @@ def compose_click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compose_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _base(spark, sf_dir).select(
+    # Every property is a column first, so that its expression is evaluated once and not wherever the text names it.
+    columns = {key: f"__property_{n}" for n, key in enumerate(LOG_PROPERTIES)}
+    valued = _base(spark, sf_dir).select("*", *[F.expr(LOG_PROPERTIES[key]).alias(c) for key, c in columns.items()])
+    return valued.select(
         "timestamp",
         F.expr(COMMON["name"]).alias("name"),
         F.expr(COMMON["user"]).alias("user_Id"),
         F.expr(COMMON["session"]).alias("session_Id"),
         F.expr(COMMON["country"]).alias("client_CountryOrRegion"),
-        F.expr(details_json()).alias("customDimensions"),
+        F.expr(details_json(columns)).alias("customDimensions"),
         "event_id",
     )
 

@@ -173,3 +173,14 @@ def test_shares_and_coverage_of_nothing(spark):
     row = profile.hr_coverage(empty).first()
     assert (row.total, row.gpn_pct, row.hr_pct) == (0, 0.0, 0.0)
     assert {r.pct for r in profile.field_coverage(empty).collect()} == {0.0}
+
+
+def test_keys_that_differ_in_case_take_no_map_of_the_document(spark):
+    documents = ['{"GPN": null, "a": 1}', '{"gpn": "2", "GPN": "1", "gPN": "3"}', '{"Gpn": {"x": 1}}', '{"a": null}']
+    wrapped = [(json.dumps({"CustomProps": d}),) for d in documents]
+    log = spark.createDataFrame(wrapped, f"{flat.DETAILS} string")
+    log = log.withColumns({c: F.lit(None).cast("string") for c in flat.LOG_COLUMNS})
+    found = flat.flatten(log)
+    assert "map<string" not in found._jdf.queryExecution().optimizedPlan().toString()
+    told = [tuple(r[c] for c in ("CP_GPN", "CP_Gpn_1", "CP_gPN_2", "CP_gpn_3", "CP_a")) for r in found.collect()]
+    assert told == [("", None, None, None, "1"), ("1", None, "3", "2", None), (None, '{"x":1}', None, None, None), (None, None, None, None, "")]
