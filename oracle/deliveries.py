@@ -33,12 +33,20 @@ def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """Rows with the number of their file, every file's in a task of its own; hashes of the numbers would meet in one.
+
+    Ranges are drawn finer than the files, as no number is ever cut but two may share a coarse range.
+    """
+    numbered = df.withColumn("part", (F.floor(F.col("event_id") / 30) % PARTS).cast("int"))
+    return numbered.repartitionByRange(8 * PARTS, "part")
+
+
 def _put(df: DataFrame, folder: str, delivery: str) -> None:
     """The CSV files of a delivery, in place of older ones."""
     spark = df.sparkSession
     written = f"{folder}/_{uuid.uuid4().hex}"
-    dealt = df.withColumn("part", F.floor(F.col("event_id") / 30) % PARTS)
-    dealt.repartition("part").write.partitionBy("part").option("header", True).option("escape", chr(34)).csv(written)
+    _dealt(df).write.partitionBy("part").option("header", True).option("escape", chr(34)).csv(written)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     for part in range(PARTS):
