@@ -24,6 +24,7 @@ SETTLED_SECONDS = 10
 FILE, RANK, BEYOND = "__file", "__rank", "__beyond"
 TIME = "timestamp"
 DATE_LIKE = r"^\s*(\d{2}[./]\d{2}[./]\d{4}|\d{4}-\d{2}-\d{2})"
+DATE_BYTES = 10
 # monotonically_increasing_id() keeps the row of a partition in its lower 33 bits.
 ROW_BITS = (1 << 33) - 1
 
@@ -233,8 +234,12 @@ def read_exports(spark: SparkSession, exports: Sequence[Export]) -> DataFrame:
 
 
 def is_time(value: Column) -> Column:
-    """Whether a text is a time in an accepted spelling; parsing is tried only on what begins like a date."""
-    return F.coalesce(F.when(value.rlike(DATE_LIKE), parse_export_time(value)).isNotNull(), F.lit(False))
+    """Whether a text is a time in an accepted spelling; parsing is tried only on what begins like a date.
+
+    Texts shorter than a date are told by their length alone.
+    """
+    like = (F.octet_length(value) >= DATE_BYTES) & value.rlike(DATE_LIKE)
+    return F.coalesce(F.when(like, parse_export_time(value)).isNotNull(), F.lit(False))
 
 
 @dataclass(frozen=True)
