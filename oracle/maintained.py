@@ -21,6 +21,8 @@ from oracle import bindings
 from oracle.views import PEPPER
 
 CUT = "2024-10-01"
+# Rows of the streamed log that one file holds.
+FILE_ROWS = 250_000
 AS_OF = datetime(2025, 1, 1)
 
 
@@ -91,13 +93,19 @@ def log_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _told(store)
 
 
+def _stream_files(rows: DataFrame) -> int:
+    """Four files, or as many times four as the rows need."""
+    return 4 * max(1, -(-rows.count() // (4 * FILE_ROWS)))
+
+
 def log_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events, streamed from four files in two micro-batches."""
+    """The same events, streamed in two micro-batches, from four files while these are of moderate size."""
     root = f"{scratch_dir(spark).rstrip('/')}/streamed-{uuid.uuid4().hex}"
     rows = bindings.raw_log(spark, sf_dir)
-    rows.repartition(4, "event_id").write.parquet(f"{root}/files")
+    files = _stream_files(rows)
+    rows.repartition(files, "event_id").write.parquet(f"{root}/files")
     store, table = EventStore(spark, f"{root}/events"), log_table(spark, f"{root}/log")
-    stream_log(log_files(spark, f"{root}/files", rows.schema, 2), table, store, f"{root}/checkpoint", f"log-{uuid.uuid4().hex}")
+    stream_log(log_files(spark, f"{root}/files", rows.schema, files // 2), table, store, f"{root}/checkpoint", f"log-{uuid.uuid4().hex}")
     return _told(store)
 
 
