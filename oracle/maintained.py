@@ -26,10 +26,19 @@ FILE_ROWS = 250_000
 AS_OF = datetime(2025, 1, 1)
 
 
-def _steps(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame, list]:
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.enrich(bindings.click_events(spark, sf_dir), bindings.hr(spark, sf_dir))
+
+
+def _video_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What video metrics read of the events: no gaps, no organisation, no times as texts."""
+    events = enrich.with_session_columns(bindings.click_events(spark, sf_dir))
+    return events.select("timestamp", "session_date", "gpn", "session_id", *[c for c in events.columns if c.startswith("CP_Video_")])
+
+
+def _steps(spark: SparkSession, sf_dir: str, events=_enriched) -> tuple[str, DataFrame, DataFrame, list]:
     """A folder, the events of the first step, those of both, and the local dates that the second step changes."""
-    raw = bindings.click_events(spark, sf_dir)
-    every = materialize(enrich.enrich(raw, bindings.hr(spark, sf_dir)), "events")
+    every = materialize(events(spark, sf_dir), "events")
     first = F.col("session_date") < CUT
     dates = [r.session_date for r in every.where(~first).select("session_date").distinct().collect()]
     return f"{scratch_dir(spark).rstrip('/')}/maintained-{uuid.uuid4().hex}", every.where(first), every, dates
@@ -68,7 +77,7 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Video engagement after both steps; the second reads the sessions it reaches and no others."""
-    out, first, every, dates = _steps(spark, sf_dir)
+    out, first, every, dates = _steps(spark, sf_dir, _video_columns)
     table = session_table(spark, out)
     update_sessions(table, first, None)
     return video.engagement_of_sessions(update_sessions(table, every, dates))
