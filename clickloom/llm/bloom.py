@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from clickloom.llm.common import fold_payloads
+from clickloom.llm.common import fold_payloads, taken_in
 
 SEGMENT_BITS = 1 << 19
 SEGMENT_BYTES = SEGMENT_BITS // 8
@@ -86,4 +86,4 @@ def filter_of(hashes: DataFrame, segments: int) -> bytes:
         return [zlib.compress((unpacked(state[0]) | unpacked(payload[0])).tobytes(), 1)]
 
     parts = fold_payloads(hashes.mapInArrow(fill, "segment int, bits binary"), merge)
-    return gathered(segments, parts.toLocalIterator())
+    return gathered(segments, taken_in(parts, "filter"))

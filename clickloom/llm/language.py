@@ -11,7 +11,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.llm.common import chunks_of, clear_of, fold_payloads, in_small_batches
+from clickloom.llm.common import chunks_of, clear_of, fold_payloads, in_small_batches, taken_in
 
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 16
@@ -96,7 +96,7 @@ def fit(labelled: DataFrame, alpha: float = 0.1, bits: int = BUCKET_BITS) -> Lan
         raise ValueError(f"{n_langs} languages with {bits} bits take more than {MODEL_BYTES} bytes; choose fewer bits")
     partial = rows.mapInArrow(_partial_counts(bits), "lang string, counts binary")
     langs, columns, docs = [], [], []
-    for lang, payload in sorted(map(tuple, fold_payloads(partial, _summed).toLocalIterator())):
+    for lang, payload in sorted(map(tuple, taken_in(fold_payloads(partial, _summed), "language-counts"))):
         counts = np.frombuffer(payload, np.int64)
         langs.append(lang)
         docs.append(counts[-1])

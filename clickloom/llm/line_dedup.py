@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from clickloom.llm import bloom
-from clickloom.llm.common import SPACE, clear_of, fold_payloads, in_small_batches, lower_ascii, texts_in
+from clickloom.llm.common import SPACE, clear_of, fold_payloads, in_small_batches, lower_ascii, taken_in, texts_in
 from clickloom.session import materialize
 
 MIN_KEY_CHARS = 10
@@ -104,7 +104,7 @@ def repeated_lines(docs: DataFrame, least: int = MIN_KEY_CHARS) -> DataFrame:
     lines = texts.agg(F.sum(newlines + 1)).first()[0] or 0
     segments = bloom.segments_for(lines)
     partial = texts.mapInArrow(_partial_filters(segments, least), "segment int, once binary, twice binary")
-    merged = fold_payloads(partial, _merged).select("segment", "twice").toLocalIterator()
+    merged = taken_in(fold_payloads(partial, _merged).select("segment", "twice"), "line-filter")
     shared = spark.sparkContext.broadcast(bloom.gathered(segments, merged))
     id_type = texts.schema["doc_id"].dataType.simpleString()
     suspects = materialize(

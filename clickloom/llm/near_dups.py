@@ -270,8 +270,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = materialize(
         shared.where("leader < rep").groupBy(F.col("rep").alias("b")).agg(F.min("leader").alias("a")), "stars"
     )
-    links = materialize(_confirmed(stars, docs), "star-links")
-    roots = components(links)
+    roots = components(materialize(_confirmed(stars, docs), "star-links"))
 
     rows, star, crowd, parted = _open_buckets(shared, reps, roots)
     # The edges of spanning trees join most of what belongs together.
@@ -279,8 +278,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     edges = materialize(spans.select("a", "b").unionByName(star).distinct(), "spanning-edges")
     more = materialize(_confirmed(edges, docs), "spanning-links")
     if not more.isEmpty():
-        links = links.unionByName(more)
-        roots = components(links)
+        roots = _joined(roots, more)
     # Where components are left that have likely pairs, all of these are compared inside the bucket.
     apart = _with_roots(rows.drop("comp").join(spans.select("key").distinct(), "key", "left_semi"), roots)
     apart = materialize(_several(apart).drop("members", "leader", "weight"), "buckets-apart")
@@ -289,13 +287,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     whole = apart.join(sets, apart["rep"] == sets["id"]).select("key", "rep", "comp", "signature", "shingles")
     more = materialize(_picked(whole, choose).select("a", "b").distinct(), "bucket-links")
     if not more.isEmpty():
-        links = links.unionByName(more)
-        roots = components(links)
+        roots = _joined(roots, more)
     if parted:
         crowd = materialize(_several(_with_roots(crowd, roots)).drop("members", "leader", "weight"), "crowds")
         if not crowd.isEmpty():
-            links = links.unionByName(materialize(_crowd_links(crowd, docs), "crowd-links"))
-            roots = components(links)
+            roots = _joined(roots, materialize(_crowd_links(crowd, docs), "crowd-links"))
 
     grouped = classes.join(roots, classes["rep"] == roots["node"], "left").select(
         F.col("set_key").alias("class"), F.coalesce("root", "rep").alias("group_id")
@@ -307,6 +303,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components that further links make of those known; their stars stand for the links that made them."""
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+
+
 def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
     joined = rows.join(roots, rows["rep"] == roots["node"], "left")
     return joined.withColumn("comp", F.coalesce("root", "rep")).drop("node", "root")

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from clickloom.llm.common import in_small_batches, texts_in
+from clickloom.llm.common import in_small_batches, taken_in, texts_in
 from clickloom.llm.fp_tree import Best, TermTree
 from clickloom.llm.shingles import PLAIN
 from clickloom.session import materialize
@@ -105,7 +105,7 @@ def _block(docs: DataFrame, items: DataFrame, keep: int) -> DataFrame:
     vocabulary = {t: i for i, t in enumerate(sorted(set().union(*terms_by_item.values())), 1)}
     vectors = materialize(_vectors(docs, vocabulary), "vectors")
     total = vectors.agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("total")).first()
-    counts = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().toLocalIterator()
+    counts = taken_in(vectors.select(F.explode("terms").alias("term")).groupBy("term").count(), "term-counts")
     df = {r["term"]: r["count"] for r in counts}  # at most the vocabulary
     frequent = sorted(df, key=lambda t: (-df[t], t))
     rank = {t: i for i, t in enumerate(frequent)}
