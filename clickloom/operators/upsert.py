@@ -25,8 +25,10 @@ def upsert(
     stay, and keys with a NULL part never match. Columns are matched by name; missing ones become NULL.
 
     The delivered keys are reduced to one row each and written, so the right side of both anti joins is unique,
-    of known size and made once, and a hot key on the left can be split.
+    of known size and made once, and a hot key on the left can be split. One delivery into nothing is taken as it is.
     """
+    if target is None and rank is None:
+        return batch
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
     ranks = [F.max(rank).alias("__newest"), F.min(rank).alias("__oldest")] if rank is not None else [F.count(F.lit(1)).alias("__n")]
     delivered = materialize(batch.where(complete).groupBy(*keys).agg(*ranks), "delivered-keys")

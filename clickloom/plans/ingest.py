@@ -60,6 +60,8 @@ def ingest(
         return None
 
     staged = files.read_exports(spark, exports)
+    if len(exports) == 1:
+        staged = staged.drop(files.RANK)
     entries = [Entry(e.filename, e.uri, e.file_hash, e.reason, e.date_suffix, e.length, e.modified) for e in exports]
     return _load(store, staged, entries, refresh, date_columns)
 
@@ -80,7 +82,10 @@ class Entry:
 def _load(
     store: EventStore, staged: DataFrame, entries: Sequence[Entry], refresh: bool, date_columns: Sequence[str] | None
 ) -> Ingested:
-    """Merge rows of texts (marked by source and rank) into the store and commit a new version."""
+    """Merge rows of texts into the store and commit a new version.
+
+    Rows are marked by source, and by rank where one delivery may replace rows of another.
+    """
     spark, known = store.spark, store.processed_files()
     target_version = store.next(refresh)
     current = store.current()
@@ -94,7 +99,7 @@ def _load(
     batch = with_event_time(staged.drop(files.FILE, files.BEYOND))
     days = [r.day for r in batch.select(F.to_date(TIME).alias("day")).distinct().collect()]
     target = store.stored(current, days) if has_target else None
-    merged = upsert(target, batch, rank=files.RANK)
+    merged = upsert(target, batch, rank=files.RANK if files.RANK in batch.columns else None)
     store.write_days(merged, target_version)
 
     processed = spark.createDataFrame(
@@ -126,16 +131,12 @@ def ingest_log(
     if not entries:
         return None
     rows = log.read(values=[e.date_suffix for e in entries]).where(F.col("name") == name)
-    exported = export_view(flatten(rows)).withColumnsRenamed(EXPORT_RENAMES)
+    day = F.to_date("timestamp").cast("string")
+    flat = flatten(rows).withColumn(files.FILE, F.concat(F.lit(LOG), F.coalesce(day, F.lit("None"))))
+    exported = export_view(flat).withColumnsRenamed(EXPORT_RENAMES)
     texts = exported.select(*[F.nullif(quoted(c), F.lit("")).alias(c) for c in exported.columns])
-    day = F.to_date(parse_export_time(F.col(TIME))).cast("string")
-    marked = texts.withColumns(
-        {
-            files.FILE: F.concat(F.lit(LOG), F.coalesce(day, F.lit("None"))),
-            files.RANK: F.lit(0),
-            files.BEYOND: F.lit(None).cast("string"),
-        }
-    )
+    # The days are one delivery: a key holds the time, so none of them has rows of another.
+    marked = texts.withColumn(files.BEYOND, F.lit(None).cast("string"))
     return _load(store, materialize(marked, "delivered-log"), entries, False, date_columns)
 
 

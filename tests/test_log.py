@@ -71,6 +71,25 @@ def test_log_and_export_give_the_same_events(spark, folder):
     assert rows(one.select(same)) == rows(other.select(same))
 
 
+def test_a_first_ingest_joins_no_keys(spark, folder, monkeypatch):
+    """Days of the log are one delivery: into an empty store it is written as it is, later its keys replace those of the store."""
+    from clickloom.operators import upsert
+
+    made = []
+    monkeypatch.setattr(upsert, "materialize", lambda df, label, real=upsert.materialize: made.append(label) or real(df, label))
+    table, store = log_table(spark, f"{folder}/log"), EventStore(spark, f"{folder}/store")
+    twice = [*FIRST, FIRST[2], (None, "click_event", "u5", {"GPN": "5"})]
+    store_log(table, log(spark, *twice))
+    told = ingest_log(store, table)
+    assert made == []
+    assert told.row_counts == {"log/2024-05-01": 1, "log/2024-05-02": 2, "log/None": 1}
+    store_log(table, log(spark, *LATER))
+    ingest_log(store, table)
+    assert made == ["delivered-keys"]
+    assert sorted(r["user_id"] for r in store.events().collect()) == ["u1", "u1", "u1", "u3", "u5"]
+    assert "__rank" not in store.stored().columns
+
+
 def test_only_recent_days_are_opened(spark, folder):
     table = log_table(spark, folder)
     assert recent_log(table, datetime(2024, 5, 3), 1) is None
