@@ -1,230 +1,262 @@
-"""Context-mixing range coder for token ids; many blocks are coded side by side.
+"""Context-mixing range coder for token ids; the stretches of a block are coded side by side.
 
-A block starts from an empty model. For every id two tables propose the id that last followed the previous
-one (order 1) and the previous two (order 2). Whether one of them is right is coded with frequencies that mix
-the record of the order-2 slot's confidence with that of the order-1 slot's. Other ids fall back on order 0:
-an adaptive frequency of the id's bit length, then its remaining bits.
+A block starts from an empty model and is cut into lanes, which are coded step by step together and learn into
+one model. For every id two tables propose the id that last followed the previous one (order 1) and the previous
+two (order 2). Whether one of them is right is coded with the record of such slots, told apart by the confidence of
+both. Other ids fall back on order 0: the frequencies of the ids so far, and 32 plain bits for one without any.
+What a few steps teach is learned at their end, so that tables are looked up and changed for many ids at once.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
-MAGIC = b"CMR1"
-HEADER = struct.Struct("<4sIIII")  # magic, ids, crc32 of the ids as little-endian 32 bit, bit lengths, code words
-BLOCK_IDS = 4096
-SLOT_BITS = 12
-CONFIDENT = 4
-GAIN, LIMIT = 24, 1 << 12
+MAGIC = b"CMR2"
+HEADER = struct.Struct("<4sIIII")  # magic, ids, crc32 of the ids as little-endian 32 bit, alphabet, code words
+LANES, LANE_IDS = 2048, 1024  # most lanes of a block, and the ids of a lane before there is another
+STEPS = 16  # between two times of learning
+SLOT_BITS = 16
+CONFIDENT, TRUST_BITS = 4, 3
+EVENT_BITS, ID_BITS = 12, 16
+ALPHABET = 1 << 18  # ids from here on have no frequency of their own
+LIMIT = 1 << 18
 _U = np.uint64
-_FULL, _LEAST, _WORD = _U(0xFFFFFFFFFFFFFFFF), _U(1 << 32), _U(32)
+_FULL, _LEAST, _WORD, _HALF = _U(0xFFFFFFFFFFFFFFFF), _U(1 << 32), _U(32), _U(16)
+_EVENT_BITS, _ID_BITS = _U(EVENT_BITS), _U(ID_BITS)
 
 
 class _Model:
-    """Predictions of all lanes for their next id; lanes are blocks, the longest first."""
-
-    def __init__(self, lanes: int, classes: int):
-        self.lane = np.arange(lanes)
-        self.slots = [np.zeros(lanes << SLOT_BITS, np.uint32) for _ in range(2)]
-        self.trust = [np.zeros(lanes << SLOT_BITS, np.int8) for _ in range(2)]
-        self.events = [np.tile(np.array([4, 2, 6], np.int64), (lanes * (CONFIDENT + 1), 1)) for _ in range(2)]
-        self.classes = np.ones((lanes, classes), np.int64)
-        self.before = np.zeros((2, lanes), np.int64)
-
-    def predict(self, live: int, step: int) -> None:
-        if step % 64 == 63:
-            for table in (*self.events, self.classes):
-                large = table.sum(axis=1) > LIMIT
-                table[large] = (table[large] >> 1) + 1
-        last, older = self.before[0, :live], self.before[1, :live]
-        mask, base = (1 << SLOT_BITS) - 1, self.lane[:live] << SLOT_BITS
-        one = (last * 40503 >> 4) & mask
-        two = ((last * 10007 + older * 40503) >> 4) & mask
-        self.at = (base + two, base + one)
-        self.guess = [s[i] for s, i in zip(self.slots, self.at)]
-        self.sure = [t[i] for t, i in zip(self.trust, self.at)]
-        row = self.lane[:live] * (CONFIDENT + 1)
-        self.rows = [row + s for s in self.sure]
-        f = self.events[0][self.rows[0]] + self.events[1][self.rows[1]]
-        f[:, 0] *= self.sure[0] > 0
-        f[:, 1] *= (self.sure[1] > 0) & ((self.sure[0] == 0) | (self.guess[0] != self.guess[1]))
-        self.first, self.second = f[:, 0], f[:, 0] + f[:, 1]
-        self.total = self.second + f[:, 2]
+    """What a block's ids so far tell of the next ones."""
+
+    def __init__(self, alphabet: int):
+        self.alphabet = alphabet
+        self.slots = [np.zeros(1 << SLOT_BITS, np.int64) for _ in range(2)]  # the id and, below it, its confidence
+        self.events = np.tile(np.array([4, 2, 6], np.int64), (1 << 2 * TRUST_BITS, 1))
+        self.edges = np.zeros((len(self.events), 4), np.uint64)
+        self.edges[:, 3] = 1 << EVENT_BITS
+        self.counts, self.counted = np.zeros(alphabet, np.int64), 0
+        self.waiting: list[np.ndarray] = []
+        self.n_waiting = 0
+        self._weigh()
+        self._rank()
+
+    def _weigh(self) -> None:
+        share = self.events[:, :2] * ((1 << EVENT_BITS) - 3) // self.events.sum(axis=1)[:, None] + 1
+        np.cumsum(share, axis=1, out=share)
+        self.edges[:, 1:3] = share
+
+    def _rank(self) -> None:
+        """Order 0 in ``1 << ID_BITS`` parts: one or more for each id met, the rest for those without."""
+        room, least = 1 << ID_BITS, 1
+        while (known := np.flatnonzero(self.counts >= least)).size > room >> 1:
+            least *= 2
+        seen = self.counts[known]
+        parts = seen * (room - 1 - known.size) // max(1, int(seen.sum())) + 1 if known.size else seen
+        open_from = int(parts.sum())
+        # Behind the alphabet stand the ids without a frequency, and what a right guess needs: nothing.
+        self.low = np.full(self.alphabet + 2, open_from, np.uint32)
+        self.size = np.full(self.alphabet + 2, room - open_from, np.uint32)
+        self.low[known], self.size[known] = np.cumsum(parts) - parts, parts
+        self.low[-1], self.size[-1] = 0, room
+        self.open = np.ones(self.alphabet + 2, bool)
+        self.open[known] = self.open[-1] = False
+        self.at_part = np.full(room, self.alphabet, np.int64)
+        self.at_part[:open_from] = np.repeat(known, parts)
+
+    def predict(self, last: np.ndarray, older: np.ndarray) -> None:
+        mask = (1 << SLOT_BITS) - 1
+        self.at = ((last * 10007 + older * 40503) >> 4) & mask, last & mask
+        self.held = [s.take(i) for s, i in zip(self.slots, self.at)]
+        self.sure = [h & ((1 << TRUST_BITS) - 1) for h in self.held]
+        self.guess = [h >> TRUST_BITS for h in self.held]
+        two, one = self.guess
+        self.cell = (self.sure[0] << TRUST_BITS) + self.sure[1] * (one != two)
 
     def event_of(self, ids: np.ndarray) -> np.ndarray:
-        first = (self.sure[0] > 0) & (ids == self.guess[0])
-        return np.where(first, 0, np.where((self.sure[1] > 0) & (ids == self.guess[1]), 1, 2))
+        return np.where(ids == self.guess[0], 0, np.where(ids == self.guess[1], 1, 2))
 
-    def learn(self, live: int, ids: np.ndarray, event: np.ndarray) -> None:
-        for k in range(2):
-            self.events[k][self.rows[k], event] += GAIN
-            right = (self.guess[k] == ids) & (self.sure[k] > 0)
-            sure = self.sure[k]
-            self.slots[k][self.at[k]] = np.where(right | (sure > 1), self.guess[k], ids)
-            self.trust[k][self.at[k]] = np.where(right, np.minimum(sure + 1, CONFIDENT), np.maximum(sure - 1, 1))
-        self.before[1, :live] = self.before[0, :live]
-        self.before[0, :live] = ids
+    def learn(self, ids: np.ndarray, event: np.ndarray) -> None:
+        """Take in the ids that the last prediction was for; of several for one slot the last one stays."""
+        for slots, at, held, sure, guess in zip(self.slots, self.at, self.held, self.sure, self.guess):
+            kept = held + np.where(ids == guess, sure < CONFIDENT, -1)
+            slots[at] = np.where((ids == guess) & (sure > 0) | (sure > 1), kept, (ids << TRUST_BITS) + 1)
+        met = np.bincount((self.cell * 3 + event).ravel(), minlength=self.events.size)
+        self.events += met.reshape(self.events.shape)
+        large = self.events.sum(axis=1) > LIMIT
+        self.events[large] = (self.events[large] >> 1) + 1
+        self._weigh()
+        self.waiting.append(ids)
+        self.n_waiting += ids.size
+        if self.n_waiting > self.counted >> 1:
+            new = np.concatenate([x.ravel() for x in self.waiting])
+            self.counts += np.bincount(new[new < self.alphabet], minlength=self.alphabet)
+            self.counted += self.n_waiting
+            self.waiting, self.n_waiting = [], 0
+            self._rank()
 
 
-def _bit_lengths(ids: np.ndarray) -> np.ndarray:
-    return np.frexp(ids.astype(np.float64))[1]
+def _laid(n: int) -> tuple[int, int]:
+    """Steps and lanes of a block of ``n`` ids."""
+    steps = -(-n // min(LANES, max(1, n // LANE_IDS))) if n else 0
+    return steps, -(-n // steps) if n else 0
 
 
-def _ordered(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(-sizes, kind="stable")
-    return order, sizes[order]
+def _turns(steps: int) -> Iterator[tuple[int, int]]:
+    """Runs of steps at whose end the model learns: short ones first."""
+    at = 0
+    while at < steps:
+        stop = min(steps, at + min(STEPS, max(1, at)))
+        yield at, stop
+        at = stop
 
 
 class _Encoder:
-    def __init__(self, lanes: int, words: int):
+    def __init__(self, lanes: int, steps: int):
+        # At most 60 bits an id.
+        self.width = 2 * steps + 4
         self.low, self.range = np.zeros(lanes, _U), np.full(lanes, _FULL, _U)
-        self.out, self.n = np.zeros((lanes, words), np.uint32), np.zeros(lanes, np.int64)
+        self.out, self.n = np.zeros(lanes * self.width, np.uint32), np.arange(lanes) * self.width
 
-    def narrow(self, rows, start, size, total) -> None:
-        unit = self.range[rows] // total.astype(_U)
-        low = self.low[rows] + unit * start.astype(_U)
-        over = low < self.low[rows]
-        self.low[rows], self.range[rows] = low, unit * size.astype(_U)
-        if over.any():
-            self._carry(np.arange(len(self.low))[rows][over])
+    def narrow(self, start, size, low, part) -> None:
+        """All lanes: an event's part of the range, and inside it an id's part."""
+        unit = self.range >> _EVENT_BITS
+        inner = (unit * size) >> _ID_BITS
+        self._set(slice(None), self.low + (unit * start + inner * low), inner * part)
 
-    def _carry(self, lanes: np.ndarray) -> None:
-        at = self.n[lanes] - 1
-        while len(lanes):
-            self.out[lanes, at] += np.uint32(1)
-            again = self.out[lanes, at] == 0
-            lanes, at = lanes[again], at[again] - 1
+    def plain(self, lanes: np.ndarray, ids: np.ndarray) -> None:
+        for half in (ids >> 16, ids & 0xFFFF):
+            unit = self.range[lanes] >> _HALF
+            self._set(lanes, self.low[lanes] + unit * half.astype(_U), unit)
 
-    def shift(self, rows) -> None:
-        short = np.arange(len(self.low))[rows][self.range[rows] < _LEAST]
+    def _set(self, lanes, low, width) -> None:
+        over = low < self.low[lanes]
+        self.low[lanes], self.range[lanes] = low, width
+        if over.any():
+            self._carry(np.flatnonzero(over) if isinstance(lanes, slice) else lanes[over])
+        short = np.flatnonzero(width < _LEAST)
         if len(short):
-            self._put(short)
+            short = short if isinstance(lanes, slice) else lanes[short]
+            self.put(short)
             self.range[short] <<= _WORD
 
-    def _put(self, lanes: np.ndarray) -> None:
-        self.out[lanes, self.n[lanes]] = (self.low[lanes] >> _WORD).astype(np.uint32)
-        self.low[lanes] <<= _WORD
+    def _carry(self, lanes: np.ndarray) -> None:
+        at = self.n[lanes] - 1
+        while len(at):
+            self.out[at] += np.uint32(1)
+            at = at[self.out[at] == 0] - 1
+
+    def put(self, lanes: np.ndarray) -> None:
+        low = self.low[lanes]
+        self.out[self.n[lanes]] = low >> _WORD
+        self.low[lanes] = low << _WORD
         self.n[lanes] += 1
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """Code blocks of ids below 2^32."""
-    sizes = np.array([len(b) for b in blocks], np.int64)
-    order, sizes = _ordered(sizes)
-    lanes, steps = len(blocks), int(sizes[0]) if len(blocks) else 0
-    ids = np.zeros((steps, lanes), np.int64)
-    for lane, b in enumerate(order.tolist()):
-        ids[: len(blocks[b]), lane] = blocks[b]
-    lengths = _bit_lengths(ids)
-    classes = int(lengths.max(initial=0)) + 1
-    model, coder = _Model(lanes, classes), _Encoder(lanes, steps * 3 + 4)
-    for step in range(steps):
-        live = int(np.searchsorted(-sizes, -step, side="left"))
-        now = ids[step, :live]
-        model.predict(live, step)
+    return [_encode(np.asarray(b)) for b in blocks]
+
+
+def _encode(block: np.ndarray) -> bytes:
+    steps, lanes = _laid(len(block))
+    alphabet = min(ALPHABET, int(block.max(initial=0)) + 1)
+    ids = np.zeros((steps + 2, lanes), np.int64)
+    if steps:
+        flat = np.zeros(lanes * steps, np.uint32)
+        flat[: len(block)] = block
+        ids[2:] = flat.reshape(lanes, steps).T
+    model, coder = _Model(alphabet), _Encoder(lanes, steps)
+    for begin, end in _turns(steps):
+        now = ids[begin + 2 : end + 2]
+        model.predict(ids[begin + 1 : end + 1], ids[begin:end])
         event = model.event_of(now)
-        start = np.where(event == 0, 0, np.where(event == 1, model.first, model.second))
-        stop = np.where(event == 0, model.first, np.where(event == 1, model.second, model.total))
-        coder.narrow(slice(0, live), start, stop - start, model.total)
-        coder.shift(slice(0, live))
-        rest = np.flatnonzero(event == 2)
-        if len(rest):
-            length = lengths[step, rest]
-            upto = np.cumsum(model.classes[rest], axis=1)
-            pick = np.arange(len(rest))
-            size = model.classes[rest, length]
-            coder.narrow(rest, upto[pick, length] - size, size, upto[:, -1])
-            coder.shift(rest)
-            # An id of n bits begins with a one: n - 1 bits are left.
-            span = np.int64(1) << np.maximum(length - 1, 0)
-            coder.narrow(rest, np.where(length > 0, now[rest] - span, 0), np.ones(len(rest), np.int64), span)
-            coder.shift(rest)
-            model.classes[rest, length] += GAIN
-        model.learn(live, now, event)
+        edge = (model.cell << 2) + event
+        start = model.edges.take(edge)
+        size = model.edges.take(edge + 1) - start
+        symbol = np.where(event < 2, alphabet + 1, np.minimum(now, alphabet))
+        low, part = model.low.take(symbol).astype(_U), model.size.take(symbol).astype(_U)
+        plain = model.open.take(symbol)
+        some = plain.any(axis=1).tolist()
+        for i in range(end - begin):
+            coder.narrow(start[i], size[i], low[i], part[i])
+            if some[i]:
+                own = np.flatnonzero(plain[i])
+                coder.plain(own, now[i, own])
+        model.learn(now, event)
     for _ in range(2):
-        coder._put(np.arange(lanes))
-    out: list[bytes] = [b""] * lanes
-    for lane, b in enumerate(order.tolist()):
-        words = coder.out[lane, : coder.n[lane]].astype("<u4").tobytes()
-        crc = zlib.crc32(blocks[b].astype("<u4").tobytes())
-        out[b] = HEADER.pack(MAGIC, len(blocks[b]), crc, classes, len(words) // 4) + words
-    return out
+        coder.put(np.arange(lanes))
+    begin = np.arange(lanes) * coder.width
+    counts = (coder.n - begin).astype("<u4")
+    words = b"".join(coder.out[a:b].astype("<u4").tobytes() for a, b in zip(begin.tolist(), coder.n.tolist()))
+    crc = zlib.crc32(block.astype("<u4").tobytes())
+    return HEADER.pack(MAGIC, len(block), crc, alphabet, len(words) // 4) + counts.tobytes() + words
 
 
 def decode(coded: list[bytes]) -> list[np.ndarray]:
     """The blocks again, as unsigned 32-bit ids; damage raises ValueError."""
-    heads = [HEADER.unpack_from(c) if len(c) >= HEADER.size else (b"", 0, 0, 0, 0) for c in coded]
-    for c, (magic, _, _, _, words) in zip(coded, heads):
-        if magic != MAGIC or len(c) != HEADER.size + 4 * words:
-            raise ValueError("not a block of ids")
-    out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(coded)
-    for classes in {h[3] for h in heads}:
-        own = [i for i, h in enumerate(heads) if h[3] == classes]
-        for i, ids in zip(own, _decode([coded[i] for i in own], [heads[i][1] for i in own], classes)):
-            if zlib.crc32(ids.astype("<u4").tobytes()) != heads[i][2]:
-                raise ValueError("a block of ids is damaged")
-            out[i] = ids
-    return out
-
-
-def _decode(coded: list[bytes], sizes: list[int], classes: int) -> list[np.ndarray]:
-    order, counts = _ordered(np.array(sizes, np.int64))
-    lanes, steps = len(coded), int(counts[0]) if len(coded) else 0
-    most = max(len(c) for c in coded) // 4 + 4
-    words = np.zeros((lanes, most), _U)
-    for lane, b in enumerate(order.tolist()):
-        own = np.frombuffer(coded[b], "<u4", offset=HEADER.size)
-        words[lane, : len(own)] = own
-    code, range_ = words[:, 0] << _WORD | words[:, 1], np.full(lanes, _FULL, _U)
-    read, ids = np.full(lanes, 2, np.int64), np.zeros((steps, lanes), np.int64)
-    model = _Model(lanes, classes)
-
-    def shift(rows) -> None:
-        short = np.arange(lanes)[rows][range_[rows] < _LEAST]
-        if len(short):
-            code[short] = code[short] << _WORD | words[short, read[short]]
-            range_[short] <<= _WORD
-            read[short] += 1
-
-    def narrow(rows, unit, start, size) -> None:
-        code[rows] -= unit * start.astype(_U)
-        range_[rows] = unit * size.astype(_U)
-
-    for step in range(steps):
-        live = int(np.searchsorted(-counts, -step, side="left"))
-        model.predict(live, step)
-        every = slice(0, live)
-        unit = range_[every] // model.total.astype(_U)
-        value = np.minimum(code[every] // unit, model.total.astype(_U) - _U(1)).astype(np.int64)
-        event = (value >= model.first).astype(np.int64) + (value >= model.second)
-        start = np.where(event == 0, 0, np.where(event == 1, model.first, model.second))
-        stop = np.where(event == 0, model.first, np.where(event == 1, model.second, model.total))
-        narrow(every, unit, start, stop - start)
-        shift(every)
-        now = np.where(event == 0, model.guess[0], model.guess[1]).astype(np.int64)
-        rest = np.flatnonzero(event == 2)
-        if len(rest):
-            upto = np.cumsum(model.classes[rest], axis=1)
-            total = upto[:, -1].astype(_U)
-            unit = range_[rest] // total
-            value = np.minimum(code[rest] // unit, total - _U(1)).astype(np.int64)
-            length = (upto <= value[:, None]).sum(axis=1)
-            size = model.classes[rest, length]
-            narrow(rest, unit, upto[np.arange(len(rest)), length] - size, size)
-            shift(rest)
-            span = np.int64(1) << np.maximum(length - 1, 0)
-            unit = range_[rest] // span.astype(_U)
-            low = np.minimum(code[rest] // unit, span.astype(_U) - _U(1)).astype(np.int64)
-            narrow(rest, unit, low, np.ones(len(rest), np.int64))
-            shift(rest)
-            now[rest] = np.where(length > 0, low + span, 0)
-            model.classes[rest, length] += GAIN
-        ids[step, :live] = now
-        model.learn(live, now, event)
-    out: list[np.ndarray] = [np.empty(0, np.uint32)] * lanes
-    for lane, b in enumerate(order.tolist()):
-        out[b] = ids[: sizes[b], lane].astype(np.uint32)
-    return out
+    return [_decode(c) for c in coded]
+
+
+def _decode(coded: bytes) -> np.ndarray:
+    magic, n, crc, alphabet, n_words = HEADER.unpack_from(coded) if len(coded) >= HEADER.size else (b"", 0, 0, 0, 0)
+    steps, lanes = _laid(n)
+    if magic != MAGIC or alphabet > ALPHABET or len(coded) != HEADER.size + 4 * (lanes + n_words):
+        raise ValueError("not a block of ids")
+    counts = np.frombuffer(coded, "<u4", lanes, HEADER.size).astype(np.int64)
+    if counts.sum() != n_words or (counts < 2).any():
+        raise ValueError("a block of ids is damaged")
+    # A damaged block may read on behind its words.
+    words = np.append(np.frombuffer(coded, "<u4", offset=HEADER.size + 4 * lanes), [0, 0]).astype(_U)
+    read = np.cumsum(counts) - counts + 2
+    code, width = words[read - 2] << _WORD | words[read - 1], np.full(lanes, _FULL, _U)
+    ids = np.zeros((steps + 2, lanes), np.int64)
+    model = _Model(alphabet)
+    most_event, most_part = _U((1 << EVENT_BITS) - 1), _U((1 << ID_BITS) - 1)
+
+    def shift(lanes: np.ndarray) -> None:
+        at = read[lanes]
+        code[lanes] = code[lanes] << _WORD | words.take(at, mode="clip")
+        width[lanes] <<= _WORD
+        read[lanes] = at + 1
+
+    for begin, end in _turns(steps):
+        first, second = model.edges[:, 1].copy(), model.edges[:, 2].copy()
+        for step in range(begin, end):
+            model.predict(ids[step + 1], ids[step])
+            unit = width >> _EVENT_BITS
+            value = np.minimum(code // unit, most_event)
+            event = (value >= first.take(model.cell)).astype(np.int64) + (value >= second.take(model.cell))
+            edge = (model.cell << 2) + event
+            start = model.edges.take(edge)
+            inner = (unit * (model.edges.take(edge + 1) - start)) >> _ID_BITS
+            code -= unit * start
+            missed = event == 2
+            part = np.minimum(code // inner, most_part).astype(np.int64)
+            symbol = np.where(missed, model.at_part.take(part), alphabet + 1)
+            code -= inner * model.low.take(symbol)
+            width = inner * model.size.take(symbol)
+            shift(np.flatnonzero(width < _LEAST))
+            now = np.where(missed, symbol, np.where(event == 1, model.guess[1], model.guess[0]))
+            own = np.flatnonzero(symbol == alphabet)
+            if len(own):
+                plain = np.zeros(len(own), np.int64)
+                for _ in range(2):
+                    unit = width[own] >> _HALF
+                    half = np.minimum(code[own] // unit, _U(0xFFFF))
+                    code[own] -= unit * half
+                    width[own] = unit
+                    shift(own[unit < _LEAST])
+                    plain = plain << 16 | half.astype(np.int64)
+                now[own] = plain
+            ids[step + 2] = now
+        now = ids[begin + 2 : end + 2]
+        model.predict(ids[begin + 1 : end + 1], ids[begin:end])
+        model.learn(now, model.event_of(now))
+    flat = ids[2:].T.astype("<u4").reshape(-1)[:n]
+    if zlib.crc32(flat.tobytes()) != crc:
+        raise ValueError("a block of ids is damaged")
+    return flat

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,17 +18,68 @@ from clickloom.llm.common import in_small_batches, running_totals
 from clickloom.session import materialize
 
 END_ID = 0
-FRAME_IDS = 1 << 22
-LEAST_BLOCK = 512
+FRAME_IDS = 1 << 21
 MEMO_PIECES = 400_000
 
+# All letters below U+0100.
+LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+RUNS = re.compile(f"[{LETTERS}]+|[^{LETTERS}]+")
+WORD = re.compile(f"[{LETTERS}]+")
+UNCUT = re.compile(r"[^\x00-\xff]|'|\s\s")
+SPARE_BLANK = re.compile(r" (?:\s|\Z)")
+
+
+class _Pieces(dict):
+    """The ids of pieces of text, as bytes; a piece is encoded when it is first asked for.
+
+    A key is a piece without the blank before it, or with one blank more where there is none. Of ``MEMO_PIECES``
+    and as many older pieces, those not asked for lately are forgotten.
+    """
+
+    def __init__(self, tokenizer, added: list[str]):
+        super().__init__()
+        self.tokenizer, self.added = tokenizer, added
+        self.words, self.model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model
+        letters = [chr(c) for c in range(128, 256) if WORD.fullmatch(chr(c))]
+        self.letters = {ord(c): self.words(c)[0][0] for c in letters}
+        self.blank = self.words(" a")[0][0][:-1]
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.older.pop(key, None)
+        if ids is None:
+            ids = self._ids(key)
+        self[key] = ids
+        return ids
+
+    def _ids(self, key: str) -> bytes:
+        bare = key[:1] == " "
+        text = key[1:] if bare else " " + key
+        word = key[1:] if bare else key
+        if WORD.fullmatch(word):
+            word = word if word.isascii() else word.translate(self.letters)
+            return array("I", [t.id for t in self.model.tokenize(word if bare else self.blank + word)]).tobytes()
+        if any(t in text for t in self.added):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if not UNCUT.search(text):
+            # A letter beside another character begins or ends a word, but for those after an apostrophe.
+            first, *rest = RUNS.findall(word) or [""]
+            if rest:
+                return self[key[:1] + first if bare else first] + b"".join([self[" " + r] for r in rest])
+        return array("I", [t.id for word, _ in self.words(text) for t in self.model.tokenize(word)]).tobytes()
+
+    def age(self) -> None:
+        if len(self) > MEMO_PIECES:
+            self.older = dict(self)
+            self.clear()
+
 
 class TokenizerFile:
     """Encodes texts with a tokenizer file, each distinct piece of text once.
 
     A byte-level tokenizer that adds no prefix looks at a text's words one by one, each with the blank before
-    it; cut before single blanks, the pieces have the same ids as in the whole text. Texts with runs of
-    blanks, and other kinds of tokenizer, are encoded whole.
+    it; cut before single blanks, the pieces have the same ids as in the whole text, and those of a word are the
+    model's. Texts with a blank before white space or at the end, and other kinds of tokenizer, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -35,50 +89,56 @@ class TokenizerFile:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             kind = json.load(file)
-        before = kind.get("pre_tokenizer") or {}
+        before, added = kind.get("pre_tokenizer") or {}, kind.get("added_tokens", ())
         self.in_pieces = (
             kind.get("normalizer") is None
             and before.get("type") == "ByteLevel"
             and not before.get("add_prefix_space")
             and before.get("use_regex", True)
-            and not any(t.get("lstrip") or t.get("rstrip") or " " in t["content"] for t in kind.get("added_tokens", ()))
+            and not kind.get("truncation")
+            and not kind.get("padding")
+            and not any(t.get("lstrip") or t.get("rstrip") or " " in t["content"] for t in added)
+            and not any(WORD.fullmatch(t["content"]) for t in added)
         )
-        self.pieces: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, np.uint32).tobytes() for c in coded]
+        self.pieces = _Pieces(self.tokenizer, [t["content"] for t in added]) if self.in_pieces else None
+
+    def encode_bytes(self, text: str) -> bytes:
+        """The ids of a text, in 32 bits each and without an end id."""
+        if not text:
+            return b""
+        if not self.in_pieces or SPARE_BLANK.search(text):
+            (coded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            return array("I", coded.ids).tobytes()
+        self.pieces.age()
+        keys = text.split(" ")
+        keys[0] = " " + keys[0]
+        if len(keys[0]) == 1:
+            del keys[0]
+        return b"".join(map(self.pieces.__getitem__, keys))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without an end id."""
-        cut = [t.split(" ") if self.in_pieces and "  " not in t else None for t in texts]
-        words = [[p[0], *[" " + w for w in p[1:]]] if p else () for p in cut]
-        new = {w for own in words for w in own}.difference(self.pieces)
-        if len(self.pieces) + len(new) > MEMO_PIECES:
-            self.pieces.clear()
-            new = {w for own in words for w in own}
-        fresh = list(new)
-        self.pieces.update(zip(fresh, self._whole(fresh)))
-        rest = iter(self._whole([t for t, p in zip(texts, cut) if p is None]))
-        return [
-            np.frombuffer(next(rest) if p is None else b"".join(map(self.pieces.__getitem__, own)), np.uint32)
-            for p, own in zip(cut, words)
-        ]
-
-
-def _frame(doc_ids: list, ids: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
+        return [np.frombuffer(self.encode_bytes(t), np.uint32) for t in texts]
+
+
+@lru_cache(maxsize=1)
+def _tokenizer_file(path: str, changed: int) -> TokenizerFile:
+    """A worker keeps its tokenizer, with the pieces known, from task to task."""
+    return TokenizerFile(path)
+
+
+def _frame(doc_ids: list, ids: list[bytes], schema: pa.Schema) -> pa.RecordBatch:
     """One file row: whole documents, and their ids cut into blocks."""
-    flat = np.concatenate(ids)
-    # Enough blocks to code many side by side, but long enough to learn something in each.
-    size = min(id_coder.BLOCK_IDS, max(LEAST_BLOCK, len(flat) // 1024))
-    blocks = id_coder.encode([flat[i : i + size] for i in range(0, len(flat), size)])
-    values = [[doc_ids], [[len(x) for x in ids]], [blocks]]
+    flat = np.frombuffer(b"".join(ids), np.uint32)
+    blocks = id_coder.encode(np.array_split(flat, max(1, len(flat) // FRAME_IDS)))
+    values = [[doc_ids], [[len(x) // 4 for x in ids]], [blocks]]
     return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
 
 
 def _written(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, schema = TokenizerFile(path), None
+        coder, schema = _tokenizer_file(path, os.stat(path).st_mtime_ns), None
+        end = np.uint32(end_id).tobytes()
         docs, ids, held = [], [], 0
         for batch in batches:
             schema = pa.schema(
@@ -88,16 +148,13 @@ def _written(path: str, end_id: int):
                     ("blocks", pa.list_(pa.binary())),
                 ]
             )
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            names = batch.column("doc_id").to_pylist()
-            for at in range(0, len(texts), 200):
-                for name, own in zip(names[at : at + 200], coder.encode(texts[at : at + 200])):
-                    docs.append(name)
-                    ids.append(np.append(own, np.uint32(end_id)))
-                    held += len(ids[-1])
-                    if held >= FRAME_IDS:
-                        yield _frame(docs, ids, schema)
-                        docs, ids, held = [], [], 0
+            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                docs.append(name)
+                ids.append(coder.encode_bytes(text or "") + end)
+                held += len(ids[-1]) // 4
+                if held >= FRAME_IDS:
+                    yield _frame(docs, ids, schema)
+                    docs, ids, held = [], [], 0
         if docs:
             yield _frame(docs, ids, schema)
 

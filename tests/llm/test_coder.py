@@ -35,6 +35,16 @@ def test_predictable_ids_take_little_room():
     assert len(coded) * 8 / 4000 < 1.5
 
 
+def test_frequent_ids_take_less_room():
+    """Ids that no id before them foretells: 8.5 bits each by their frequencies."""
+    rng = np.random.default_rng(3)
+    share = 1 / np.arange(1, 3001)
+    block = rng.permutation(50_000)[rng.choice(3000, 60_000, p=share / share.sum())].astype(np.uint32)
+    (coded,) = id_coder.encode([block])
+    assert (id_coder.decode([coded])[0] == block).all()
+    assert len(coded) * 8 / len(block) < 11
+
+
 def test_blocks_are_independent():
     a, b = np.arange(500, dtype=np.uint32), np.full(900, 7, np.uint32)
     alone = id_coder.encode([a])[0]

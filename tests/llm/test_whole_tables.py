@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -210,6 +211,49 @@ def test_pieces_have_the_ids_of_the_whole_text():
     assert [x.tolist() for x in coder.encode(texts)] == whole
 
 
+def test_pieces_of_odd_texts_have_the_ids_of_the_whole_text():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from clickloom.llm.token_ids import TokenizerFile
+
+    coder, pick = TokenizerFile(public_tokenizers.path("byte_bpe_50k.json")), random.Random(7)
+    parts = [
+        "a", "Bc", "é", "ß", "ª", "œ", "²", "1", "23", ",", ".", "!", "'", "'s", "'re", "_", "×", "Ж", "中", "\u0301", "\U0001f600",
+        "\n", "\t", "\r", "\xa0", "\x85", "\x1c", "\u3000", " ", " ", " ", " ", "<|endoftext|>", "<|", "\x00",
+    ]
+    texts = [" \xa0 \xa0", *["".join(pick.choices(parts, k=pick.randint(0, 12))) for _ in range(20_000)]]
+    whole = coder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    wrong = [t for t, w, own in zip(texts, whole, coder.encode(texts)) if own.tolist() != w.ids]
+    assert wrong == []
+
+
+def test_pieces_are_known_in_the_next_task(monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    import pyarrow as pa
+
+    from clickloom.llm import id_coder, token_ids
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words, and\nsome more", None]})
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    (first,) = token_ids._written(path, 0)(iter([batch]))
+    monkeypatch.setattr(token_ids._Pieces, "_ids", None)
+    (second,) = token_ids._written(path, 0)(iter([batch]))
+    assert first == second
+    (ids,) = id_coder.decode(second.column("blocks")[0].as_py())
+    assert second.column("counts")[0].as_py() == [len(ids) - 1, 1] and ids[-2:].tolist() == [0, 0]
+
+
+def test_forgotten_pieces_are_encoded_again(monkeypatch):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from clickloom.llm import token_ids
+
+    monkeypatch.setattr(token_ids, "MEMO_PIECES", 3)
+    coder = token_ids.TokenizerFile(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one two three", "four, five", "two six", "seven", "one two"] * 2
+    assert [x.tolist() for x in coder.encode(texts)] == [
+        coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+
+
 def test_sharding(spark, documents):
     got = result(spark, "op10_sharding")
     sizes = [len((t or "").encode()) + 8 for _, t, *_ in documents]
