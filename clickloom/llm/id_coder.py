@@ -18,7 +18,7 @@ import numpy as np
 MAGIC = b"CMR2"
 HEADER = struct.Struct("<4sIIII")  # magic, ids, crc32 of the ids as little-endian 32 bit, alphabet, code words
 LANES, LANE_IDS = 2048, 1024  # most lanes of a block, and the ids of a lane before there is another
-STEPS = 16  # between two times of learning
+STEPS = 32  # between two times of learning
 SLOT_BITS = 16
 CONFIDENT, TRUST_BITS = 4, 3
 EVENT_BITS, ID_BITS = 12, 16
@@ -34,7 +34,8 @@ class _Model:
 
     def __init__(self, alphabet: int):
         self.alphabet = alphabet
-        self.slots = [np.zeros(1 << SLOT_BITS, np.int64) for _ in range(2)]  # the id and, below it, its confidence
+        # The id and, below it, its confidence.
+        self.slots = [np.zeros(1 << SLOT_BITS, _type_of(alphabet)) for _ in range(2)]
         self.events = np.tile(np.array([4, 2, 6], np.int64), (1 << 2 * TRUST_BITS, 1))
         self.edges = np.zeros((len(self.events), 4), np.uint64)
         self.edges[:, 3] = 1 << EVENT_BITS
@@ -58,13 +59,13 @@ class _Model:
         parts = seen * (room - 1 - known.size) // max(1, int(seen.sum())) + 1 if known.size else seen
         open_from = int(parts.sum())
         # Behind the alphabet stand the ids without a frequency, and what a right guess needs: nothing.
-        self.low = np.full(self.alphabet + 2, open_from, np.uint32)
-        self.size = np.full(self.alphabet + 2, room - open_from, np.uint32)
+        self.low = np.full(self.alphabet + 2, open_from, _U)
+        self.size = np.full(self.alphabet + 2, room - open_from, _U)
         self.low[known], self.size[known] = np.cumsum(parts) - parts, parts
         self.low[-1], self.size[-1] = 0, room
         self.open = np.ones(self.alphabet + 2, bool)
         self.open[known] = self.open[-1] = False
-        self.at_part = np.full(room, self.alphabet, np.int64)
+        self.at_part = np.full(room, self.alphabet, self.slots[0].dtype)
         self.at_part[:open_from] = np.repeat(known, parts)
 
     def predict(self, last: np.ndarray, older: np.ndarray) -> None:
@@ -77,13 +78,14 @@ class _Model:
         self.cell = (self.sure[0] << TRUST_BITS) + self.sure[1] * (one != two)
 
     def event_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids == self.guess[0], 0, np.where(ids == self.guess[1], 1, 2))
+        self.right = [ids == g for g in self.guess]
+        return np.where(self.right[0], 0, 2 - self.right[1])
 
     def learn(self, ids: np.ndarray, event: np.ndarray) -> None:
         """Take in the ids that the last prediction was for; of several for one slot the last one stays."""
-        for slots, at, held, sure, guess in zip(self.slots, self.at, self.held, self.sure, self.guess):
-            kept = held + np.where(ids == guess, sure < CONFIDENT, -1)
-            slots[at] = np.where((ids == guess) & (sure > 0) | (sure > 1), kept, (ids << TRUST_BITS) + 1)
+        new = (ids << TRUST_BITS) + 1
+        for slots, at, held, sure, right in zip(self.slots, self.at, self.held, self.sure, self.right):
+            slots[at] = np.where(right, held + (sure < CONFIDENT), np.where(sure > 1, held - 1, new))
         met = np.bincount((self.cell * 3 + event).ravel(), minlength=self.events.size)
         self.events += met.reshape(self.events.shape)
         large = self.events.sum(axis=1) > LIMIT
@@ -99,6 +101,11 @@ class _Model:
             self._rank()
 
 
+def _type_of(alphabet: int) -> type:
+    """Of ids, with room for their confidence."""
+    return np.int32 if alphabet < ALPHABET else np.int64
+
+
 def _laid(n: int) -> tuple[int, int]:
     """Steps and lanes of a block of ``n`` ids."""
     steps = -(-n // min(LANES, max(1, n // LANE_IDS))) if n else 0
@@ -164,7 +171,7 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
 def _encode(block: np.ndarray) -> bytes:
     steps, lanes = _laid(len(block))
     alphabet = min(ALPHABET, int(block.max(initial=0)) + 1)
-    ids = np.zeros((steps + 2, lanes), np.int64)
+    ids = np.zeros((steps + 2, lanes), _type_of(alphabet))
     if steps:
         flat = np.zeros(lanes * steps, np.uint32)
         flat[: len(block)] = block
@@ -178,14 +185,14 @@ def _encode(block: np.ndarray) -> bytes:
         start = model.edges.take(edge)
         size = model.edges.take(edge + 1) - start
         symbol = np.where(event < 2, alphabet + 1, np.minimum(now, alphabet))
-        low, part = model.low.take(symbol).astype(_U), model.size.take(symbol).astype(_U)
+        low, part = model.low.take(symbol), model.size.take(symbol)
         plain = model.open.take(symbol)
         some = plain.any(axis=1).tolist()
         for i in range(end - begin):
             coder.narrow(start[i], size[i], low[i], part[i])
             if some[i]:
                 own = np.flatnonzero(plain[i])
-                coder.plain(own, now[i, own])
+                coder.plain(own, now[i, own].astype(np.int64))
         model.learn(now, event)
     for _ in range(2):
         coder.put(np.arange(lanes))
@@ -213,9 +220,9 @@ def _decode(coded: bytes) -> np.ndarray:
     words = np.append(np.frombuffer(coded, "<u4", offset=HEADER.size + 4 * lanes), [0, 0]).astype(_U)
     read = np.cumsum(counts) - counts + 2
     code, width = words[read - 2] << _WORD | words[read - 1], np.full(lanes, _FULL, _U)
-    ids = np.zeros((steps + 2, lanes), np.int64)
+    ids = np.zeros((steps + 2, lanes), _type_of(alphabet))
     model = _Model(alphabet)
-    most_event, most_part = _U((1 << EVENT_BITS) - 1), _U((1 << ID_BITS) - 1)
+    none, all_events, right = _U(0), _U(1 << EVENT_BITS), ids.dtype.type(alphabet + 1)
 
     def shift(lanes: np.ndarray) -> None:
         at = read[lanes]
@@ -228,19 +235,19 @@ def _decode(coded: bytes) -> np.ndarray:
         for step in range(begin, end):
             model.predict(ids[step + 1], ids[step])
             unit = width >> _EVENT_BITS
-            value = np.minimum(code // unit, most_event)
-            event = (value >= first.take(model.cell)).astype(np.int64) + (value >= second.take(model.cell))
-            edge = (model.cell << 2) + event
-            start = model.edges.take(edge)
-            inner = (unit * (model.edges.take(edge + 1) - start)) >> _ID_BITS
+            value = code // unit
+            one, two = first.take(model.cell), second.take(model.cell)
+            later, missed = value >= one, value >= two
+            start = np.where(missed, two, np.where(later, one, none))
+            inner = (unit * (np.where(missed, all_events, np.where(later, two, one)) - start)) >> _ID_BITS
             code -= unit * start
-            missed = event == 2
-            part = np.minimum(code // inner, most_part).astype(np.int64)
-            symbol = np.where(missed, model.at_part.take(part), alphabet + 1)
+            # A damaged block may have any code.
+            part = (code // inner).astype(np.int64)
+            symbol = np.where(missed, model.at_part.take(part, mode="clip"), right)
             code -= inner * model.low.take(symbol)
             width = inner * model.size.take(symbol)
             shift(np.flatnonzero(width < _LEAST))
-            now = np.where(missed, symbol, np.where(event == 1, model.guess[1], model.guess[0]))
+            now = np.where(missed, symbol, np.where(later, model.guess[1], model.guess[0]))
             own = np.flatnonzero(symbol == alphabet)
             if len(own):
                 plain = np.zeros(len(own), np.int64)

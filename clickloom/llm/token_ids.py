@@ -19,12 +19,13 @@ from clickloom.session import materialize
 
 END_ID = 0
 FRAME_IDS = 1 << 21
-MEMO_PIECES = 400_000
+MEMO_PIECES = 700_000
 
 # All letters below U+0100.
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 RUNS = re.compile(f"[{LETTERS}]+|[^{LETTERS}]+")
 WORD = re.compile(f"[{LETTERS}]+")
+MARKS = ",.;:!?"
 UNCUT = re.compile(r"[^\x00-\xff]|'|\s\s")
 SPARE_BLANK = re.compile(r" (?:\s|\Z)")
 
@@ -39,7 +40,7 @@ class _Pieces(dict):
     def __init__(self, tokenizer, added: list[str]):
         super().__init__()
         self.tokenizer, self.added = tokenizer, added
-        self.words, self.model = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model
+        self.words, self.tokenize = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
         letters = [chr(c) for c in range(128, 256) if WORD.fullmatch(chr(c))]
         self.letters = {ord(c): self.words(c)[0][0] for c in letters}
         self.blank = self.words(" a")[0][0][:-1]
@@ -48,17 +49,27 @@ class _Pieces(dict):
     def __missing__(self, key: str) -> bytes:
         ids = self.older.pop(key, None)
         if ids is None:
-            ids = self._ids(key)
+            if not key.isascii():
+                ids = self._ids(key)
+            elif key.isalpha():
+                ids = self._of_word(self.blank + key)
+            elif key[-1] in MARKS and key[:-1].isalpha():
+                ids = self[key[:-1]] + self[" " + key[-1]]
+            else:
+                ids = self._ids(key)
         self[key] = ids
         return ids
 
+    def _of_word(self, word: str) -> bytes:
+        return array("I", [t.id for t in self.tokenize(word)]).tobytes()
+
     def _ids(self, key: str) -> bytes:
         bare = key[:1] == " "
         text = key[1:] if bare else " " + key
         word = key[1:] if bare else key
         if WORD.fullmatch(word):
             word = word if word.isascii() else word.translate(self.letters)
-            return array("I", [t.id for t in self.model.tokenize(word if bare else self.blank + word)]).tobytes()
+            return self._of_word(word if bare else self.blank + word)
         if any(t in text for t in self.added):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if not UNCUT.search(text):
@@ -66,7 +77,7 @@ class _Pieces(dict):
             first, *rest = RUNS.findall(word) or [""]
             if rest:
                 return self[key[:1] + first if bare else first] + b"".join([self[" " + r] for r in rest])
-        return array("I", [t.id for word, _ in self.words(text) for t in self.model.tokenize(word)]).tobytes()
+        return b"".join([self._of_word(word) for word, _ in self.words(text)])
 
     def age(self) -> None:
         if len(self) > MEMO_PIECES:
@@ -98,7 +109,7 @@ class TokenizerFile:
             and not kind.get("truncation")
             and not kind.get("padding")
             and not any(t.get("lstrip") or t.get("rstrip") or " " in t["content"] for t in added)
-            and not any(WORD.fullmatch(t["content"]) for t in added)
+            and not any(WORD.fullmatch(t["content"].strip(MARKS)) for t in added)
         )
         self.pieces = _Pieces(self.tokenizer, [t["content"] for t in added]) if self.in_pieces else None
 
